@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference processes bounded batches only: it has no stream source,
+watermark, window or state. Nothing is implemented here, deliberately (see
+README, "Not built"). Every operator is a plain DataFrame function, so the
+row-level operators (standardisation, validity flags, lineage) would apply
+unchanged to a ``readStream`` frame; the duplicate and audit aggregates would
+need state and are not offered for streams.
+"""
