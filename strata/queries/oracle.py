@@ -176,15 +176,18 @@ def rule_rows(layer: str, source: str, keep) -> str:
     return f"SELECT rule_name, checked_records, failed_records FROM {failures_sql(layer, source, keep)} f"
 
 
+# A CSV round trip reads every empty field back as null.
+CSV_COLS = "row_id, " + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_COLS.split(", ")[1:])
+
 KEYS_AND = "customer_id, customer_first_name, customer_last_name, customer_segment, country"
 
 SILVER_SELECT = ("row_id, order_id, order_date, shipment_date, shipment_mode, customer_id, customer_name, segment, "
                  "country, city, file_path, execution_datetime, order_date_year, order_date_month, order_date_day")
 
 ORACLE: dict[str, str] = {
-    "src_csv_roundtrip": f"SELECT {RAW_COLS} FROM raw",
+    "src_csv_roundtrip": f"SELECT {CSV_COLS} FROM raw",
     "bronze_partition_read": "SELECT * FROM bronze",
-    "sink_bronze_roundtrip": f"SELECT {RAW_COLS}, order_date_year, order_date_month, order_date_day FROM bronze",
+    "sink_bronze_roundtrip": f"SELECT {CSV_COLS}, order_date_year, order_date_month, order_date_day FROM bronze",
     "sink_silver_roundtrip": (
         "SELECT row_id, order_id, order_date, shipment_date, shipment_mode, customer_id, customer_name, segment, "
         f"country, city, {q(SILVER_TAG)} AS file_path, {q(RUN_TS)} AS execution_datetime, "

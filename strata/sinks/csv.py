@@ -1,8 +1,9 @@
 """CSV writer that keeps values byte-exact (used to stage source files).
 
 Spark's CSV writer trims leading and trailing spaces by default; both are
-turned off so padded values survive a round trip. Empty strings are quoted
-and nulls are written as empty fields, so the two stay distinct on read.
+turned off so padded values survive a round trip. An empty string and a null
+both come back as null: the CSV reader treats every empty field as missing,
+which is the source contract (blank fields arrive as null).
 """
 
 from __future__ import annotations
