@@ -55,6 +55,9 @@ def run_pipeline(
         result.counts.update(
             silver_input=silver_run.input_rows, silver=silver_run.valid_rows, rejected=silver_run.rejected_rows
         )
+        if silver_run.valid_rows == 0:
+            # Nothing to summarise: fail before any Gold table is touched.
+            raise ValueError("The source data does not contain any valid order_dates.")
         bronze_quality = quality_report(bronze, layer="bronze", file_path=metadata_path(lake.bronze), run_ts=run_ts)
         quality = bronze_quality.unionByName(silver_run.quality)
 

@@ -36,6 +36,20 @@ class SilverResult:
     quality: DataFrame
 
 
+def _split_counts(obs: Observation, flagged: DataFrame) -> tuple[int, int]:
+    """Input and valid counts observed by the write.
+
+    When adaptive execution replaces an all-empty write plan the observed
+    metrics can be missing; they are then computed by one aggregate.
+    """
+    try:
+        metrics = obs.get
+        return int(metrics["rows"]), int(metrics["valid"])
+    except Exception:  # metrics unavailable for this plan
+        row = flagged.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(VALID_FLAG)).alias("valid")).first()
+        return int(row["rows"]), int(row["valid"])
+
+
 def run_silver(
     spark: SparkSession,
     bronze: DataFrame,
@@ -53,8 +67,7 @@ def run_silver(
     )
     valid = stamp(observed.where(F.col(VALID_FLAG)).drop(VALID_FLAG), lake.silver, run_ts)
     write_layer(valid, lake.silver, partition_by=PARTITION_COLUMNS)
-    metrics = obs.get
-    input_rows, valid_rows = int(metrics["rows"]), int(metrics["valid"])
+    input_rows, valid_rows = _split_counts(obs, flagged)
     rejected_rows = input_rows - valid_rows
     log.info("Silver: %s input, %s valid, %s rejected", input_rows, valid_rows, rejected_rows)
 

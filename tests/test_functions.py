@@ -1,0 +1,81 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from strata.contracts import SHIP_MODE_CANONICAL
+from strata.functions import (
+    canonical_label,
+    clean_text,
+    first_word,
+    is_blank,
+    last_word,
+    month_start_shift,
+    parse_date,
+    title_case,
+)
+
+
+def one(spark, expr, value, dtype="string"):
+    df = spark.createDataFrame([(value,)], f"v {dtype}")
+    return df.select(expr(F.col("v")).alias("out")).first()["out"]
+
+
+def test_clean_text_collapses_trims_and_nulls(spark):
+    assert one(spark, clean_text, "  john    doe  ") == "john doe"
+    assert one(spark, clean_text, "") is None
+    assert one(spark, clean_text, "   ") is None
+    assert one(spark, clean_text, None) is None
+
+
+def test_clean_text_treats_tabs_as_whitespace(spark):
+    # Collapse runs before trimming: a tab-only value is blank, a tab-led one is trimmed.
+    assert one(spark, clean_text, "\t") is None
+    assert one(spark, clean_text, "\tabc \n") == "abc"
+
+
+def test_title_case_examples(spark):
+    assert one(spark, lambda c: title_case(clean_text(c)), "  john    doe  ") == "John Doe"
+    assert one(spark, title_case, "o'brien-smith mcDONALD") == "O'brien-smith Mcdonald"
+
+
+def test_upper_country(spark):
+    assert one(spark, lambda c: F.upper(clean_text(c)), "india") == "INDIA"
+
+
+def test_canonical_label(spark):
+    fn = lambda c: canonical_label(clean_text(c), SHIP_MODE_CANONICAL)
+    assert one(spark, fn, "first class") == "First Class"
+    assert one(spark, fn, "  First   Class ") == "First Class"
+    assert one(spark, fn, "SAME DAY") == "Same Day"
+    assert one(spark, fn, "Express") == "Express"
+    assert one(spark, fn, None) is None
+
+
+def test_is_blank_on_numbers_and_text(spark):
+    assert one(spark, is_blank, None, "int") is True
+    assert one(spark, is_blank, 5, "int") is False
+    assert one(spark, is_blank, "  ") is True
+    assert one(spark, is_blank, "x") is False
+
+
+def test_parse_date_grammar(spark):
+    assert one(spark, parse_date, "2025-01-05") == dt.date(2025, 1, 5)
+    assert one(spark, parse_date, "2025-1-5") == dt.date(2025, 1, 5)
+    assert one(spark, parse_date, "2025-02-30") is None
+    assert one(spark, parse_date, "20250105") is None
+    assert one(spark, parse_date, "bad-date") is None
+    assert one(spark, parse_date, None) is None
+
+
+def test_month_shift(spark):
+    d = dt.date(2018, 12, 20)
+    assert one(spark, lambda c: month_start_shift(c, -5), d, "date") == dt.date(2018, 7, 1)
+    assert one(spark, lambda c: month_start_shift(c, -11), d, "date") == dt.date(2018, 1, 1)
+
+
+def test_name_parts(spark):
+    assert one(spark, first_word, "Ann B Lee") == "Ann"
+    assert one(spark, last_word, "Ann B Lee") == "Lee"
+    assert one(spark, first_word, "Cher") == "Cher"
+    assert one(spark, last_word, "Cher") == "Cher"
+    assert one(spark, last_word, None) is None

@@ -1,0 +1,113 @@
+import datetime as dt
+import os
+
+import pytest
+
+from strata.plans import Lake, run_pipeline
+from strata.sources import layer_exists, read_layer
+from tests.conftest import write_text
+
+CLEAN_CUSTOMERS = {
+    ("C-10001", "Alice", "Johnson", "CONSUMER", "UNITED STATES"): (1, 3, 3, 3),
+    ("C-10002", "Bob", "Smith", "CORPORATE", "CANADA"): (2, 2, 2, 2),
+    ("C-10003", "Carol", "White", "CONSUMER", "UNITED STATES"): (1, 1, 1, 1),
+    ("C-10004", "Daniel", "Brown", "HOME OFFICE", "UNITED STATES"): (0, 1, 1, 1),
+    ("C-10005", "Eva", "Davis", "CORPORATE", "UNITED KINGDOM"): (0, 0, 1, 1),
+}
+
+
+def customers(df):
+    return {
+        (r.customer_id, r.customer_first_name, r.customer_last_name, r.customer_segment, r.country): (
+            r.orders_last_month, r.orders_last_6_months, r.orders_last_12_months, r.total_orders)
+        for r in df.collect()
+    }
+
+
+def test_clean_file_end_to_end(spark, tmp_path, clean_csv):
+    base = str(tmp_path / "lake")
+    res = run_pipeline(spark, clean_csv, base, run_ts="2025-01-01T00:00:00.000000Z")
+    lake = Lake(base)
+    assert res.counts == {"bronze": 8, "silver_input": 8, "silver": 8, "rejected": 0}
+    assert not os.path.exists(lake.rejected)  # nothing to quarantine, nothing created
+
+    bronze = read_layer(spark, lake.bronze)
+    assert bronze.count() == 8
+    assert dict(bronze.dtypes)["order_date"] == "string"  # raw text preserved
+    assert dict(bronze.dtypes)["order_date_year"] == "int"
+    assert os.path.isdir(os.path.join(lake.bronze, "order_date_year=2018", "order_date_month=12", "order_date_day=30"))
+    assert {r.file_path for r in bronze.select("file_path").distinct().collect()} == {os.path.abspath(lake.bronze)}
+
+    sales = read_layer(spark, lake.gold_sales)
+    assert sales.count() == 8
+    assert set(sales.columns) == {"order_id", "order_date", "shipment_date", "shipment_mode", "city", "file_path",
+                                  "execution_datetime", "order_date_year", "order_date_month", "order_date_day"}
+
+    cust = read_layer(spark, lake.gold_customer)
+    assert customers(cust) == CLEAN_CUSTOMERS
+    assert os.listdir(lake.gold_customer) and os.path.isdir(
+        os.path.join(lake.gold_customer, "order_date_year=2018", "order_date_month=12", "order_date_day=30"))
+
+    quality = read_layer(spark, lake.gold_quality)
+    assert quality.count() == 24
+    assert quality.where("status = 'FAIL'").count() == 0
+    assert {(r.layer, r.checked_records) for r in quality.collect()} == {("bronze", 8), ("silver", 8)}
+
+
+def test_dirty_file_end_to_end(spark, tmp_path, dirty_csv):
+    base = str(tmp_path / "lake")
+    res = run_pipeline(spark, dirty_csv, base)
+    lake = Lake(base)
+    assert res.counts == {"bronze": 18, "silver_input": 18, "silver": 5, "rejected": 13}
+
+    rejected = read_layer(spark, lake.rejected)
+    assert rejected.count() == 13
+    assert sorted(r.row_id for r in read_layer(spark, lake.silver).collect()) == [1, 2, 3, 4, 5]
+    bad_date = rejected.where("row_id = 8").first()
+    assert bad_date.order_date is None  # quarantine stores standardised rows
+
+    quality = read_layer(spark, lake.gold_quality).where("layer = 'silver'")
+    fails = {r.rule_name: r.failed_records for r in quality.where("status = 'FAIL'").collect()}
+    assert fails == {
+        "customer_id_not_null": 1, "customer_name_not_null": 1, "country_not_null": 1, "segment_not_null": 1,
+        "city_not_null": 1, "row_id_unique": 1, "order_id_unique": 1, "order_date_valid": 1,
+        "shipment_date_valid": 1, "shipment_date_on_or_after_order_date": 1, "shipment_mode_allowed": 1,
+    }
+    assert quality.select("checked_records").distinct().collect()[0][0] == 18
+
+    cust = customers(read_layer(spark, lake.gold_customer))
+    assert len(cust) == 5 and set(cust.values()) == {(1, 1, 1, 1)}
+    day = read_layer(spark, lake.gold_customer).select("order_date_year", "order_date_month", "order_date_day").first()
+    assert tuple(day) == (2025, 1, 9)
+
+
+def test_rerun_overwrites_and_clears_stale_quarantine(spark, tmp_path, dirty_csv, clean_csv):
+    base = str(tmp_path / "lake")
+    lake = Lake(base)
+    run_pipeline(spark, dirty_csv, base, run_ts="t1")
+    assert read_layer(spark, lake.rejected).count() == 13
+    run_pipeline(spark, clean_csv, base, run_ts="t2")
+    assert layer_exists(spark, lake.rejected)
+    assert read_layer(spark, lake.rejected).count() == 0  # previous rejects do not linger
+    sales = read_layer(spark, lake.gold_sales)
+    assert {r.execution_datetime for r in sales.select("execution_datetime").distinct().collect()} == {"t2"}
+
+
+def test_no_valid_rows_raises_before_gold(spark, tmp_path):
+    header = "row_id,order_id,order_date,ship_date,ship_mode,customer_id,customer_name,segment,country,city\n"
+    src = write_text(tmp_path / "in" / "s.csv", header + "1,O1,bad-date,2025-01-02,First Class,C1,A B,S,X,Y\n")
+    base = str(tmp_path / "lake")
+    with pytest.raises(ValueError, match="valid order_dates"):
+        run_pipeline(spark, src, base)
+    assert not os.path.exists(Lake(base).gold_sales)
+
+
+def test_missing_source_raises(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        run_pipeline(spark, str(tmp_path / "missing.csv"), str(tmp_path / "lake"))
+
+
+def test_empty_source_raises(spark, tmp_path):
+    src = write_text(tmp_path / "in" / "e.csv", "")
+    with pytest.raises(ValueError, match="empty"):
+        run_pipeline(spark, src, str(tmp_path / "lake"))
