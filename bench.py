@@ -50,14 +50,19 @@ def main() -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-bench-ckpt-"))
 
     from strata.plans import run_pipeline
-    from strata.queries.spark_side import QUERIES, raw
+    from strata.queries.spark_side import QUERIES, bronze_rows, raw
     from strata.session import scratch_path
     from strata.sinks import write_csv
 
-    # Warm-up (JVM, file listing, code generation), not timed.
+    times: dict[str, float] = {}
+    # Derive the orders-shaped Bronze rows from the five driver tables and
+    # write them once (the queries below scan that table).
+    t0 = time.perf_counter()
+    bronze_rows(spark, SF_DIR)
+    times["stage_bronze_from_tables"] = round(time.perf_counter() - t0, 3)
+    # Warm-up (code generation, file listing), not timed.
     raw(spark, SF_DIR).write.format("noop").mode("overwrite").save()
 
-    times: dict[str, float] = {}
     for name in HEADLINE:
         t0 = time.perf_counter()
         QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()

@@ -7,10 +7,12 @@ Scale notes
   the map side, so a key holding a third of all rows collapses to one row per
   task before the shuffle). Null keys are excluded: null never matches in the
   anti-join, and such rows fail the required-field test anyway.
-* The duplicate-key sets are checkpointed to the shared folder and counted.
-  Below ``broadcast_max_rows`` they are broadcast, so flagging rows is a
-  map-only pass with no shuffle of the full rows. Above it the join is a
-  sort-merge join; adaptive execution splits a skewed left side there.
+* The duplicate-key sets are checkpointed to the shared folder and measured
+  (rows and key bytes, one small aggregate over the checkpoint). Within the
+  byte budget (default: the session's ``spark.sql.autoBroadcastJoinThreshold``)
+  they are broadcast, so flagging rows is a map-only pass with no shuffle of
+  the full rows. Beyond it the join is a sort-merge join; adaptive execution
+  splits a skewed left side there.
 * The split is one flagged frame filtered twice; valid and rejected partition
   the input exactly (``coalesce(valid, false)`` for the complement).
 * The audit is one global aggregate; its single result row is unpivoted with
@@ -36,8 +38,8 @@ from strata.contracts import (
 from strata.functions import is_blank, parse_date
 from strata.session import materialize
 
-# Above this many duplicate keys the flag join is not broadcast.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+# Per-key overhead of a broadcast hash relation, on top of the key bytes.
+ROW_OVERHEAD_BYTES = 32
 
 VALID_FLAG = "_is_valid"
 
@@ -85,7 +87,28 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
-def _duplicate_flags(df: DataFrame, key: str, flag: str, broadcast_max_rows: int) -> DataFrame:
+def broadcast_budget(df: DataFrame, max_bytes: int | None) -> int:
+    """Byte budget for broadcasting a side; the session threshold by default."""
+    if max_bytes is not None:
+        return max_bytes
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760") or "-1"
+    text = text.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if text.endswith(suffix) and text[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(text[: -len(suffix)]) * units[suffix]
+    return int(text)
+
+
+def estimated_bytes(df: DataFrame, key: str) -> int:
+    """Rows times a fixed overhead plus the key bytes, from one aggregate."""
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(key).cast("string"))).alias("b")
+    ).first()
+    return int(row["n"]) * ROW_OVERHEAD_BYTES + int(row["b"] or 0)
+
+
+def _duplicate_flags(df: DataFrame, key: str, flag: str, broadcast_max_bytes: int | None) -> DataFrame:
     """Non-null duplicate keys with a ``True`` flag column, size-checked."""
     dups = (
         df.select(key)
@@ -96,46 +119,47 @@ def _duplicate_flags(df: DataFrame, key: str, flag: str, broadcast_max_rows: int
         .select(key, F.lit(True).alias(flag))
     )
     dups = materialize(dups)
-    return F.broadcast(dups) if dups.count() <= broadcast_max_rows else dups
+    budget = broadcast_budget(df, broadcast_max_bytes)
+    return F.broadcast(dups) if budget >= 0 and estimated_bytes(dups, key) <= budget else dups
 
 
 def flag_duplicates(
-    df: DataFrame, keys: tuple[str, ...], *, broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
+    df: DataFrame, keys: tuple[str, ...], *, broadcast_max_bytes: int | None = None
 ) -> tuple[DataFrame, list[str]]:
     """Left-join a ``_dup_<key>`` flag (true or null) for each unique key."""
     out = df
     flags = []
     for key in keys:
         flag = f"_dup_{key}"
-        out = out.join(_duplicate_flags(df, key, flag, broadcast_max_rows), on=key, how="left")
+        out = out.join(_duplicate_flags(df, key, flag, broadcast_max_bytes), on=key, how="left")
         flags.append(flag)
     return out.select(*df.columns, *flags), flags
 
 
-def drop_duplicated(df: DataFrame, key: str, *, broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def drop_duplicated(df: DataFrame, key: str, *, broadcast_max_bytes: int | None = None) -> DataFrame:
     """Remove every copy of a repeated non-null key (left anti join)."""
-    dups = _duplicate_flags(df, key, "_dup", broadcast_max_rows).select(key)
+    dups = _duplicate_flags(df, key, "_dup", broadcast_max_bytes).select(key)
     return df.join(dups, on=key, how="left_anti").select(*df.columns)
 
 
 def flag_valid(
-    df: DataFrame, rules: RuleSet = SILVER_RULES, *, broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
+    df: DataFrame, rules: RuleSet = SILVER_RULES, *, broadcast_max_bytes: int | None = None
 ) -> DataFrame:
     """Add a non-null boolean ``_is_valid``: row rules hold and no unique key repeats."""
-    flagged, flags = flag_duplicates(df, rules.unique, broadcast_max_rows=broadcast_max_rows)
+    flagged, flags = flag_duplicates(df, rules.unique, broadcast_max_bytes=broadcast_max_bytes)
     not_dup = _all([F.col(f).isNull() for f in flags])
     return flagged.select(*df.columns, (row_validity(rules) & not_dup).alias(VALID_FLAG))
 
 
 def split_valid_rejected(
-    df: DataFrame, rules: RuleSet = SILVER_RULES, *, broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
+    df: DataFrame, rules: RuleSet = SILVER_RULES, *, broadcast_max_bytes: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected). Every input row lands in exactly one of them.
 
     Rejected equals "input rows whose key is not among the valid keys",
     because valid keys are unique and non-null.
     """
-    flagged = flag_valid(df, rules, broadcast_max_rows=broadcast_max_rows)
+    flagged = flag_valid(df, rules, broadcast_max_bytes=broadcast_max_bytes)
     valid = flagged.where(F.col(VALID_FLAG)).drop(VALID_FLAG)
     rejected = flagged.where(~F.col(VALID_FLAG)).drop(VALID_FLAG)
     return valid, rejected

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.lineage import metadata_path, run_timestamp
-from strata.operators.quality import DEFAULT_BROADCAST_MAX_ROWS, quality_report
+from strata.operators.quality import quality_report
 from strata.plans.bronze import ingest_bronze
 from strata.plans.gold import run_gold
 from strata.plans.layout import Lake
@@ -37,7 +37,7 @@ def run_pipeline(
     base_path: str,
     *,
     run_ts: str | None = None,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int | None = None,
 ) -> RunResult:
     """Ingest ``source_path`` (CSV) into a lake rooted at ``base_path``.
 
@@ -51,7 +51,7 @@ def run_pipeline(
         result.counts["bronze"] = ingest_bronze(spark, source_path, lake.bronze, run_ts)
         bronze = read_layer(spark, lake.bronze)
 
-        silver_run = run_silver(spark, bronze, lake, run_ts, broadcast_max_rows=broadcast_max_rows)
+        silver_run = run_silver(spark, bronze, lake, run_ts, broadcast_max_bytes=broadcast_max_bytes)
         result.counts.update(
             silver_input=silver_run.input_rows, silver=silver_run.valid_rows, rejected=silver_run.rejected_rows
         )

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from strata.contracts import PARTITION_COLUMNS, SILVER_RULES
 from strata.operators.lineage import metadata_path, stamp
-from strata.operators.quality import DEFAULT_BROADCAST_MAX_ROWS, VALID_FLAG, flag_valid, quality_report
+from strata.operators.quality import VALID_FLAG, flag_valid, quality_report
 from strata.operators.standardize import to_silver
 from strata.plans.layout import Lake
 from strata.sinks import write_layer
@@ -56,10 +56,10 @@ def run_silver(
     lake: Lake,
     run_ts: str,
     *,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int | None = None,
 ) -> SilverResult:
     standardized = to_silver(bronze)
-    flagged = flag_valid(standardized, SILVER_RULES, broadcast_max_rows=broadcast_max_rows)
+    flagged = flag_valid(standardized, SILVER_RULES, broadcast_max_bytes=broadcast_max_bytes)
 
     obs = Observation("silver_split")
     observed = flagged.observe(
