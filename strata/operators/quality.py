@@ -7,8 +7,8 @@ Scale notes
   the map side, so a key holding a third of all rows collapses to one row per
   task before the shuffle). Null keys are excluded: null never matches in the
   anti-join, and such rows fail the required-field test anyway.
-* The duplicate-key sets are checkpointed to the shared folder and measured
-  (rows and key bytes, one small aggregate over the checkpoint). Within the
+* The duplicate-key sets are written to the shared folder and measured (rows
+  and key bytes, observed by that same write). Within the
   byte budget (default: the session's ``spark.sql.autoBroadcastJoinThreshold``)
   they are broadcast, so flagging rows is a map-only pass with no shuffle of
   the full rows. Beyond it the join is a sort-merge join; adaptive execution
@@ -36,7 +36,7 @@ from strata.contracts import (
     RuleSet,
 )
 from strata.functions import is_blank, parse_date
-from strata.session import materialize
+from strata.session import stage_table
 
 # Per-key overhead of a broadcast hash relation, on top of the key bytes.
 ROW_OVERHEAD_BYTES = 32
@@ -100,16 +100,13 @@ def broadcast_budget(df: DataFrame, max_bytes: int | None) -> int:
     return int(text)
 
 
-def estimated_bytes(df: DataFrame, key: str) -> int:
-    """Rows times a fixed overhead plus the key bytes, from one aggregate."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(key).cast("string"))).alias("b")
-    ).first()
-    return int(row["n"]) * ROW_OVERHEAD_BYTES + int(row["b"] or 0)
-
-
 def _duplicate_flags(df: DataFrame, key: str, flag: str, broadcast_max_bytes: int | None) -> DataFrame:
-    """Non-null duplicate keys with a ``True`` flag column, size-checked."""
+    """Non-null duplicate keys with a ``True`` flag column, size-checked.
+
+    The set is computed once, written to the shared folder, and broadcast only
+    when its estimated size (a fixed per-row overhead plus the key bytes) is
+    within the budget.
+    """
     dups = (
         df.select(key)
         .where(F.col(key).isNotNull())
@@ -118,9 +115,14 @@ def _duplicate_flags(df: DataFrame, key: str, flag: str, broadcast_max_bytes: in
         .where(F.col("_copies") > 1)
         .select(key, F.lit(True).alias(flag))
     )
-    dups = materialize(dups)
+    size = {
+        "rows": F.count(F.lit(1)),
+        "key_bytes": F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)),
+    }
+    table, m = stage_table(dups, f"duplicate_{key}", size)
+    estimate = int(m["rows"]) * ROW_OVERHEAD_BYTES + int(m["key_bytes"])
     budget = broadcast_budget(df, broadcast_max_bytes)
-    return F.broadcast(dups) if budget >= 0 and estimated_bytes(dups, key) <= budget else dups
+    return F.broadcast(table) if 0 <= estimate <= budget else table
 
 
 def flag_duplicates(

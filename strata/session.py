@@ -1,7 +1,7 @@
 """Session-level helpers: the shared checkpoint folder and scratch paths.
 
-Lineage is cut with reliable checkpoints or written tables under the folder
-the cluster names in ``spark.checkpoint.dir``. A folder of our own is set
+Lineage is cut with written tables under the folder the cluster names in
+``spark.checkpoint.dir``. A folder of our own is set
 only when the session has none (local runs and tests).
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from strata.operators.lineage import join_path
 
@@ -34,11 +34,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return join_path(checkpoint_dir(spark), "strata-scratch", uuid.uuid4().hex, name)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut lineage.
+def stage_table(df: DataFrame, name: str, metrics: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+    """Write ``df`` as a Parquet table under the shared folder and read it back.
 
-    Survives executor loss (unlike local checkpoints or caches, the files
-    live in shared storage).
+    Cuts lineage and survives executor loss (the files live in shared
+    storage). ``metrics`` are aggregate expressions observed by the write job
+    itself; when adaptive execution drops them (an all-empty plan), they are
+    computed from the written table instead.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(name) if metrics else None
+    (df.observe(obs, *[e.alias(k) for k, e in metrics.items()]) if obs else df).write.parquet(path)
+    table = spark.read.parquet(path)
+    if not metrics:
+        return table, {}
+    try:
+        values = dict(obs.get)
+        if set(values) != set(metrics):
+            raise KeyError(name)
+    except Exception:  # metrics unavailable for this plan
+        values = table.agg(*[e.alias(k) for k, e in metrics.items()]).first().asDict()
+    return table, values
