@@ -21,6 +21,7 @@ Scale notes
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +33,7 @@ from strata.contracts import (
     AUDIT_UNIQUE,
     QUALITY_COLUMNS,
     QUALITY_LAYERS,
+    QUALITY_SCHEMA,
     SILVER_RULES,
     RuleSet,
 )
@@ -100,55 +102,76 @@ def broadcast_budget(df: DataFrame, max_bytes: int | None) -> int:
     return int(text)
 
 
-def _duplicate_flags(df: DataFrame, key: str, flag: str, broadcast_max_bytes: int | None) -> DataFrame:
-    """Non-null duplicate keys with a ``True`` flag column, size-checked.
+@dataclass(frozen=True)
+class DuplicateSet:
+    """Non-null values of ``key`` seen more than once, written to the shared folder.
 
-    The set is computed once, written to the shared folder, and broadcast only
-    when its estimated size (a fixed per-row overhead plus the key bytes) is
-    within the budget.
+    ``table`` holds ``(key, flag)`` (broadcast-hinted when within budget);
+    ``surplus`` counts the copies beyond the first over all such values, which
+    is the audit's uniqueness failure count.
     """
+
+    key: str
+    flag: str
+    table: DataFrame
+    keys: int
+    surplus: int
+    broadcast: bool
+
+
+def duplicate_set(df: DataFrame, key: str, *, broadcast_max_bytes: int | None = None) -> DuplicateSet:
+    """Compute, write and size-check the duplicate values of ``key``.
+
+    One key-only aggregate (partial aggregation before the shuffle), written
+    once; the row count, key bytes and surplus are observed by that write. The
+    set is broadcast only when its estimated size (a fixed per-row overhead
+    plus the key bytes) is within the budget.
+    """
+    flag = f"_dup_{key}"
     dups = (
         df.select(key)
         .where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_copies"))
         .where(F.col("_copies") > 1)
-        .select(key, F.lit(True).alias(flag))
     )
     size = {
-        "rows": F.count(F.lit(1)),
+        "keys": F.count(F.lit(1)),
         "key_bytes": F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)),
+        "surplus": F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)),
     }
     table, m = stage_table(dups, f"duplicate_{key}", size)
-    estimate = int(m["rows"]) * ROW_OVERHEAD_BYTES + int(m["key_bytes"])
+    estimate = int(m["keys"]) * ROW_OVERHEAD_BYTES + int(m["key_bytes"])
     budget = broadcast_budget(df, broadcast_max_bytes)
-    return F.broadcast(table) if 0 <= estimate <= budget else table
+    small = 0 <= estimate <= budget
+    flags = table.select(key, F.lit(True).alias(flag))
+    return DuplicateSet(key, flag, F.broadcast(flags) if small else flags, int(m["keys"]), int(m["surplus"]), small)
 
 
 def flag_duplicates(
-    df: DataFrame, keys: tuple[str, ...], *, broadcast_max_bytes: int | None = None
+    df: DataFrame, keys: tuple[str, ...], *, broadcast_max_bytes: int | None = None,
+    sets: list[DuplicateSet] | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Left-join a ``_dup_<key>`` flag (true or null) for each unique key."""
+    sets = sets if sets is not None else [duplicate_set(df, k, broadcast_max_bytes=broadcast_max_bytes) for k in keys]
     out = df
-    flags = []
-    for key in keys:
-        flag = f"_dup_{key}"
-        out = out.join(_duplicate_flags(df, key, flag, broadcast_max_bytes), on=key, how="left")
-        flags.append(flag)
-    return out.select(*df.columns, *flags), flags
+    for d in sets:
+        out = out.join(d.table, on=d.key, how="left")
+    return out.select(*df.columns, *[d.flag for d in sets]), [d.flag for d in sets]
 
 
 def drop_duplicated(df: DataFrame, key: str, *, broadcast_max_bytes: int | None = None) -> DataFrame:
     """Remove every copy of a repeated non-null key (left anti join)."""
-    dups = _duplicate_flags(df, key, "_dup", broadcast_max_bytes).select(key)
-    return df.join(dups, on=key, how="left_anti").select(*df.columns)
+    d = duplicate_set(df, key, broadcast_max_bytes=broadcast_max_bytes)
+    return df.join(d.table.select(key), on=key, how="left_anti").select(*df.columns)
 
 
 def flag_valid(
-    df: DataFrame, rules: RuleSet = SILVER_RULES, *, broadcast_max_bytes: int | None = None
+    df: DataFrame, rules: RuleSet = SILVER_RULES, *, broadcast_max_bytes: int | None = None,
+    sets: list[DuplicateSet] | None = None,
 ) -> DataFrame:
     """Add a non-null boolean ``_is_valid``: row rules hold and no unique key repeats."""
-    flagged, flags = flag_duplicates(df, rules.unique, broadcast_max_bytes=broadcast_max_bytes)
+    flagged, flags = flag_duplicates(df, rules.unique, broadcast_max_bytes=broadcast_max_bytes, sets=sets)
     not_dup = _all([F.col(f).isNull() for f in flags])
     return flagged.select(*df.columns, (row_validity(rules) & not_dup).alias(VALID_FLAG))
 
@@ -204,35 +227,63 @@ def normalize_layer(layer: str) -> str:
     return name
 
 
-def audit_rules(layer: str) -> list[tuple[str, Column, str]]:
-    """(rule name, failure-count expression, description) in report order."""
+@dataclass(frozen=True)
+class AuditRule:
+    """One row of the audit: a name, a description and how failures are counted.
+
+    ``failures`` is an aggregate over the checked rows. Uniqueness rules also
+    name their ``unique_key``: their count (copies beyond the first) can be
+    taken from that key's duplicate set instead of a distinct count.
+    """
+
+    name: str
+    description: str
+    failures: Column
+    unique_key: str | None = None
+
+
+def audit_rules(layer: str) -> list[AuditRule]:
+    """The rules of a layer, in report order (11 for Bronze, 13 for Silver)."""
     name = normalize_layer(layer)
-    rules: list[tuple[str, Column, str]] = []
-    for c in AUDIT_REQUIRED:
-        rules.append((f"{c}_not_null", missing_count(c), f"{c} must be present and not blank."))
-    for c in AUDIT_UNIQUE:
-        rules.append((f"{c}_unique", surplus_duplicates(c), f"{c} must be unique across the input dataset."))
+    rules = [AuditRule(f"{c}_not_null", f"{c} must be present and not blank.", missing_count(c))
+             for c in AUDIT_REQUIRED]
+    rules += [AuditRule(f"{c}_unique", f"{c} must be unique across the input dataset.", surplus_duplicates(c), c)
+              for c in AUDIT_UNIQUE]
     second_date = "ship_date" if name == "bronze" else "shipment_date"
-    rules.append(("order_date_valid", invalid_dates("order_date"), "order_date must parse as a valid date."))
-    rules.append((f"{second_date}_valid", invalid_dates(second_date), f"{second_date} must parse as a valid date."))
+    rules.append(AuditRule("order_date_valid", "order_date must parse as a valid date.", invalid_dates("order_date")))
+    rules.append(AuditRule(f"{second_date}_valid", f"{second_date} must parse as a valid date.",
+                           invalid_dates(second_date)))
     if name == "silver":
-        rules.append(
-            (
-                "shipment_date_on_or_after_order_date",
-                chronology_failures("order_date", "shipment_date"),
-                "shipment_date must not be earlier than order_date.",
-            )
-        )
-        rules.append(
-            (
-                "shipment_mode_allowed",
-                allow_list_failures("shipment_mode", ALLOWED_SHIP_MODES),
-                "shipment_mode must match an allowed canonical classification.",
-            )
-        )
+        rules.append(AuditRule("shipment_date_on_or_after_order_date",
+                               "shipment_date must not be earlier than order_date.",
+                               chronology_failures("order_date", "shipment_date")))
+        rules.append(AuditRule("shipment_mode_allowed",
+                               "shipment_mode must match an allowed canonical classification.",
+                               allow_list_failures("shipment_mode", ALLOWED_SHIP_MODES)))
     return rules
 
 
+def row_rule_metrics(layer: str) -> dict[str, Column]:
+    """Failure counts of the rules that need no distinct count, by rule name.
+
+    These are plain aggregates, so they can be observed on a write.
+    """
+    return {r.name: r.failures for r in audit_rules(layer) if r.unique_key is None}
+
+
+def report_from_counts(
+    spark, *, layer: str, checked: int, failures: dict[str, int], file_path: str, run_ts: str
+) -> DataFrame:
+    """The audit table from counts already gathered (for example by writes)."""
+    name = normalize_layer(layer)
+    rows = [
+        (name, r.name, "PASS" if int(failures[r.name]) == 0 else "FAIL", int(checked), int(failures[r.name]),
+         r.description, file_path, run_ts)
+        for r in audit_rules(name)
+    ]
+    return spark.createDataFrame(rows, QUALITY_SCHEMA)
+
+
 def rule_failures(df: DataFrame, layer: str) -> DataFrame:
     """``(checked_records, rule_name, failed_records, rule_description)`` rows.
 
@@ -242,16 +293,16 @@ def rule_failures(df: DataFrame, layer: str) -> DataFrame:
     rules = audit_rules(layer)
     metrics = df.agg(
         F.count(F.lit(1)).alias("checked_records"),
-        *[expr.cast("bigint").alias(f"_m{i}") for i, (_, expr, _) in enumerate(rules)],
+        *[r.failures.cast("bigint").alias(f"_m{i}") for i, r in enumerate(rules)],
     )
     rows = F.array(
         *[
             F.struct(
-                F.lit(rule).alias("rule_name"),
+                F.lit(r.name).alias("rule_name"),
                 F.col(f"_m{i}").alias("failed_records"),
-                F.lit(desc).alias("rule_description"),
+                F.lit(r.description).alias("rule_description"),
             )
-            for i, (rule, _, desc) in enumerate(rules)
+            for i, r in enumerate(rules)
         ]
     )
     return metrics.select("checked_records", F.inline(rows))

@@ -1,12 +1,14 @@
 """Layer jobs."""
 
-from strata.plans.bronze import ingest_bronze, to_bronze
+from strata.plans.bronze import BronzeResult, bronze_uniqueness, ingest_bronze, to_bronze
 from strata.plans.gold import run_gold
 from strata.plans.layout import Lake
 from strata.plans.pipeline import RunResult, run_pipeline
 from strata.plans.silver import SilverResult, run_silver
 
 __all__ = [
+    "BronzeResult",
+    "bronze_uniqueness",
     "Lake",
     "RunResult",
     "SilverResult",

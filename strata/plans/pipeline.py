@@ -13,8 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.lineage import metadata_path, run_timestamp
-from strata.operators.quality import quality_report
-from strata.plans.bronze import ingest_bronze
+from strata.operators.quality import report_from_counts
+from strata.plans.bronze import bronze_uniqueness, ingest_bronze
 from strata.plans.gold import run_gold
 from strata.plans.layout import Lake
 from strata.plans.silver import run_silver
@@ -42,14 +42,21 @@ def run_pipeline(
     """Ingest ``source_path`` (CSV) into a lake rooted at ``base_path``.
 
     The Gold quality table holds the audit of both the Bronze and the Silver
-    layer. Errors are logged and re-raised.
+    layer; its counts are gathered by the Bronze and Silver writes. Errors are
+    logged and re-raised.
     """
     run_ts = run_ts or run_timestamp()
     lake = Lake(str(base_path))
     result = RunResult(run_ts=run_ts, lake=lake)
     try:
-        result.counts["bronze"] = ingest_bronze(spark, source_path, lake.bronze, run_ts)
+        bronze_run = ingest_bronze(spark, source_path, lake.bronze, run_ts)
+        result.counts["bronze"] = bronze_run.rows
         bronze = read_layer(spark, lake.bronze)
+        bronze_quality = report_from_counts(
+            spark, layer="bronze", checked=bronze_run.rows,
+            failures={**bronze_run.failures, **bronze_uniqueness(bronze)},
+            file_path=metadata_path(lake.bronze), run_ts=run_ts,
+        )
 
         silver_run = run_silver(spark, bronze, lake, run_ts, broadcast_max_bytes=broadcast_max_bytes)
         result.counts.update(
@@ -58,7 +65,6 @@ def run_pipeline(
         if silver_run.valid_rows == 0:
             # Nothing to summarise: fail before any Gold table is touched.
             raise ValueError("The source data does not contain any valid order_dates.")
-        bronze_quality = quality_report(bronze, layer="bronze", file_path=metadata_path(lake.bronze), run_ts=run_ts)
         quality = bronze_quality.unionByName(silver_run.quality)
 
         silver = read_layer(spark, lake.silver)

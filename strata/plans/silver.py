@@ -2,10 +2,10 @@
 
 The flagged frame is scanned once per write. Flagging is a map-only pass when
 the duplicate-key sets are broadcast (the usual case), so re-reading Bronze
-costs less than materialising the flagged rows. Row counts come from an
-``Observation`` on the Silver write, taken before the validity filter, which
-yields both the input and the valid count in the same job; no separate
-``count()`` or emptiness scan is needed.
+costs less than materialising the flagged rows. The Silver write observes,
+before its validity filter, the input and valid counts and every row-level
+audit count; the uniqueness counts come from the duplicate-key sets. So the
+quarantine decision and the Silver audit need no scan of their own.
 """
 
 from __future__ import annotations
@@ -16,10 +16,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.contracts import PARTITION_COLUMNS, SILVER_RULES
+from strata.contracts import AUDIT_UNIQUE, PARTITION_COLUMNS, SILVER_RULES
 from strata.operators.lineage import metadata_path, stamp
-from strata.operators.quality import VALID_FLAG, flag_valid, quality_report
+from strata.operators.quality import (
+    VALID_FLAG,
+    duplicate_set,
+    flag_valid,
+    report_from_counts,
+    row_rule_metrics,
+    surplus_duplicates,
+)
 from strata.operators.standardize import to_silver
+from strata.plans.bronze import observed_values
 from strata.plans.layout import Lake
 from strata.sinks import write_layer
 from strata.sources import layer_exists
@@ -36,20 +44,6 @@ class SilverResult:
     quality: DataFrame
 
 
-def _split_counts(obs: Observation, flagged: DataFrame) -> tuple[int, int]:
-    """Input and valid counts observed by the write.
-
-    When adaptive execution replaces an all-empty write plan the observed
-    metrics can be missing; they are then computed by one aggregate.
-    """
-    try:
-        metrics = obs.get
-        return int(metrics["rows"]), int(metrics["valid"])
-    except Exception:  # metrics unavailable for this plan
-        row = flagged.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(VALID_FLAG)).alias("valid")).first()
-        return int(row["rows"]), int(row["valid"])
-
-
 def run_silver(
     spark: SparkSession,
     bronze: DataFrame,
@@ -59,15 +53,16 @@ def run_silver(
     broadcast_max_bytes: int | None = None,
 ) -> SilverResult:
     standardized = to_silver(bronze)
-    flagged = flag_valid(standardized, SILVER_RULES, broadcast_max_bytes=broadcast_max_bytes)
+    sets = [duplicate_set(standardized, k, broadcast_max_bytes=broadcast_max_bytes) for k in SILVER_RULES.unique]
+    flagged = flag_valid(standardized, SILVER_RULES, sets=sets)
 
+    metrics = {"rows": F.count(F.lit(1)), "valid": F.count_if(F.col(VALID_FLAG)), **row_rule_metrics("silver")}
     obs = Observation("silver_split")
-    observed = flagged.observe(
-        obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(VALID_FLAG)).alias("valid")
-    )
+    observed = flagged.observe(obs, *[e.alias(k) for k, e in metrics.items()])
     valid = stamp(observed.where(F.col(VALID_FLAG)).drop(VALID_FLAG), lake.silver, run_ts)
     write_layer(valid, lake.silver, partition_by=PARTITION_COLUMNS)
-    input_rows, valid_rows = _split_counts(obs, flagged)
+    values = observed_values(obs, flagged, metrics)
+    input_rows, valid_rows = values.pop("rows"), values.pop("valid")
     rejected_rows = input_rows - valid_rows
     log.info("Silver: %s input, %s valid, %s rejected", input_rows, valid_rows, rejected_rows)
 
@@ -80,5 +75,13 @@ def run_silver(
     else:
         log.info("No rejected records found.")
 
-    quality = quality_report(standardized, layer="silver", file_path=metadata_path(lake.silver), run_ts=run_ts)
+    surplus = {f"{d.key}_unique": d.surplus for d in sets}
+    missing = [k for k in AUDIT_UNIQUE if f"{k}_unique" not in surplus]
+    if missing:
+        row = standardized.agg(*[surplus_duplicates(k).alias(f"{k}_unique") for k in missing]).first()
+        surplus.update({k: int(v) for k, v in row.asDict().items()})
+    quality = report_from_counts(
+        spark, layer="silver", checked=input_rows, failures={**values, **surplus},
+        file_path=metadata_path(lake.silver), run_ts=run_ts,
+    )
     return SilverResult(input_rows, valid_rows, rejected_rows, write_quarantine, quality)

@@ -111,3 +111,19 @@ def test_empty_source_raises(spark, tmp_path):
     src = write_text(tmp_path / "in" / "e.csv", "")
     with pytest.raises(ValueError, match="empty"):
         run_pipeline(spark, src, str(tmp_path / "lake"))
+
+
+def test_observed_audit_equals_aggregate_audit(spark, tmp_path, dirty_csv):
+    from strata.operators.lineage import metadata_path
+    from strata.operators.quality import quality_report
+    from strata.operators.standardize import to_silver
+
+    base = str(tmp_path / "lake")
+    lake = Lake(base)
+    res = run_pipeline(spark, dirty_csv, base, run_ts="t")
+    bronze = read_layer(spark, lake.bronze)
+    expected = quality_report(bronze, layer="bronze", file_path=metadata_path(lake.bronze), run_ts="t").unionByName(
+        quality_report(to_silver(bronze), layer="silver", file_path=metadata_path(lake.silver), run_ts="t"))
+    got = read_layer(spark, lake.gold_quality)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    assert res.counts["rejected"] == 13

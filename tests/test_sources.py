@@ -62,7 +62,7 @@ def test_missing_and_empty_sources(spark, tmp_path):
 
 def test_failed_ingest_keeps_previous_bronze(spark, tmp_path, clean_csv):
     bronze = str(tmp_path / "lake" / "bronze")
-    assert ingest_bronze(spark, clean_csv, bronze, "t1") == 8
+    assert ingest_bronze(spark, clean_csv, bronze, "t1").rows == 8
     bad = write_text(tmp_path / "bad" / "s.csv", CLEAN_CSV + "x9,O9,2025-01-01,2025-01-02,Same Day,C9,A B,C,D,E\n")
     with pytest.raises(ValueError):
         ingest_bronze(spark, bad, bronze, "t2")
