@@ -26,7 +26,8 @@ def run_gold(silver: DataFrame, quality: DataFrame, lake: Lake, run_ts: str) ->
     sales = build_sales(silver, lake.gold_sales, run_ts)
     customer = stamp(customer_summary(silver, latest), lake.gold_customer, run_ts)
 
-    write_layer(sales, lake.gold_sales, partition_by=PARTITION_COLUMNS)
+    # A projection of Silver, which is laid out by the same day columns: map-only.
+    write_layer(sales, lake.gold_sales, partition_by=PARTITION_COLUMNS, rebalance=False)
     # All customer rows share one partition value (the latest day), so the
     # write is rebalanced without hashing on it.
     write_layer(customer, lake.gold_customer, partition_by=PARTITION_COLUMNS, rebalance_on=())

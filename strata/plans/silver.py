@@ -60,7 +60,11 @@ def run_silver(
     obs = Observation("silver_split")
     observed = flagged.observe(obs, *[e.alias(k) for k, e in metrics.items()])
     valid = stamp(observed.where(F.col(VALID_FLAG)).drop(VALID_FLAG), lake.silver, run_ts)
-    write_layer(valid, lake.silver, partition_by=PARTITION_COLUMNS)
+    # With broadcast flags the Silver write is map-only over Bronze, which is
+    # already laid out by order day, so no shuffle is needed; after a
+    # sort-merge flag join the rows are hashed by key and must be rebalanced.
+    clustered = all(d.broadcast for d in sets)
+    write_layer(valid, lake.silver, partition_by=PARTITION_COLUMNS, rebalance=not clustered)
     values = observed_values(obs, flagged, metrics)
     input_rows, valid_rows = values.pop("rows"), values.pop("valid")
     rejected_rows = input_rows - valid_rows

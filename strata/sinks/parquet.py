@@ -22,6 +22,7 @@ def write_layer(
     mode: str = "overwrite",
     observation: Observation | None = None,
     rebalance_on: Sequence[str] | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Write ``df`` as Parquet, Hive-partitioned by ``partition_by``.
 
@@ -29,12 +30,17 @@ def write_layer(
     itself (metric ``rows``), without a separate ``count()``.
     ``rebalance_on`` defaults to the partition columns; pass ``()`` when they
     are constant (hashing a constant would send every row to one task).
+    ``rebalance=False`` skips the shuffle when ``df`` is a map-only
+    derivation of a table already laid out by the same partition columns:
+    each task then writes the days of the files it reads, so the layout and
+    file sizes of the input carry over.
     """
     out = df
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
-    keys = tuple(partition_by if rebalance_on is None else rebalance_on)
-    out = out.hint("rebalance", *keys) if keys else out.hint("rebalance")
+    if rebalance:
+        keys = tuple(partition_by if rebalance_on is None else rebalance_on)
+        out = out.hint("rebalance", *keys) if keys else out.hint("rebalance")
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
