@@ -35,7 +35,7 @@ def to_bronze(raw: DataFrame, bronze_path: str, run_ts: str) -> DataFrame:
     return project(stamp(with_date_partitions(raw, "order_date"), bronze_path, run_ts), BRONZE_COLUMNS)
 
 
-def observed_values(obs: Observation, df: DataFrame, metrics: dict) -> dict[str, int]:
+def observed_values(obs: Observation, df: DataFrame, metrics: dict) -> dict:
     """Metrics observed by a write; computed with one aggregate if missing.
 
     Adaptive execution can drop observed metrics when it replaces an
@@ -47,7 +47,7 @@ def observed_values(obs: Observation, df: DataFrame, metrics: dict) -> dict[str,
             raise KeyError("incomplete metrics")
     except Exception:  # metrics unavailable for this plan
         values = df.agg(*[e.alias(k) for k, e in metrics.items()]).first().asDict()
-    return {k: int(v or 0) for k, v in values.items()}
+    return values
 
 
 def ingest_bronze(
@@ -64,7 +64,7 @@ def ingest_bronze(
     obs = Observation("bronze_write")
     observed = bronze.observe(obs, *[e.alias(k) for k, e in metrics.items()])
     write_layer(observed, bronze_path, partition_by=PARTITION_COLUMNS)
-    values = observed_values(obs, bronze, metrics)
+    values = {k: int(v or 0) for k, v in observed_values(obs, bronze, metrics).items()}
     rows = values.pop("rows")
     log.info("Bronze written: %s rows to %s", rows, bronze_path)
     return BronzeResult(rows, values)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from datetime import date
 
 from pyspark.sql import DataFrame
 
@@ -20,9 +21,16 @@ def build_sales(silver: DataFrame, path: str, run_ts: str) -> DataFrame:
     return stamp(project(silver, GOLD_SALES_COLUMNS), path, run_ts)
 
 
-def run_gold(silver: DataFrame, quality: DataFrame, lake: Lake, run_ts: str) -> dict[str, DataFrame]:
-    """Write the three Gold tables; raises before any write when no order day exists."""
-    latest = latest_order_day(silver)
+def run_gold(
+    silver: DataFrame, quality: DataFrame, lake: Lake, run_ts: str, latest: date | None = None
+) -> dict[str, DataFrame]:
+    """Write the three Gold tables; raises before any write when no order day exists.
+
+    ``latest`` is the maximum Silver order day when already known (the Silver
+    write observes it); otherwise it is computed from ``silver``.
+    """
+    if latest is None:
+        latest = latest_order_day(silver)
     sales = build_sales(silver, lake.gold_sales, run_ts)
     customer = stamp(customer_summary(silver, latest), lake.gold_customer, run_ts)
 

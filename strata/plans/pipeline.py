@@ -68,7 +68,7 @@ def run_pipeline(
         quality = bronze_quality.unionByName(silver_run.quality)
 
         silver = read_layer(spark, lake.silver)
-        gold = run_gold(silver, quality, lake, run_ts)
+        gold = run_gold(silver, quality, lake, run_ts, latest=silver_run.latest_day)
         result.tables = {"bronze": bronze, "silver": silver, **gold}
         log.info("Run %s finished: %s", run_ts, result.counts)
         return result

@@ -3,15 +3,17 @@
 The flagged frame is scanned once per write. Flagging is a map-only pass when
 the duplicate-key sets are broadcast (the usual case), so re-reading Bronze
 costs less than materialising the flagged rows. The Silver write observes,
-before its validity filter, the input and valid counts and every row-level
-audit count; the uniqueness counts come from the duplicate-key sets. So the
-quarantine decision and the Silver audit need no scan of their own.
+before its validity filter, the input and valid counts, the latest valid
+order day and every row-level audit count; the uniqueness counts come from
+the duplicate-key sets. So the quarantine decision, the Silver audit and the
+Gold period anchor need no scan of their own.
 """
 
 from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,7 @@ class SilverResult:
     rejected_rows: int
     quarantine_written: bool
     quality: DataFrame
+    latest_day: date | None = None
 
 
 def run_silver(
@@ -56,7 +59,12 @@ def run_silver(
     sets = [duplicate_set(standardized, k, broadcast_max_bytes=broadcast_max_bytes) for k in SILVER_RULES.unique]
     flagged = flag_valid(standardized, SILVER_RULES, sets=sets)
 
-    metrics = {"rows": F.count(F.lit(1)), "valid": F.count_if(F.col(VALID_FLAG)), **row_rule_metrics("silver")}
+    metrics = {
+        "rows": F.count(F.lit(1)),
+        "valid": F.count_if(F.col(VALID_FLAG)),
+        "latest_day": F.max(F.when(F.col(VALID_FLAG), F.col("order_date"))),
+        **row_rule_metrics("silver"),
+    }
     obs = Observation("silver_split")
     observed = flagged.observe(obs, *[e.alias(k) for k, e in metrics.items()])
     valid = stamp(observed.where(F.col(VALID_FLAG)).drop(VALID_FLAG), lake.silver, run_ts)
@@ -66,6 +74,8 @@ def run_silver(
     clustered = all(d.broadcast for d in sets)
     write_layer(valid, lake.silver, partition_by=PARTITION_COLUMNS, rebalance=not clustered)
     values = observed_values(obs, flagged, metrics)
+    latest_day = values.pop("latest_day")
+    values = {k: int(v or 0) for k, v in values.items()}
     input_rows, valid_rows = values.pop("rows"), values.pop("valid")
     rejected_rows = input_rows - valid_rows
     log.info("Silver: %s input, %s valid, %s rejected", input_rows, valid_rows, rejected_rows)
@@ -88,4 +98,4 @@ def run_silver(
         spark, layer="silver", checked=input_rows, failures={**values, **surplus},
         file_path=metadata_path(lake.silver), run_ts=run_ts,
     )
-    return SilverResult(input_rows, valid_rows, rejected_rows, write_quarantine, quality)
+    return SilverResult(input_rows, valid_rows, rejected_rows, write_quarantine, quality, latest_day)
