@@ -43,7 +43,7 @@ from strata.operators.standardize import project, rename, standardize_strings, t
 from strata.operators.summary import customer_summary, latest_order_day, order_counts
 from strata.plans.bronze import ingest_bronze
 from strata.queries.fixed import BRONZE_TAG, GOLD_CUSTOMER_TAG, GOLD_SALES_TAG, RUN_TS, SILVER_TAG
-from strata.session import scratch_path
+from strata.session import scratch_path, session_id
 from strata.sinks import write_csv, write_layer
 from strata.sources import check_source, orders_source, read_checked, read_layer, read_strict
 
@@ -69,7 +69,7 @@ def _bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze shape (raw columns, fixed lineage values, partition columns)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (session_id(spark), os.path.abspath(sf_dir))
     path = _STAGED.get(key)
     if path is None:
         path = scratch_path(spark, "bronze_from_tables")

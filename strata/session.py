@@ -17,16 +17,28 @@ from strata.operators.lineage import join_path
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's reliable checkpoint folder, set up locally if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on a remote (Connect) session
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         # Only reached when the cluster names no shared folder (local/test).
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
+
+
+def session_id(spark: SparkSession) -> str:
+    """Identifier of the running application (stable for the session)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
