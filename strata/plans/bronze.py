@@ -10,7 +10,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -35,21 +35,6 @@ def to_bronze(raw: DataFrame, bronze_path: str, run_ts: str) -> DataFrame:
     return project(stamp(with_date_partitions(raw, "order_date"), bronze_path, run_ts), BRONZE_COLUMNS)
 
 
-def observed_values(obs: Observation, df: DataFrame, metrics: dict) -> dict:
-    """Metrics observed by a write; computed with one aggregate if missing.
-
-    Adaptive execution can drop observed metrics when it replaces an
-    all-empty plan; the fallback keeps the counts exact.
-    """
-    try:
-        values = dict(obs.get)
-        if set(values) != set(metrics):
-            raise KeyError("incomplete metrics")
-    except Exception:  # metrics unavailable for this plan
-        values = df.agg(*[e.alias(k) for k, e in metrics.items()]).first().asDict()
-    return values
-
-
 def ingest_bronze(
     spark: SparkSession, source_path: str, bronze_path: str, run_ts: str, schema: StructType = RAW_SCHEMA
 ) -> BronzeResult:
@@ -61,10 +46,8 @@ def ingest_bronze(
     check_source(spark, source_path)
     bronze = to_bronze(read_checked(spark, source_path, schema), bronze_path, run_ts)
     metrics = {"rows": F.count(F.lit(1)), **row_rule_metrics("bronze")}
-    obs = Observation("bronze_write")
-    observed = bronze.observe(obs, *[e.alias(k) for k, e in metrics.items()])
-    write_layer(observed, bronze_path, partition_by=PARTITION_COLUMNS)
-    values = {k: int(v or 0) for k, v in observed_values(obs, bronze, metrics).items()}
+    observed = write_layer(bronze, bronze_path, partition_by=PARTITION_COLUMNS, metrics=metrics)
+    values = {k: int(v or 0) for k, v in observed.items()}
     rows = values.pop("rows")
     log.info("Bronze written: %s rows to %s", rows, bronze_path)
     return BronzeResult(rows, values)

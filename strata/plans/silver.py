@@ -29,9 +29,8 @@ from strata.operators.quality import (
     surplus_duplicates,
 )
 from strata.operators.standardize import to_silver
-from strata.plans.bronze import observed_values
 from strata.plans.layout import Lake
-from strata.sinks import write_layer
+from strata.sinks.parquet import collected, write_layer
 from strata.sources import layer_exists
 
 log = logging.getLogger(__name__)
@@ -65,15 +64,23 @@ def run_silver(
         "latest_day": F.max(F.when(F.col(VALID_FLAG), F.col("order_date"))),
         **row_rule_metrics("silver"),
     }
-    obs = Observation("silver_split")
-    observed = flagged.observe(obs, *[e.alias(k) for k, e in metrics.items()])
-    valid = stamp(observed.where(F.col(VALID_FLAG)).drop(VALID_FLAG), lake.silver, run_ts)
-    # With broadcast flags the Silver write is map-only over Bronze, which is
-    # already laid out by order day, so no shuffle is needed; after a
-    # sort-merge flag join the rows are hashed by key and must be rebalanced.
-    clustered = all(d.broadcast for d in sets)
-    write_layer(valid, lake.silver, partition_by=PARTITION_COLUMNS, rebalance=not clustered)
-    values = observed_values(obs, flagged, metrics)
+    def stamped(frame: DataFrame) -> DataFrame:
+        return stamp(frame.where(F.col(VALID_FLAG)).drop(VALID_FLAG), lake.silver, run_ts)
+
+    if all(d.broadcast for d in sets):
+        # Broadcast flags: the write is map-only over Bronze, which is already
+        # laid out by order day, so it needs no shuffle, and the metrics are
+        # observed (before the validity filter) by the write's result tasks.
+        obs = Observation("silver_split")
+        write_layer(stamped(flagged.observe(obs, *[e.alias(k) for k, e in metrics.items()])), lake.silver,
+                    partition_by=PARTITION_COLUMNS, rebalance=False)
+        values = collected(obs, flagged, metrics)
+    else:
+        # After a sort-merge flag join rows are hashed by key: the write is
+        # rebalanced by day, and the metrics, which would otherwise sit in a
+        # shuffle-map stage, come from one exact aggregate.
+        values = flagged.agg(*[e.alias(k) for k, e in metrics.items()]).first().asDict()
+        write_layer(stamped(flagged), lake.silver, partition_by=PARTITION_COLUMNS)
     latest_day = values.pop("latest_day")
     values = {k: int(v or 0) for k, v in values.items()}
     input_rows, valid_rows = values.pop("rows"), values.pop("valid")

@@ -4,14 +4,34 @@ Writes go through a ``rebalance`` hint: adaptive execution sizes the write
 partitions, splits a hot partition value (one day holding a large share of
 rows) over several tasks, and merges small ones, so neither one task per day
 nor one file per day and task results.
+
+Metrics observed on a write are attached *above* the rebalance exchange, so
+they are computed by the write's result tasks. Result-task accumulator
+updates are applied once per partition even when tasks or stages are re-run
+after an executor loss; updates from a shuffle-map stage are not.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, Observation
+
+
+def collected(obs: Observation, df: DataFrame, metrics: dict[str, Column]) -> dict:
+    """Values of an observation; computed with one aggregate over ``df`` if missing.
+
+    Adaptive execution can drop observed metrics when it replaces an
+    all-empty plan; the fallback keeps the values exact.
+    """
+    try:
+        values = dict(obs.get)
+        if set(values) != set(metrics):
+            raise KeyError("incomplete metrics")
+        return values
+    except Exception:  # metrics unavailable for this plan
+        return df.agg(*[e.alias(k) for k, e in metrics.items()]).first().asDict()
 
 
 def write_layer(
@@ -20,14 +40,14 @@ def write_layer(
     *,
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
-    observation: Observation | None = None,
+    metrics: dict[str, Column] | None = None,
     rebalance_on: Sequence[str] | None = None,
     rebalance: bool = True,
-) -> None:
+) -> dict:
     """Write ``df`` as Parquet, Hive-partitioned by ``partition_by``.
 
-    With ``observation`` the written row count is collected by the write job
-    itself (metric ``rows``), without a separate ``count()``.
+    ``metrics`` (aggregate expressions by name) are observed by the write job
+    itself and returned, without a separate scan.
     ``rebalance_on`` defaults to the partition columns; pass ``()`` when they
     are constant (hashing a constant would send every row to one task).
     ``rebalance=False`` skips the shuffle when ``df`` is a map-only
@@ -36,12 +56,15 @@ def write_layer(
     file sizes of the input carry over.
     """
     out = df
-    if observation is not None:
-        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     if rebalance:
         keys = tuple(partition_by if rebalance_on is None else rebalance_on)
         out = out.hint("rebalance", *keys) if keys else out.hint("rebalance")
+    obs = None
+    if metrics:
+        obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
+        out = out.observe(obs, *[e.alias(k) for k, e in metrics.items()])
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(str(path))
+    return collected(obs, df, metrics) if metrics else {}

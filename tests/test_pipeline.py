@@ -127,3 +127,14 @@ def test_observed_audit_equals_aggregate_audit(spark, tmp_path, dirty_csv):
     got = read_layer(spark, lake.gold_quality)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
     assert res.counts["rejected"] == 13
+
+
+@pytest.mark.parametrize("budget", [-1, None])
+def test_sort_merge_fallback_gives_same_layers(spark, tmp_path, dirty_csv, budget):
+    base = str(tmp_path / f"lake{budget}")
+    res = run_pipeline(spark, dirty_csv, base, run_ts="t", broadcast_max_bytes=budget)
+    lake = Lake(base)
+    assert res.counts == {"bronze": 18, "silver_input": 18, "silver": 5, "rejected": 13}
+    assert sorted(r.row_id for r in read_layer(spark, lake.silver).collect()) == [1, 2, 3, 4, 5]
+    fails = read_layer(spark, lake.gold_quality).where("layer = 'silver' AND status = 'FAIL'").count()
+    assert fails == 11
