@@ -51,6 +51,26 @@ ALLOWED_SHIP_MODES: tuple[str, ...] = ("First Class", "Second Class", "Standard
 # Quality layers accepted by the audit.
 QUALITY_LAYERS: tuple[str, ...] = ("bronze", "silver")
 
+# Audit rule names and descriptions, as written into the report; "{c}" is the
+# checked column.
+RULE_NOT_NULL = ("{c}_not_null", "{c} must be present and not blank.")
+RULE_UNIQUE = ("{c}_unique", "{c} must be unique across the input dataset.")
+RULE_DATE_VALID = ("{c}_valid", "{c} must parse as a valid date.")
+RULE_CHRONOLOGY = ("shipment_date_on_or_after_order_date", "shipment_date must not be earlier than order_date.")
+RULE_MODE_ALLOWED = ("shipment_mode_allowed", "shipment_mode must match an allowed canonical classification.")
+STATUS_PASS, STATUS_FAIL = "PASS", "FAIL"
+
+# Error messages.
+MSG_BAD_LAYER = "Data-quality layer must be either 'bronze' or 'silver'."
+MSG_NO_ORDER_DAY = "The source data does not contain any valid order_dates."
+
+# Lake layout under the base path.
+BRONZE_DIR = ("bronze", "raw_sales")
+SILVER_DIR = ("silver", "sales")
+QUARANTINE_NAME = "rejected_records"
+GOLD_DIR = ("gold",)
+GOLD_SALES_NAME, GOLD_CUSTOMER_NAME, GOLD_QUALITY_NAME = "sales", "customer", "data_quality"
+
 # Column renames applied on the way to Silver and to the customer table.
 SILVER_RENAMES: dict[str, str] = {"ship_date": "shipment_date", "ship_mode": "shipment_mode"}
 CUSTOMER_RENAMES: dict[str, str] = {"segment": "customer_segment"}

@@ -34,6 +34,14 @@ from strata.contracts import (
     QUALITY_COLUMNS,
     QUALITY_LAYERS,
     QUALITY_SCHEMA,
+    MSG_BAD_LAYER,
+    RULE_CHRONOLOGY,
+    RULE_DATE_VALID,
+    RULE_MODE_ALLOWED,
+    RULE_NOT_NULL,
+    RULE_UNIQUE,
+    STATUS_FAIL,
+    STATUS_PASS,
     SILVER_RULES,
     RuleSet,
 )
@@ -223,7 +231,7 @@ def allow_list_failures(column: str, allowed: tuple[str, ...]) -> Column:
 def normalize_layer(layer: str) -> str:
     name = layer.strip().lower()
     if name not in QUALITY_LAYERS:
-        raise ValueError("Data-quality layer must be either 'bronze' or 'silver'.")
+        raise ValueError(MSG_BAD_LAYER)
     return name
 
 
@@ -245,21 +253,17 @@ class AuditRule:
 def audit_rules(layer: str) -> list[AuditRule]:
     """The rules of a layer, in report order (11 for Bronze, 13 for Silver)."""
     name = normalize_layer(layer)
-    rules = [AuditRule(f"{c}_not_null", f"{c} must be present and not blank.", missing_count(c))
-             for c in AUDIT_REQUIRED]
-    rules += [AuditRule(f"{c}_unique", f"{c} must be unique across the input dataset.", surplus_duplicates(c), c)
-              for c in AUDIT_UNIQUE]
+
+    def text(fixed: tuple[str, str], column: str = "") -> tuple[str, str]:
+        return fixed[0].format(c=column), fixed[1].format(c=column)
+
+    rules = [AuditRule(*text(RULE_NOT_NULL, c), missing_count(c)) for c in AUDIT_REQUIRED]
+    rules += [AuditRule(*text(RULE_UNIQUE, c), surplus_duplicates(c), c) for c in AUDIT_UNIQUE]
     second_date = "ship_date" if name == "bronze" else "shipment_date"
-    rules.append(AuditRule("order_date_valid", "order_date must parse as a valid date.", invalid_dates("order_date")))
-    rules.append(AuditRule(f"{second_date}_valid", f"{second_date} must parse as a valid date.",
-                           invalid_dates(second_date)))
+    rules += [AuditRule(*text(RULE_DATE_VALID, c), invalid_dates(c)) for c in ("order_date", second_date)]
     if name == "silver":
-        rules.append(AuditRule("shipment_date_on_or_after_order_date",
-                               "shipment_date must not be earlier than order_date.",
-                               chronology_failures("order_date", "shipment_date")))
-        rules.append(AuditRule("shipment_mode_allowed",
-                               "shipment_mode must match an allowed canonical classification.",
-                               allow_list_failures("shipment_mode", ALLOWED_SHIP_MODES)))
+        rules.append(AuditRule(*text(RULE_CHRONOLOGY), chronology_failures("order_date", "shipment_date")))
+        rules.append(AuditRule(*text(RULE_MODE_ALLOWED), allow_list_failures("shipment_mode", ALLOWED_SHIP_MODES)))
     return rules
 
 
@@ -277,7 +281,7 @@ def report_from_counts(
     """The audit table from counts already gathered (for example by writes)."""
     name = normalize_layer(layer)
     rows = [
-        (name, r.name, "PASS" if int(failures[r.name]) == 0 else "FAIL", int(checked), int(failures[r.name]),
+        (name, r.name, STATUS_PASS if int(failures[r.name]) == 0 else STATUS_FAIL, int(checked), int(failures[r.name]),
          r.description, file_path, run_ts)
         for r in audit_rules(name)
     ]
@@ -315,7 +319,7 @@ def quality_report(df: DataFrame, *, layer: str, file_path: str, run_ts: str) ->
     return failures.select(
         F.lit(name).alias("layer"),
         "rule_name",
-        F.when(F.col("failed_records") == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
+        F.when(F.col("failed_records") == 0, F.lit(STATUS_PASS)).otherwise(F.lit(STATUS_FAIL)).alias("status"),
         "checked_records",
         "failed_records",
         "rule_description",

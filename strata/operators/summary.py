@@ -28,6 +28,7 @@ from strata.contracts import (
     CUSTOMER_KEY_COLUMNS,
     CUSTOMER_PERIODS,
     CUSTOMER_RENAMES,
+    MSG_NO_ORDER_DAY,
     PARTITION_COLUMNS,
     Period,
 )
@@ -41,7 +42,7 @@ def latest_order_day(df: DataFrame, column: str = "order_date") -> date:
     """
     latest = df.agg(F.max(column).alias("latest_day")).first()["latest_day"]
     if latest is None:
-        raise ValueError("The source data does not contain any valid order_dates.")
+        raise ValueError(MSG_NO_ORDER_DAY)
     return latest
 
 

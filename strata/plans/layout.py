@@ -4,6 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from strata.contracts import (
+    BRONZE_DIR,
+    GOLD_CUSTOMER_NAME,
+    GOLD_DIR,
+    GOLD_QUALITY_NAME,
+    GOLD_SALES_NAME,
+    QUARANTINE_NAME,
+    SILVER_DIR,
+)
 from strata.operators.lineage import join_path, sibling_path
 
 
@@ -13,29 +22,29 @@ class Lake:
 
     @property
     def bronze(self) -> str:
-        return join_path(self.base, "bronze", "raw_sales")
+        return join_path(self.base, *BRONZE_DIR)
 
     @property
     def silver(self) -> str:
-        return join_path(self.base, "silver", "sales")
+        return join_path(self.base, *SILVER_DIR)
 
     @property
     def rejected(self) -> str:
         """Quarantine, a sibling of the Silver table."""
-        return sibling_path(self.silver, "rejected_records")
+        return sibling_path(self.silver, QUARANTINE_NAME)
 
     @property
     def gold(self) -> str:
-        return join_path(self.base, "gold")
+        return join_path(self.base, *GOLD_DIR)
 
     @property
     def gold_sales(self) -> str:
-        return join_path(self.gold, "sales")
+        return join_path(self.gold, GOLD_SALES_NAME)
 
     @property
     def gold_customer(self) -> str:
-        return join_path(self.gold, "customer")
+        return join_path(self.gold, GOLD_CUSTOMER_NAME)
 
     @property
     def gold_quality(self) -> str:
-        return join_path(self.gold, "data_quality")
+        return join_path(self.gold, GOLD_QUALITY_NAME)

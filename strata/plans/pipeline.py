@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.contracts import MSG_NO_ORDER_DAY
 from strata.operators.lineage import metadata_path, run_timestamp
 from strata.operators.quality import report_from_counts
 from strata.plans.bronze import bronze_uniqueness, ingest_bronze
@@ -64,7 +65,7 @@ def run_pipeline(
         )
         if silver_run.valid_rows == 0:
             # Nothing to summarise: fail before any Gold table is touched.
-            raise ValueError("The source data does not contain any valid order_dates.")
+            raise ValueError(MSG_NO_ORDER_DAY)
         quality = bronze_quality.unionByName(silver_run.quality)
 
         silver = read_layer(spark, lake.silver)

@@ -12,7 +12,14 @@ from strata.contracts import (
     ALLOWED_SHIP_MODES,
     AUDIT_REQUIRED,
     AUDIT_UNIQUE,
+    RULE_CHRONOLOGY,
+    RULE_DATE_VALID,
+    RULE_MODE_ALLOWED,
+    RULE_NOT_NULL,
+    RULE_UNIQUE,
     SHIP_MODE_CANONICAL,
+    STATUS_FAIL,
+    STATUS_PASS,
 )
 from strata.queries.fixed import BRONZE_TAG, GOLD_CUSTOMER_TAG, GOLD_SALES_TAG, RUN_TS, SILVER_TAG
 
@@ -134,22 +141,23 @@ def blank(c: str) -> str:
 
 def audit_rules(layer: str) -> list[tuple[str, str, str]]:
     """(rule name, failure-count SQL, description) in report order."""
-    rules = [(f"{c}_not_null", f"count(*) FILTER (WHERE {blank(c)})", f"{c} must be present and not blank.")
-             for c in AUDIT_REQUIRED]
-    rules += [(f"{c}_unique", f"count({c}) - count(DISTINCT {c})", f"{c} must be unique across the input dataset.")
-              for c in AUDIT_UNIQUE]
+
+    def text(fixed: tuple[str, str], column: str = "") -> tuple[str, str]:
+        return fixed[0].format(c=column), fixed[1].format(c=column)
+
+    def rule(fixed, sql, column=""):
+        name, desc = text(fixed, column)
+        return name, sql, desc
+
+    rules = [rule(RULE_NOT_NULL, f"count(*) FILTER (WHERE {blank(c)})", c) for c in AUDIT_REQUIRED]
+    rules += [rule(RULE_UNIQUE, f"count({c}) - count(DISTINCT {c})", c) for c in AUDIT_UNIQUE]
     second = "ship_date" if layer == "bronze" else "shipment_date"
-    rules.append(("order_date_valid", "count(*) FILTER (WHERE TRY_CAST(order_date AS DATE) IS NULL)",
-                  "order_date must parse as a valid date."))
-    rules.append((f"{second}_valid", f"count(*) FILTER (WHERE TRY_CAST({second} AS DATE) IS NULL)",
-                  f"{second} must parse as a valid date."))
+    rules += [rule(RULE_DATE_VALID, f"count(*) FILTER (WHERE TRY_CAST({c} AS DATE) IS NULL)", c)
+              for c in ("order_date", second)]
     if layer == "silver":
-        rules.append(("shipment_date_on_or_after_order_date",
-                      "count(*) FILTER (WHERE shipment_date < order_date)",
-                      "shipment_date must not be earlier than order_date."))
-        rules.append(("shipment_mode_allowed",
-                      f"count(*) FILTER (WHERE shipment_mode IS NULL OR shipment_mode NOT IN ({ALLOWED_SQL}))",
-                      "shipment_mode must match an allowed canonical classification."))
+        rules.append(rule(RULE_CHRONOLOGY, "count(*) FILTER (WHERE shipment_date < order_date)"))
+        rules.append(rule(RULE_MODE_ALLOWED,
+                          f"count(*) FILTER (WHERE shipment_mode IS NULL OR shipment_mode NOT IN ({ALLOWED_SQL}))"))
     return rules
 
 
@@ -166,7 +174,8 @@ def failures_sql(layer: str, source: str, keep=lambda name: True) -> str:
 
 def report_sql(layer: str, source: str, file_path: str) -> str:
     return (
-        f"SELECT {q(layer)} AS layer, rule_name, CASE WHEN failed_records = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
+        f"SELECT {q(layer)} AS layer, rule_name, "
+        f"CASE WHEN failed_records = 0 THEN {q(STATUS_PASS)} ELSE {q(STATUS_FAIL)} END AS status, "
         f"checked_records, failed_records, rule_description, {q(file_path)} AS file_path, "
         f"{q(RUN_TS)} AS execution_datetime FROM {failures_sql(layer, source)} f"
     )
