@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,10 +47,18 @@ def count_corrupt_rows(spark: SparkSession, path: str, schema: StructType = RAW_
     """Rows that do not parse against ``schema``."""
     with_corrupt = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
     df = _reader(spark, with_corrupt, "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(str(path))
-    row = df.agg(
-        F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("bad"),
-        *[F.count(F.col(f.name)).alias(f"_n{i}") for i, f in enumerate(schema.fields)],
-    ).first()
+    try:
+        row = df.agg(
+            F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("bad"),
+            *[F.count(F.col(f.name)).alias(f"_n{i}") for i, f in enumerate(schema.fields)],
+        ).first()
+    except Exception as e:  # a part file whose header differs from the contract
+        text = str(e)
+        if "CSV header does not conform to the schema" not in text:
+            raise
+        found = re.search(r"reading file (\S+?)\.?\s", text)
+        where = found.group(1) if found else str(path)
+        raise ValueError(f"Header validation failed. Expected={tuple(schema.names)} in {where}") from e
     return int(row["bad"])
 
 
