@@ -28,6 +28,7 @@ log = logging.getLogger(__name__)
 class BronzeResult:
     rows: int
     failures: dict[str, int]
+    schema: StructType | None = None
 
 
 def to_bronze(raw: DataFrame, bronze_path: str, run_ts: str) -> DataFrame:
@@ -50,7 +51,7 @@ def ingest_bronze(
     values = {k: int(v or 0) for k, v in observed.items()}
     rows = values.pop("rows")
     log.info("Bronze written: %s rows to %s", rows, bronze_path)
-    return BronzeResult(rows, values)
+    return BronzeResult(rows, values, bronze.schema)
 
 
 def bronze_uniqueness(bronze: DataFrame) -> dict[str, int]:

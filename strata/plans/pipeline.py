@@ -52,7 +52,7 @@ def run_pipeline(
     try:
         bronze_run = ingest_bronze(spark, source_path, lake.bronze, run_ts)
         result.counts["bronze"] = bronze_run.rows
-        bronze = read_layer(spark, lake.bronze)
+        bronze = read_layer(spark, lake.bronze, bronze_run.schema)
         bronze_quality = report_from_counts(
             spark, layer="bronze", checked=bronze_run.rows,
             failures={**bronze_run.failures, **bronze_uniqueness(bronze)},
@@ -68,7 +68,7 @@ def run_pipeline(
             raise ValueError(MSG_NO_ORDER_DAY)
         quality = bronze_quality.unionByName(silver_run.quality)
 
-        silver = read_layer(spark, lake.silver)
+        silver = read_layer(spark, lake.silver, silver_run.schema)
         gold = run_gold(silver, quality, lake, run_ts, latest=silver_run.latest_day)
         result.tables = {"bronze": bronze, "silver": silver, **gold}
         log.info("Run %s finished: %s", run_ts, result.counts)

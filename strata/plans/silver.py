@@ -17,6 +17,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.contracts import AUDIT_UNIQUE, PARTITION_COLUMNS, SILVER_RULES
 from strata.operators.lineage import metadata_path, stamp
@@ -44,6 +45,7 @@ class SilverResult:
     quarantine_written: bool
     quality: DataFrame
     latest_day: date | None = None
+    schema: StructType | None = None
 
 
 def run_silver(
@@ -105,4 +107,5 @@ def run_silver(
         spark, layer="silver", checked=input_rows, failures={**values, **surplus},
         file_path=metadata_path(lake.silver), run_ts=run_ts,
     )
-    return SilverResult(input_rows, valid_rows, rejected_rows, write_quarantine, quality, latest_day)
+    silver_schema = stamped(flagged).schema
+    return SilverResult(input_rows, valid_rows, rejected_rows, write_quarantine, quality, latest_day, silver_schema)

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from strata.sources.inventory import _missing
 
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
+def read_layer(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Read a layer with partition discovery; a missing layer raises ``FileNotFoundError``.
 
-    Partition columns come back typed as integers and placed last.
+    Partition columns come back typed as integers and placed last. With
+    ``schema`` (the schema the layer was written with) nothing is inferred, so
+    an empty layer reads as an empty frame.
     """
     try:
-        return spark.read.parquet(str(path))
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.parquet(str(path))
     except AnalysisException as e:
         if _missing(e):
             raise FileNotFoundError(f"Dataset not found at {path}") from e

@@ -138,3 +138,13 @@ def test_sort_merge_fallback_gives_same_layers(spark, tmp_path, dirty_csv, budge
     assert sorted(r.row_id for r in read_layer(spark, lake.silver).collect()) == [1, 2, 3, 4, 5]
     fails = read_layer(spark, lake.gold_quality).where("layer = 'silver' AND status = 'FAIL'").count()
     assert fails == 11
+
+
+def test_header_only_source_flows_through_and_raises_before_gold(spark, tmp_path):
+    header = "row_id,order_id,order_date,ship_date,ship_mode,customer_id,customer_name,segment,country,city\n"
+    src = write_text(tmp_path / "in" / "h.csv", header)
+    base = str(tmp_path / "lake")
+    with pytest.raises(ValueError, match="valid order_dates"):
+        run_pipeline(spark, src, base)
+    assert os.path.isdir(Lake(base).bronze)  # the empty Bronze table was written
+    assert not os.path.exists(Lake(base).gold_sales)
