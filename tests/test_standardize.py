@@ -73,3 +73,11 @@ def test_lineage_stamp_and_paths(spark):
     assert df.first()["file_path"] == "/lake/x"
     assert sibling_path("s3a://bucket/lake/silver/sales", "rejected_records") == "s3a://bucket/lake/silver/rejected_records"
     assert sibling_path("/lake/silver/sales/", "rejected_records") == "/lake/silver/rejected_records"
+    from strata.operators.lineage import join_path, metadata_path
+    from strata.plans import Lake
+
+    assert join_path("s3a://b/lake/", "bronze", "raw_sales") == "s3a://b/lake/bronze/raw_sales"
+    assert metadata_path("hdfs://nn:8020/lake/") == "hdfs://nn:8020/lake"
+    lake = Lake("abfss://c@acct.dfs.core.windows.net/lake")
+    assert lake.rejected == "abfss://c@acct.dfs.core.windows.net/lake/silver/rejected_records"
+    assert lake.gold_quality == "abfss://c@acct.dfs.core.windows.net/lake/gold/data_quality"
