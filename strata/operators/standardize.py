@@ -61,17 +61,25 @@ def silver_expressions(columns: list[str]) -> dict[str, Column]:
     return rules
 
 
+def silver_rules(base: DataFrame) -> dict[str, Column]:
+    """Silver rule of every column of ``base`` (raw and lineage columns, renamed).
+
+    ``row_id`` keeps its type; it is cleaned only when it is text.
+    """
+    rules = silver_expressions(base.columns)
+    if isinstance(base.schema["row_id"].dataType, StringType):
+        rules["row_id"] = clean_text("row_id")
+    return rules
+
+
 def to_silver(df: DataFrame) -> DataFrame:
     """Standardise Bronze-shaped rows into Silver shape (job C2).
 
     Contract projection of the raw and lineage columns, renames, string
     cleaning, name/country/segment casing, date parsing, shipment-mode
     canonicalisation and partition columns, as a single projection.
-    ``row_id`` keeps its type; it is cleaned only when it is text.
     """
     base = rename(project(df, RAW_COLUMNS + LINEAGE_COLUMNS), SILVER_RENAMES)
-    rules = silver_expressions(base.columns)
-    if isinstance(base.schema["row_id"].dataType, StringType):
-        rules["row_id"] = clean_text("row_id")
+    rules = silver_rules(base)
     out = base.select(*[rules[c].alias(c) for c in base.columns])
     return project(with_date_partitions(out, "order_date"), SILVER_COLUMNS)

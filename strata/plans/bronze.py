@@ -1,8 +1,9 @@
 """Bronze ingest (job C1): checked CSV scan -> partitions + lineage -> Parquet.
 
 The Bronze audit's row-level counts (missing values, unparseable dates) are
-observed by the write job itself; only the two uniqueness counts need their
-own aggregate, which reads the two key columns.
+observed by the write job itself, together with how many key values Silver
+standardisation would change; the uniqueness counts then come from the Silver
+duplicate sets, or from one aggregate over the key columns when a key changes.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.contracts import AUDIT_UNIQUE, BRONZE_COLUMNS, PARTITION_COLUMNS, RAW_SCHEMA
+from strata.contracts import AUDIT_UNIQUE, BRONZE_COLUMNS, PARTITION_COLUMNS, RAW_SCHEMA, SILVER_RENAMES
 from strata.operators.lineage import stamp
 from strata.operators.quality import row_rule_metrics, surplus_duplicates
-from strata.operators.standardize import project, with_date_partitions
+from strata.operators.standardize import project, rename, silver_rules, with_date_partitions
 from strata.sinks import write_layer
 from strata.sources import check_source, read_checked
 
@@ -29,6 +30,7 @@ class BronzeResult:
     rows: int
     failures: dict[str, int]
     schema: StructType | None = None
+    key_changes: dict[str, int] | None = None
 
 
 def to_bronze(raw: DataFrame, bronze_path: str, run_ts: str) -> DataFrame:
@@ -46,15 +48,40 @@ def ingest_bronze(
     """
     check_source(spark, source_path)
     bronze = to_bronze(read_checked(spark, source_path, schema), bronze_path, run_ts)
-    metrics = {"rows": F.count(F.lit(1)), **row_rule_metrics("bronze")}
+    changes = key_changes(bronze)
+    metrics = {"rows": F.count(F.lit(1)), **row_rule_metrics("bronze"), **changes}
     observed = write_layer(bronze, bronze_path, partition_by=PARTITION_COLUMNS, metrics=metrics)
     values = {k: int(v or 0) for k, v in observed.items()}
     rows = values.pop("rows")
+    changed = {k: values.pop(name) for k, name in zip(AUDIT_UNIQUE, changes)}
     log.info("Bronze written: %s rows to %s", rows, bronze_path)
-    return BronzeResult(rows, values, bronze.schema)
+    return BronzeResult(rows, values, bronze.schema, changed)
 
 
-def bronze_uniqueness(bronze: DataFrame) -> dict[str, int]:
-    """Copies beyond the first of each audited key (reads only the keys)."""
-    row = bronze.agg(*[surplus_duplicates(k).alias(f"{k}_unique") for k in AUDIT_UNIQUE]).first()
-    return {k: int(v) for k, v in row.asDict().items()}
+def key_changes(bronze: DataFrame) -> dict[str, F.Column]:
+    """Per audited key: rows whose value Silver standardisation would change.
+
+    When none changes, the raw key's duplicate count equals the Silver one,
+    so the Bronze audit can reuse the Silver duplicate-key sets.
+    """
+    rules = silver_rules(rename(bronze, SILVER_RENAMES))
+    return {f"_{k}_changed": F.count_if(~F.col(k).eqNullSafe(rules[k])) for k in AUDIT_UNIQUE}
+
+
+def bronze_uniqueness(
+    bronze: DataFrame, key_changes: dict[str, int] | None = None, silver_surplus: dict[str, int] | None = None
+) -> dict[str, int]:
+    """Copies beyond the first of each audited raw key.
+
+    Taken from the Silver duplicate sets for keys that standardisation leaves
+    unchanged on every row; the others are counted with one aggregate that
+    reads only those key columns.
+    """
+    key_changes, silver_surplus = key_changes or {}, silver_surplus or {}
+    out = {f"{k}_unique": silver_surplus[k] for k in AUDIT_UNIQUE
+           if key_changes.get(k) == 0 and k in silver_surplus}
+    rest = [k for k in AUDIT_UNIQUE if f"{k}_unique" not in out]
+    if rest:
+        row = bronze.agg(*[surplus_duplicates(k).alias(f"{k}_unique") for k in rest]).first()
+        out.update({k: int(v) for k, v in row.asDict().items()})
+    return out

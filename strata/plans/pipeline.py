@@ -53,11 +53,6 @@ def run_pipeline(
         bronze_run = ingest_bronze(spark, source_path, lake.bronze, run_ts)
         result.counts["bronze"] = bronze_run.rows
         bronze = read_layer(spark, lake.bronze, bronze_run.schema)
-        bronze_quality = report_from_counts(
-            spark, layer="bronze", checked=bronze_run.rows,
-            failures={**bronze_run.failures, **bronze_uniqueness(bronze)},
-            file_path=metadata_path(lake.bronze), run_ts=run_ts,
-        )
 
         silver_run = run_silver(spark, bronze, lake, run_ts, broadcast_max_bytes=broadcast_max_bytes)
         result.counts.update(
@@ -66,6 +61,12 @@ def run_pipeline(
         if silver_run.valid_rows == 0:
             # Nothing to summarise: fail before any Gold table is touched.
             raise ValueError(MSG_NO_ORDER_DAY)
+        bronze_quality = report_from_counts(
+            spark, layer="bronze", checked=bronze_run.rows,
+            failures={**bronze_run.failures,
+                      **bronze_uniqueness(bronze, bronze_run.key_changes, silver_run.surplus)},
+            file_path=metadata_path(lake.bronze), run_ts=run_ts,
+        )
         quality = bronze_quality.unionByName(silver_run.quality)
 
         silver = read_layer(spark, lake.silver, silver_run.schema)

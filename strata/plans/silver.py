@@ -46,6 +46,7 @@ class SilverResult:
     quality: DataFrame
     latest_day: date | None = None
     schema: StructType | None = None
+    surplus: dict[str, int] | None = None
 
 
 def run_silver(
@@ -108,4 +109,5 @@ def run_silver(
         file_path=metadata_path(lake.silver), run_ts=run_ts,
     )
     silver_schema = stamped(flagged).schema
-    return SilverResult(input_rows, valid_rows, rejected_rows, write_quarantine, quality, latest_day, silver_schema)
+    return SilverResult(input_rows, valid_rows, rejected_rows, write_quarantine, quality, latest_day, silver_schema,
+                        {d.key: d.surplus for d in sets})

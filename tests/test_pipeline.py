@@ -147,3 +147,25 @@ def test_header_only_source_flows_through_and_raises_before_gold(spark, tmp_path
         run_pipeline(spark, src, base)
     assert os.path.isdir(Lake(base).bronze)  # the empty Bronze table was written
     assert not os.path.exists(Lake(base).gold_sales)
+
+
+def test_bronze_uniqueness_when_cleaning_changes_a_key(spark, tmp_path):
+    from strata.operators.lineage import metadata_path
+    from strata.operators.quality import quality_report
+    from strata.operators.standardize import to_silver
+
+    header = "row_id,order_id,order_date,ship_date,ship_mode,customer_id,customer_name,segment,country,city\n"
+    rows = ("1,O1,2025-01-01,2025-01-02,First Class,C1,Ann Lee,S,X,Y\n"
+            "2, O1,2025-01-01,2025-01-02,First Class,C2,Bo Lee,S,X,Y\n"
+            "3,O3,2025-01-03,2025-01-04,Same Day,C3,Cy Lee,S,X,Y\n")
+    src = write_text(tmp_path / "in" / "k.csv", header + rows)
+    base = str(tmp_path / "lake")
+    lake = Lake(base)
+    run_pipeline(spark, src, base, run_ts="t")
+    got = {(r.layer, r.rule_name): r.failed_records for r in read_layer(spark, lake.gold_quality).collect()}
+    assert got[("bronze", "order_id_unique")] == 0  # raw values differ
+    assert got[("silver", "order_id_unique")] == 1  # equal once cleaned
+    bronze = read_layer(spark, lake.bronze)
+    expected = quality_report(bronze, layer="bronze", file_path=metadata_path(lake.bronze), run_ts="t").unionByName(
+        quality_report(to_silver(bronze), layer="silver", file_path=metadata_path(lake.silver), run_ts="t"))
+    assert sorted(map(tuple, read_layer(spark, lake.gold_quality).collect())) == sorted(map(tuple, expected.collect()))
