@@ -127,13 +127,16 @@ class DuplicateSet:
     broadcast: bool
 
 
-def duplicate_set(df: DataFrame, key: str, *, broadcast_max_bytes: int | None = None) -> DuplicateSet:
+def duplicate_set(
+    df: DataFrame, key: str, *, broadcast_max_bytes: int | None = None, path: str | None = None
+) -> DuplicateSet:
     """Compute, write and size-check the duplicate values of ``key``.
 
     One key-only aggregate (partial aggregation before the shuffle), written
     once; the row count, key bytes and surplus are observed by that write. The
     set is broadcast only when its estimated size (a fixed per-row overhead
-    plus the key bytes) is within the budget.
+    plus the key bytes) is within the budget. ``path`` (overwritten) places the
+    table; by default it goes to a fresh scratch folder.
     """
     flag = f"_dup_{key}"
     dups = (
@@ -148,7 +151,7 @@ def duplicate_set(df: DataFrame, key: str, *, broadcast_max_bytes: int | None =
         "key_bytes": F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)),
         "surplus": F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)),
     }
-    table, m = stage_table(dups, f"duplicate_{key}", size)
+    table, m = stage_table(dups, f"duplicate_{key}", size, path)
     estimate = int(m["keys"]) * ROW_OVERHEAD_BYTES + int(m["key_bytes"])
     budget = broadcast_budget(df, broadcast_max_bytes)
     small = 0 <= estimate <= budget

@@ -32,6 +32,7 @@ from strata.operators.quality import (
 from strata.operators.standardize import to_silver
 from strata.plans.layout import Lake
 from strata.sinks.parquet import collected, write_layer
+from strata.session import work_path
 from strata.sources import layer_exists
 
 log = logging.getLogger(__name__)
@@ -58,7 +59,13 @@ def run_silver(
     broadcast_max_bytes: int | None = None,
 ) -> SilverResult:
     standardized = to_silver(bronze)
-    sets = [duplicate_set(standardized, k, broadcast_max_bytes=broadcast_max_bytes) for k in SILVER_RULES.unique]
+    # The duplicate sets of a lake have a fixed working location, overwritten
+    # by each run, so scratch storage stays at one copy per lake.
+    sets = [
+        duplicate_set(standardized, k, broadcast_max_bytes=broadcast_max_bytes,
+                      path=work_path(spark, lake.base, f"duplicate_{k}"))
+        for k in SILVER_RULES.unique
+    ]
     flagged = flag_valid(standardized, SILVER_RULES, sets=sets)
 
     metrics = {

@@ -7,6 +7,7 @@ only when the session has none (local runs and tests).
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -46,18 +47,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return join_path(checkpoint_dir(spark), "strata-scratch", uuid.uuid4().hex, name)
 
 
-def stage_table(df: DataFrame, name: str, metrics: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+def work_path(spark: SparkSession, owner: str, name: str) -> str:
+    """A stable path for ``owner``'s working table ``name``, reused run after run.
+
+    Lives under the configured shared folder (not the per-application
+    subfolder Spark adds), so overwriting it on every run keeps one copy per
+    owner instead of one per run.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    digest = hashlib.sha1(owner.encode("utf-8")).hexdigest()[:16]
+    return join_path(root, "strata-work", digest, name)
+
+
+def stage_table(
+    df: DataFrame, name: str, metrics: dict[str, Column] | None = None, path: str | None = None
+) -> tuple[DataFrame, dict]:
     """Write ``df`` as a Parquet table under the shared folder and read it back.
 
     Cuts lineage and survives executor loss (the files live in shared
-    storage). ``metrics`` are aggregate expressions observed by the write job
+    storage). Without ``path`` a fresh scratch location is used; a given
+    ``path`` is overwritten. ``metrics`` are aggregate expressions observed by the write job
     itself; when adaptive execution drops them (an all-empty plan), they are
     computed from the written table instead.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    obs = Observation(name) if metrics else None
-    (df.observe(obs, *[e.alias(k) for k, e in metrics.items()]) if obs else df).write.parquet(path)
+    path = path or scratch_path(spark, name)
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}") if metrics else None
+    (df.observe(obs, *[e.alias(k) for k, e in metrics.items()]) if obs else df).write.mode("overwrite").parquet(path)
     table = spark.read.parquet(path)
     if not metrics:
         return table, {}
