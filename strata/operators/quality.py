@@ -11,8 +11,8 @@ Scale notes
   and key bytes, observed by that same write). Within the
   byte budget (default: the session's ``spark.sql.autoBroadcastJoinThreshold``)
   they are broadcast, so flagging rows is a map-only pass with no shuffle of
-  the full rows. Beyond it the join is a sort-merge join; adaptive execution
-  splits a skewed left side there.
+  the full rows. Beyond it the join is hinted as a sort-merge join; adaptive
+  execution splits a skewed left side there.
 * The split is one flagged frame filtered twice; valid and rejected partition
   the input exactly (``coalesce(valid, false)`` for the complement).
 * The audit is one global aggregate; its single result row is unpivoted with
@@ -156,7 +156,10 @@ def duplicate_set(
     budget = broadcast_budget(df, broadcast_max_bytes)
     small = 0 <= estimate <= budget
     flags = table.select(key, F.lit(True).alias(flag))
-    return DuplicateSet(key, flag, F.broadcast(flags) if small else flags, int(m["keys"]), int(m["surplus"]), small)
+    # Explicit both ways: the planner's own check uses the compressed file
+    # size, which can pass a set whose in-memory size exceeds the budget.
+    flags = F.broadcast(flags) if small else flags.hint("merge")
+    return DuplicateSet(key, flag, flags, int(m["keys"]), int(m["surplus"]), small)
 
 
 def flag_duplicates(

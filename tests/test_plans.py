@@ -43,3 +43,41 @@ def test_key_aggregate_reads_only_the_key(spark):
     df.collect()
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<row_id:bigint>" in text or "struct<row_id:bigint>" in text
+
+
+def _silver_write_frame(spark, budget):
+    from pyspark.sql import functions as F
+
+    from strata.contracts import SILVER_RULES
+    from strata.operators.quality import VALID_FLAG, duplicate_set, flag_valid
+    from strata.operators.standardize import to_silver
+    from strata.queries.spark_side import bronze_rows
+
+    std = to_silver(bronze_rows(spark, SF_DIR))
+    sets = [duplicate_set(std, k, broadcast_max_bytes=budget) for k in SILVER_RULES.unique]
+    return sets, flag_valid(std, SILVER_RULES, sets=sets).where(F.col(VALID_FLAG))
+
+
+def test_silver_write_is_map_only_with_broadcast_flags(spark):
+    sets, df = _silver_write_frame(spark, None)
+    assert all(d.broadcast for d in sets)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in text.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+    assert shuffles == []
+
+
+def test_sort_merge_fallback_beyond_budget(spark):
+    sets, df = _silver_write_frame(spark, -1)
+    assert not any(d.broadcast for d in sets)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
+
+
+def test_duplicate_scan_pushes_not_null(spark):
+    from strata.operators.standardize import to_silver
+    from strata.queries.spark_side import bronze_rows
+
+    df = to_silver(bronze_rows(spark, SF_DIR)).select("row_id").where("row_id IS NOT NULL").groupBy("row_id").count()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(row_id)]" in text
+    assert "ReadSchema: struct<row_id:bigint>" in text
