@@ -268,6 +268,17 @@ ORACLE: dict[str, str] = {
     "customer_order_summary": (
         f"SELECT *, {q(GOLD_CUSTOMER_TAG)} AS file_path, {q(RUN_TS)} AS execution_datetime FROM summary"
     ),
+    # Tables written by the end-to-end job (file_path, a scratch location, dropped).
+    "job_sales_table": (
+        f"SELECT order_id, order_date, shipment_date, shipment_mode, city, {q(RUN_TS)} AS execution_datetime, "
+        "order_date_year, order_date_month, order_date_day FROM valid"
+    ),
+    "job_customer_table": f"SELECT *, {q(RUN_TS)} AS execution_datetime FROM summary",
+    "job_quality_table": (
+        f"SELECT * EXCLUDE (file_path) FROM ({report_sql('bronze', 'bronze', BRONZE_TAG)} "
+        f"UNION ALL {report_sql('silver', 'std', SILVER_TAG)})"
+    ),
+    "job_quarantine_table": "SELECT * EXCLUDE (file_path) FROM rejected",
 }
 
 

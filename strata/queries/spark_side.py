@@ -41,6 +41,7 @@ from strata.operators.quality import (
 )
 from strata.operators.standardize import project, rename, standardize_strings, to_silver, with_date_partitions
 from strata.operators.summary import customer_summary, latest_order_day, order_counts
+from strata.plans import Lake, run_pipeline
 from strata.plans.bronze import ingest_bronze
 from strata.queries.fixed import BRONZE_TAG, GOLD_CUSTOMER_TAG, GOLD_SALES_TAG, RUN_TS, SILVER_TAG
 from strata.session import scratch_path, session_id
@@ -334,6 +335,41 @@ def customer_order_summary(spark, sf_dir):
     return stamp_literal(customer_summary(valid), GOLD_CUSTOMER_TAG, RUN_TS)
 
 
+# ---------------------------------------------------------------------------
+# The end-to-end job (C7): run once per session and sf_dir from a staged CSV;
+# each query reads one table the job wrote. ``file_path`` holds the scratch
+# location, so it is dropped; the run timestamp is fixed.
+# ---------------------------------------------------------------------------
+
+_JOB_LAKES: dict[tuple[str, str], Lake] = {}
+
+
+def job_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    key = (session_id(spark), os.path.abspath(sf_dir))
+    lake = _JOB_LAKES.get(key)
+    if lake is None:
+        lake = Lake(scratch_path(spark, "lake"))
+        run_pipeline(spark, _stage_csv(spark, sf_dir), lake.base, run_ts=RUN_TS)
+        _JOB_LAKES[key] = lake
+    return lake
+
+
+def job_sales_table(spark, sf_dir):
+    return read_layer(spark, job_lake(spark, sf_dir).gold_sales).drop("file_path")
+
+
+def job_customer_table(spark, sf_dir):
+    return read_layer(spark, job_lake(spark, sf_dir).gold_customer).drop("file_path")
+
+
+def job_quality_table(spark, sf_dir):
+    return read_layer(spark, job_lake(spark, sf_dir).gold_quality).drop("file_path")
+
+
+def job_quarantine_table(spark, sf_dir):
+    return read_layer(spark, job_lake(spark, sf_dir).rejected).drop("file_path")
+
+
 QUERIES: dict[str, Query] = {
     "src_csv_roundtrip": src_csv_roundtrip,
     "src_header_check": src_header_check,
@@ -375,6 +411,10 @@ QUERIES: dict[str, Query] = {
     "orders_last_6_months": orders_last_6_months,
     "orders_last_12_months": orders_last_12_months,
     "customer_order_summary": customer_order_summary,
+    "job_sales_table": job_sales_table,
+    "job_customer_table": job_customer_table,
+    "job_quality_table": job_quality_table,
+    "job_quarantine_table": job_quarantine_table,
 }
 
 # Not comparable with SQL: they report files, which depend on the write layout.

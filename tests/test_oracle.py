@@ -41,7 +41,7 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     from strata.queries.spark_side import ROWS_ONLY
 
     assert set(E.oracle_sql()) | ROWS_ONLY == set(E.queries())
-    assert len(E.queries()) == 40
+    assert len(E.queries()) == 44
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
