@@ -27,11 +27,11 @@ def is_uri(path: str) -> bool:
 
 
 def metadata_path(path: str) -> str:
-    """URIs are kept (without a trailing slash); local paths become absolute."""
+    """URIs are kept (without a trailing slash); local paths become absolute, symlinks resolved."""
     text = str(path)
     if is_uri(text):
         return text.rstrip("/")
-    return os.path.abspath(text)
+    return os.path.realpath(text)
 
 
 def join_path(root: str, *parts: str) -> str:
