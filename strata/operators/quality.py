@@ -177,7 +177,7 @@ def flag_duplicates(
 def drop_duplicated(df: DataFrame, key: str, *, broadcast_max_bytes: int | None = None) -> DataFrame:
     """Remove every copy of a repeated non-null key (left anti join)."""
     d = duplicate_set(df, key, broadcast_max_bytes=broadcast_max_bytes)
-    return df.join(d.table.select(key), on=key, how="left_anti").select(*df.columns)
+    return df.join(d.table, on=key, how="left_anti").select(*df.columns)
 
 
 def flag_valid(
