@@ -3,7 +3,7 @@
 
 Distinct counts are computed in two stages instead of four ``count_distinct``
 calls (which Catalyst expands into one copy of each row per distinct
-aggregate):
+aggregate); on Silver rows, whose order ids are unique, stage 1 is skipped:
 
 1. ``groupBy(customer keys, order_id)`` with ``max(order_date)``;
 2. ``groupBy(customer keys)`` with one ``count_if`` per period.
@@ -64,18 +64,26 @@ def order_counts(
     latest: date,
     periods: tuple[Period, ...] = CUSTOMER_PERIODS,
     keys: tuple[str, ...] = CUSTOMER_KEY_COLUMNS,
+    *,
+    orders_unique: bool = False,
 ) -> DataFrame:
     """Per customer key, distinct orders per period and in total.
 
-    ``latest`` must be the maximum ``order_date`` of ``df``.
+    ``latest`` must be the maximum ``order_date`` of ``df``. With
+    ``orders_unique`` (every non-null ``order_id`` is on one row, as in Silver,
+    whose split rejects repeated ids) distinct counts are row counts and the
+    per-order stage, a shuffle of every row, is skipped.
     """
     starts = period_starts(latest, periods)
-    per_order = (
-        with_name_parts(df)
-        .select(*keys, "order_id", "order_date")
-        .groupBy(*keys, "order_id")
-        .agg(F.max("order_date").alias("_last_day"))
-    )
+    named = with_name_parts(df)
+    if orders_unique:
+        per_order = named.select(*keys, "order_id", F.col("order_date").alias("_last_day"))
+    else:
+        per_order = (
+            named.select(*keys, "order_id", "order_date")
+            .groupBy(*keys, "order_id")
+            .agg(F.max("order_date").alias("_last_day"))
+        )
     has_order = F.col("order_id").isNotNull()
     return per_order.groupBy(*keys).agg(
         *[F.count_if(has_order & (F.col("_last_day") >= start)).alias(name) for name, start in starts.items()],
@@ -84,13 +92,17 @@ def order_counts(
 
 
 def customer_summary(
-    df: DataFrame, latest: date | None = None, periods: tuple[Period, ...] = CUSTOMER_PERIODS
+    df: DataFrame,
+    latest: date | None = None,
+    periods: tuple[Period, ...] = CUSTOMER_PERIODS,
+    *,
+    orders_unique: bool = False,
 ) -> DataFrame:
     """The Gold customer table, partitioned by the latest order day."""
     if latest is None:
         latest = latest_order_day(df)
     year_col, month_col, day_col = PARTITION_COLUMNS
-    counts = order_counts(df, latest, periods)
+    counts = order_counts(df, latest, periods, orders_unique=orders_unique)
     return (
         counts.withColumnsRenamed(CUSTOMER_RENAMES)
         .withColumns({year_col: F.lit(latest.year), month_col: F.lit(latest.month), day_col: F.lit(latest.day)})

@@ -307,7 +307,7 @@ def latest_order_date(spark, sf_dir):
 
 def _counts(spark, sf_dir, metric: str) -> DataFrame:
     valid, _ = valid_and_rejected(spark, sf_dir)
-    counts = order_counts(valid, latest_order_day(valid))
+    counts = order_counts(valid, latest_order_day(valid), orders_unique=True)
     return counts.withColumnsRenamed(CUSTOMER_RENAMES).select(
         *[CUSTOMER_RENAMES.get(k, k) for k in CUSTOMER_KEY_COLUMNS], metric
     )
@@ -332,7 +332,7 @@ def orders_last_12_months(spark, sf_dir):
 def customer_order_summary(spark, sf_dir):
     """Flagship: the Gold customer table with its lineage columns."""
     valid, _ = valid_and_rejected(spark, sf_dir)
-    return stamp_literal(customer_summary(valid), GOLD_CUSTOMER_TAG, RUN_TS)
+    return stamp_literal(customer_summary(valid, orders_unique=True), GOLD_CUSTOMER_TAG, RUN_TS)
 
 
 # ---------------------------------------------------------------------------

@@ -83,3 +83,17 @@ def test_no_order_day_raises(spark):
         latest_order_day(spark.createDataFrame([], SCHEMA))
     with pytest.raises(ValueError):
         customer_summary(spark.createDataFrame([("C1", "A", "S", "X", "O1", None)], SCHEMA))
+
+
+def test_unique_orders_shortcut_equals_two_stage(spark):
+    rows = [
+        ("C1", "Ann B Lee", "S", "X", "O1", D(2018, 12, 20)),
+        ("C1", "Ann Q Lee", "S", "X", "O2", D(2018, 11, 1)),
+        ("C1", "Ann Lee", "S", "X", None, D(2018, 12, 19)),
+        ("C2", "Bo Ek", "T", "Y", "O3", D(2018, 1, 1)),
+        ("C2", "Bo Ek", "T", "Y", "O4", D(2017, 6, 1)),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    two_stage = sorted(map(tuple, customer_summary(df).collect()))
+    shortcut = sorted(map(tuple, customer_summary(df, orders_unique=True).collect()))
+    assert shortcut == two_stage
