@@ -54,14 +54,16 @@ def main() -> None:
     from strata.session import scratch_path
     from strata.sinks import write_csv
 
+    # Warm-up (class loading, first code generation), not timed.
+    spark.read.parquet(f"{SF_DIR}/orders.parquet").groupBy("o_orderpriority").count().collect()
+
     times: dict[str, float] = {}
     # Derive the orders-shaped Bronze rows from the five driver tables and
     # write them once (the queries below scan that table).
     t0 = time.perf_counter()
     bronze_rows(spark, SF_DIR)
     times["stage_bronze_from_tables"] = round(time.perf_counter() - t0, 3)
-    # Warm-up (code generation, file listing), not timed.
-    raw(spark, SF_DIR).write.format("noop").mode("overwrite").save()
+    raw(spark, SF_DIR).write.format("noop").mode("overwrite").save()  # file listing of the staged table
 
     for name in HEADLINE:
         t0 = time.perf_counter()
