@@ -81,3 +81,25 @@ def test_duplicate_scan_pushes_not_null(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(row_id)]" in text
     assert "ReadSchema: struct<row_id:bigint>" in text
+
+
+def test_job_observation_sees_every_row_before_the_filter(spark):
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from strata.contracts import SILVER_RULES
+    from strata.operators.quality import VALID_FLAG, flag_valid
+    from strata.operators.standardize import to_silver
+    from strata.queries.spark_side import bronze_rows
+
+    sets, _ = _silver_write_frame(spark, None)
+    flagged = flag_valid(to_silver(bronze_rows(spark, SF_DIR)), SILVER_RULES, sets=sets)
+    obs = Observation("plan_check")
+    df = flagged.observe(obs, F.count(F.lit(1)).alias("rows")).where(F.col(VALID_FLAG))
+    df.write.format("noop").mode("overwrite").save()
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    filter_at = next(i for i, line in enumerate(lines) if f"Filter {VALID_FLAG}" in line)
+    metrics_at = next(i for i, line in enumerate(lines) if "CollectMetrics" in line)
+    assert filter_at < metrics_at  # the filter sits above the observation
+    assert not [line for line in lines if "Exchange" in line and "BroadcastExchange" not in line]
+    assert obs.get["rows"] == flagged.count()
