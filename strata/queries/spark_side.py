@@ -92,9 +92,17 @@ def valid_and_rejected(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     return split_valid_rejected(standardized(spark, sf_dir), SILVER_RULES)
 
 
+_STAGED_CSV: dict[tuple[str, str], str] = {}
+
+
 def _stage_csv(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_path(spark, "source_csv")
-    write_csv(raw(spark, sf_dir), path)
+    """The source rows as CSV files (written once per session and sf_dir)."""
+    key = (session_id(spark), os.path.abspath(sf_dir))
+    path = _STAGED_CSV.get(key)
+    if path is None:
+        path = scratch_path(spark, "source_csv")
+        write_csv(raw(spark, sf_dir), path)
+        _STAGED_CSV[key] = path
     return path
 
 
