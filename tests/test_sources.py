@@ -93,3 +93,10 @@ def test_reordered_header_in_a_later_file_fails(spark, tmp_path):
     write_text(tmp_path / "m" / "b.csv", ",".join(cols) + "\n" + GOOD + "\n")
     with pytest.raises(ValueError, match="Header validation failed.*b.csv"):
         read_checked(spark, str(tmp_path / "m"))
+
+
+def test_folder_with_only_empty_files_is_empty(spark, tmp_path):
+    write_text(tmp_path / "e" / "part-0.csv", "")
+    write_text(tmp_path / "e" / "_SUCCESS", "")
+    with pytest.raises(ValueError, match="empty"):
+        check_source(spark, str(tmp_path / "e"))
