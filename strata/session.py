@@ -27,7 +27,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when the cluster names no shared folder (local/test).
+        master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
+        if not master.startswith("local"):
+            # A machine-local folder is invisible to the other executors.
+            raise RuntimeError("Set spark.checkpoint.dir to a shared folder; scratch tables are written there.")
+        # Local mode without a configured folder (tests, a laptop).
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         if sc is None:
             spark.conf.set("spark.checkpoint.dir", configured)
