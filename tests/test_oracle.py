@@ -64,3 +64,19 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "total_orders" in df.columns
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="driver tables not present")
+def test_sf001_golden_counts(spark):
+    """Quantities measured independently for the derived sf0.01 rows."""
+    d = "/root/testdata/sf0.01"
+    q = E.queries()
+    counts = {r.layer: r.row_count for r in q["layer_row_counts"](spark, d).collect()}
+    assert counts == {"bronze": 15000, "silver": 10213, "rejected": 4787}
+    assert q["customer_order_summary"](spark, d).count() == 1498
+    assert str(q["latest_order_date"](spark, d).first()[0]) == "2001-08-01"
+    fails = {r.rule_name: r.failed_records for r in q["dq_report_silver"](spark, d).collect()}
+    assert fails["shipment_date_on_or_after_order_date"] == 3681
+    assert (fails["row_id_unique"], fails["order_id_unique"]) == (72, 68)
+    assert fails["order_date_valid"] == 119
+    assert fails["shipment_mode_allowed"] == 607
