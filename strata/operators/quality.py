@@ -21,6 +21,7 @@ Scale notes
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -162,12 +163,30 @@ def duplicate_set(
     return DuplicateSet(key, flag, flags, int(m["keys"]), int(m["surplus"]), small)
 
 
+def duplicate_sets(
+    df: DataFrame, keys: tuple[str, ...], *, broadcast_max_bytes: int | None = None,
+    paths: dict[str, str] | None = None,
+) -> list[DuplicateSet]:
+    """The duplicate sets of several keys, computed as concurrent Spark jobs.
+
+    The key aggregates are independent, so their jobs are submitted together
+    and share the executors instead of running one after the other.
+    """
+    paths = paths or {}
+    if len(keys) <= 1:
+        return [duplicate_set(df, k, broadcast_max_bytes=broadcast_max_bytes, path=paths.get(k)) for k in keys]
+    with ThreadPoolExecutor(max_workers=len(keys)) as pool:
+        futures = [pool.submit(duplicate_set, df, k, broadcast_max_bytes=broadcast_max_bytes, path=paths.get(k))
+                   for k in keys]
+        return [f.result() for f in futures]
+
+
 def flag_duplicates(
     df: DataFrame, keys: tuple[str, ...], *, broadcast_max_bytes: int | None = None,
     sets: list[DuplicateSet] | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Left-join a ``_dup_<key>`` flag (true or null) for each unique key."""
-    sets = sets if sets is not None else [duplicate_set(df, k, broadcast_max_bytes=broadcast_max_bytes) for k in keys]
+    sets = sets if sets is not None else duplicate_sets(df, keys, broadcast_max_bytes=broadcast_max_bytes)
     out = df
     for d in sets:
         out = out.join(d.table, on=d.key, how="left")

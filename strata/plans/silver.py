@@ -23,7 +23,7 @@ from strata.contracts import AUDIT_UNIQUE, PARTITION_COLUMNS, SILVER_RULES
 from strata.operators.lineage import metadata_path, stamp
 from strata.operators.quality import (
     VALID_FLAG,
-    duplicate_set,
+    duplicate_sets,
     flag_valid,
     report_from_counts,
     row_rule_metrics,
@@ -61,11 +61,10 @@ def run_silver(
     standardized = to_silver(bronze)
     # The duplicate sets of a lake have a fixed working location, overwritten
     # by each run, so scratch storage stays at one copy per lake.
-    sets = [
-        duplicate_set(standardized, k, broadcast_max_bytes=broadcast_max_bytes,
-                      path=work_path(spark, lake.base, f"duplicate_{k}"))
-        for k in SILVER_RULES.unique
-    ]
+    sets = duplicate_sets(
+        standardized, SILVER_RULES.unique, broadcast_max_bytes=broadcast_max_bytes,
+        paths={k: work_path(spark, lake.base, f"duplicate_{k}") for k in SILVER_RULES.unique},
+    )
     flagged = flag_valid(standardized, SILVER_RULES, sets=sets)
 
     metrics = {
