@@ -1,6 +1,8 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
+Each item runs ``BENCH_REPEATS`` times (default 2) and the best time counts;
+staging the derived Bronze rows is timed once.
 Each DataFrame query is run to completion through the ``noop`` sink (full
 evaluation, nothing collected); ``end_to_end`` is the whole Bronze -> Silver
 -> Gold job from a staged CSV, with every layer written as Parquet.
@@ -21,6 +23,9 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+# Each headline item runs this many times; the best time is reported (the
+# host's speed drifts, and the first run of a plan pays code generation).
+REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 
 HEADLINE = (
     "customer_order_summary",
@@ -66,15 +71,21 @@ def main() -> None:
     raw(spark, SF_DIR).write.format("noop").mode("overwrite").save()  # file listing of the staged table
 
     for name in HEADLINE:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        best = float("inf")
+        for _ in range(REPEATS):
+            t0 = time.perf_counter()
+            QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - t0)
+        times[name] = round(best, 3)
 
     source = scratch_path(spark, "bench_source_csv")
     write_csv(raw(spark, SF_DIR), source)
-    t0 = time.perf_counter()
-    result = run_pipeline(spark, source, scratch_path(spark, "bench_lake"))
-    times["end_to_end"] = round(time.perf_counter() - t0, 3)
+    best = float("inf")
+    for _ in range(REPEATS):
+        t0 = time.perf_counter()
+        result = run_pipeline(spark, source, scratch_path(spark, "bench_lake"))
+        best = min(best, time.perf_counter() - t0)
+    times["end_to_end"] = round(best, 3)
 
     m = re.search(r"sf([0-9.]+)", SF_DIR)
     print(
@@ -86,6 +97,8 @@ def main() -> None:
                 "queries": times,
                 "sf": float(m.group(1)) if m else SF_DIR,
                 "cpus": int(CPUS),
+                "repeats": REPEATS,
+                "stat": "min",
                 "rows": result.counts,
             }
         )
