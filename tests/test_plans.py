@@ -103,3 +103,20 @@ def test_job_observation_sees_every_row_before_the_filter(spark):
     assert filter_at < metrics_at  # the filter sits above the observation
     assert not [line for line in lines if "Exchange" in line and "BroadcastExchange" not in line]
     assert obs.get["rows"] == flagged.count()
+
+
+def test_write_metrics_are_observed_above_the_rebalance_exchange(spark, tmp_path):
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from strata.contracts import PARTITION_COLUMNS
+    from strata.queries.spark_side import bronze_rows
+
+    obs = Observation("write_plan_check")
+    df = bronze_rows(spark, SF_DIR).hint("rebalance", *PARTITION_COLUMNS).observe(obs, F.count(F.lit(1)).alias("n"))
+    df.write.format("noop").mode("overwrite").save()
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    metrics_at = next(i for i, line in enumerate(lines) if "CollectMetrics" in line)
+    exchange_at = next(i for i, line in enumerate(lines) if "Exchange" in line)
+    assert metrics_at < exchange_at  # evaluated by the result tasks, after the shuffle
+    assert obs.get["n"] == bronze_rows(spark, SF_DIR).count()
