@@ -80,3 +80,17 @@ def test_sf001_golden_counts(spark):
     assert (fails["row_id_unique"], fails["order_id_unique"]) == (72, 68)
     assert fails["order_date_valid"] == 119
     assert fails["shipment_mode_allowed"] == 607
+
+
+def test_period_count_invariants(spark):
+    from pyspark.sql import functions as F
+
+    df = E.queries()["customer_order_summary"](spark, SF_DIR)
+    broken = df.where(
+        (F.col("orders_last_month") > F.col("orders_last_6_months"))
+        | (F.col("orders_last_6_months") > F.col("orders_last_12_months"))
+        | (F.col("orders_last_12_months") > F.col("total_orders"))
+        | (F.col("total_orders") < 1)
+    )
+    assert broken.count() == 0
+    assert df.select(F.countDistinct("order_date_year", "order_date_month", "order_date_day")).first()[0] == 1
