@@ -1,8 +1,8 @@
 """Session-level helpers: the shared checkpoint folder and scratch paths.
 
 Lineage is cut with written tables under the folder the cluster names in
-``spark.checkpoint.dir``. A folder of our own is set
-only when the session has none (local runs and tests).
+``spark.checkpoint.dir``. A folder of our own is set only when the session
+has none and runs in local mode (tests, a laptop).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from strata.operators.lineage import join_path
+from strata.sinks.parquet import collected
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -70,21 +71,13 @@ def stage_table(
 
     Cuts lineage and survives executor loss (the files live in shared
     storage). Without ``path`` a fresh scratch location is used; a given
-    ``path`` is overwritten. ``metrics`` are aggregate expressions observed by the write job
-    itself; when adaptive execution drops them (an all-empty plan), they are
-    computed from the written table instead.
+    ``path`` is overwritten. ``metrics`` are aggregate expressions observed by
+    the write job itself (computed from the written table if adaptive
+    execution dropped them).
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
     obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}") if metrics else None
     (df.observe(obs, *[e.alias(k) for k, e in metrics.items()]) if obs else df).write.mode("overwrite").parquet(path)
     table = spark.read.parquet(path)
-    if not metrics:
-        return table, {}
-    try:
-        values = dict(obs.get)
-        if set(values) != set(metrics):
-            raise KeyError(name)
-    except Exception:  # metrics unavailable for this plan
-        values = table.agg(*[e.alias(k) for k, e in metrics.items()]).first().asDict()
-    return table, values
+    return table, (collected(obs, table, metrics) if metrics else {})
