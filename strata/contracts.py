@@ -63,6 +63,11 @@ STATUS_PASS, STATUS_FAIL = "PASS", "FAIL"
 # Error messages.
 MSG_BAD_LAYER = "Data-quality layer must be either 'bronze' or 'silver'."
 MSG_NO_ORDER_DAY = "The source data does not contain any valid order_dates."
+MSG_BAD_HEADER = "Header validation failed. Expected={expected}, Actual={actual}"
+MSG_SOURCE_MISSING = "Source file not found: {path}"
+MSG_SOURCE_EMPTY = "Input file is empty: {path}"
+MSG_LAYER_MISSING = "Dataset not found at {path}"
+MSG_MALFORMED = "Source has {count} malformed row(s): {path}"
 
 # Lake layout under the base path.
 BRONZE_DIR = ("bronze", "raw_sales")

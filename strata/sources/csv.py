@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.contracts import RAW_COLUMNS, RAW_SCHEMA
+from strata.contracts import MSG_BAD_HEADER, MSG_MALFORMED, RAW_COLUMNS, RAW_SCHEMA
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -31,7 +31,7 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
 def validate_header(columns: Sequence[str], expected: Sequence[str] = RAW_COLUMNS) -> None:
     """Exact, ordered equality with the contract; else ``ValueError``."""
     if tuple(columns) != tuple(expected):
-        raise ValueError(f"Header validation failed. Expected={tuple(expected)}, Actual={tuple(columns)}")
+        raise ValueError(MSG_BAD_HEADER.format(expected=tuple(expected), actual=tuple(columns)))
 
 
 def _reader(spark: SparkSession, schema: StructType, mode: str):
@@ -58,7 +58,7 @@ def count_corrupt_rows(spark: SparkSession, path: str, schema: StructType = RAW_
             raise
         found = re.search(r"reading file (\S+?)\.?\s", text)
         where = found.group(1) if found else str(path)
-        raise ValueError(f"Header validation failed. Expected={tuple(schema.names)} in {where}") from e
+        raise ValueError(MSG_BAD_HEADER.format(expected=tuple(schema.names), actual=f"another header in {where}")) from e
     return int(row["bad"])
 
 
@@ -72,5 +72,5 @@ def read_checked(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA
     validate_header(read_header(spark, path), schema.names)
     bad = count_corrupt_rows(spark, path, schema)
     if bad:
-        raise ValueError(f"Source has {bad} malformed row(s): {path}")
+        raise ValueError(MSG_MALFORMED.format(count=bad, path=path))
     return read_strict(spark, path, schema)

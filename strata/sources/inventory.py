@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.contracts import MSG_SOURCE_EMPTY, MSG_SOURCE_MISSING
+
 
 def _missing(e: AnalysisException) -> bool:
     return (e.getCondition() or "") == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
@@ -23,7 +25,7 @@ def source_files(spark: SparkSession, path: str) -> DataFrame:
         listing = spark.read.format("binaryFile").load(str(path))
     except AnalysisException as e:
         if _missing(e):
-            raise FileNotFoundError(f"Source file not found: {path}") from e
+            raise FileNotFoundError(MSG_SOURCE_MISSING.format(path=path)) from e
         raise
     return listing.select("path", "length")
 
@@ -32,5 +34,5 @@ def check_source(spark: SparkSession, path: str) -> DataFrame:
     """Raise when the source is missing or holds no bytes; return the listing."""
     files = source_files(spark, path)
     if files.isEmpty():
-        raise ValueError(f"Input file is empty: {path}")
+        raise ValueError(MSG_SOURCE_EMPTY.format(path=path))
     return files

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from strata.contracts import MSG_LAYER_MISSING
 from strata.sources.inventory import _missing
 
 
@@ -21,7 +22,7 @@ def read_layer(spark: SparkSession, path: str, schema: StructType | None = None)
         return reader.parquet(str(path))
     except AnalysisException as e:
         if _missing(e):
-            raise FileNotFoundError(f"Dataset not found at {path}") from e
+            raise FileNotFoundError(MSG_LAYER_MISSING.format(path=path)) from e
         raise
 
 
