@@ -42,12 +42,12 @@ def title_case(c: str | Column) -> Column:
 def canonical_label(c: str | Column, canonical: dict[str, str]) -> Column:
     """Map a value case-insensitively onto a canonical label.
 
-    Unmatched values pass through unchanged; null stays null.
+    Unmatched values pass through unchanged; null stays null. A map lookup
+    evaluates the value once (a ``CASE`` chain would re-evaluate it in every
+    branch after the first).
     """
     col = _col(c)
-    lowered = F.lower(col)
-    expr = None
-    for spelling, label in canonical.items():
-        expr = (F.when(lowered == spelling, F.lit(label)) if expr is None
-                else expr.when(lowered == spelling, F.lit(label)))
-    return col if expr is None else expr.otherwise(col)
+    if not canonical:
+        return col
+    labels = F.create_map(*[F.lit(x) for pair in canonical.items() for x in pair])
+    return F.coalesce(F.try_element_at(labels, F.lower(col)), col)

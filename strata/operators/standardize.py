@@ -6,7 +6,7 @@ expressions stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,38 +48,44 @@ def with_date_partitions(df: DataFrame, date_column: str = "order_date") -> Data
     return df.withColumns(date_parts(date_column))
 
 
-def silver_expressions(columns: list[str]) -> dict[str, Column]:
-    """Per-column Silver rule of the orders data set, after renaming."""
-    rules: dict[str, Column] = {c: clean_text(c) for c in columns}
-    rules["row_id"] = F.col("row_id")
-    rules["customer_name"] = title_case(clean_text("customer_name"))
-    rules["country"] = F.upper(clean_text("country"))
-    rules["segment"] = F.upper(clean_text("segment"))
-    rules["order_date"] = parse_date(clean_text("order_date"))
-    rules["shipment_date"] = parse_date(clean_text("shipment_date"))
-    rules["shipment_mode"] = canonical_label(clean_text("shipment_mode"), SHIP_MODE_CANONICAL)
-    return rules
+# Business rules of the orders data set, applied to already-cleaned values.
+BUSINESS_RULES: dict[str, Callable[[Column], Column]] = {
+    "customer_name": title_case,
+    "country": F.upper,
+    "segment": F.upper,
+    "order_date": parse_date,
+    "shipment_date": parse_date,
+    "shipment_mode": lambda v: canonical_label(v, SHIP_MODE_CANONICAL),
+}
+
+
+def cleaning_rules(base: DataFrame) -> dict[str, Column]:
+    """Every string column cleaned; other columns (a numeric ``row_id``) as they are."""
+    strings = set(string_columns(base))
+    return {c: clean_text(c) if c in strings else F.col(c) for c in base.columns}
 
 
 def silver_rules(base: DataFrame) -> dict[str, Column]:
-    """Silver rule of every column of ``base`` (raw and lineage columns, renamed).
+    """The full Silver expression of every column of ``base`` (renamed raw and lineage columns)."""
+    cleaned = cleaning_rules(base)
+    return {c: BUSINESS_RULES.get(c, _identity)(cleaned[c]) for c in base.columns}
 
-    ``row_id`` keeps its type; it is cleaned only when it is text.
-    """
-    rules = silver_expressions(base.columns)
-    if isinstance(base.schema["row_id"].dataType, StringType):
-        rules["row_id"] = clean_text("row_id")
-    return rules
+
+def _identity(c: Column) -> Column:
+    return c
 
 
 def to_silver(df: DataFrame) -> DataFrame:
     """Standardise Bronze-shaped rows into Silver shape (job C2).
 
-    Contract projection of the raw and lineage columns, renames, string
-    cleaning, name/country/segment casing, date parsing, shipment-mode
-    canonicalisation and partition columns, as a single projection.
+    Contract projection of the raw and lineage columns and renames; one
+    projection cleans every string column, the next applies name/country/
+    segment casing, date parsing and shipment-mode canonicalisation to the
+    cleaned values; then the partition columns. Keeping the cleaning in its
+    own projection evaluates each regular expression once per value (Catalyst
+    does not inline a non-cheap expression it would have to repeat).
     """
     base = rename(project(df, RAW_COLUMNS + LINEAGE_COLUMNS), SILVER_RENAMES)
-    rules = silver_rules(base)
-    out = base.select(*[rules[c].alias(c) for c in base.columns])
+    cleaned = base.select(*[e.alias(c) for c, e in cleaning_rules(base).items()])
+    out = cleaned.select(*[BUSINESS_RULES.get(c, _identity)(F.col(c)).alias(c) for c in cleaned.columns])
     return project(with_date_partitions(out, "order_date"), SILVER_COLUMNS)
