@@ -140,12 +140,15 @@ def duplicate_set(
     table; by default it goes to a fresh scratch folder.
     """
     flag = f"_dup_{key}"
+    # The null group is dropped after aggregating (partial aggregation has
+    # collapsed it per task). Testing non-null and copies together keeps
+    # Catalyst from pushing the null test under a cleaned key's expression,
+    # which would evaluate it once more per row.
     dups = (
         df.select(key)
-        .where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .where(F.col("_copies") > 1)
+        .where(F.when(F.col(key).isNotNull(), F.col("_copies") > 1).otherwise(F.lit(False)))
     )
     size = {
         "keys": F.count(F.lit(1)),
