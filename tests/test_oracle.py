@@ -94,3 +94,11 @@ def test_period_count_invariants(spark):
     )
     assert broken.count() == 0
     assert df.select(F.countDistinct("order_date_year", "order_date_month", "order_date_day")).first()[0] == 1
+
+
+def test_header_check_and_inventory_cover_every_file_and_row(spark, con):
+    files = E.queries()["src_header_check"](spark, SF_DIR)
+    listing = E.queries()["src_inventory"](spark, SF_DIR)
+    orders = con.execute("SELECT count(*) FROM orders").fetchone()[0]
+    assert files.agg({"rows": "sum"}).first()[0] == orders
+    assert files.count() == listing.count()
