@@ -65,6 +65,8 @@ def write_layer(
         out = out.observe(obs, *[e.alias(k) for k, e in metrics.items()])
     writer = out.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        # A layer overwrite replaces the whole table, even on a cluster whose
+        # default is dynamic partition overwrite (which would keep old days).
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     writer.parquet(str(path))
     return collected(obs, df, metrics) if metrics else {}

@@ -169,3 +169,18 @@ def test_bronze_uniqueness_when_cleaning_changes_a_key(spark, tmp_path):
     expected = quality_report(bronze, layer="bronze", file_path=metadata_path(lake.bronze), run_ts="t").unionByName(
         quality_report(to_silver(bronze), layer="silver", file_path=metadata_path(lake.silver), run_ts="t"))
     assert sorted(map(tuple, read_layer(spark, lake.gold_quality).collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_overwrite_replaces_all_days_even_with_dynamic_default(spark, tmp_path, dirty_csv, clean_csv):
+    base = str(tmp_path / "lake")
+    lake = Lake(base)
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        run_pipeline(spark, dirty_csv, base, run_ts="t1")   # 2025 days
+        run_pipeline(spark, clean_csv, base, run_ts="t2")   # 2018 days only
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    years = {r[0] for r in read_layer(spark, lake.bronze).select("order_date_year").distinct().collect()}
+    assert years == {2018}
+    assert {r[0] for r in read_layer(spark, lake.gold_sales).select("order_date_year").distinct().collect()} == {2018}
