@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -243,7 +244,7 @@ def duplicate_keys_q(spark, sf_dir):
         )
         for key in SILVER_RULES.unique
     ]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def anti_duplicate_rows(spark, sf_dir):
