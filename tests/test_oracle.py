@@ -44,12 +44,17 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     assert len(E.queries()) == 44
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean",
+                 "DOUBLE": "double"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_DIR)
-    res = con.execute(E.oracle_sql()[name])
+    rel = con.sql(E.oracle_sql()[name])
+    assert dict(df.dtypes) == {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     got = canon(df.columns, [tuple(r) for r in df.collect()])
-    want = canon([d[0] for d in res.description], res.fetchall())
+    want = canon(rel.columns, rel.fetchall())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
