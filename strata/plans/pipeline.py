@@ -72,6 +72,8 @@ def run_pipeline(
         silver = read_layer(spark, lake.silver, silver_run.schema)
         gold = run_gold(silver, quality, lake, run_ts, latest=silver_run.latest_day)
         result.tables = {"bronze": bronze, "silver": silver, **gold}
+        if silver_run.quarantine_written:
+            result.tables["rejected"] = read_layer(spark, lake.rejected)
         log.info("Run %s finished: %s", run_ts, result.counts)
         return result
     except Exception:

@@ -61,6 +61,8 @@ def test_dirty_file_end_to_end(spark, tmp_path, dirty_csv):
 
     rejected = read_layer(spark, lake.rejected)
     assert rejected.count() == 13
+    assert set(res.tables) == {"bronze", "silver", "rejected", "sales", "customer", "data_quality"}
+    assert res.tables["rejected"].count() == 13
     assert sorted(r.row_id for r in read_layer(spark, lake.silver).collect()) == [1, 2, 3, 4, 5]
     bad_date = rejected.where("row_id = 8").first()
     assert bad_date.order_date is None  # quarantine stores standardised rows
