@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import licenses, packing, quality_rules, url_filters, warc
+from strata.llm import licenses, lm_scoring, packing, quality_rules, toxicity, url_filters, warc
 from strata.llm.oracle import ORACLES  # noqa: F401
 from strata.llm.text import read_table
 
@@ -26,10 +26,20 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *known])
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return lm_scoring.score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(read_table(spark, sf_dir, "pages"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return warc.roundtrip(read_table(spark, sf_dir, "pages")).select(
@@ -55,7 +65,9 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_url_filters": op2_url_filters,
+    "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op6_quality_rules": op6_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
