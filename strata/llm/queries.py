@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import licenses, lm_scoring, packing, quality_rules, toxicity, url_filters, warc
+from strata.llm import licenses, lm_scoring, near_dedup, packing, quality_rules, toxicity, url_filters, warc
 from strata.llm.oracle import ORACLES  # noqa: F401
 from strata.llm.text import read_table
 
@@ -47,6 +47,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return near_dedup.near_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": op2_url_filters,
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
+    "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_license_scans": op10_license_scans,
