@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import licenses, lm_scoring, near_dedup, packing, quality_rules, toxicity, url_filters, warc
+from strata.llm import decontaminate, licenses, lm_scoring, near_dedup, packing, quality_rules, toxicity, url_filters, warc
 from strata.llm.oracle import ORACLES  # noqa: F401
 from strata.llm.text import read_table
 
@@ -63,6 +63,12 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_pieces(packing.tokenize_pieces(read_table(spark, sf_dir, "documents")))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, item) pair of a leak, with the place and similarity of its best window."""
+    leaks = decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "start", F.round("similarity", 9).alias("similarity"))
+
+
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     found = licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
@@ -77,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_decontamination": op9_decontamination,
     "op10_license_scans": op10_license_scans,
 }
