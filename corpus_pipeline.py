@@ -2,41 +2,62 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``documents``. ``run`` applies them to the
-documents of ``sf_dir``, each result written as a table that the next stage
-reads.
+documents of ``sf_dir``; each result is written as a table that the next
+stage reads.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import packing, quality_rules
+from strata.llm import decontaminate, near_dedup, packing, quality_rules, toxicity
 from strata.llm.queries import ship
+from strata.llm.text import read_table
 from strata.session import stage_table
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the classifier, learned from ``labels``, finds toxic."""
+    ship(spark)
+    return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the quality rules reject, and host boilerplate lines from the others."""
     return quality_rules.clean_documents(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each class of near-duplicates."""
+    ship(spark)
+    return near_dedup.drop_copies(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    return decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents that are left, placed into sequences."""
+    """Pieces of the documents that are left, each with its place in a sequence."""
     ship(spark)
     return packing.pack_pieces(packing.tokenize_pieces(docs))
 
 
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("quality", quality_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
     ("packing", packing_stage),
 ]
 
-#: Trained weights and tokens are beyond SQL; tests hold the stages against brute force.
+#: Learned weights, sketches and tokens are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs, _ = stage_table(stage(spark, docs, sf_dir), f"pipeline_{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

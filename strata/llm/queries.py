@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, licenses, lm_scoring, near_dedup, packing, quality_rules, toxicity, url_filters, warc
+from strata.llm import decontaminate, language_id, licenses, lm_scoring, near_dedup, packing, quality_rules, toxicity, url_filters, warc
 from strata.llm.oracle import ORACLES  # noqa: F401
 from strata.llm.text import read_table
 
@@ -58,6 +58,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return language_id.identify_pages(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return packing.pack_pieces(packing.tokenize_pieces(read_table(spark, sf_dir, "documents")))
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_language_id": op7_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontamination": op9_decontamination,
     "op10_license_scans": op10_license_scans,
