@@ -36,6 +36,8 @@ RULES = {
 DAMPING = 0.85
 ITERATIONS = 12
 THRESHOLD = 0.5
+#: Blocked hosts are broadcast up to so many bytes, at so many a host; more are joined by a shuffle.
+BROADCAST_BYTES, HOST_BYTES = 32 << 20, 512
 #: Iterations between two written tables.
 STAGE_EVERY = 4
 #: Hosts of absolute links; a link without a host stays on its own host and moves no mass.
@@ -142,5 +144,8 @@ def filter_urls(pages: DataFrame, rules: dict[str, str] | None = None, **options
     judged = judged.withColumn("ruled", rule_verdict(F.col("rule"), rules))
     edges, _ = stage_table(host_edges(pages), "url_edges")
     bad = blocked_hosts(judged, edges, **options).withColumn("bad", F.lit(True))
+    bad, _ = stage_table(bad, "url_blocked_hosts")
+    if bad.count() * HOST_BYTES <= BROADCAST_BYTES:
+        bad = F.broadcast(bad)
     verdict = F.coalesce("ruled", F.when(F.col("bad"), F.lit(BLOCK)).otherwise(F.lit(ALLOW)))
     return judged.join(bad, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"))
