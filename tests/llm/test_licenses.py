@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import re
+
+from odd_rows import odd_rows
+from strata.llm import licenses
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(lowered)
+    places = []
+    for phrase, label in licenses.BASE_PHRASES.items():
+        p = phrase.split()
+        places += [(k, label) for k in range(len(words) - len(p) + 1) if words[k : k + len(p)] == p]
+    starts = [k for k, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), sorted({x for _, x in places})
+
+
+NOTICES = [
+    "Licensed under the Apache\n License, and the (MIT) License. cc-by! CC BY cc by-nc 4.0",
+    "gnu general public license mit license mit license",
+    "commit license, mitlicense, cc byte, accc by",
+    "/* SPDX-License-Identifier: (MIT OR GPL-2.0-only WITH Classpath-exception-2.0) AND Apache-2.0 */",
+    "# spdx-license-identifier: GPL-3.0-only",
+    "SPDX-License-Identifier: MIT OR\nSPDX-License-Identifier: ) (",
+    "mit",
+    "license mit",
+]
+
+
+def test_base_figures_match_brute_force(spark):
+    texts = [r[1] for r in odd_rows()] + NOTICES
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, n_words string")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
+    assert len(got) == len(texts)
+    for k, text in enumerate(texts):
+        n, n_base, first, last, labels = brute(text)
+        r = got[k]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (n, n_base, first, last), text
+        assert r["base_labels"] == ",".join(labels)
+        assert set(labels) <= set(r["labels"].split(",")) or not labels
+        assert 0.0 <= r["score"] <= 1.0
+        assert (r["score"] > 0) == bool(r["labels"])
+
+
+def test_expressions_in_postfix_order():
+    assert licenses.postfix("mit or apache-2.0 and bsd-3-clause")[0] == ["mit", "apache-2.0", "bsd-3-clause", "and", "or"]
+    assert licenses.postfix("(mit or apache-2.0) and bsd-3-clause")[0] == ["mit", "apache-2.0", "or", "bsd-3-clause", "and"]
+    assert licenses.postfix("mit */") == (["mit"], True)
+    assert licenses.postfix("mit or")[1] is False
+    assert licenses.postfix("(mit")[1] is False
+    assert licenses.postfix("")[0] == []
+
+
+def test_expressions_evaluated():
+    assert licenses.evaluate("mit or gpl-3.0") == (["mit", "gpl-3.0"], True)
+    assert licenses.evaluate("mit and gpl-3.0") == (["mit", "gpl-3.0"], False)
+    assert licenses.evaluate("gpl-2.0 with classpath-exception-2.0") == (["gpl-2.0"], False)
+    assert licenses.evaluate("apache-2.0 with llvm-exception") == (["apache-2.0"], True)
+    assert licenses.evaluate(") (") == ([], None)
+
+
+def test_tag_labels_and_reuse(spark):
+    docs = spark.createDataFrame(list(enumerate(NOTICES)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
+    assert {"mit", "gpl-2.0-only", "apache-2.0"} <= set(got[3]["labels"].split(","))
+    assert got[3]["reuse"] == "free" and got[4]["reuse"] == "restricted" and got[0]["reuse"] is None
+
+
+def test_empty_table(no_docs):
+    assert licenses.scan_licenses(no_docs).count() == 0

@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+
+from strata.llm import url_filters as urls
+
+SCHEMA = "page_id long, url string, html string, host string, rule string, bad string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(k, u, h, "x", "y", "z") for k, (u, h) in enumerate(rows)], SCHEMA)
+
+
+def brute_host_path(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host, rest = rest[:cut], rest[cut:]
+    path = rest[: min([rest.find(c) for c in "?#" if c in rest], default=len(rest))]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), path
+
+
+def brute_rule(host, path):
+    fits = [r for r in urls.RULES
+            if (host == r[: r.index("/")] or host.endswith("." + r[: r.index("/")])) and path.startswith(r[r.index("/") :])]
+    return max(fits, key=len, default=None)
+
+
+ODD = [
+    "http://A.Example.NET/en/1?x", "http://example.net/en", "http://x.example.net/de/#y", "http://example.net",
+    "http://notexample.net/", "http://net/", "http://internet/", "https://m.example.com/de/?q", "http://example.com/den",
+    "http://a.org/fr/x", "http://a.org/en/x", "a://b://example.net/en/", "http://É.Net/", "no url", "", None,
+    "http://user@example.net:80/", "://", "http:///en/", "http://example.net\n/en/",
+]
+
+
+def test_host_path_and_rule_match_brute_force(spark):
+    got = {r["page_id"]: r for r in urls.filter_urls(pages(spark, [(u, None) for u in ODD])).collect()}
+    for k, url in enumerate(ODD):
+        host, path = brute_host_path(url)
+        rule = brute_rule(host, path)
+        assert (got[k]["host"], got[k]["path"], got[k]["rule"]) == (host, path, rule), url
+        if rule:
+            assert got[k]["verdict"] == urls.RULES[rule]
+
+
+def brute_blocked(rows, damping=urls.DAMPING, iterations=urls.ITERATIONS):
+    import re
+
+    evidence, edges = defaultdict(Counter), Counter()
+    for url, html in rows:
+        host, path = brute_host_path(url)
+        rule = brute_rule(host, path)
+        evidence[host][urls.RULES.get(rule, "open")] += 1
+        for target in re.findall(urls.LINK_HOST, html or ""):
+            if host and target.lower() != host:
+                edges[host, target.lower()] += 1
+    def walk(seed, links):
+        out = Counter()
+        for (a, _), n in links.items():
+            out[a] += n
+        mass = {h: (1 - damping) * v for h, v in seed.items() if v}
+        for _ in range(iterations):
+            new = Counter({h: (1 - damping) * v for h, v in seed.items() if v})
+            for (a, b), n in links.items():
+                new[b] += damping * n / out[a] * mass.get(a, 0.0)
+            mass = new
+        return mass
+    trust = walk({h: c["allow"] for h, c in evidence.items()}, edges)
+    distrust = walk({h: c["block"] for h, c in evidence.items()}, Counter({(b, a): n for (a, b), n in edges.items()}))
+    return {h for h in evidence
+            if h and distrust.get(h, 0) > urls.THRESHOLD * (trust.get(h, 0) + distrust.get(h, 0) + (1 - damping) * evidence[h]["open"])}
+
+
+def test_links_carry_trust_and_distrust(spark):
+    link = lambda *hosts: "".join(f'<a HREF="http://{h}/x">' for h in hosts)
+    rows = [("http://bad.net/x", link("farm.info"))] * 20
+    rows += [("http://farm.info/a", link("bad.net", "bad.net"))] * 2  # links to the blocked
+    rows += [("http://good.org/fr/a", link("friend.info"))] * 10
+    rows += [("http://friend.info/a", link("bad.net"))]  # but the trusted link to it
+    rows += [("http://far.info/a", link("farm.info")), ("http://lone.info/a", "<a href='/x'>"), (None, link("bad.net"))]
+    rows += [("http://mixed.example.com/de/1", None)] + [("http://mixed.example.com/en/1", None)] * 5
+    got = urls.filter_urls(pages(spark, rows)).collect()
+    bad = brute_blocked(rows)
+    assert {"farm.info", "far.info"} <= bad and not {"lone.info", "friend.info", "mixed.example.com"} & bad
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["verdict"] == (urls.RULES[r["rule"]] if r["rule"] else "block" if r["host"] in bad else "allow")
+
+
+def test_empty_table(spark):
+    assert urls.filter_urls(pages(spark, [])).count() == 0
