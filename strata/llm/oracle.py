@@ -71,7 +71,7 @@ def warc_sql() -> str:
     return f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 g AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_page FROM p),
-r AS (SELECT *, strlen(html) >= {warc.REVISIT_FROM_BYTES} AND page_id <> first_page AS again FROM g)
+r AS (SELECT *, strlen(html) >= {warc.REVISIT_FROM_BYTES} AND page_id IS DISTINCT FROM first_page AS again FROM g)
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
        CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN again THEN first_page END AS refers_to

@@ -10,14 +10,15 @@ Reading: archives are parsed record by record; segments are grouped by their
 origin identifier, put in order of segment number, checked against the total
 length that the last one states, joined, and unframed.
 
-Cases: a null html is an empty payload; a null page id sorts after all
-others and is written as an empty identifier; repeated rows are records of
-their own; an empty table gives no rows; a damaged or incomplete record comes
-back with a null payload and its fault in ``error``.
+Cases: a null html is an empty payload; a null page id comes after all others
+and is written as an empty identifier; rows that repeat the id of a response
+are responses too; an empty table gives no rows; a damaged or incomplete
+record comes back with a null payload and its fault in ``error``.
 """
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,13 +31,15 @@ SEGMENT_BYTES = 16_384
 CHUNK_BYTES = 4_096
 RECORDS_PER_FILE = 1_000
 REVISIT_FROM_BYTES = 100
+#: Most bytes of shared payloads' digests that are broadcast; more are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
 RECORD_END = "\r\n\r\n"
 URN = "urn:x-page:"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def plan_records(pages: DataFrame) -> DataFrame:
-    """A staged copy of the pages with number, digest, and whom a revisit refers to.
+    """The pages with their digest and, for a revisit, the page whose response it refers to.
 
     Equal payloads of at least ``REVISIT_FROM_BYTES`` share one response, that
     of the smallest page id; the minimum is taken map-side first, so a payload
@@ -45,26 +48,24 @@ def plan_records(pages: DataFrame) -> DataFrame:
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"))
     rows = rows.withColumns({
-        "row_no": F.monotonically_increasing_id(),
         "payload_bytes": F.octet_length("html").cast("long"),
         "digest": F.sha2(F.col("html").cast("binary"), 256),
     })
-    rows, _ = stage_table(rows, "warc_pages")
-    order = F.struct(F.col("page_id").isNull().alias("unnamed"), "page_id", "row_no")
     first = (
         rows.filter(F.col("payload_bytes") >= REVISIT_FROM_BYTES)
         .groupBy("digest")
-        .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min("page_id").alias("first_page"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
-        .select("digest", F.col("first.page_id").alias("first_page"), F.col("first.row_no").alias("first_row"))
+        .select("digest", "first_page")
     )
-    revisit = F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row_no"))
-    return rows.join(first, "digest", "left").select(
-        "page_id", "row_no", "url", "digest",
+    first, _ = stage_table(first, "warc_first")
+    small = first.count() * 256 <= BROADCAST_BYTES
+    joined = rows.join(F.broadcast(first) if small else first, "digest", "left")
+    revisit = F.col("first_page").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_page"))
+    return joined.select(
+        "page_id", "url", "digest",
         F.when(revisit, F.lit("")).otherwise(F.col("html")).alias("html"),
-        "payload_bytes",
-        F.when(revisit, F.concat(F.coalesce(F.col("first_page").cast("string"), F.lit("")), F.lit(":"),
-                                 F.col("first_row").cast("string"))).alias("refers_to"),
+        F.when(revisit, F.col("first_page")).alias("refers_to"),
     )
 
 
@@ -112,9 +113,17 @@ def one_line(text: str | None) -> str:
     return " ".join((text or "").split())
 
 
-def records_of(page_id, row_no: int, url: str | None, digest: str, html: str, refers_to: str | None, segment: int):
-    """The records of one page as texts, each without the blank lines that end it."""
-    name = f"{'' if page_id is None else page_id}:{row_no}"
+def page_name(page_id, digest: str) -> str:
+    return f"{'' if page_id is None else page_id}:{digest}"
+
+
+def records_of(page_id, url: str | None, digest: str, html: str, refers_to, row_no: int, segment: int):
+    """The records of one page as texts, each without the blank lines that end it.
+
+    An identifier is made of page id, payload digest and the row's number; a
+    revisit refers to the first two, which rows of one payload share.
+    """
+    name = f"{page_name(page_id, digest)}:{row_no}"
 
     def record(kind: str, ident: str, block: bytes, *extra: str) -> str:
         head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{URN}{ident}>", "WARC-Date: 1970-01-01T00:00:00Z"]
@@ -124,7 +133,8 @@ def records_of(page_id, row_no: int, url: str | None, digest: str, html: str, re
     common = [f"WARC-Target-URI: {one_line(url)}", f"WARC-Payload-Digest: sha256:{digest}"]
     if refers_to is not None:
         yield record(
-            "revisit", name, b"", *common, f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <{URN}{refers_to}>"
+            "revisit", name, b"", *common, f"WARC-Profile: {REVISIT_PROFILE}",
+            f"WARC-Refers-To: <{URN}{page_name(refers_to, digest)}>",
         )
         return
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -149,7 +159,7 @@ def records_of(page_id, row_no: int, url: str | None, digest: str, html: str, re
 
 
 def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES) -> None:
-    """Writes one archive per ``RECORDS_PER_FILE`` records under ``path``."""
+    """Writes one compressed archive per ``RECORDS_PER_FILE`` records under ``path``."""
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,8 +168,8 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
                 texts = [r for row in rows for r in records_of(*row, segment_bytes)]
                 yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
 
-    planned = plan_records(pages).select("page_id", "row_no", "url", "digest", "html", "refers_to")
-    writer = planned.mapInArrow(records, "value string").write.mode("overwrite")
+    planned = plan_records(pages).withColumn("row_no", F.monotonically_increasing_id())
+    writer = planned.mapInArrow(records, "value string").write.mode("overwrite").option("compression", "gzip")
     writer.option("lineSep", RECORD_END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
@@ -209,7 +219,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for value in batch.column(0):
-                rows = list(parse_archive(value.as_py()))
+                content = value.as_py()
+                rows = list(parse_archive(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content))
                 for lo in range(0, len(rows), 500):
                     cols = zip(*rows[lo : lo + 500], strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -307,9 +318,10 @@ def roundtrip(pages: DataFrame) -> DataFrame:
         ),
         "warc_payloads",
     )
-    found = revisits.select("record_id", "refers_to").join(
-        described.withColumnRenamed("record_id", "refers_to"), "refers_to", "left"
+    named = described.select(
+        F.substring_index("record_id", ":", 2).alias("refers_to"), "payload_bytes", "payload_digest", "error"
     )
+    found = revisits.select("record_id", "refers_to").join(named.dropDuplicates(["refers_to"]), "refers_to", "left")
     return described.select(
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.lit("response").alias("record_type"),
         F.lit(None).cast(id_type).alias("refers_to"), "error",

@@ -26,21 +26,14 @@ PAGES = [
 def expected(pages):
     first = {}
     for p in pages:
-        if p[2] and len(p[2].encode()) >= 100:
-            held = first.get(p[2])
-            if held is None or (p[0] is not None and (held[0] is None or p[0] < held[0])):
-                first[p[2]] = [p[0], False]
+        if p[0] is not None:
+            first[p[2]] = min(p[0], first.get(p[2], p[0]))
     out = []
     for p in pages:
         data = (p[2] or "").encode()
-        row = [p[0], len(data), hashlib.sha256(data).hexdigest(), "response", None]
-        if len(data) >= 100:
-            held = first[p[2]]
-            if p[0] != held[0] or held[1]:
-                row[3:] = ["revisit", held[0]]
-            else:
-                held[1] = True  # the first of equal ids is the response
-        out.append(tuple(row))
+        again = len(data) >= 100 and p[0] != first.get(p[2])
+        kind = ("revisit", first[p[2]]) if again else ("response", None)
+        out.append((p[0], len(data), hashlib.sha256(data).hexdigest(), *kind))
     return out
 
 
@@ -81,7 +74,7 @@ def test_segments_in_any_order_and_damage():
 
 
 def test_damaged_archive_is_reported():
-    record = next(warc.records_of(1, 0, "u", "d", "text", None, 100)).encode() + b"\r\n\r\n"
+    record = next(warc.records_of(1, "u", "d", "text", None, 0, 100)).encode() + b"\r\n\r\n"
     rows = list(warc.parse_archive(record + record[:-20]))
     assert [r[1] for r in rows] == ["response", "damaged"] and rows[1][-1]
 
