@@ -14,7 +14,7 @@ map-only, with one number per n-gram bucket.
 
 Cases: a null or empty text has an empty window and scores the bias alone;
 several labels of one document count as toxic if one does; without a toxic
-label nothing can be learned and every score is 0; repeated rows and null
+label nothing can be learned and every score is under 1e-300; repeated rows and null
 ids are scored one by one; an empty table gives no rows.
 """
 
@@ -41,8 +41,11 @@ GRAMS = (3, 4, 5, 6)
 DIMENSIONS = 8
 WINDOW = 12
 STEPS = 80
-RATE = 1.0
+RATE = 4.0
 DECAY = 1e-4
+#: Documents at which an n-gram's own evidence counts half, and what that evidence weighs at the start.
+RELIABLE_FROM = 20.0
+START = 3.0
 #: Words whose figure a worker process keeps.
 MEMO_WORDS = 1_000_000
 NO_TOXIC_BIAS = -800.0
@@ -150,6 +153,14 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     window_of = np.repeat(np.arange(len(first)), ends - first)
     begins = np.concatenate(([0], np.flatnonzero(np.diff(text_of)) + 1))
     balance = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum())) * len(labels)
+    # Start: how much oftener an n-gram stands in toxic texts. What few texts hold is held back,
+    # here and in every step, else single texts would be learned by heart.
+    held = np.unique(np.repeat(np.arange(len(texts)), counts) * len(index) + token)
+    by_label = [np.bincount(held % len(index), (labels == y)[held // len(index)], len(index)) for y in (0, 1)]
+    clean, toxic = (np.bincount(buckets, n[gram_word], BUCKETS) for n in by_label)
+    reliable = (clean + toxic) / (clean + toxic + RELIABLE_FROM)
+    odds = np.log((toxic + 0.5) / (labels.sum() + 1)) - np.log((clean + 0.5) / ((1 - labels).sum() + 1))
+    embedding = np.outer(START * reliable * np.clip(odds, -3, 6), softmax)
     bias, seen, seen_bias, seen_softmax = 0.0, np.full(BUCKETS, 1e-8), 1e-8, 1e-8
     for step in range(STEPS):
         weight = embedding @ softmax
@@ -173,7 +184,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         seen_bias += slope_bias**2
         seen_softmax += (softmax_slope**2).sum()
         embedding *= 1.0 - DECAY
-        embedding -= np.outer(RATE * slope / np.sqrt(seen), softmax)
+        embedding -= np.outer(RATE * reliable * slope / np.sqrt(seen.max()), softmax)
         softmax = softmax - 0.1 * RATE * softmax_slope / np.sqrt(seen_softmax)
         bias -= 0.2 * RATE * slope_bias / np.sqrt(seen_bias)
     return Model(embedding, softmax, float(bias))
