@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.text import fresh
 from strata.session import stage_table
 
 SHINGLE = 5
@@ -173,9 +174,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
     columns = docs.columns
-    leaks = find_leaks(docs, benchmark, similarity).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    id_name, key, row = fresh(columns, "_id", "_key", "_row")
+    leaks = find_leaks(docs, benchmark, similarity).select(F.col("doc_id").alias(id_name), F.col("key").alias(key))
     leaks, _ = stage_table(leaks.distinct(), "leak_documents")
     small = leaks.count() * 128 <= BROADCAST_BYTES
-    same = (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    kept = docs.withColumn("_row", row_key()).join(F.broadcast(leaks) if small else leaks, same, "left_anti")
+    same = (F.col(row) == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(id_name))
+    kept = docs.withColumn(row, row_key()).join(F.broadcast(leaks) if small else leaks, same, "left_anti")
     return kept.select(*columns)

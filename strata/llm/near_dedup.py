@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.text import LOWER_ASCII
+from strata.llm.text import LOWER_ASCII, fresh
 from strata.session import stage_table
 
 SHINGLE = 5
@@ -382,12 +382,13 @@ def drop_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     stays = classes.select(F.col("class_id").alias("doc_id")).distinct()
     dropped = classes.filter("doc_id <> class_id").select("doc_id").distinct().join(stays, "doc_id", "left_anti")
     again = classes.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    marks = dropped.select("doc_id", F.lit(True).alias("_dropped")).unionByName(
-        again.join(dropped, "doc_id", "left_anti").select("doc_id", F.lit(False).alias("_dropped"))
+    id_name, mark = fresh(columns, "_id", "_dropped")
+    marks = dropped.select(F.col("doc_id").alias(id_name), F.lit(True).alias(mark)).unionByName(
+        again.join(dropped, "doc_id", "left_anti").select(F.col("doc_id").alias(id_name), F.lit(False).alias(mark))
     )
-    marks, _ = stage_table(marks.withColumnRenamed("doc_id", "_id"), "near_marks")
+    marks, _ = stage_table(marks, "near_marks")
     small = marks.count() * 64 <= BROADCAST_BYTES
-    marked = docs.join(F.broadcast(marks) if small else marks, F.col("doc_id") == F.col("_id"), "left")
-    single = marked.filter(F.col("_dropped").isNull()).select(*columns)
-    repeated = marked.filter(~F.col("_dropped")).select(*columns)
+    marked = docs.join(F.broadcast(marks) if small else marks, F.col("doc_id") == F.col(id_name), "left")
+    single = marked.filter(F.col(mark).isNull()).select(*columns)
+    repeated = marked.filter(~F.col(mark)).select(*columns)
     return single.unionByName(repeated.dropDuplicates(["doc_id"]))

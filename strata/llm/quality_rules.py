@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.text import words_of
+from strata.llm.text import fresh, words_of
 from strata.session import stage_table
 
 MIN_WORDS = 50
@@ -175,16 +175,16 @@ def clean_documents(docs: DataFrame, **options) -> DataFrame:
         .dropDuplicates(["row_key"])
     )
     changes, _ = stage_table(changes, "quality_changes")
+    key_name, kept, dropped = fresh(columns, "_key", "_kept", "_dropped")
     key = F.md5(F.concat_ws("\n", F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))))
-    keyed = docs.withColumn("_key", key)
     small = changes.count() * 256 <= BROADCAST_BYTES
-    other = changes.select(F.col("row_key").alias("_key"), F.col("kept").alias("_kept"), F.col("dropped").alias("_dropped"))
-    joined = keyed.join(F.broadcast(other) if small else other, "_key", "left")
-    joined = joined.filter(F.coalesce("_kept", F.lit(True)))
+    other = changes.withColumnsRenamed({"row_key": key_name, "kept": kept, "dropped": dropped})
+    joined = docs.withColumn(key_name, key).join(F.broadcast(other) if small else other, key_name, "left")
+    joined = joined.filter(F.coalesce(kept, F.lit(True)))
     pairs = F.arrays_zip(F.split("text", "\n").alias("raw"), normal_lines(F.col("text")).alias("normal"))
-    stay = F.filter(pairs, lambda x: ~F.array_contains(F.col("_dropped"), F.xxhash64(x["normal"])))
+    stay = F.filter(pairs, lambda x: ~F.array_contains(F.col(dropped), F.xxhash64(x["normal"])))
     stays = F.array_join(F.transform(stay, lambda x: x["raw"]), "\n")
-    changed = F.col("_dropped").isNotNull()
+    changed = F.col(dropped).isNotNull()
     out = joined.withColumn("text", F.when(changed, stays).otherwise(F.col("text")))
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType

@@ -44,3 +44,14 @@ def words_of(text: Column) -> Column:
 
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """Names that no column has, for columns that are only used inside."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.text import ALNUM_LOWER, id_bucket
+from strata.llm.text import ALNUM_LOWER, fresh, id_bucket
 
 #: Labelled documents to learn from: toxic ones, and times as many clean ones.
 SAMPLE_PER_CLASS = 4_096
@@ -296,4 +296,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_
 def drop_toxic(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
     """The documents whose score is under 0.5, with all their columns."""
     weight, bias = fit(docs, labels, per_class)
-    return with_scores(docs, weight, bias, name="_toxic_score").filter("_toxic_score < 0.5").drop("_toxic_score")
+    (name,) = fresh(docs.columns, "_toxic_score")
+    return with_scores(docs, weight, bias, name=name).filter(F.col(name) < 0.5).drop(name)
