@@ -90,24 +90,24 @@ def block_values(fingerprint: Column) -> Column:
 
 
 def prepared_items(benchmark: DataFrame) -> DataFrame:
-    """(item_id, n, hashes, shingles, fingerprint) of every item that has a word."""
+    """(item_no, item_id, n, hashes, shingles, fingerprint) of every item that has a word."""
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).filter(F.size("words") > 0)
-    items = items.dropDuplicates()
+    items = items.dropDuplicates().withColumn("item_no", F.monotonically_increasing_id())
     return items.select(
-        "item_id", F.size("words").alias("n"), shingle_hashes(F.col("words")).alias("hashes"),
+        "item_no", "item_id", F.size("words").alias("n"), shingle_hashes(F.col("words")).alias("hashes"),
         weighted_shingles(F.col("words")).alias("shingles"), simhash(F.col("words")).alias("fingerprint"),
     )
 
 
 def item_index(items: DataFrame) -> DataFrame:
-    """Items under every block value within the block radius: (n, block, value, item_id, item_print)."""
+    """Items under every block value within the block radius: (n, block, value, item_no, item_print)."""
     masks = F.filter(
         F.sequence(F.lit(0), F.lit((1 << BLOCK_BITS) - 1)), lambda x: F.bit_count(x) <= BLOCK_RADIUS
     )
-    rows = items.select("item_id", "n", F.col("fingerprint").alias("item_print"),
+    rows = items.select("item_no", "n", F.col("fingerprint").alias("item_print"),
                         F.explode(block_values(F.col("fingerprint"))).alias("b"))
-    rows = rows.select("item_id", "n", "item_print", "b.block", "b.value", F.explode(masks).alias("mask"))
-    return rows.select("item_id", "n", "item_print", "block", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
+    rows = rows.select("item_no", "n", "item_print", "b.block", "b.value", F.explode(masks).alias("mask"))
+    return rows.select("item_no", "n", "item_print", "block", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
 
 
 def row_key() -> Column:
@@ -157,10 +157,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     near = (
         probes.join(item_index(items), ["n", "block", "value"])
         .filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-        .select("n", "content", "item_id")
+        .select("n", "content", "item_no")
         .distinct()
     )
-    checked = near.join(items.select("item_id", "n", "shingles"), ["item_id", "n"]).select(
+    checked = near.join(items.select("item_no", "item_id", "shingles"), "item_no").select(
         "n", "content", "item_id",
         similarity_of(F.col("shingles"), weighted_shingles(F.split("content", " "))).alias("similarity"),
     ).filter(F.col("similarity") >= similarity)
