@@ -205,6 +205,18 @@ AUDIT_REQUIRED: tuple[str, ...] = (
 )
 AUDIT_UNIQUE: tuple[str, ...] = ("row_id", "order_id")
 
+# What the audit checks, by layer. Bronze still holds texts of the source's names.
+AUDIT_RULES: dict[str, RuleSet] = {
+    "bronze": RuleSet(required=AUDIT_REQUIRED, unique=AUDIT_UNIQUE, dates=("order_date", "ship_date")),
+    "silver": RuleSet(
+        required=AUDIT_REQUIRED,
+        unique=AUDIT_UNIQUE,
+        dates=SILVER_RULES.dates,
+        chronology=SILVER_RULES.chronology,
+        allowed=SILVER_RULES.allowed,
+    ),
+}
+
 
 @dataclass(frozen=True)
 class Period:

@@ -1,6 +1,6 @@
 """Column expressions built only from ``pyspark.sql.functions``."""
 
-from strata.functions.dates import date_parts, days_before, month_start_shift, parse_date
+from strata.functions.dates import date_parts, parse_date
 from strata.functions.names import first_word, last_word
 from strata.functions.strings import (
     canonical_label,
@@ -15,11 +15,9 @@ __all__ = [
     "clean_text",
     "collapse_whitespace",
     "date_parts",
-    "days_before",
     "first_word",
     "is_blank",
     "last_word",
-    "month_start_shift",
     "parse_date",
     "title_case",
 ]

@@ -1,4 +1,4 @@
-"""Date parsing, date parts and period arithmetic."""
+"""Date parsing and date parts."""
 
 from __future__ import annotations
 
@@ -27,11 +27,3 @@ def date_parts(c: str | Column) -> dict[str, Column]:
     year_col, month_col, day_col = PARTITION_COLUMNS
     return {year_col: F.year(d), month_col: F.month(d), day_col: F.dayofmonth(d)}
 
-
-def month_start_shift(c: str | Column, months: int) -> Column:
-    """First day of the month ``months`` away from the month of ``c``."""
-    return F.trunc(F.add_months(_col(c), months), "MM")
-
-
-def days_before(c: str | Column, days: int) -> Column:
-    return F.date_sub(_col(c), days)

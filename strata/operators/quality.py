@@ -15,23 +15,23 @@ Scale notes
   execution splits a skewed left side there.
 * The split is one flagged frame filtered twice; valid and rejected partition
   the input exactly (``coalesce(valid, false)`` for the complement).
-* The audit is one global aggregate; its single result row is unpivoted with
-  ``inline`` so the report stays a distributed DataFrame.
+* The audit's row rules are one global aggregate, whose single result row is
+  unpivoted with ``inline``; uniqueness rules are key-only aggregates.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.contracts import (
-    ALLOWED_SHIP_MODES,
-    AUDIT_REQUIRED,
-    AUDIT_UNIQUE,
+    AUDIT_RULES,
     QUALITY_COLUMNS,
     QUALITY_LAYERS,
     QUALITY_SCHEMA,
@@ -49,8 +49,10 @@ from strata.contracts import (
 from strata.functions import is_blank, parse_date
 from strata.session import stage_table
 
-# Per-key overhead of a broadcast hash relation, on top of the key bytes.
-ROW_OVERHEAD_BYTES = 32
+# Per-key overhead of a broadcast hash relation, on top of a text key's bytes:
+# key row, value row, pointer, and map slots at half load.
+ROW_OVERHEAD_BYTES = {"string": 128}
+OTHER_OVERHEAD_BYTES = 72
 
 VALID_FLAG = "_is_valid"
 
@@ -156,7 +158,8 @@ def duplicate_set(
         "surplus": F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)),
     }
     table, m = stage_table(dups, f"duplicate_{key}", size, path)
-    estimate = int(m["keys"]) * ROW_OVERHEAD_BYTES + int(m["key_bytes"])
+    overhead = ROW_OVERHEAD_BYTES.get(dict(df.dtypes)[key], OTHER_OVERHEAD_BYTES)
+    estimate = int(m["keys"]) * overhead + int(m["key_bytes"])
     budget = broadcast_budget(df, broadcast_max_bytes)
     small = 0 <= estimate <= budget
     flags = table.select(key, F.lit(True).alias(flag))
@@ -178,9 +181,11 @@ def duplicate_sets(
     paths = paths or {}
     if len(keys) <= 1:
         return [duplicate_set(df, k, broadcast_max_bytes=broadcast_max_bytes, path=paths.get(k)) for k in keys]
+    one = partial(duplicate_set, df, broadcast_max_bytes=broadcast_max_bytes)
+    inheriting = inheritable_thread_target(df.sparkSession)
     with ThreadPoolExecutor(max_workers=len(keys)) as pool:
-        futures = [pool.submit(duplicate_set, df, k, broadcast_max_bytes=broadcast_max_bytes, path=paths.get(k))
-                   for k in keys]
+        # Inheritable: the jobs stay in the caller's job group and scheduler pool.
+        futures = [pool.submit(inheriting(partial(one, k, path=paths.get(k)))) for k in keys]
         return [f.result() for f in futures]
 
 
@@ -245,9 +250,18 @@ def missing_count(column: str) -> Column:
     return F.count_if(is_blank(column))
 
 
-def surplus_duplicates(column: str) -> Column:
-    """A4: copies beyond the first, nulls ignored."""
-    return F.count(F.col(column)) - F.count_distinct(F.col(column))
+def key_surplus(df: DataFrame, key: str) -> DataFrame:
+    """A4: ``(checked_records, failed_records)``: copies of a key beyond the first, nulls ignored.
+
+    One key-only aggregate: rows collapse to one per key and task before the
+    shuffle, and only the key column is read.
+    """
+    groups = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_copies"))
+    surplus = F.sum(F.when(F.col("_key").isNotNull(), F.col("_copies") - 1))
+    zero = F.lit(0).cast("bigint")
+    return groups.agg(
+        F.coalesce(F.sum("_copies"), zero).alias("checked_records"), F.coalesce(surplus, zero).alias("failed_records")
+    )
 
 
 def invalid_dates(column: str) -> Column:
@@ -276,32 +290,29 @@ def normalize_layer(layer: str) -> str:
 class AuditRule:
     """One row of the audit: a name, a description and how failures are counted.
 
-    ``failures`` is an aggregate over the checked rows. Uniqueness rules also
-    name their ``unique_key``: their count (copies beyond the first) can be
-    taken from that key's duplicate set instead of a distinct count.
+    A row rule has an aggregate over the checked rows, a uniqueness rule the
+    key whose copies beyond the first it counts.
     """
 
     name: str
     description: str
-    failures: Column
+    failures: Column | None = None
     unique_key: str | None = None
 
 
 def audit_rules(layer: str) -> list[AuditRule]:
-    """The rules of a layer, in report order (11 for Bronze, 13 for Silver)."""
-    name = normalize_layer(layer)
+    """The rules of a layer in report order, made from its ``RuleSet``."""
+    rules = AUDIT_RULES[normalize_layer(layer)]
 
     def text(fixed: tuple[str, str], column: str = "") -> tuple[str, str]:
         return fixed[0].format(c=column), fixed[1].format(c=column)
 
-    rules = [AuditRule(*text(RULE_NOT_NULL, c), missing_count(c)) for c in AUDIT_REQUIRED]
-    rules += [AuditRule(*text(RULE_UNIQUE, c), surplus_duplicates(c), c) for c in AUDIT_UNIQUE]
-    second_date = "ship_date" if name == "bronze" else "shipment_date"
-    rules += [AuditRule(*text(RULE_DATE_VALID, c), invalid_dates(c)) for c in ("order_date", second_date)]
-    if name == "silver":
-        rules.append(AuditRule(*text(RULE_CHRONOLOGY), chronology_failures("order_date", "shipment_date")))
-        rules.append(AuditRule(*text(RULE_MODE_ALLOWED), allow_list_failures("shipment_mode", ALLOWED_SHIP_MODES)))
-    return rules
+    out = [AuditRule(*text(RULE_NOT_NULL, c), missing_count(c)) for c in rules.required]
+    out += [AuditRule(*text(RULE_UNIQUE, c), unique_key=c) for c in rules.unique]
+    out += [AuditRule(*text(RULE_DATE_VALID, c), invalid_dates(c)) for c in rules.dates]
+    out += [AuditRule(*text(RULE_CHRONOLOGY), chronology_failures(*pair)) for pair in rules.chronology]
+    out += [AuditRule(*text(RULE_MODE_ALLOWED), allow_list_failures(c, v)) for c, v in rules.allowed.items()]
+    return out
 
 
 def row_rule_metrics(layer: str) -> dict[str, Column]:
@@ -325,28 +336,40 @@ def report_from_counts(
     return spark.createDataFrame(rows, QUALITY_SCHEMA)
 
 
-def rule_failures(df: DataFrame, layer: str) -> DataFrame:
-    """``(checked_records, rule_name, failed_records, rule_description)`` rows.
+def rule_failures(df: DataFrame, layer: str, wanted: Callable[[AuditRule], bool] | None = None) -> DataFrame:
+    """``(checked_records, rule_name, failed_records, rule_description)`` rows of the wanted rules.
 
-    One global aggregate, then ``inline`` turns its single row into one row
-    per rule. On empty input every count is 0.
+    Rules are chosen before anything is counted. Row rules share one global
+    aggregate, whose single row ``inline`` turns into one row per rule; each
+    uniqueness rule is a key-only aggregate. On empty input every count is 0.
     """
-    rules = audit_rules(layer)
-    metrics = df.agg(
-        F.count(F.lit(1)).alias("checked_records"),
-        *[r.failures.cast("bigint").alias(f"_m{i}") for i, r in enumerate(rules)],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(r.name).alias("rule_name"),
-                F.col(f"_m{i}").alias("failed_records"),
-                F.lit(r.description).alias("rule_description"),
-            )
-            for i, r in enumerate(rules)
-        ]
-    )
-    return metrics.select("checked_records", F.inline(rows))
+    rules = [r for r in audit_rules(layer) if wanted is None or wanted(r)]
+    plain = [r for r in rules if r.unique_key is None]
+    parts = []
+    if plain:
+        metrics = df.agg(
+            F.count(F.lit(1)).alias("checked_records"),
+            *[r.failures.cast("bigint").alias(f"_m{i}") for i, r in enumerate(plain)],
+        )
+        rows = F.array(
+            *[
+                F.struct(
+                    F.lit(r.name).alias("rule_name"),
+                    F.col(f"_m{i}").alias("failed_records"),
+                    F.lit(r.description).alias("rule_description"),
+                )
+                for i, r in enumerate(plain)
+            ]
+        )
+        parts.append(metrics.select("checked_records", F.inline(rows)))
+    parts += [
+        key_surplus(df, r.unique_key).select(
+            "checked_records", F.lit(r.name).alias("rule_name"), "failed_records",
+            F.lit(r.description).alias("rule_description"),
+        )
+        for r in rules if r.unique_key is not None
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def quality_report(df: DataFrame, *, layer: str, file_path: str, run_ts: str) -> DataFrame:

@@ -1,19 +1,15 @@
 """Customer summary: latest order day and distinct order counts per period
 (A5-A10, P2, P5, X6, X7; job C5).
 
-Distinct counts are computed in two stages instead of four ``count_distinct``
-calls (which Catalyst expands into one copy of each row per distinct
-aggregate); on Silver rows, whose order ids are unique, stage 1 is skipped:
-
-1. ``groupBy(customer keys, order_id)`` with ``max(order_date)``;
-2. ``groupBy(customer keys)`` with one ``count_if`` per period.
-
-An order counts in a period iff any of its rows falls in the period, i.e.
-iff its latest day does, because every period ends at the data's maximum
-day. Both stages aggregate partially before their shuffle, so a customer
-holding a large share of the rows does not concentrate in one task. Stage 1
-groups on the derived first/last names, like the output, so one order is
-counted once per output row.
+One pass over the rows reduces them to orders per (customer keys, order day);
+that smaller table is staged, and the latest day, the periods and the totals
+all come from it. Distinct counts need no ``count_distinct`` (which Catalyst
+expands into one copy of each row per distinct aggregate): on Silver rows,
+whose order ids are unique, an order is a row; else ``max(order_date)`` per
+order comes first. An order counts in a period iff any of its rows falls in
+the period, i.e. iff its latest day does, because every period ends at the
+data's maximum day. All stages aggregate partially before their shuffle, so a
+customer holding a large share of the rows does not concentrate in one task.
 """
 
 from __future__ import annotations
@@ -33,6 +29,7 @@ from strata.contracts import (
     Period,
 )
 from strata.functions import first_word, last_word
+from strata.session import stage_table
 
 
 def latest_order_day(df: DataFrame, column: str = "order_date") -> date:
@@ -59,36 +56,54 @@ def period_starts(latest: date, periods: tuple[Period, ...] = CUSTOMER_PERIODS)
     return {p.name: p.start(anchor) for p in periods}
 
 
+def customer_days(
+    df: DataFrame, keys: tuple[str, ...] = CUSTOMER_KEY_COLUMNS, *, orders_unique: bool = False
+) -> DataFrame:
+    """``(keys..., order_date, orders)``: distinct orders per customer key and day, staged.
+
+    Groups on the derived first/last names, like the output, so that one
+    order is counted once per output row. With ``orders_unique`` (every
+    non-null ``order_id`` is on one row, as in Silver, whose split rejects
+    repeated ids) the per-order stage, a shuffle of every row, is skipped.
+    """
+    rows = with_name_parts(df).select(*keys, "order_id", "order_date")
+    if not orders_unique:
+        rows = rows.groupBy(*keys, "order_id").agg(F.max("order_date").alias("order_date"))
+    days = rows.groupBy(*keys, "order_date").agg(F.count("order_id").alias("orders"))
+    return stage_table(days, "customer_days")[0]
+
+
+def period_counts(
+    days: DataFrame,
+    latest: date,
+    periods: tuple[Period, ...] = CUSTOMER_PERIODS,
+    keys: tuple[str, ...] = CUSTOMER_KEY_COLUMNS,
+) -> DataFrame:
+    """Per customer key, orders per period and in total, from ``customer_days``."""
+    zero = F.lit(0).cast("bigint")
+    return days.groupBy(*keys).agg(
+        *[
+            F.sum(F.when(F.col("order_date") >= start, F.col("orders")).otherwise(zero)).alias(name)
+            for name, start in period_starts(latest, periods).items()
+        ],
+        F.sum("orders").alias("total_orders"),
+    )
+
+
 def order_counts(
     df: DataFrame,
-    latest: date,
+    latest: date | None = None,
     periods: tuple[Period, ...] = CUSTOMER_PERIODS,
     keys: tuple[str, ...] = CUSTOMER_KEY_COLUMNS,
     *,
     orders_unique: bool = False,
 ) -> DataFrame:
-    """Per customer key, distinct orders per period and in total.
+    """Per customer key, distinct orders per period and in total.
 
-    ``latest`` must be the maximum ``order_date`` of ``df``. With
-    ``orders_unique`` (every non-null ``order_id`` is on one row, as in Silver,
-    whose split rejects repeated ids) distinct counts are row counts and the
-    per-order stage, a shuffle of every row, is skipped.
+    ``latest`` is the maximum ``order_date`` of ``df`` where it is known.
     """
-    starts = period_starts(latest, periods)
-    named = with_name_parts(df)
-    if orders_unique:
-        per_order = named.select(*keys, "order_id", F.col("order_date").alias("_last_day"))
-    else:
-        per_order = (
-            named.select(*keys, "order_id", "order_date")
-            .groupBy(*keys, "order_id")
-            .agg(F.max("order_date").alias("_last_day"))
-        )
-    has_order = F.col("order_id").isNotNull()
-    return per_order.groupBy(*keys).agg(
-        *[F.count_if(has_order & (F.col("_last_day") >= start)).alias(name) for name, start in starts.items()],
-        F.count("order_id").alias("total_orders"),
-    )
+    days = customer_days(df, keys, orders_unique=orders_unique)
+    return period_counts(days, latest or latest_order_day(days), periods, keys)
 
 
 def customer_summary(
@@ -99,12 +114,12 @@ def customer_summary(
     orders_unique: bool = False,
 ) -> DataFrame:
     """The Gold customer table, partitioned by the latest order day."""
-    if latest is None:
-        latest = latest_order_day(df)
+    days = customer_days(df, orders_unique=orders_unique)
+    latest = latest or latest_order_day(days)
     year_col, month_col, day_col = PARTITION_COLUMNS
-    counts = order_counts(df, latest, periods, orders_unique=orders_unique)
     return (
-        counts.withColumnsRenamed(CUSTOMER_RENAMES)
+        period_counts(days, latest, periods)
+        .withColumnsRenamed(CUSTOMER_RENAMES)
         .withColumns({year_col: F.lit(latest.year), month_col: F.lit(latest.month), day_col: F.lit(latest.day)})
         .select(*CUSTOMER_COLUMNS)
     )

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.contracts import AUDIT_UNIQUE, BRONZE_COLUMNS, PARTITION_COLUMNS, RAW_SCHEMA, SILVER_RENAMES
-from strata.operators.lineage import stamp
-from strata.operators.quality import row_rule_metrics, surplus_duplicates
+from strata.operators.lineage import child, stamp
+from strata.operators.quality import key_surplus, row_rule_metrics
 from strata.operators.standardize import project, rename, silver_rules, with_date_partitions
+from strata.session import work_folder
 from strata.sinks import write_layer
 from strata.sources import check_source, read_checked
 
@@ -43,14 +44,16 @@ def ingest_bronze(
 ) -> BronzeResult:
     """Validate the source, then overwrite the Bronze table.
 
-    Every check (presence, bytes, header, malformed rows) runs before the
-    overwrite, so a bad file leaves the previous Bronze data in place.
+    The source is parsed once, into a working table that goes when the write
+    is done. Every check (presence, bytes, headers, malformed rows) runs
+    before the overwrite, so a bad file leaves the previous data in place.
     """
     check_source(spark, source_path)
-    bronze = to_bronze(read_checked(spark, source_path, schema), bronze_path, run_ts)
-    changes = key_changes(bronze)
-    metrics = {"rows": F.count(F.lit(1)), **row_rule_metrics("bronze"), **changes}
-    observed = write_layer(bronze, bronze_path, partition_by=PARTITION_COLUMNS, metrics=metrics)
+    with work_folder(spark) as work:
+        bronze = to_bronze(read_checked(spark, source_path, schema, child(work, "csv_lines")), bronze_path, run_ts)
+        changes = key_changes(bronze)
+        metrics = {"rows": F.count(F.lit(1)), **row_rule_metrics("bronze"), **changes}
+        observed = write_layer(bronze, bronze_path, partition_by=PARTITION_COLUMNS, metrics=metrics)
     values = {k: int(v or 0) for k, v in observed.items()}
     rows = values.pop("rows")
     changed = {k: values.pop(name) for k, name in zip(AUDIT_UNIQUE, changes)}
@@ -74,14 +77,13 @@ def bronze_uniqueness(
     """Copies beyond the first of each audited raw key.
 
     Taken from the Silver duplicate sets for keys that standardisation leaves
-    unchanged on every row; the others are counted with one aggregate that
-    reads only those key columns.
+    unchanged on every row; each of the others is counted by an aggregate
+    that reads only its column.
     """
     key_changes, silver_surplus = key_changes or {}, silver_surplus or {}
     out = {f"{k}_unique": silver_surplus[k] for k in AUDIT_UNIQUE
            if key_changes.get(k) == 0 and k in silver_surplus}
-    rest = [k for k in AUDIT_UNIQUE if f"{k}_unique" not in out]
-    if rest:
-        row = bronze.agg(*[surplus_duplicates(k).alias(f"{k}_unique") for k in rest]).first()
-        out.update({k: int(v) for k, v in row.asDict().items()})
+    for k in AUDIT_UNIQUE:
+        if f"{k}_unique" not in out:
+            out[f"{k}_unique"] = key_surplus(bronze, k).first()["failed_records"]
     return out

@@ -13,6 +13,7 @@ from strata.operators.standardize import project
 from strata.operators.summary import customer_summary, latest_order_day
 from strata.plans.layout import Lake
 from strata.sinks import write_layer
+from strata.sources import read_layer
 
 log = logging.getLogger(__name__)
 
@@ -24,7 +25,9 @@ def build_sales(silver: DataFrame, path: str, run_ts: str) -> DataFrame:
 def run_gold(
     silver: DataFrame, quality: DataFrame, lake: Lake, run_ts: str, latest: date | None = None
 ) -> dict[str, DataFrame]:
-    """Write the three Gold tables; raises before any write when no order day exists.
+    """Write the three Gold tables and return them as written.
+
+    Raises before any write when no order day exists.
 
     ``latest`` is the maximum Silver order day when already known (the Silver
     write observes it); otherwise it is computed from ``silver``.
@@ -38,10 +41,14 @@ def run_gold(
     customer = stamp(customer_summary(silver, latest, orders_unique=orders_unique), lake.gold_customer, run_ts)
 
     # A projection of Silver, which is laid out by the same day columns: map-only.
-    write_layer(sales, lake.gold_sales, partition_by=PARTITION_COLUMNS, rebalance=False)
-    # All customer rows share one partition value (the latest day), so the
-    # write is rebalanced without hashing on it.
-    write_layer(customer, lake.gold_customer, partition_by=PARTITION_COLUMNS, rebalance_on=())
+    write_layer(sales, lake.gold_sales, partition_by=PARTITION_COLUMNS, lay_out=False)
+    # All customer rows share one partition value (the latest day).
+    write_layer(customer, lake.gold_customer, partition_by=PARTITION_COLUMNS, lay_out=False)
     write_layer(quality, lake.gold_quality)
     log.info("Gold written under %s (latest order day %s)", lake.gold, latest)
-    return {"sales": sales, "customer": customer, "data_quality": quality}
+    spark = silver.sparkSession
+    return {
+        "sales": read_layer(spark, lake.gold_sales, sales.schema),
+        "customer": read_layer(spark, lake.gold_customer, customer.schema),
+        "data_quality": read_layer(spark, lake.gold_quality, quality.schema),
+    }

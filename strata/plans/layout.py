@@ -13,7 +13,7 @@ from strata.contracts import (
     QUARANTINE_NAME,
     SILVER_DIR,
 )
-from strata.operators.lineage import join_path, sibling_path
+from strata.operators.lineage import child
 
 
 @dataclass(frozen=True)
@@ -22,29 +22,29 @@ class Lake:
 
     @property
     def bronze(self) -> str:
-        return join_path(self.base, *BRONZE_DIR)
+        return child(self.base, *BRONZE_DIR)
 
     @property
     def silver(self) -> str:
-        return join_path(self.base, *SILVER_DIR)
+        return child(self.base, *SILVER_DIR)
 
     @property
     def rejected(self) -> str:
-        """Quarantine, a sibling of the Silver table."""
-        return sibling_path(self.silver, QUARANTINE_NAME)
+        """Quarantine, beside the Silver table."""
+        return child(self.base, *SILVER_DIR[:-1], QUARANTINE_NAME)
 
     @property
     def gold(self) -> str:
-        return join_path(self.base, *GOLD_DIR)
+        return child(self.base, *GOLD_DIR)
 
     @property
     def gold_sales(self) -> str:
-        return join_path(self.gold, GOLD_SALES_NAME)
+        return child(self.gold, GOLD_SALES_NAME)
 
     @property
     def gold_customer(self) -> str:
-        return join_path(self.gold, GOLD_CUSTOMER_NAME)
+        return child(self.gold, GOLD_CUSTOMER_NAME)
 
     @property
     def gold_quality(self) -> str:
-        return join_path(self.gold, GOLD_QUALITY_NAME)
+        return child(self.gold, GOLD_QUALITY_NAME)

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.contracts import MSG_NO_ORDER_DAY
-from strata.operators.lineage import metadata_path, run_timestamp
+from strata.operators.lineage import qualified_path, run_timestamp
 from strata.operators.quality import report_from_counts
 from strata.plans.bronze import bronze_uniqueness, ingest_bronze
 from strata.plans.gold import run_gold
@@ -65,7 +65,7 @@ def run_pipeline(
             spark, layer="bronze", checked=bronze_run.rows,
             failures={**bronze_run.failures,
                       **bronze_uniqueness(bronze, bronze_run.key_changes, silver_run.surplus)},
-            file_path=metadata_path(lake.bronze), run_ts=run_ts,
+            file_path=qualified_path(spark, lake.bronze), run_ts=run_ts,
         )
         quality = bronze_quality.unionByName(silver_run.quality)
 

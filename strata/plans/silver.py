@@ -1,12 +1,11 @@
-"""Silver job (C4): standardise, split, write valid and quarantined rows, audit.
+"""Silver job (C4): standardise, split, write quarantined and valid rows, audit.
 
-The flagged frame is scanned once per write. Flagging is a map-only pass when
-the duplicate-key sets are broadcast (the usual case), so re-reading Bronze
-costs less than materialising the flagged rows. The Silver write observes,
-before its validity filter, the input and valid counts, the latest valid
-order day and every row-level audit count; the uniqueness counts come from
-the duplicate-key sets. So the quarantine decision, the Silver audit and the
-Gold period anchor need no scan of their own.
+Rows are flagged once and staged, laid out by day, whatever the size of the
+duplicate-key sets. The staging write observes, above its exchange, the input
+and valid counts, the latest valid order day and every row-level audit count;
+the uniqueness counts come from the duplicate-key sets. Quarantine and then
+Silver are map-only filters of the staged table, so a run that fails between
+the two has lost no reject. Working tables live in a folder of the run's own.
 """
 
 from __future__ import annotations
@@ -15,24 +14,24 @@ import logging
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.contracts import AUDIT_UNIQUE, PARTITION_COLUMNS, SILVER_RULES
-from strata.operators.lineage import metadata_path, stamp
+from strata.operators.lineage import child, qualified_path, stamp
 from strata.operators.quality import (
     VALID_FLAG,
     duplicate_sets,
     flag_valid,
+    key_surplus,
     report_from_counts,
     row_rule_metrics,
-    surplus_duplicates,
 )
 from strata.operators.standardize import to_silver
 from strata.plans.layout import Lake
-from strata.sinks.parquet import collected, write_layer
-from strata.session import work_path
+from strata.session import stage_table, work_folder
+from strata.sinks.parquet import day_layout, write_layer
 from strata.sources import layer_exists
 
 log = logging.getLogger(__name__)
@@ -57,39 +56,29 @@ def run_silver(
     run_ts: str,
     *,
     broadcast_max_bytes: int | None = None,
+) -> SilverResult:
+    with work_folder(spark) as work:
+        return _run_silver(spark, bronze, lake, run_ts, work, broadcast_max_bytes)
+
+
+def _run_silver(
+    spark: SparkSession, bronze: DataFrame, lake: Lake, run_ts: str, work: str, broadcast_max_bytes: int | None
 ) -> SilverResult:
     standardized = to_silver(bronze)
-    # The duplicate sets of a lake have a fixed working location, overwritten
-    # by each run, so scratch storage stays at one copy per lake.
     sets = duplicate_sets(
         standardized, SILVER_RULES.unique, broadcast_max_bytes=broadcast_max_bytes,
-        paths={k: work_path(spark, lake.base, f"duplicate_{k}") for k in SILVER_RULES.unique},
-    )
+        paths={k: child(work, f"duplicate_{k}") for k in SILVER_RULES.unique},
+    )
     flagged = flag_valid(standardized, SILVER_RULES, sets=sets)
-
     metrics = {
         "rows": F.count(F.lit(1)),
         "valid": F.count_if(F.col(VALID_FLAG)),
         "latest_day": F.max(F.when(F.col(VALID_FLAG), F.col("order_date"))),
         **row_rule_metrics("silver"),
     }
-    def stamped(frame: DataFrame) -> DataFrame:
-        return stamp(frame.where(F.col(VALID_FLAG)).drop(VALID_FLAG), lake.silver, run_ts)
-
-    if all(d.broadcast for d in sets):
-        # Broadcast flags: the write is map-only over Bronze, which is already
-        # laid out by order day, so it needs no shuffle, and the metrics are
-        # observed (before the validity filter) by the write's result tasks.
-        obs = Observation("silver_split")
-        write_layer(stamped(flagged.observe(obs, *[e.alias(k) for k, e in metrics.items()])), lake.silver,
-                    partition_by=PARTITION_COLUMNS, rebalance=False)
-        values = collected(obs, flagged, metrics)
-    else:
-        # After a sort-merge flag join rows are hashed by key: the write is
-        # rebalanced by day, and the metrics, which would otherwise sit in a
-        # shuffle-map stage, come from one exact aggregate.
-        values = flagged.agg(*[e.alias(k) for k, e in metrics.items()]).first().asDict()
-        write_layer(stamped(flagged), lake.silver, partition_by=PARTITION_COLUMNS)
+    # Bronze has the same days in its partition columns: counting them reads no row.
+    laid_out = day_layout(flagged, PARTITION_COLUMNS, sizes=bronze)
+    staged, values = stage_table(laid_out, "flagged", metrics, child(work, "flagged"))
     latest_day = values.pop("latest_day")
     values = {k: int(v or 0) for k, v in values.items()}
     input_rows, valid_rows = values.pop("rows"), values.pop("valid")
@@ -100,20 +89,18 @@ def run_silver(
     # exists; an existing table is overwritten, so stale rejects never linger.
     write_quarantine = rejected_rows > 0 or layer_exists(spark, lake.rejected)
     if write_quarantine:
-        rejected = flagged.where(~F.col(VALID_FLAG)).drop(VALID_FLAG)
-        write_layer(rejected, lake.rejected)
+        write_layer(staged.where(~F.col(VALID_FLAG)).drop(VALID_FLAG), lake.rejected)
     else:
         log.info("No rejected records found.")
+    silver = stamp(staged.where(F.col(VALID_FLAG)).drop(VALID_FLAG), lake.silver, run_ts)
+    write_layer(silver, lake.silver, partition_by=PARTITION_COLUMNS, lay_out=False)
 
     surplus = {f"{d.key}_unique": d.surplus for d in sets}
     missing = [k for k in AUDIT_UNIQUE if f"{k}_unique" not in surplus]
-    if missing:
-        row = standardized.agg(*[surplus_duplicates(k).alias(f"{k}_unique") for k in missing]).first()
-        surplus.update({k: int(v) for k, v in row.asDict().items()})
+    surplus.update({f"{k}_unique": key_surplus(standardized, k).first()["failed_records"] for k in missing})
     quality = report_from_counts(
         spark, layer="silver", checked=input_rows, failures={**values, **surplus},
-        file_path=metadata_path(lake.silver), run_ts=run_ts,
-    )
-    silver_schema = stamped(flagged).schema
-    return SilverResult(input_rows, valid_rows, rejected_rows, write_quarantine, quality, latest_day, silver_schema,
-                        {d.key: d.surplus for d in sets})
+        file_path=qualified_path(spark, lake.silver), run_ts=run_ts,
+    )
+    return SilverResult(input_rows, valid_rows, rejected_rows, write_quarantine, quality, latest_day, silver.schema,
+                        {d.key: d.surplus for d in sets})

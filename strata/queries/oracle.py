@@ -21,7 +21,17 @@ from strata.contracts import (
     STATUS_FAIL,
     STATUS_PASS,
 )
-from strata.queries.fixed import BRONZE_TAG, GOLD_CUSTOMER_TAG, GOLD_SALES_TAG, RUN_TS, SILVER_TAG
+from strata.queries.fixed import (
+    BRONZE_ROOT,
+    BRONZE_TAG,
+    GOLD_CUSTOMER_ROOT,
+    GOLD_CUSTOMER_TAG,
+    GOLD_SALES_ROOT,
+    GOLD_SALES_TAG,
+    RUN_TS,
+    SILVER_ROOT,
+    SILVER_TAG,
+)
 
 
 def q(text: str) -> str:
@@ -196,7 +206,14 @@ SILVER_SELECT = ("row_id, order_id, order_date, shipment_date, shipment_mode, cu
 ORACLE: dict[str, str] = {
     "src_csv_roundtrip": f"SELECT {CSV_COLS} FROM raw",
     "bronze_partition_read": "SELECT * FROM bronze",
-    "sink_bronze_roundtrip": f"SELECT {CSV_COLS}, order_date_year, order_date_month, order_date_day FROM bronze",
+    "src_header_check": (
+        "SELECT CAST(count(*) AS BIGINT) AS conforming_rows, CAST(0 AS BIGINT) AS other_files FROM raw"
+    ),
+    "src_inventory": "SELECT count(*) > 0 AS non_empty, CAST(count(*) AS BIGINT) AS row_count FROM raw",
+    "sink_bronze_roundtrip": (
+        f"SELECT {CSV_COLS}, {q(BRONZE_ROOT)} AS file_path, {q(RUN_TS)} AS execution_datetime, "
+        "order_date_year, order_date_month, order_date_day FROM bronze"
+    ),
     "sink_silver_roundtrip": (
         "SELECT row_id, order_id, order_date, shipment_date, shipment_mode, customer_id, customer_name, segment, "
         f"country, city, {q(SILVER_TAG)} AS file_path, {q(RUN_TS)} AS execution_datetime, "
@@ -268,17 +285,18 @@ ORACLE: dict[str, str] = {
     "customer_order_summary": (
         f"SELECT *, {q(GOLD_CUSTOMER_TAG)} AS file_path, {q(RUN_TS)} AS execution_datetime FROM summary"
     ),
-    # Tables written by the end-to-end job (file_path, a scratch location, dropped).
+    # Tables written by the end-to-end job; file_path is relative to the lake's root.
     "job_sales_table": (
-        f"SELECT order_id, order_date, shipment_date, shipment_mode, city, {q(RUN_TS)} AS execution_datetime, "
-        "order_date_year, order_date_month, order_date_day FROM valid"
+        f"SELECT order_id, order_date, shipment_date, shipment_mode, city, {q(GOLD_SALES_ROOT)} AS file_path, "
+        f"{q(RUN_TS)} AS execution_datetime, order_date_year, order_date_month, order_date_day FROM valid"
+    ),
+    "job_customer_table": (
+        f"SELECT *, {q(GOLD_CUSTOMER_ROOT)} AS file_path, {q(RUN_TS)} AS execution_datetime FROM summary"
     ),
-    "job_customer_table": f"SELECT *, {q(RUN_TS)} AS execution_datetime FROM summary",
     "job_quality_table": (
-        f"SELECT * EXCLUDE (file_path) FROM ({report_sql('bronze', 'bronze', BRONZE_TAG)} "
-        f"UNION ALL {report_sql('silver', 'std', SILVER_TAG)})"
+        f"{report_sql('bronze', 'bronze', BRONZE_ROOT)} UNION ALL {report_sql('silver', 'std', SILVER_ROOT)}"
     ),
-    "job_quarantine_table": "SELECT * EXCLUDE (file_path) FROM rejected",
+    "job_quarantine_table": f"SELECT * REPLACE ({q(BRONZE_ROOT)} AS file_path) FROM rejected",
 }
 
 

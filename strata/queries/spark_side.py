@@ -19,7 +19,6 @@ from strata.contracts import (
     CUSTOMER_PERIODS,
     CUSTOMER_RENAMES,
     GOLD_SALES_COLUMNS,
-    LINEAGE_COLUMNS,
     PARTITION_COLUMNS,
     RAW_COLUMNS,
     SHIP_MODE_CANONICAL,
@@ -27,7 +26,7 @@ from strata.contracts import (
     SILVER_RULES,
 )
 from strata.functions import canonical_label, clean_text, first_word, last_word, parse_date, title_case
-from strata.operators.lineage import stamp_literal
+from strata.operators.lineage import qualified_path, stamp_literal
 from strata.operators.quality import (
     allowed_values,
     chronology_holds,
@@ -41,13 +40,13 @@ from strata.operators.quality import (
     VALID_FLAG,
 )
 from strata.operators.standardize import project, rename, standardize_strings, to_silver, with_date_partitions
-from strata.operators.summary import customer_summary, latest_order_day, order_counts
+from strata.operators.summary import customer_summary, order_counts
 from strata.plans import Lake, run_pipeline
 from strata.plans.bronze import ingest_bronze
 from strata.queries.fixed import BRONZE_TAG, GOLD_CUSTOMER_TAG, GOLD_SALES_TAG, RUN_TS, SILVER_TAG
 from strata.session import scratch_path, session_id
 from strata.sinks import write_csv, write_layer
-from strata.sources import check_source, orders_source, read_checked, read_layer, read_strict
+from strata.sources import check_source, header_lines, orders_source, parsed_lines, read_checked, read_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,13 +116,25 @@ def src_csv_roundtrip(spark, sf_dir):
 
 
 def src_header_check(spark, sf_dir):
-    """Each staged part file's header is enforced during the scan."""
-    strict = read_strict(spark, _stage_csv(spark, sf_dir))
-    return strict.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
+    """Rows behind headers that equal the contract, and files with another header."""
+    path = _stage_csv(spark, sf_dir)
+    lines = parsed_lines(spark, path)
+    heads = header_lines(lines)
+    same = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.lit(c)), RAW_COLUMNS, F.col("_corrupt_record").isNull())
+    files = lines.groupBy("_file").agg((F.count(F.lit(1)) - 1).alias("rows"))
+    judged = files.join(heads.select("_file", same.alias("same")), "_file")
+    return judged.agg(
+        F.sum(F.when(F.col("same"), F.col("rows")).otherwise(0)).alias("conforming_rows"),
+        F.count_if(~F.col("same")).alias("other_files"),
+    )
 
 
 def src_inventory(spark, sf_dir):
-    return check_source(spark, _stage_csv(spark, sf_dir))
+    """Whether the source is there with bytes in every file, and how many rows its files hold."""
+    path = _stage_csv(spark, sf_dir)
+    files = check_source(spark, path)
+    rows = read_checked(spark, path).agg(F.count(F.lit(1)).alias("row_count"))
+    return rows.select(F.lit(all(f.length > 0 for f in files)).alias("non_empty"), "row_count")
 
 
 def bronze_partition_read(spark, sf_dir):
@@ -132,11 +143,19 @@ def bronze_partition_read(spark, sf_dir):
     return read_layer(spark, path)
 
 
+def below(df: DataFrame, base: str) -> DataFrame:
+    """``file_path`` relative to a lake's root, whose place differs from run to run."""
+    root = qualified_path(df.sparkSession, base) + "/"
+    path = F.col("file_path")
+    relative = F.when(F.startswith(path, F.lit(root)), F.substring(path, len(root) + 1, 1_000)).otherwise(path)
+    return df.withColumn("file_path", relative)
+
+
 def sink_bronze_roundtrip(spark, sf_dir):
-    """C1 from a staged CSV; lineage columns hold the scratch path, so they are dropped."""
-    path = scratch_path(spark, "bronze")
-    ingest_bronze(spark, _stage_csv(spark, sf_dir), path, RUN_TS)
-    return read_layer(spark, path).drop(*LINEAGE_COLUMNS)
+    """C1 from a staged CSV."""
+    lake = Lake(scratch_path(spark, "bronze_lake"))
+    ingest_bronze(spark, _stage_csv(spark, sf_dir), lake.bronze, RUN_TS)
+    return below(read_layer(spark, lake.bronze), lake.base)
 
 
 def sink_silver_roundtrip(spark, sf_dir):
@@ -268,28 +287,29 @@ def rejected_rows(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-def _rules(df: DataFrame, layer: str, predicate) -> DataFrame:
-    return rule_failures(df, layer).where(predicate).select("rule_name", "checked_records", "failed_records")
+def _rules(df: DataFrame, layer: str, wanted: Callable[[str], bool]) -> DataFrame:
+    found = rule_failures(df, layer, lambda rule: wanted(rule.name))
+    return found.select("rule_name", "checked_records", "failed_records")
 
 
 def dq_missing_counts(spark, sf_dir):
-    return _rules(bronze_rows(spark, sf_dir), "bronze", F.col("rule_name").endswith("_not_null"))
+    return _rules(bronze_rows(spark, sf_dir), "bronze", lambda name: name.endswith("_not_null"))
 
 
 def dq_surplus_duplicates(spark, sf_dir):
-    return _rules(standardized(spark, sf_dir), "silver", F.col("rule_name").endswith("_unique"))
+    return _rules(standardized(spark, sf_dir), "silver", lambda name: name.endswith("_unique"))
 
 
 def dq_date_validity(spark, sf_dir):
-    return _rules(bronze_rows(spark, sf_dir), "bronze", F.col("rule_name").endswith("_date_valid"))
+    return _rules(bronze_rows(spark, sf_dir), "bronze", lambda name: name.endswith("_date_valid"))
 
 
 def dq_chronology(spark, sf_dir):
-    return _rules(standardized(spark, sf_dir), "silver", F.col("rule_name") == "shipment_date_on_or_after_order_date")
+    return _rules(standardized(spark, sf_dir), "silver", lambda name: name == "shipment_date_on_or_after_order_date")
 
 
 def dq_allow_list(spark, sf_dir):
-    return _rules(standardized(spark, sf_dir), "silver", F.col("rule_name") == "shipment_mode_allowed")
+    return _rules(standardized(spark, sf_dir), "silver", lambda name: name == "shipment_mode_allowed")
 
 
 def dq_report_bronze(spark, sf_dir):
@@ -316,7 +336,7 @@ def latest_order_date(spark, sf_dir):
 
 def _counts(spark, sf_dir, metric: str) -> DataFrame:
     valid, _ = valid_and_rejected(spark, sf_dir)
-    counts = order_counts(valid, latest_order_day(valid), orders_unique=True)
+    counts = order_counts(valid, orders_unique=True)
     return counts.withColumnsRenamed(CUSTOMER_RENAMES).select(
         *[CUSTOMER_RENAMES.get(k, k) for k in CUSTOMER_KEY_COLUMNS], metric
     )
@@ -346,8 +366,8 @@ def customer_order_summary(spark, sf_dir):
 
 # ---------------------------------------------------------------------------
 # The end-to-end job (C7): run once per session and sf_dir from a staged CSV;
-# each query reads one table the job wrote. ``file_path`` holds the scratch
-# location, so it is dropped; the run timestamp is fixed.
+# each query reads one table the job wrote. ``file_path`` is shown relative to
+# the lake's root; the run timestamp is fixed.
 # ---------------------------------------------------------------------------
 
 _JOB_LAKES: dict[tuple[str, str], Lake] = {}
@@ -364,19 +384,23 @@ def job_lake(spark: SparkSession, sf_dir: str) -> Lake:
 
 
 def job_sales_table(spark, sf_dir):
-    return read_layer(spark, job_lake(spark, sf_dir).gold_sales).drop("file_path")
+    lake = job_lake(spark, sf_dir)
+    return below(read_layer(spark, lake.gold_sales), lake.base)
 
 
 def job_customer_table(spark, sf_dir):
-    return read_layer(spark, job_lake(spark, sf_dir).gold_customer).drop("file_path")
+    lake = job_lake(spark, sf_dir)
+    return below(read_layer(spark, lake.gold_customer), lake.base)
 
 
 def job_quality_table(spark, sf_dir):
-    return read_layer(spark, job_lake(spark, sf_dir).gold_quality).drop("file_path")
+    lake = job_lake(spark, sf_dir)
+    return below(read_layer(spark, lake.gold_quality), lake.base)
 
 
 def job_quarantine_table(spark, sf_dir):
-    return read_layer(spark, job_lake(spark, sf_dir).rejected).drop("file_path")
+    lake = job_lake(spark, sf_dir)
+    return below(read_layer(spark, lake.rejected), lake.base)
 
 
 QUERIES: dict[str, Query] = {
@@ -425,6 +449,3 @@ QUERIES: dict[str, Query] = {
     "job_quality_table": job_quality_table,
     "job_quarantine_table": job_quarantine_table,
 }
-
-# Not comparable with SQL: they report files, which depend on the write layout.
-ROWS_ONLY = frozenset({"src_header_check", "src_inventory"})

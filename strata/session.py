@@ -1,45 +1,30 @@
-"""Session-level helpers: the shared checkpoint folder and scratch paths.
+"""Session-level helpers: the shared checkpoint folder and working tables in it.
 
-Lineage is cut with written tables under the folder the cluster names in
-``spark.checkpoint.dir``. A folder of our own is set only when the session
-has none and runs in local mode (tests, a laptop).
+Lineage is cut with written tables under the folder that the cluster names in
+``spark.checkpoint.dir``. Where a session names none, a folder under its
+warehouse, which is shared too, takes its place. Each application has one
+folder there; ``clear_scratch`` deletes it, ``work_folder`` gives a run one of
+its own that goes when the run ends.
 """
 
 from __future__ import annotations
 
-import hashlib
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-from strata.operators.lineage import join_path
+from strata.operators.lineage import child
 from strata.sinks.parquet import collected
 
+SCRATCH_NAME = "strata-scratch"
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's reliable checkpoint folder, set up locally if unset."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # no SparkContext on a remote (Connect) session
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
-    if current:
-        return current
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder for working tables: the configured one, else one under the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
-        if not master.startswith("local"):
-            # A machine-local folder is invisible to the other executors.
-            raise RuntimeError("Set spark.checkpoint.dir to a shared folder; scratch tables are written there.")
-        # Local mode without a configured folder (tests, a laptop).
-        configured = tempfile.mkdtemp(prefix="strata-ckpt-")
-        if sc is None:
-            spark.conf.set("spark.checkpoint.dir", configured)
-    if sc is not None:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    return configured
+    return configured or child(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
 
 
 def session_id(spark: SparkSession) -> str:
@@ -48,20 +33,30 @@ def session_id(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
-    return join_path(checkpoint_dir(spark), "strata-scratch", uuid.uuid4().hex, name)
+    """A fresh path in this application's folder for a written table."""
+    return child(shared_root(spark), SCRATCH_NAME, session_id(spark), uuid.uuid4().hex, name)
 
 
-def work_path(spark: SparkSession, owner: str, name: str) -> str:
-    """A stable path for ``owner``'s working table ``name``, reused run after run.
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder through its Hadoop file system, if it is there."""
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
-    Lives under the configured shared folder (not the per-application
-    subfolder Spark adds), so overwriting it on every run keeps one copy per
-    owner instead of one per run.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
-    digest = hashlib.sha1(owner.encode("utf-8")).hexdigest()[:16]
-    return join_path(root, "strata-work", digest, name)
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes this application's working tables; frames that read them can't be used after."""
+    delete_path(spark, child(shared_root(spark), SCRATCH_NAME, session_id(spark)))
+
+
+@contextmanager
+def work_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for one run's working tables, deleted when the run ends, well or not."""
+    path = scratch_path(spark, "work")
+    try:
+        yield path
+    finally:
+        delete_path(spark, path.rsplit("/", 1)[0])
 
 
 def stage_table(
@@ -79,5 +74,6 @@ def stage_table(
     path = path or scratch_path(spark, name)
     obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}") if metrics else None
     (df.observe(obs, *[e.alias(k) for k, e in metrics.items()]) if obs else df).write.mode("overwrite").parquet(path)
-    table = spark.read.parquet(path)
+    # The schema is known: nothing is inferred, so an empty table reads as one.
+    table = spark.read.schema(df.schema).parquet(path)
     return table, (collected(obs, table, metrics) if metrics else {})

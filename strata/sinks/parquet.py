@@ -1,22 +1,32 @@
 """Layer writers (K1-K6).
 
-Writes go through a ``rebalance`` hint: adaptive execution sizes the write
-partitions, splits a hot partition value (one day holding a large share of
-rows) over several tasks, and merges small ones, so neither one task per day
-nor one file per day and task results.
-
-Metrics observed on a write are attached *above* the rebalance exchange, so
-they are computed by the write's result tasks. Result-task accumulator
-updates are applied once per partition even when tasks or stages are re-run
-after an executor loss; updates from a shuffle-map stage are not.
+A table partitioned by day is laid out before it is written: rows are dealt
+by day over as many tasks as the session shuffles to, a number that adaptive
+execution leaves alone. What a day costs is its file, not its bytes, so days
+that are small in bytes must not end in one task. A hot day is split: one that
+holds more than a task's share of all rows is dealt under several salts, in
+proportion. There are at most two such days per task, so the list of them is
+bounded whatever the table.
+
+Metrics observed on a write are attached *above* the exchange, so they are
+computed by the write's result tasks. Result-task accumulator updates are
+applied once per partition even when tasks or stages are re-run after an
+executor loss; updates from a shuffle-map stage are not.
 """
 
 from __future__ import annotations
 
+import logging
+import math
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
+
+log = logging.getLogger(__name__)
 
 
 def collected(obs: Observation, df: DataFrame, metrics: dict[str, Column]) -> dict:
@@ -27,11 +37,42 @@ def collected(obs: Observation, df: DataFrame, metrics: dict[str, Column]) -> di
     """
     try:
         values = dict(obs.get)
-        if set(values) != set(metrics):
-            raise KeyError("incomplete metrics")
+    except (PySparkException, Py4JError):
+        values = {}
+    if set(values) == set(metrics):
         return values
-    except Exception:  # metrics unavailable for this plan
-        return df.agg(*[e.alias(k) for k, e in metrics.items()]).first().asDict()
+    log.warning("No metrics observed for this plan; one aggregate computes them.")
+    return df.agg(*[e.alias(k) for k, e in metrics.items()]).first().asDict()
+
+
+def write_tasks(df: DataFrame) -> int:
+    """Tasks a laid-out write is dealt to."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def day_layout(df: DataFrame, keys: Sequence[str], sizes: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+    """Rows dealt by ``keys`` over ``tasks`` tasks, hot values over several.
+
+    ``sizes`` is a frame with the same rows per key that is cheaper to count
+    (a written table); by default ``df`` itself is counted. A value is hot
+    from half a task's share on, so at most ``2 * tasks`` values are.
+    """
+    keys = list(keys)
+    n = tasks or write_tasks(df)
+    counts = (df if sizes is None else sizes).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows").alias("total")).first()["total"] or 0
+    share = max(1, math.ceil(total / (2 * n)))
+    hot = counts.filter(F.col("_rows") > share).collect()
+    salts = F.lit(1)
+    for row in hot:
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.lit(row[k]))
+        salts = F.when(same, F.lit(math.ceil(row["_rows"] / share))).otherwise(salts)
+    # The salt is taken from the row itself: a recomputed task deals its rows alike.
+    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys][:4] or keys), salts)
+    return df.repartition(n, *keys, salt)
 
 
 def write_layer(
@@ -41,24 +82,18 @@ def write_layer(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     metrics: dict[str, Column] | None = None,
-    rebalance_on: Sequence[str] | None = None,
-    rebalance: bool = True,
+    lay_out: bool = True,
+    sizes: DataFrame | None = None,
 ) -> dict:
     """Write ``df`` as Parquet, Hive-partitioned by ``partition_by``.
 
     ``metrics`` (aggregate expressions by name) are observed by the write job
     itself and returned, without a separate scan.
-    ``rebalance_on`` defaults to the partition columns; pass ``()`` when they
-    are constant (hashing a constant would send every row to one task).
-    ``rebalance=False`` skips the shuffle when ``df`` is a map-only
-    derivation of a table already laid out by the same partition columns:
-    each task then writes the days of the files it reads, so the layout and
-    file sizes of the input carry over.
+    ``lay_out=False`` skips the shuffle: for a map-only derivation of a table
+    laid out by the same partition columns, and for constant partition
+    columns. ``sizes`` is passed to ``day_layout``.
     """
-    out = df
-    if rebalance:
-        keys = tuple(partition_by if rebalance_on is None else rebalance_on)
-        out = out.hint("rebalance", *keys) if keys else out.hint("rebalance")
+    out = day_layout(df, partition_by, sizes) if partition_by and lay_out else df
     obs = None
     if metrics:
         obs = Observation(f"write_{uuid.uuid4().hex[:8]}")

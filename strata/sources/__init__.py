@@ -1,19 +1,19 @@
 """Sources: strict CSV, file inventory, Parquet layers, driver-table adapter."""
 
-from strata.sources.csv import count_corrupt_rows, read_checked, read_header, read_strict, validate_header
+from strata.sources.csv import check_headers, header_lines, parsed_lines, read_checked, validate_header
 from strata.sources.inventory import check_source, source_files
 from strata.sources.parquet import layer_exists, read_layer
 from strata.sources.tables import orders_source, table
 
 __all__ = [
+    "check_headers",
     "check_source",
-    "count_corrupt_rows",
+    "header_lines",
     "layer_exists",
     "orders_source",
+    "parsed_lines",
     "read_checked",
-    "read_header",
     "read_layer",
-    "read_strict",
     "source_files",
     "table",
     "validate_header",

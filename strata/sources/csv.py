@@ -1,31 +1,28 @@
-"""Strict typed CSV source (S1, S2) with a corrupt-row preflight.
-
-* The header is read from the file itself and compared, in order, with the
-  contract; ``enforceSchema=false`` then makes every file's header checked
-  against the schema during the scan, so a reordered header in any part
-  fails instead of loading misnamed columns.
-* Before anything is overwritten, one ``PERMISSIVE`` pass counts malformed
-  rows (bad numbers, short or long rows). All columns are referenced so the
-  parser does not prune any of them.
+"""Strict typed CSV source (S1, S2), parsed once.
+
+One permissive pass reads every line as texts, headers included, into a
+working table with the file it came from. Headers, malformed rows and types
+are then checked on that table, before anything is published:
+
+* the first line of every file must be the contract's header, exactly and in
+  order, case included;
+* a row with fewer or more fields, or with a text where a number belongs, is
+  malformed.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 
 from strata.contracts import MSG_BAD_HEADER, MSG_MALFORMED, RAW_COLUMNS, RAW_SCHEMA
+from strata.session import stage_table
 
 CORRUPT_COLUMN = "_corrupt_record"
-
-
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names as written in the header line."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(str(path)).columns
+FILE_COLUMN, BLOCK_COLUMN, LINE_COLUMN = "_file", "_block", "_line"
 
 
 def validate_header(columns: Sequence[str], expected: Sequence[str] = RAW_COLUMNS) -> None:
@@ -34,43 +31,74 @@ def validate_header(columns: Sequence[str], expected: Sequence[str] = RAW_COLUMN
         raise ValueError(MSG_BAD_HEADER.format(expected=tuple(expected), actual=tuple(columns)))
 
 
-def _reader(spark: SparkSession, schema: StructType, mode: str):
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", mode)
-    )
-
-
-def count_corrupt_rows(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> int:
-    """Rows that do not parse against ``schema``."""
-    with_corrupt = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
-    df = _reader(spark, with_corrupt, "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(str(path))
-    try:
-        row = df.agg(
-            F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("bad"),
-            *[F.count(F.col(f.name)).alias(f"_n{i}") for i, f in enumerate(schema.fields)],
-        ).first()
-    except Exception as e:  # a part file whose header differs from the contract
-        text = str(e)
-        if "CSV header does not conform to the schema" not in text:
-            raise
-        found = re.search(r"reading file (\S+?)\.?\s", text)
-        where = found.group(1) if found else str(path)
-        raise ValueError(MSG_BAD_HEADER.format(expected=tuple(schema.names), actual=f"another header in {where}")) from e
-    return int(row["bad"])
-
-
-def read_strict(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
-    """Typed scan that fails on any malformed row (``FAILFAST``)."""
-    return _reader(spark, schema, "FAILFAST").csv(str(path))
-
-
-def read_checked(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
-    """Header check and corrupt-row preflight, then the strict scan."""
-    validate_header(read_header(spark, path), schema.names)
-    bad = count_corrupt_rows(spark, path, schema)
+def parsed_lines(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA, folder: str | None = None) -> DataFrame:
+    """All lines of all files as texts: the one parse of the source, staged.
+
+    ``_file``, ``_block`` and ``_line`` give each line's place; within a file,
+    lines of one block are numbered in order.
+    """
+    texts = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
+    with_corrupt = StructType([*texts.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
+    reader = spark.read.schema(with_corrupt).option("header", False).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(str(path))
+    rows = rows.select(
+        "*", F.col("_metadata.file_path").alias(FILE_COLUMN), F.col("_metadata.file_block_start").alias(BLOCK_COLUMN),
+        F.monotonically_increasing_id().alias(LINE_COLUMN),
+    )
+    return stage_table(rows, "csv_lines", path=folder)[0]
+
+
+def header_lines(lines: DataFrame) -> DataFrame:
+    """(file, line number, fields) of the first line of every file."""
+    names = [c for c in lines.columns if c not in (CORRUPT_COLUMN, FILE_COLUMN, BLOCK_COLUMN, LINE_COLUMN)]
+    fields = F.struct(LINE_COLUMN, CORRUPT_COLUMN, *names)
+    first = lines.filter(F.col(BLOCK_COLUMN) == 0).groupBy(FILE_COLUMN).agg(F.min_by(fields, LINE_COLUMN).alias("_h"))
+    return first.select(FILE_COLUMN, "_h.*")
+
+
+def check_headers(lines: DataFrame, names: Sequence[str]) -> None:
+    """S2 for every file: raises with the header of the first one that differs."""
+    same = F.col(CORRUPT_COLUMN).isNull()
+    for name in names:
+        same = same & F.col(name).eqNullSafe(F.lit(name))
+    other = header_lines(lines).filter(~same).orderBy(FILE_COLUMN).first()
+    if other is not None:
+        found = other[CORRUPT_COLUMN].split(",") if other[CORRUPT_COLUMN] else [other[n] for n in names]
+        raise ValueError(MSG_BAD_HEADER.format(expected=tuple(names), actual=tuple(found)) + f" in {other[FILE_COLUMN]}")
+
+
+def _typed(field: StructField) -> Column:
+    text = F.col(field.name)
+    if isinstance(field.dataType, StringType):
+        return text
+    if isinstance(field.dataType, IntegralType):  # a cast would also take blanks and fractions
+        text = F.when(text.rlike(r"^[+-]?[0-9]+$"), text)
+    return text.try_cast(field.dataType)
+
+
+def data_rows(lines: DataFrame, schema: StructType = RAW_SCHEMA) -> DataFrame:
+    """Lines behind the headers, typed, with ``_bad`` marking the malformed ones."""
+    heads = header_lines(lines).select(F.col(FILE_COLUMN).alias("_hf"), F.col(LINE_COLUMN).alias("_hl"))
+    at_head = (F.col(FILE_COLUMN) == F.col("_hf")) & (F.col(LINE_COLUMN) == F.col("_hl"))
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    for f in schema.fields:
+        bad = bad | (F.col(f.name).isNotNull() & _typed(f).isNull())
+    rows = lines.join(heads, at_head, "left_anti")
+    return rows.select(*[_typed(f).alias(f.name) for f in schema.fields], bad.alias("_bad"))
+
+
+def read_checked(
+    spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA, folder: str | None = None
+) -> DataFrame:
+    """The source's rows, once all headers and rows have passed.
+
+    The source is parsed once, into ``folder`` (default: a fresh working
+    table); the checks and the rows come from there.
+    """
+    lines = parsed_lines(spark, path, schema, folder)
+    check_headers(lines, schema.names)
+    rows = data_rows(lines, schema)
+    bad = rows.agg(F.count_if("_bad").alias("bad")).first()["bad"]
     if bad:
-        raise ValueError(MSG_MALFORMED.format(count=bad, path=path))
-    return read_strict(spark, path, schema)
+        raise ValueError(MSG_MALFORMED.format(count=int(bad), path=path))
+    return rows.drop("_bad")

@@ -1,13 +1,11 @@
-"""Source presence and emptiness checks (S3, S4) through Spark's file listing.
-
-``binaryFile`` lists any Hadoop-compatible path. Only ``path`` and ``length``
-are selected, so file contents are never read.
-"""
+"""Source presence and emptiness checks (S3, S4) through Hadoop's file listing."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from strata.contracts import MSG_SOURCE_EMPTY, MSG_SOURCE_MISSING
 
@@ -16,23 +14,38 @@ def _missing(e: AnalysisException) -> bool:
     return (e.getCondition() or "") == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
 
 
-def source_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, length)`` of every non-empty file under ``path``.
+@dataclass(frozen=True)
+class SourceFile:
+    path: str
+    length: int
 
-    A missing path raises ``FileNotFoundError``.
-    """
-    try:
-        listing = spark.read.format("binaryFile").load(str(path))
-    except AnalysisException as e:
-        if _missing(e):
-            raise FileNotFoundError(MSG_SOURCE_MISSING.format(path=path)) from e
-        raise
-    return listing.select("path", "length")
 
+def source_files(spark: SparkSession, path: str) -> list[SourceFile]:
+    """Every file of a source, zero-byte ones too, in order of path.
 
-def check_source(spark: SparkSession, path: str) -> DataFrame:
-    """Raise when the source is missing or holds no bytes; return the listing."""
+    The listing alone is read, as Spark itself does to plan a scan; marker
+    and hidden files are not part of a source. Globs may be used. A missing
+    path raises ``FileNotFoundError``.
+    """
+    context = spark.sparkContext
+    pattern = context._jvm.org.apache.hadoop.fs.Path(str(path))
+    file_system = pattern.getFileSystem(context._jsc.hadoopConfiguration())
+    matches = file_system.globStatus(pattern)
+    if matches is None or len(matches) == 0:
+        raise FileNotFoundError(MSG_SOURCE_MISSING.format(path=path))
+    found = []
+    for status in matches:
+        entries = file_system.listStatus(status.getPath()) if status.isDirectory() else [status]
+        for entry in entries:
+            if entry.isFile() and not entry.getPath().getName().startswith(("_", ".")):
+                found.append(SourceFile(entry.getPath().toString(), entry.getLen()))
+    return sorted(found, key=lambda f: f.path)
+
+
+def check_source(spark: SparkSession, path: str) -> list[SourceFile]:
+    """Raise when the source is missing, has no file, or has one without bytes; else its files."""
     files = source_files(spark, path)
-    if files.isEmpty():
-        raise ValueError(MSG_SOURCE_EMPTY.format(path=path))
+    empty = [f.path for f in files if f.length == 0]
+    if empty or not files:
+        raise ValueError(MSG_SOURCE_EMPTY.format(path=empty[0] if empty else path))
     return files

@@ -27,8 +27,12 @@ def read_layer(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def layer_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there, with files or (after a broken overwrite) without."""
     try:
         read_layer(spark, path)
     except FileNotFoundError:
         return False
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
     return True

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from strata.contracts import SHIP_MODE_CANONICAL
@@ -9,7 +11,6 @@ from strata.functions import (
     first_word,
     is_blank,
     last_word,
-    month_start_shift,
     parse_date,
     title_case,
 )
@@ -58,19 +59,14 @@ def test_is_blank_on_numbers_and_text(spark):
     assert one(spark, is_blank, "x") is False
 
 
-def test_parse_date_grammar(spark):
-    assert one(spark, parse_date, "2025-01-05") == dt.date(2025, 1, 5)
-    assert one(spark, parse_date, "2025-1-5") == dt.date(2025, 1, 5)
-    assert one(spark, parse_date, "2025-02-30") is None
-    assert one(spark, parse_date, "20250105") is None
-    assert one(spark, parse_date, "bad-date") is None
-    assert one(spark, parse_date, None) is None
-
-
-def test_month_shift(spark):
-    d = dt.date(2018, 12, 20)
-    assert one(spark, lambda c: month_start_shift(c, -5), d, "date") == dt.date(2018, 7, 1)
-    assert one(spark, lambda c: month_start_shift(c, -11), d, "date") == dt.date(2018, 1, 1)
+@pytest.mark.parametrize("text, day", [
+    ("2025-01-05", (2025, 1, 5)), ("2025-1-5", (2025, 1, 5)), ("2025", (2025, 1, 1)), ("2025-01", (2025, 1, 1)),
+    ("2025-01-05T12:00", (2025, 1, 5)), ("2025-01-05 12:00:00", (2025, 1, 5)), ("  2025-01-05 ", (2025, 1, 5)),
+    ("2025-01-05 junk", (2025, 1, 5)), ("2025-01-05junk", None), ("2025-02-30", None), ("20250105", None),
+    ("05/01/2025", None), ("2025-13-01", None), ("bad-date", None), ("", None), (None, None),
+])
+def test_parse_date_grammar(spark, text, day):
+    assert one(spark, parse_date, text) == (dt.date(*day) if day else None)
 
 
 def test_name_parts(spark):

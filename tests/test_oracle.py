@@ -37,11 +37,11 @@ def con():
     return c
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    from strata.queries.spark_side import ROWS_ONLY
+def test_every_query_has_an_oracle():
+    from strata.queries.spark_side import QUERIES
 
-    assert set(E.oracle_sql()) | ROWS_ONLY == set(E.queries())
-    assert len(E.queries()) == 44
+    assert set(QUERIES) <= set(E.oracle_sql())
+    assert len(QUERIES) == 44
 
 
 DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean",

@@ -2,17 +2,18 @@ import os
 
 import pytest
 
+from strata.operators.lineage import qualified_path
 from strata.plans import Lake, run_pipeline
 from strata.sources import layer_exists, read_layer
 from tests.conftest import write_text
 
 CLEAN_CUSTOMERS = {
-    ("C-10001", "Alice", "Johnson", "CONSUMER", "UNITED STATES"): (1, 3, 3, 3),
-    ("C-10002", "Bob", "Smith", "CORPORATE", "CANADA"): (2, 2, 2, 2),
-    ("C-10003", "Carol", "White", "CONSUMER", "UNITED STATES"): (1, 1, 1, 1),
-    ("C-10004", "Daniel", "Brown", "HOME OFFICE", "UNITED STATES"): (0, 1, 1, 1),
-    ("C-10005", "Eva", "Davis", "CORPORATE", "UNITED KINGDOM"): (0, 0, 1, 1),
+    ("K-1", "Mira", "Oduya", "CONSUMER", "KENYA"): (2, 3, 4, 4),
+    ("K-2", "Teo", "Berg", "CORPORATE", "BELGIUM"): (1, 1, 2, 2),
+    ("K-3", "Cher", "Cher", "HOME OFFICE", "FRANCE"): (0, 0, 0, 1),
+    ("K-4", "Ana", "Silva", "CONSUMER", "BRAZIL"): (0, 1, 1, 1),
 }
+DIRTY_COUNTS = {"bronze": 16, "silver_input": 16, "silver": 3, "rejected": 13}
 
 
 def customers(df):
@@ -34,8 +35,8 @@ def test_clean_file_end_to_end(spark, tmp_path, clean_csv):
     assert bronze.count() == 8
     assert dict(bronze.dtypes)["order_date"] == "string"  # raw text preserved
     assert dict(bronze.dtypes)["order_date_year"] == "int"
-    assert os.path.isdir(os.path.join(lake.bronze, "order_date_year=2018", "order_date_month=12", "order_date_day=30"))
-    assert {r.file_path for r in bronze.select("file_path").distinct().collect()} == {os.path.realpath(lake.bronze)}
+    assert os.path.isdir(os.path.join(lake.bronze, "order_date_year=2023", "order_date_month=3", "order_date_day=31"))
+    assert {r.file_path for r in bronze.select("file_path").distinct().collect()} == {qualified_path(spark, lake.bronze)}
 
     sales = read_layer(spark, lake.gold_sales)
     assert sales.count() == 8
@@ -45,7 +46,7 @@ def test_clean_file_end_to_end(spark, tmp_path, clean_csv):
     cust = read_layer(spark, lake.gold_customer)
     assert customers(cust) == CLEAN_CUSTOMERS
     assert os.listdir(lake.gold_customer) and os.path.isdir(
-        os.path.join(lake.gold_customer, "order_date_year=2018", "order_date_month=12", "order_date_day=30"))
+        os.path.join(lake.gold_customer, "order_date_year=2023", "order_date_month=3", "order_date_day=31"))
 
     quality = read_layer(spark, lake.gold_quality)
     assert quality.count() == 24
@@ -57,14 +58,14 @@ def test_dirty_file_end_to_end(spark, tmp_path, dirty_csv):
     base = str(tmp_path / "lake")
     res = run_pipeline(spark, dirty_csv, base)
     lake = Lake(base)
-    assert res.counts == {"bronze": 18, "silver_input": 18, "silver": 5, "rejected": 13}
+    assert res.counts == DIRTY_COUNTS
 
     rejected = read_layer(spark, lake.rejected)
     assert rejected.count() == 13
     assert set(res.tables) == {"bronze", "silver", "rejected", "sales", "customer", "data_quality"}
     assert res.tables["rejected"].count() == 13
-    assert sorted(r.row_id for r in read_layer(spark, lake.silver).collect()) == [1, 2, 3, 4, 5]
-    bad_date = rejected.where("row_id = 8").first()
+    assert sorted(r.row_id for r in read_layer(spark, lake.silver).collect()) == [201, 202, 203]
+    bad_date = rejected.where("row_id = 206").first()
     assert bad_date.order_date is None  # quarantine stores standardised rows
 
     quality = read_layer(spark, lake.gold_quality).where("layer = 'silver'")
@@ -74,12 +75,12 @@ def test_dirty_file_end_to_end(spark, tmp_path, dirty_csv):
         "city_not_null": 1, "row_id_unique": 1, "order_id_unique": 1, "order_date_valid": 1,
         "shipment_date_valid": 1, "shipment_date_on_or_after_order_date": 1, "shipment_mode_allowed": 1,
     }
-    assert quality.select("checked_records").distinct().collect()[0][0] == 18
+    assert quality.select("checked_records").distinct().collect()[0][0] == 16
 
     cust = customers(read_layer(spark, lake.gold_customer))
-    assert len(cust) == 5 and set(cust.values()) == {(1, 1, 1, 1)}
+    assert len(cust) == 3 and set(cust.values()) == {(1, 1, 1, 1)}
     day = read_layer(spark, lake.gold_customer).select("order_date_year", "order_date_month", "order_date_day").first()
-    assert tuple(day) == (2025, 1, 9)
+    assert tuple(day) == (2024, 5, 7)
 
 
 def test_rerun_overwrites_and_clears_stale_quarantine(spark, tmp_path, dirty_csv, clean_csv):
@@ -115,7 +116,6 @@ def test_empty_source_raises(spark, tmp_path):
 
 
 def test_observed_audit_equals_aggregate_audit(spark, tmp_path, dirty_csv):
-    from strata.operators.lineage import metadata_path
     from strata.operators.quality import quality_report
     from strata.operators.standardize import to_silver
 
@@ -123,8 +123,8 @@ def test_observed_audit_equals_aggregate_audit(spark, tmp_path, dirty_csv):
     lake = Lake(base)
     res = run_pipeline(spark, dirty_csv, base, run_ts="t")
     bronze = read_layer(spark, lake.bronze)
-    expected = quality_report(bronze, layer="bronze", file_path=metadata_path(lake.bronze), run_ts="t").unionByName(
-        quality_report(to_silver(bronze), layer="silver", file_path=metadata_path(lake.silver), run_ts="t"))
+    expected = quality_report(bronze, layer="bronze", file_path=qualified_path(spark, lake.bronze), run_ts="t").unionByName(
+        quality_report(to_silver(bronze), layer="silver", file_path=qualified_path(spark, lake.silver), run_ts="t"))
     got = read_layer(spark, lake.gold_quality)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
     assert res.counts["rejected"] == 13
@@ -135,8 +135,8 @@ def test_sort_merge_fallback_gives_same_layers(spark, tmp_path, dirty_csv, budge
     base = str(tmp_path / f"lake{budget}")
     res = run_pipeline(spark, dirty_csv, base, run_ts="t", broadcast_max_bytes=budget)
     lake = Lake(base)
-    assert res.counts == {"bronze": 18, "silver_input": 18, "silver": 5, "rejected": 13}
-    assert sorted(r.row_id for r in read_layer(spark, lake.silver).collect()) == [1, 2, 3, 4, 5]
+    assert res.counts == DIRTY_COUNTS
+    assert sorted(r.row_id for r in read_layer(spark, lake.silver).collect()) == [201, 202, 203]
     fails = read_layer(spark, lake.gold_quality).where("layer = 'silver' AND status = 'FAIL'").count()
     assert fails == 11
 
@@ -152,7 +152,6 @@ def test_header_only_source_flows_through_and_raises_before_gold(spark, tmp_path
 
 
 def test_bronze_uniqueness_when_cleaning_changes_a_key(spark, tmp_path):
-    from strata.operators.lineage import metadata_path
     from strata.operators.quality import quality_report
     from strata.operators.standardize import to_silver
 
@@ -168,8 +167,8 @@ def test_bronze_uniqueness_when_cleaning_changes_a_key(spark, tmp_path):
     assert got[("bronze", "order_id_unique")] == 0  # raw values differ
     assert got[("silver", "order_id_unique")] == 1  # equal once cleaned
     bronze = read_layer(spark, lake.bronze)
-    expected = quality_report(bronze, layer="bronze", file_path=metadata_path(lake.bronze), run_ts="t").unionByName(
-        quality_report(to_silver(bronze), layer="silver", file_path=metadata_path(lake.silver), run_ts="t"))
+    expected = quality_report(bronze, layer="bronze", file_path=qualified_path(spark, lake.bronze), run_ts="t").unionByName(
+        quality_report(to_silver(bronze), layer="silver", file_path=qualified_path(spark, lake.silver), run_ts="t"))
     assert sorted(map(tuple, read_layer(spark, lake.gold_quality).collect())) == sorted(map(tuple, expected.collect()))
 
 
@@ -179,10 +178,69 @@ def test_overwrite_replaces_all_days_even_with_dynamic_default(spark, tmp_path,
     old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        run_pipeline(spark, dirty_csv, base, run_ts="t1")   # 2025 days
-        run_pipeline(spark, clean_csv, base, run_ts="t2")   # 2018 days only
+        run_pipeline(spark, dirty_csv, base, run_ts="t1")   # 2024 days
+        run_pipeline(spark, clean_csv, base, run_ts="t2")   # 2022 and 2023 days only
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
     years = {r[0] for r in read_layer(spark, lake.bronze).select("order_date_year").distinct().collect()}
-    assert years == {2018}
-    assert {r[0] for r in read_layer(spark, lake.gold_sales).select("order_date_year").distinct().collect()} == {2018}
+    assert years == {2022, 2023}
+    assert {r[0] for r in read_layer(spark, lake.gold_sales).select("order_date_year").distinct().collect()} == {2022, 2023}
+
+
+def test_gold_result_holds_the_written_tables(spark, tmp_path, clean_csv):
+    res = run_pipeline(spark, clean_csv, str(tmp_path / "lake"), run_ts="t")
+    lake = res.lake
+    for name, path in [("sales", lake.gold_sales), ("customer", lake.gold_customer), ("data_quality", lake.gold_quality)]:
+        assert all(f.startswith(qualified_path(spark, path).replace("file:", "file://")) for f in res.tables[name].inputFiles())
+
+
+def scratch_folders(spark):
+    from strata.session import SCRATCH_NAME, session_id, shared_root
+
+    root = os.path.join(shared_root(spark), SCRATCH_NAME, session_id(spark))
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+def test_a_run_deletes_its_working_tables(spark, tmp_path, dirty_csv):
+    before = scratch_folders(spark)
+    res = run_pipeline(spark, dirty_csv, str(tmp_path / "lake"), run_ts="t")
+    left = scratch_folders(spark) - before
+    # What the customer summary staged belongs to the session, not to the run.
+    assert {tuple(os.listdir(os.path.join(res_root(spark), f))) for f in left} <= {("customer_days",)}
+
+
+def res_root(spark):
+    from strata.session import SCRATCH_NAME, session_id, shared_root
+
+    return os.path.join(shared_root(spark), SCRATCH_NAME, session_id(spark))
+
+
+def test_two_lakes_of_one_relative_base_side_by_side(spark, tmp_path, dirty_csv, clean_csv):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(run_pipeline, spark, src, str(tmp_path / name / "datalake"))
+                for name, src in (("a", dirty_csv), ("b", clean_csv))]
+        a, b = (r.result() for r in runs)
+    assert a.counts == DIRTY_COUNTS
+    assert b.counts == {"bronze": 8, "silver_input": 8, "silver": 8, "rejected": 0}
+
+
+def test_an_empty_quarantine_folder_does_not_stop_a_run(spark, tmp_path, clean_csv):
+    lake = Lake(str(tmp_path / "lake"))
+    os.makedirs(lake.rejected)  # what an overwrite leaves that died after its delete
+    assert layer_exists(spark, lake.rejected)
+    assert run_pipeline(spark, clean_csv, lake.base).counts["rejected"] == 0
+
+
+def test_quarantine_is_written_before_silver(spark, tmp_path, dirty_csv, monkeypatch):
+    from strata.plans import silver
+
+    written = []
+    monkeypatch.setattr(silver, "write_layer", lambda df, path, **kw: written.append(path))
+    lake = Lake(str(tmp_path / "lake"))
+    from strata.plans import ingest_bronze
+
+    run = ingest_bronze(spark, dirty_csv, lake.bronze, "t")
+    silver.run_silver(spark, read_layer(spark, lake.bronze, run.schema), lake, "t")
+    assert written == [lake.rejected, lake.silver]

@@ -58,12 +58,24 @@ def _silver_write_frame(spark, budget):
     return sets, flag_valid(std, SILVER_RULES, sets=sets).where(F.col(VALID_FLAG))
 
 
-def test_silver_write_is_map_only_with_broadcast_flags(spark):
-    sets, df = _silver_write_frame(spark, None)
-    assert all(d.broadcast for d in sets)
-    text = df._jdf.queryExecution().executedPlan().toString()
-    shuffles = [line for line in text.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
-    assert shuffles == []
+@pytest.mark.parametrize("budget", [None, -1])
+def test_flags_are_joined_once_per_run(spark, tmp_path, monkeypatch, budget):
+    """Quarantine and Silver are map-only filters of the staged flagged rows, whatever the sets' size."""
+    from strata.contracts import PARTITION_COLUMNS
+    from strata.plans import Lake, silver
+    from strata.queries.spark_side import bronze_rows
+
+    staged, written = [], []
+    stage, write = silver.stage_table, silver.write_layer
+    monkeypatch.setattr(silver, "stage_table", lambda df, *a: (staged.append(optimized(df)), stage(df, *a))[1])
+    monkeypatch.setattr(silver, "write_layer", lambda df, *a, **k: (written.append(optimized(df)), write(df, *a, **k))[1])
+    lake = Lake(str(tmp_path / "lake"))
+    silver.run_silver(spark, bronze_rows(spark, SF_DIR), lake, "t", broadcast_max_bytes=budget)
+    assert [text.count("Join LeftOuter") for text in staged] == [2]
+    assert len(written) == 2
+    for text in written:
+        assert "Join" not in text and "Repartition" not in text and "Aggregate" not in text
+    assert set(PARTITION_COLUMNS) <= set(spark.read.parquet(lake.silver).columns)
 
 
 def test_sort_merge_fallback_beyond_budget(spark):
@@ -105,18 +117,52 @@ def test_job_observation_sees_every_row_before_the_filter(spark):
     assert obs.get["rows"] == flagged.count()
 
 
-def test_write_metrics_are_observed_above_the_rebalance_exchange(spark, tmp_path):
+def test_write_metrics_are_observed_above_the_exchange(spark, tmp_path):
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     from strata.contracts import PARTITION_COLUMNS
     from strata.queries.spark_side import bronze_rows
+    from strata.sinks.parquet import day_layout
 
     obs = Observation("write_plan_check")
-    df = bronze_rows(spark, SF_DIR).hint("rebalance", *PARTITION_COLUMNS).observe(obs, F.count(F.lit(1)).alias("n"))
+    df = day_layout(bronze_rows(spark, SF_DIR), PARTITION_COLUMNS).observe(obs, F.count(F.lit(1)).alias("n"))
     df.write.format("noop").mode("overwrite").save()
     lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
     metrics_at = next(i for i, line in enumerate(lines) if "CollectMetrics" in line)
     exchange_at = next(i for i, line in enumerate(lines) if "Exchange" in line)
     assert metrics_at < exchange_at  # evaluated by the result tasks, after the shuffle
     assert obs.get["n"] == bronze_rows(spark, SF_DIR).count()
+
+
+def test_day_writes_use_all_tasks_and_split_a_hot_day(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from strata.sinks.parquet import write_layer, write_tasks
+
+    rows = spark.range(6_000).select(
+        "id", F.when(F.col("id") % 3 == 0, 2_000).otherwise(F.lit(1_900) + (F.col("id") % 40).cast("int")).alias("year"),
+        F.lit(1).alias("day"),
+    )
+    path = str(tmp_path / "t")
+    write_layer(rows, path, partition_by=("year", "day"))
+    files = {}
+    for folder, _, names in os.walk(path):
+        for name in names:
+            if name.endswith(".parquet"):
+                files.setdefault(folder.split("year=")[1][:4], []).append(name.split("-")[1])
+    tasks = {task for names in files.values() for task in names}
+    assert len(tasks) >= write_tasks(rows)
+    assert len(set(files["2000"])) > 1  # a third of all rows, several tasks
+    assert all(len(names) == 1 for year, names in files.items() if year != "2000")
+    assert spark.read.parquet(path).count() == 6_000
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith("dq_")))
+def test_audits_do_not_expand_rows(spark, name):
+    assert "Expand" not in optimized(QUERIES[name](spark, SF_DIR))
+
+
+def test_flagship_scans_the_rows_once(spark):
+    text = optimized(QUERIES["customer_order_summary"](spark, SF_DIR))
+    assert text.count("Relation [") == 1 and "customer_name#" not in text  # orders per customer and day alone

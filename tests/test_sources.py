@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from strata.contracts import RAW_COLUMNS
 from strata.plans import ingest_bronze
 from strata.sinks import write_csv
-from strata.sources import check_source, count_corrupt_rows, read_checked, read_header, read_layer, validate_header
+from strata.sources import check_source, header_lines, parsed_lines, read_checked, read_layer, validate_header
 from tests.conftest import CLEAN_CSV, write_text
 
 HEADER = ",".join(RAW_COLUMNS)
@@ -18,7 +18,8 @@ def test_header_contract():
 
 
 def test_reads_typed_rows(spark, clean_csv):
-    assert read_header(spark, clean_csv) == list(RAW_COLUMNS)
+    head = header_lines(parsed_lines(spark, clean_csv)).select(*RAW_COLUMNS).collect()
+    assert [tuple(h) for h in head] == [RAW_COLUMNS]
     df = read_checked(spark, clean_csv)
     assert df.count() == 8
     assert dict(df.dtypes)["row_id"] == "bigint"
@@ -32,13 +33,13 @@ def test_blank_fields_arrive_as_null(spark, tmp_path):
 
 @pytest.mark.parametrize("line", [
     "x1,O1,2025-01-01,2025-01-02,First Class,C1,John Doe,Consumer,India,Pune",  # bad int
+    "1.0,O1,2025-01-01,2025-01-02,First Class,C1,John Doe,Consumer,India,Pune",  # a fraction
     "1,O1,2025-01-01,2025-01-02,First Class,C1,John Doe,Consumer,India",        # short row
     GOOD + ",extra",                                                             # long row
 ])
 def test_malformed_rows_are_counted_and_refused(spark, tmp_path, line):
     path = write_text(tmp_path / "bad.csv", f"{HEADER}\n{GOOD}\n{line}\n")
-    assert count_corrupt_rows(spark, path) == 1
-    with pytest.raises(ValueError, match="malformed"):
+    with pytest.raises(ValueError, match="1 malformed"):
         read_checked(spark, path)
 
 
@@ -81,8 +82,8 @@ def test_csv_round_trip_keeps_padding(spark, tmp_path):
 
 def test_multi_file_source(spark, tmp_path):
     write_text(tmp_path / "multi" / "a.csv", CLEAN_CSV)
-    write_text(tmp_path / "multi" / "b.csv", CLEAN_CSV.replace("CA-2018", "CB-2018"))
-    assert check_source(spark, str(tmp_path / "multi")).count() == 2
+    write_text(tmp_path / "multi" / "b.csv", CLEAN_CSV.replace("KX-", "KY-"))
+    assert len(check_source(spark, str(tmp_path / "multi"))) == 2
     assert read_checked(spark, str(tmp_path / "multi")).count() == 16
 
 
@@ -100,3 +101,25 @@ def test_folder_with_only_empty_files_is_empty(spark, tmp_path):
     write_text(tmp_path / "e" / "_SUCCESS", "")
     with pytest.raises(ValueError, match="empty"):
         check_source(spark, str(tmp_path / "e"))
+
+
+@pytest.mark.parametrize("header", [
+    ",".join(c.upper() for c in RAW_COLUMNS), HEADER + ",more", ",".join(RAW_COLUMNS[:-1]), HEADER.replace("city", " city"),
+])
+def test_every_file_must_have_the_exact_header(spark, tmp_path, header):
+    for k in range(3):
+        write_text(tmp_path / "m" / f"{k}.csv", (header if k == 2 else HEADER) + f"\n{GOOD}\n")
+    with pytest.raises(ValueError, match="Header validation failed.*2.csv"):
+        read_checked(spark, str(tmp_path / "m"))
+
+
+def test_a_zero_byte_part_among_others_is_reported(spark, tmp_path):
+    write_text(tmp_path / "m" / "a.csv", CLEAN_CSV)
+    write_text(tmp_path / "m" / "b.csv", "")
+    with pytest.raises(ValueError, match="b.csv"):
+        check_source(spark, str(tmp_path / "m"))
+
+
+def test_the_source_is_parsed_once(spark, tmp_path, clean_csv):
+    plan = read_checked(spark, clean_csv)._jdf.queryExecution().optimizedPlan().toString()
+    assert "csv" not in plan.replace("csv_lines", "") and "parquet" in plan

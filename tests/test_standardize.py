@@ -1,7 +1,7 @@
 import datetime as dt
 
 from strata.contracts import SILVER_COLUMNS
-from strata.operators.lineage import sibling_path, stamp_literal
+from strata.operators.lineage import RUN_TS_FORMAT, qualified_path, run_timestamp, stamp, stamp_literal
 from strata.operators.standardize import project, rename, standardize_strings, to_silver, with_date_partitions
 
 COLS = "row_id string, order_id string, order_date string, ship_date string, ship_mode string, customer_id string, " \
@@ -10,22 +10,19 @@ COLS = "row_id string, order_id string, order_date string, ship_date string, shi
 
 def test_to_silver_standardises_values(spark):
     df = spark.createDataFrame(
-        [(" 1 ", " ORD-1 ", "2025-01-05", "2025-01-06", "first class", " C-1 ", "  john    doe  ", "consumer",
-          "india", "  pune  ", "/lake/bronze", "2025-01-01T00:00:00.000000Z")],
+        [("41 ", "\tG-9", "2020-02-29", "2020-03-01", " SECOND \n class", "H-3\t", "mary-ann \t o'NEIL", "home   office",
+          "côte d'ivoire", "\n abidjan", "/lake/bronze", "2025-01-01T00:00:00.000000Z")],
         COLS,
     )
     row = to_silver(df).first().asDict()
     assert list(to_silver(df).columns) == list(SILVER_COLUMNS)
-    assert row["row_id"] == "1"
-    assert row["order_id"] == "ORD-1"
-    assert row["customer_name"] == "John Doe"
-    assert row["segment"] == "CONSUMER"
-    assert row["country"] == "INDIA"
-    assert row["city"] == "pune"  # city is cleaned, not upper-cased
-    assert row["shipment_mode"] == "First Class"
-    assert row["order_date"] == dt.date(2025, 1, 5)
-    assert row["shipment_date"] == dt.date(2025, 1, 6)
-    assert (row["order_date_year"], row["order_date_month"], row["order_date_day"]) == (2025, 1, 5)
+    assert (row["row_id"], row["order_id"], row["customer_id"]) == ("41", "G-9", "H-3")
+    assert row["customer_name"] == "Mary-ann O'neil"
+    assert (row["segment"], row["country"]) == ("HOME OFFICE", "CÔTE D'IVOIRE")
+    assert row["city"] == "abidjan"  # cleaned, not upper-cased
+    assert row["shipment_mode"] == "Second Class"
+    assert (row["order_date"], row["shipment_date"]) == (dt.date(2020, 2, 29), dt.date(2020, 3, 1))
+    assert (row["order_date_year"], row["order_date_month"], row["order_date_day"]) == (2020, 2, 29)
 
 
 def test_to_silver_blanks_become_null_and_bad_dates_null(spark):
@@ -68,16 +65,27 @@ def test_date_partitions_from_text(spark):
     assert rows[1]["order_date_year"] is None
 
 
-def test_lineage_stamp_and_paths(spark):
-    df = stamp_literal(spark.createDataFrame([(1,)], "a int"), "/lake/x", "2025-01-01T00:00:00.000000Z")
-    assert df.first()["file_path"] == "/lake/x"
-    assert sibling_path("s3a://bucket/lake/silver/sales", "rejected_records") == "s3a://bucket/lake/silver/rejected_records"
-    assert sibling_path("/lake/silver/sales/", "rejected_records") == "/lake/silver/rejected_records"
-    from strata.operators.lineage import join_path, metadata_path
+def test_run_timestamp_is_utc_with_microseconds():
+    cet = dt.timezone(dt.timedelta(hours=1))
+    assert run_timestamp(dt.datetime(2021, 1, 1, 0, 30, 0, 7, cet)) == "2020-12-31T23:30:00.000007Z"
+    assert run_timestamp(dt.datetime(2021, 7, 9, tzinfo=dt.timezone.utc)) == "2021-07-09T00:00:00.000000Z"
+    text = run_timestamp()
+    assert dt.datetime.strptime(text, RUN_TS_FORMAT).strftime(RUN_TS_FORMAT) == text and len(text) == 27
+
+
+def test_stamps_name_the_table_as_hadoop_does(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1,)], "a int")
+    assert stamp_literal(df, "any text", "then").first()[1:] == ("any text", "then")
+    assert stamp(df, f"{tmp_path}/x/", "then").first()["file_path"] == f"file:{tmp_path}/x"
+    assert qualified_path(spark, f"file:{tmp_path}/x") == qualified_path(spark, f"file://{tmp_path}/x") == f"file:{tmp_path}/x"
+    monkeypatch.chdir(tmp_path)  # a relative path is the file system's matter, not the driver's
+    assert qualified_path(spark, "x") == qualified_path(spark, "./x/")
+
+
+def test_layers_below_any_root():
     from strata.plans import Lake
 
-    assert join_path("s3a://b/lake/", "bronze", "raw_sales") == "s3a://b/lake/bronze/raw_sales"
-    assert metadata_path("hdfs://nn:8020/lake/") == "hdfs://nn:8020/lake"
-    lake = Lake("abfss://c@acct.dfs.core.windows.net/lake")
-    assert lake.rejected == "abfss://c@acct.dfs.core.windows.net/lake/silver/rejected_records"
-    assert lake.gold_quality == "abfss://c@acct.dfs.core.windows.net/lake/gold/data_quality"
+    for root in ("wasb://c@a.host/l", "/l", "rel/l", "hdfs://n:1"):
+        lake, same = Lake(root), Lake(root + "/")
+        assert (lake.silver, lake.gold_quality) == (f"{root}/silver/sales", f"{root}/gold/data_quality")
+        assert lake.rejected == same.rejected == f"{root}/silver/rejected_records"
