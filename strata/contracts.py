@@ -69,6 +69,21 @@ MSG_SOURCE_EMPTY = "Input file is empty: {path}"
 MSG_LAYER_MISSING = "Dataset not found at {path}"
 MSG_MALFORMED = "Source has {count} malformed row(s): {path}"
 
+# Columns that the audit's not-null rules cover, in report order; those that a
+# valid row must have; keys whose repeated values disqualify every copy.
+AUDIT_REQUIRED: tuple[str, ...] = (
+    "row_id",
+    "order_id",
+    "customer_id",
+    "customer_name",
+    "country",
+    "segment",
+    "city",
+)
+VALID_REQUIRED: tuple[str, ...] = AUDIT_REQUIRED + ("order_date", "shipment_date")
+UNIQUE_KEYS: tuple[str, ...] = ("row_id", "order_id")
+AUDIT_UNIQUE: tuple[str, ...] = UNIQUE_KEYS
+
 # Lake layout under the base path.
 BRONZE_DIR = ("bronze", "raw_sales")
 SILVER_DIR = ("silver", "sales")
@@ -176,35 +191,13 @@ class RuleSet:
 
 # Rules the Silver split applies (validity of one standardised row).
 SILVER_RULES = RuleSet(
-    required=(
-        "row_id",
-        "order_id",
-        "customer_id",
-        "customer_name",
-        "country",
-        "segment",
-        "city",
-        "order_date",
-        "shipment_date",
-    ),
-    unique=("row_id", "order_id"),
+    required=VALID_REQUIRED,
+    unique=UNIQUE_KEYS,
     dates=("order_date", "shipment_date"),
     chronology=(("order_date", "shipment_date"),),
     allowed={"shipment_mode": ALLOWED_SHIP_MODES},
 )
 
-# Columns the audit's not-null rules cover, in report order.
-AUDIT_REQUIRED: tuple[str, ...] = (
-    "row_id",
-    "order_id",
-    "customer_id",
-    "customer_name",
-    "country",
-    "segment",
-    "city",
-)
-AUDIT_UNIQUE: tuple[str, ...] = ("row_id", "order_id")
-
 # What the audit checks, by layer. Bronze still holds texts of the source's names.
 AUDIT_RULES: dict[str, RuleSet] = {
     "bronze": RuleSet(required=AUDIT_REQUIRED, unique=AUDIT_UNIQUE, dates=("order_date", "ship_date")),
