@@ -125,9 +125,10 @@ def item_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     found = hits.distinct().groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("windows"))
     found, _ = stage_table(found.withColumnRenamed("key", "_key"), "leak_places")
-    few = found.count() * 1024 <= BROADCAST_BYTES
-    held = docs.join(F.broadcast(found) if few else found, F.col("key") == F.col("_key"))
-    rows = held.select("key", "doc_id", "words", F.explode("windows").alias("w"))
+    held = found.agg(F.sum(F.size("windows") * 48 + 128)).first()[0] or 0
+    few = held <= BROADCAST_BYTES
+    placed = docs.join(F.broadcast(found) if few else found, F.col("key") == F.col("_key"))
+    rows = placed.select("key", "doc_id", "words", F.explode("windows").alias("w"))
     # A document shorter than the item, or ending within the window: the window moves left.
     start = F.greatest(F.least(F.col("w.start"), F.size("words") - F.col("w.n")), F.lit(0))
     content = F.array_join(F.slice("words", start + 1, F.col("w.n")), " ")
@@ -155,7 +156,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     probes = prints.select("n", "content", "fingerprint", F.explode(block_values(F.col("fingerprint"))).alias("b"))
     probes = probes.select("n", "content", "fingerprint", "b.block", "b.value")
     near = (
-        probes.join(item_index(items), ["n", "block", "value"])
+        # Hundreds of rows an item: the planner, which sees the items' size alone, must not broadcast them.
+        probes.join(item_index(items).hint("merge"), ["n", "block", "value"])
         .filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS)
         .select("n", "content", "item_no")
         .distinct()
