@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.text import LOWER_ASCII, fresh
+from strata.llm.text import LOWER_ASCII, fresh, remembered
 from strata.session import stage_table
 
 SHINGLE = 5
@@ -42,7 +42,7 @@ PICKED = 3
 MIN_AGREEING = 2
 #: Edits up to which single diagonals are followed; beyond, the whole band is filled.
 FEW_EDITS = 48
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 600_000
 #: Most bytes of ids that are broadcast; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -69,11 +69,8 @@ class WordHashes(dict):
         return h
 
 
-_WORDS = WordHashes()
-
-
 def word_hashes() -> WordHashes:
-    return _WORDS
+    return remembered("near_dedup", WordHashes)
 
 
 def words_in(text: bytes | None) -> list[bytes]:

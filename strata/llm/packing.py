@@ -31,12 +31,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.text import remembered
 from strata.session import stage_table
 
 CAPACITY = 4096
 END_ID = 1
 #: Words that a worker process keeps encoded before its memory starts afresh.
-MEMO_WORDS = 1_200_000
+MEMO_WORDS = 700_000
 END_BYTES = END_ID.to_bytes(4, "little")
 
 
@@ -102,14 +103,9 @@ class WordEncoder(dict):
             self.pieces.clear()
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """This process's encoder: a worker that runs several tasks keeps its words."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return remembered(("packing", path), lambda: WordEncoder(path))
 
 
 def tokenize_pieces(

@@ -6,6 +6,8 @@ byte-wise rule and a character-wise rule give the same words.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,22 @@ ALNUM_LOWER = bytes(
 )
 
 
+#: What this process remembers between tasks: one operator's memory at a time.
+_REMEMBERED: dict = {}
+
+
+def remembered(key, make: Callable):
+    """This process's object under ``key``, kept until another one is asked for.
+
+    Workers run tasks of several operators one after the other; each
+    operator's memory of words is bounded, and only one is ever held.
+    """
+    if key not in _REMEMBERED:
+        _REMEMBERED.clear()
+        _REMEMBERED[key] = make()
+    return _REMEMBERED[key]
+
+
 def raw(text: str | None) -> bytes:
     """UTF-8 of a text; a null is an empty text."""
     return b"" if text is None else text.encode("utf-8")

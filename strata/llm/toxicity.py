@@ -20,6 +20,7 @@ ids are scored one by one; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.text import ALNUM_LOWER, fresh, id_bucket
+from strata.llm.text import ALNUM_LOWER, fresh, id_bucket, remembered
 
 #: Labelled documents to learn from: toxic ones, and times as many clean ones.
 SAMPLE_PER_CLASS = 4_096
@@ -47,7 +48,7 @@ DECAY = 1e-4
 RELIABLE_FROM = 20.0
 START = 3.0
 #: Words whose figure a worker process keeps.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 600_000
 NO_TOXIC_BIAS = -800.0
 
 
@@ -251,18 +252,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     return np.frombuffer(found[0]["weight"], np.float32), float(found[0]["bias"])
 
 
-_SCORERS: dict[bytes, Scorer] = {}
-
-
 def scorer(weight: np.ndarray, bias: float) -> Scorer:
     """This process's scorer for a model; another model takes its place."""
-    import hashlib
-
     key = hashlib.sha1(weight.tobytes() + repr(bias).encode()).digest()
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(weight, bias)
-    return _SCORERS[key]
+    return remembered(("toxicity", key), lambda: Scorer(weight, bias))
 
 
 def with_scores(docs: DataFrame, weight: np.ndarray, bias: float, text: str = "text", name: str = "score") -> DataFrame:
