@@ -8,12 +8,15 @@ many of their ``SKETCHES`` sketches. A text of fewer shingles than that
 takes all it has, one of under five words is a single shingle.
 
 Equal texts (in words, A-Z lower-cased) are one node from the start. Nodes
-that share a sketch value are linked to three of their bucket (smallest id,
-largest id, smallest hash of the id), never to all others, so that a bucket
-with a third of all texts makes three rows a text; taken over all sketches, those are
-many and different partners. A pair that agrees in at least ``MIN_AGREEING``
-sketches is aligned: its edit distance in words, within the band that the
-threshold allows, must leave a similarity of ``SIMILARITY`` or more. Classes
+that share a sketch value are first paired with three of their bucket
+(smallest id, largest id, smallest hash of id and sketch), so that a bucket
+with a third of all texts makes three rows a text. A pair that agrees in at
+least ``MIN_AGREEING`` sketches is aligned: its edit distance in words, within
+the band that the threshold allows, must leave a similarity of ``SIMILARITY``
+or more. Buckets whose nodes are not one component by then are paired again:
+with new hubs per band of lengths while their open pairs are many and the
+hubs join some, then each node with every other of another component. So no
+pair of a bucket stays untried unless its nodes are linked already. Classes
 are the connected components of the links.
 
 Cases: all texts without a word (null, empty, blank) are one class; repeated
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.text import LOWER_ASCII, fresh, remembered
@@ -43,6 +46,8 @@ MIN_AGREEING = 2
 #: Edits up to which single diagonals are followed; beyond, the whole band is filled.
 FEW_EDITS = 48
 MEMO_WORDS = 600_000
+#: Open pairs a row of the open buckets from which new hubs are tried before all pairs are.
+MANY_PAIRS = 8
 #: Most bytes of ids that are broadcast; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -204,7 +209,7 @@ def text_key(text: bytes | None) -> bytes:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, values) of every document; a text without a word has no sketch values."""
+    """(doc_id, text_key, n_words, values) of every document; a text without a word has no sketch values."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,36 +217,91 @@ def describe(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
-                keys, values = [], []
+                keys, sizes, values = [], [], []
                 for text in part.column(1).cast(pa.binary()).to_pylist():
                     words = words_in(text)
                     keys.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                    sizes.append(len(words))
                     hashes = np.array([known[w] for w in words], np.uint64)
                     values.append(sketch(hashes).view(np.int64) if words else [])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(keys, pa.binary()), pa.array(values, pa.list_(pa.int64()))],
-                    names=["doc_id", "text_key", "values"],
+                    [part.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()),
+                     pa.array(values, pa.list_(pa.int64()))],
+                    names=["doc_id", "text_key", "n_words", "values"],
                 )
 
-    schema = f"doc_id {id_type}, text_key binary, values array<long>"
+    schema = f"doc_id {id_type}, text_key binary, n_words int, values array<long>"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def candidate_pairs(sketched: DataFrame) -> DataFrame:
+def lengths_allow(n: Column, m: Column, similarity: float) -> Column:
+    """Whether texts of so many words can reach the similarity at all."""
+    longer = F.greatest(n, m)
+    return longer - F.least(n, m) <= F.floor(longer * F.lit(1.0 - similarity) + F.lit(1e-9))
+
+
+def ordered_pairs(met: DataFrame, similarity: float) -> DataFrame:
+    """(left, right) of rows (node, n_words, other, other_words) whose lengths allow the similarity, each pair once."""
+    return (
+        met.filter((F.col("node") != F.col("other")) & lengths_allow(F.col("n_words"), F.col("other_words"), similarity))
+        .select(F.least("node", "other").alias("left"), F.greatest("node", "other").alias("right"))
+        .distinct()
+    )
+
+
+def candidate_pairs(sketched: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(left, right): nodes of common sketch values, at most three partners a node and value."""
-    rows = sketched.select("node", F.posexplode("values").alias("k", "value"))
+    rows = sketched.select("node", "n_words", F.posexplode("values").alias("k", "value"))
+    one = F.struct("node", "n_words")
     partners = rows.groupBy("k", "value").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"),
-        F.min_by("node", F.xxhash64("node")).alias("any"),
-    ).filter("low < high")
+        F.min(one).alias("low"), F.max(one).alias("high"),
+        F.min_by(one, F.xxhash64("node", "k")).alias("any"),
+    ).filter("low.node < high.node")
     met = rows.join(partners, ["k", "value"]).select(
-        "node", F.explode(F.array_distinct(F.array("low", "high", "any"))).alias("other")
+        "node", "n_words", F.explode(F.array_distinct(F.array("low", "high", "any"))).alias("o")
     )
-    return (
-        met.filter("node <> other")
-        .select(F.least("node", "other").alias("left"), F.greatest("node", "other").alias("right"))
-        .distinct()
+    return ordered_pairs(met.select("node", "n_words", F.col("o.node").alias("other"), F.col("o.n_words").alias("other_words")), similarity)
+
+
+def open_rows(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (node, n_words, k, value) of buckets with several components, and each node's ``root``."""
+    named = rows.select("node", "n_words", "k", "value").join(roots, "node", "left")
+    named = named.withColumn("root", F.coalesce("root", "node"))
+    several = named.groupBy("k", "value").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return named.join(several.filter("low < high").select("k", "value"), ["k", "value"])
+
+
+def open_pair_count(rows: DataFrame) -> int:
+    """Pairs of different components in the buckets, one that shares several buckets counted in each."""
+    sizes = rows.groupBy("k", "value", "root").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    sizes = sizes.groupBy("k", "value").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    return int(sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()[0] or 0)
+
+
+def band_hub_pairs(rows: DataFrame, turn: int, similarity: float = SIMILARITY) -> DataFrame:
+    """(left, right): open nodes with one hub of their own and of the next band of lengths in each bucket.
+
+    Lengths that allow the similarity lie in the same or in neighbouring bands.
+    """
+    band = F.floor(F.log("n_words") / F.lit(-np.log(similarity))).cast("int") if similarity < 1 else F.col("n_words")
+    rows = rows.withColumn("band", band)
+    hubs = rows.groupBy("k", "value", "band").agg(
+        F.min_by(F.struct("node", "n_words", "root"), F.xxhash64("node", "k", F.lit(turn))).alias("o")
     )
+    near = rows.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+    met = near.join(hubs, ["k", "value", "band"]).filter("root <> o.root")
+    return ordered_pairs(met.select("node", "n_words", F.col("o.node").alias("other"), F.col("o.n_words").alias("other_words")), similarity)
+
+
+def remaining_pairs(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(left, right): all pairs of different components that share a bucket and whose lengths allow the similarity."""
+    one = rows.select("k", "value", F.col("node").alias("left"), F.col("root").alias("a"), F.col("n_words").alias("n"))
+    two = rows.select("k", "value", F.col("node").alias("right"), F.col("root").alias("b"), F.col("n_words").alias("m"))
+    fits = (
+        (one["k"] == two["k"]) & (one["value"] == two["value"]) & (F.col("left") < F.col("right"))
+        & (F.col("a") != F.col("b")) & lengths_allow(F.col("n"), F.col("m"), similarity)
+    )
+    return one.join(two, fits).select("left", "right").distinct()
 
 
 def agreeing_pairs(pairs: DataFrame, sketched: DataFrame, least: int = MIN_AGREEING) -> DataFrame:
@@ -336,17 +396,21 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Each node's best pair is aligned first. What is linked by then has one
     class whatever its other pairs say, so that only pairs between different
-    components are aligned after that.
+    components are aligned after that; at last all of these that share a
+    bucket.
     """
     described, _ = stage_table(describe(docs), "near_described")
-    nodes = described.groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.any_value("values").alias("values"))
+    nodes = described.groupBy("text_key").agg(
+        F.min("doc_id").alias("doc_id"), F.any_value("n_words").alias("n_words"), F.any_value("values").alias("values")
+    )
     nodes, _ = stage_table(nodes.withColumn("node", F.monotonically_increasing_id()), "near_nodes")
-    sketched = nodes.filter(F.col("doc_id").isNotNull()).select("node", "values")
-    pairs, _ = stage_table(agreeing_pairs(candidate_pairs(sketched), sketched), "near_pairs")
+    sketched = nodes.filter(F.col("doc_id").isNotNull()).select("node", "n_words", "values")
+    pairs, _ = stage_table(agreeing_pairs(candidate_pairs(sketched, similarity), sketched), "near_pairs")
     named = nodes.select("node", "doc_id", "text_key")
+    aligned = lambda found: verified_links(found, texts_of(docs, found, named), similarity)
 
     best, _ = stage_table(best_pairs(pairs), "near_best")
-    links, _ = stage_table(verified_links(best, texts_of(docs, best, named), similarity), "near_links")
+    links, _ = stage_table(aligned(best), "near_links")
     roots = components(links)
     left = roots.withColumnsRenamed({"node": "left", "root": "left_root"})
     right = roots.withColumnsRenamed({"node": "right", "root": "right_root"})
@@ -358,10 +422,28 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         .select("left", "right")
         .join(best, ["left", "right"], "left_anti")
     )
-    open_pairs, _ = stage_table(open_pairs, "near_open_pairs")
-    more, _ = stage_table(verified_links(open_pairs, texts_of(docs, open_pairs, named), similarity), "near_more_links")
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    tried = pairs.select("left", "right")
+    turn = 0
+    while True:
+        open_pairs, _ = stage_table(open_pairs, "near_open_pairs")
+        more, _ = stage_table(aligned(open_pairs), "near_more_links")
+        joined = not more.isEmpty()
+        if joined:
+            links = links.unionByName(more)
+            roots = components(links)
+        if turn < 0:
+            break
+        rows = sketched.select("node", "n_words", F.posexplode("values").alias("k", "value")) if not turn else rows
+        rows, _ = stage_table(open_rows(rows, roots), "near_open_rows")
+        if turn:
+            tried = tried.unionByName(open_pairs)
+        if joined and open_pair_count(rows) > MANY_PAIRS * rows.count():
+            turn += 1
+            open_pairs = band_hub_pairs(rows, turn, similarity)
+        else:
+            turn = -1
+            open_pairs = remaining_pairs(rows, similarity)
+        open_pairs = agreeing_pairs(open_pairs.join(tried, ["left", "right"], "left_anti"), sketched).select("left", "right")
 
     root_of = named.join(roots, "node", "left").select("text_key", "doc_id", F.coalesce("root", "node").alias("root"))
     smallest = root_of.groupBy("root").agg(F.min("doc_id").alias("class_id"))

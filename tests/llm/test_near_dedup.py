@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from odd_rows import doc_rows, make_docs, odd_rows, prose
 from strata.llm import near_dedup as near
@@ -107,6 +108,33 @@ def test_classes_match_brute_force(spark):
             assert joined == set(ds)
 
 
+@pytest.mark.parametrize("many", [8, 0])
+def test_pairs_without_a_hub_of_their_bucket(spark, monkeypatch, many):
+    monkeypatch.setattr(near, "MANY_PAIRS", many, raising=False)  # 0: new hubs as long as they join any
+    describe = near.describe
+    one_bucket = F.when(F.size("values") > 0, F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("values")
+    monkeypatch.setattr(
+        near, "describe", lambda docs: describe(docs).select(*[one_bucket if c == "values" else c for c in describe(docs).columns])
+    )
+    texts = {}
+    for k in range(12):
+        texts |= {k: prose(600 + k, 30 + 3 * k), 100 + k: edited(prose(600 + k, 30 + 3 * k), 2, k)}
+    got = {r["doc_id"]: r["class_id"] for r in near.near_classes(make_docs(spark, doc_rows(texts))).collect()}
+    links = {(a, b) for a in texts for b in texts if brute_similarity(texts[a], texts[b]) >= near.SIMILARITY}
+    assert len(links) == 48 and not [(a, b) for a, b in links if got[a] != got[b]]
+    assert got == {k: k % 100 for k in texts}
+
+
+def test_all_pairs_of_a_bucket_are_tried(spark):
+    rows = spark.createDataFrame(
+        [(k, 100 + k % 40, 0, 7, k // 2) for k in range(60)], "node long, n_words int, k int, value long, root long"
+    )
+    want = {(a, b) for a in range(60) for b in range(a) if a // 2 != b // 2
+            and abs(a % 40 - b % 40) <= near.most_edits(100 + a % 40, 100 + b % 40, 0.8)}
+    assert {(r["right"], r["left"]) for r in near.remaining_pairs(rows, 0.8).collect()} == want
+    assert near.open_pair_count(rows) == 60 * 59 // 2 - 30
+
+
 def test_no_rows_lost_on_odd_rows(spark, odd_docs, no_docs):
     got = near.near_classes(odd_docs).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in odd_rows())
