@@ -1,11 +1,12 @@
 """Near-duplicates by order MinHash, verified by banded alignment.
 
-Items are 5-word shingles, each labelled with its occurrence number in the
-text. One sketch keeps the ``PICKED`` shingles of smallest hash and hashes
-them in text order, so two texts agree in a sketch if the same shingles come
-first by hash and stand in the same order; texts a few edits apart agree in
-many of their ``SKETCHES`` sketches. A text of fewer shingles than that
-takes all it has, one of under five words is a single shingle.
+Items are shingles of ``ITEM`` words, each labelled with its occurrence number
+in the text. One sketch keeps the ``PICKED`` items of smallest hash and hashes
+them in text order, so two texts agree in a sketch if the same items come
+first by hash and stand in the same order. Single words suit the threshold: an
+edit takes one of them, but up to five shingles of five words. Texts of up to
+``SHORT`` words have further sketches of ``SHORT_PICKED`` items. A text of
+fewer items than that takes all it has.
 
 Equal texts (in words, A-Z lower-cased) are one node from the start. Nodes
 that share a sketch value are first paired with three of their bucket
@@ -39,10 +40,15 @@ from strata.session import stage_table
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES = 20
-PICKED = 3
-#: Two texts at the threshold agree in about half of the sketches.
-MIN_AGREEING = 2
+ITEM = 1
+#: Two texts at the threshold agree in a sketch with a probability of about 0.07.
+SKETCHES = 40
+PICKED = 6
+#: Short texts have few items, all of which six picks could touch.
+SHORT = 24
+SHORT_SKETCHES = 16
+SHORT_PICKED = 3
+MIN_AGREEING = 1
 #: Edits up to which single diagonals are followed; beyond, the whole band is filled.
 FEW_EDITS = 48
 MEMO_WORDS = 600_000
@@ -52,8 +58,8 @@ MANY_PAIRS = 8
 BROADCAST_BYTES = 32 << 20
 
 _RNG = np.random.default_rng(20_240_501)
-MULTIPLIERS = _RNG.integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SHIFTS = _RNG.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
+MULTIPLIERS = _RNG.integers(1, 1 << 63, SKETCHES + SHORT_SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SHIFTS = _RNG.integers(0, 1 << 63, SKETCHES + SHORT_SKETCHES, dtype=np.uint64)
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -82,10 +88,10 @@ def words_in(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(LOWER_ASCII).split()
 
 
-def labelled_shingles(words: np.ndarray) -> np.ndarray:
-    """Hashes of all 5-word shingles, the k-th occurrence of one marked k."""
-    n = max(1, len(words) - SHINGLE + 1)
-    width = min(SHINGLE, len(words))
+def labelled_shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Hashes of all shingles of so many words, the k-th occurrence of one marked k."""
+    n = max(1, len(words) - size + 1)
+    width = min(size, len(words))
     h = np.zeros(n, np.uint64)
     for k in range(width):
         h = mixed(h + words[k : k + n])
@@ -101,16 +107,23 @@ def labelled_shingles(words: np.ndarray) -> np.ndarray:
 
 
 def sketch(words: np.ndarray) -> np.ndarray:
-    """Order MinHash values of a text given as word hashes."""
-    shingles = labelled_shingles(words)
-    ranks = mixed(shingles[None, :] * MULTIPLIERS[:, None] + SHIFTS[:, None])
-    if len(shingles) > PICKED:
-        picked = np.sort(np.argpartition(ranks, PICKED - 1, axis=1)[:, :PICKED], axis=1)
+    """Order MinHash values of a text given as word hashes; a short text has ``SHORT_SKETCHES`` more."""
+    items = labelled_shingles(words, ITEM)
+    values = _sketch(items, PICKED, np.arange(SKETCHES))
+    if len(words) > SHORT:
+        return values
+    return np.concatenate((values, _sketch(items, SHORT_PICKED, np.arange(SKETCHES, SKETCHES + SHORT_SKETCHES))))
+
+
+def _sketch(items: np.ndarray, picks: int, numbers: np.ndarray) -> np.ndarray:
+    ranks = mixed(items[None, :] * MULTIPLIERS[numbers, None] + SHIFTS[numbers, None])
+    if len(items) > picks:
+        picked = np.sort(np.argpartition(ranks, picks - 1, axis=1)[:, :picks], axis=1)
     else:
-        picked = np.broadcast_to(np.arange(len(shingles)), (SKETCHES, len(shingles)))
-    out = np.arange(SKETCHES, dtype=np.uint64)
+        picked = np.broadcast_to(np.arange(len(items)), (len(numbers), len(items)))
+    out = numbers.astype(np.uint64)
     for k in range(picked.shape[1]):
-        out = mixed(out + shingles[picked[:, k]])
+        out = mixed(out + items[picked[:, k]])
     return out
 
 

@@ -65,6 +65,19 @@ def edited(text, n, seed):
     return " ".join(words)
 
 
+def test_sketches_meet_at_the_threshold():
+    rng = np.random.default_rng(7)
+    for size in (5, 7, 10, 14, 20, 25, 40, 200, 1_000):
+        met = 0
+        for _ in range(200):
+            words = rng.integers(1, 1 << 62, size).astype(np.uint64)
+            other = words.copy()
+            other[rng.choice(size, int(0.2 * size + 1e-9), replace=False)] = rng.integers(1, 1 << 62, int(0.2 * size + 1e-9))
+            one, two = near.sketch(words), near.sketch(other)
+            met += int((one == two).sum() >= near.MIN_AGREEING)
+        assert met >= 170, (size, met)  # 0.9 or more, less three deviations
+
+
 def family_texts():
     texts = {}
     for k in range(25):
