@@ -44,7 +44,8 @@ NONE = ""
 
 SCRIPTS = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
 TAGS = re.compile(r"<[^>]*>")
-DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})\b", re.I)
+#: Comments, scripts and styles are stepped over; what they hold declares nothing.
+DECLARED = re.compile(SCRIPTS.pattern + r"|<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})\b", re.S | re.I)
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -55,8 +56,8 @@ def page_text(page: str | None) -> str:
 
 
 def declared_language(page: str | None) -> str:
-    found = DECLARED.search((page or "")[:4096])  # the root element stands at the beginning
-    return found.group(1).lower() if found else NONE
+    found = next((x for x in DECLARED.finditer(page or "") if x.group(2)), None)
+    return found.group(2).lower() if found else NONE
 
 
 def trigrams(text: str | None) -> np.ndarray:

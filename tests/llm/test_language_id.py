@@ -110,3 +110,12 @@ def test_nothing_to_learn_from_or_to_judge(spark, no_docs):
     assert len(got) == len(page_rows()) and all(r["lang"] is None for r in got)
     assert language.identify_pages(spark.createDataFrame([], SCHEMA), training(spark)).count() == 0
     assert math.isfinite(language.SMOOTHING)
+
+
+def test_declaration_behind_a_long_comment():
+    comment = "<!-- " + "licence text, not <html lang='de'> " * 300 + "-->"
+    assert len(comment) > 10_000
+    for before in (comment, " " * 10_000, "<!DOCTYPE html [" + "<!ENTITY x 'y'>" * 700 + "]>", comment * 3):
+        assert language.declared_language(before + "<html class='x' lang='fr'><p>text") == "fr"
+    assert language.declared_language(comment + "<p>text") == language.NONE
+    assert language.declared_language("<script>'<html lang=de>'</script><HTML LANG=En>") == "en"
