@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from strata.llm import lexical_search as search
 from strata.llm import quality_rules as quality
 from strata.llm import url_filters as urls
 from strata.llm import warc
@@ -125,8 +126,43 @@ SELECT doc_id, n_words,
 FROM based"""
 
 
+def lexical_search_sql() -> str:
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    found = lambda t: f"regexp_extract_all({lowered(f'coalesce({t}, {chr(39) * 2})')}, '{term}')"
+    return f"""
+WITH d AS MATERIALIZED (
+  SELECT row_no, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM (
+    SELECT row_number() OVER () AS row_no, doc_id, {found("text")} AS terms FROM documents) WHERE len(terms) > 0),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+tf AS MATERIALIZED (
+  SELECT row_no, term, count(*) AS tf FROM (SELECT row_no, unnest(terms) AS term FROM d) GROUP BY row_no, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest({found("text")}) AS term FROM benchmark),
+w AS (SELECT item_id, term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+      FROM q JOIN df USING (term), whole),
+s AS (
+  SELECT item_id, row_no, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * whole.docs) // whole.terms)))) AS BIGINT)
+         AS score
+  FROM w JOIN tf USING (term) JOIN d USING (row_no), whole GROUP BY item_id, row_no, doc_id),
+r AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+         doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= {search.TOP}"""
+
+
+def exact_dedup_sql() -> str:
+    return f"""
+WITH d AS (SELECT doc_id, {lowered("coalesce(text, '')")} AS body FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY body) AS kept, sha256(body) AS text_sha256
+FROM d"""
+
+
 ORACLES: dict[str, str] = {
     "op2_url_filters": url_filters_sql(),
     "op4_warc": warc_sql(),
     "op6_quality_rules": quality_rules_sql(),
+    "op11_lexical_search": lexical_search_sql(),
+    "op12_exact_dedup": exact_dedup_sql(),
 }

@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, language_id, licenses, lm_scoring, near_dedup, packing, quality_rules, toxicity, url_filters, warc
+from strata.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    lexical_search,
+    licenses,
+    lm_scoring,
+    near_dedup,
+    packing,
+    quality_rules,
+    toxicity,
+    url_filters,
+    warc,
+    whitening,
+)
 from strata.llm.oracle import ORACLES  # noqa: F401
 from strata.llm.text import read_table
 
@@ -80,6 +94,20 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("expressions", F.array_join("expressions", "\n"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return lexical_search.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return exact_dedup.exact_classes(spark, f"{sf_dir}/documents.parquet")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_url_filters": op2_url_filters,
@@ -91,4 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontamination": op9_decontamination,
     "op10_license_scans": op10_license_scans,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
