@@ -40,23 +40,29 @@ from strata.session import scratch_path, stage_table
 #: Least number of micro-batches that a run deals its files to: a lost driver repeats one of them.
 BATCHES = 4
 DIGEST_BYTES = 32
-STATE_CONF = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Where state is kept: on disk, checkpointed by its changes, without space taken in advance for each of many stores.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 PLACED = "doc_id long, file string, row long, digest binary, sha256 string"
 
 
 @contextmanager
 def state_on_disk(spark: SparkSession) -> Iterator[None]:
-    """Streams that start inside keep their state in RocksDB; the session's setting comes back."""
-    before = spark.conf.get(STATE_CONF, None)
-    spark.conf.set(STATE_CONF, ROCKS)
+    """Streams that start inside keep their state in RocksDB; the session's settings come back."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(STATE_CONF)
-        else:
-            spark.conf.set(STATE_CONF, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def placed(docs: DataFrame) -> DataFrame:

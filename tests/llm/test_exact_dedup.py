@@ -84,11 +84,12 @@ def test_state_outlives_a_run_and_takes_new_files(spark, tmp_path):
     assert state.count() == len({normal(t) for _, t in first + more})  # nothing has expired
 
 
-def test_the_session_keeps_its_state_setting(spark):
-    before = spark.conf.get(exact_dedup.STATE_CONF)
+def test_the_session_keeps_its_state_settings(spark):
+    now = lambda: {k: spark.conf.get(k, None) for k in exact_dedup.STATE_CONF}
+    before = now()
     with exact_dedup.state_on_disk(spark):
-        assert spark.conf.get(exact_dedup.STATE_CONF) == exact_dedup.ROCKS
-    assert spark.conf.get(exact_dedup.STATE_CONF) == before
+        assert now() == exact_dedup.STATE_CONF
+    assert now() == before
 
 
 def test_odd_and_empty_tables(spark, tmp_path):
