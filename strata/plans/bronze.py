@@ -1,8 +1,8 @@
 """Bronze ingest (job C1): checked CSV scan -> partitions + lineage -> Parquet.
 
 The Bronze audit's row-level counts (missing values, unparseable dates) are
-observed by the write job itself, together with how many key values Silver
-standardisation would change; the uniqueness counts then come from the Silver
+observed by the write job itself, together with the malformed rows and how many
+key values Silver standardisation would change; the uniqueness counts then come from the Silver
 duplicate sets, or from one aggregate over the key columns when a key changes.
 """
 
@@ -21,7 +21,8 @@ from strata.operators.quality import key_surplus, row_rule_metrics
 from strata.operators.standardize import project, rename, silver_rules, with_date_partitions
 from strata.session import work_folder
 from strata.sinks import write_layer
-from strata.sources import check_source, read_checked
+from strata.sources import check_headers, check_source, parsed_rows
+from strata.sources.csv import CORRUPT_COLUMN, malformed, refuse_malformed
 
 log = logging.getLogger(__name__)
 
@@ -34,31 +35,39 @@ class BronzeResult:
     key_changes: dict[str, int] | None = None
 
 
-def to_bronze(raw: DataFrame, bronze_path: str, run_ts: str) -> DataFrame:
-    """Raw rows -> Bronze shape: raw columns, lineage, order-day partitions."""
-    return project(stamp(with_date_partitions(raw, "order_date"), bronze_path, run_ts), BRONZE_COLUMNS)
+def to_bronze(raw: DataFrame, bronze_path: str, run_ts: str, *more: str) -> DataFrame:
+    """Raw rows -> Bronze shape: raw columns, lineage, order-day partitions; and ``more`` columns as they are."""
+    return project(stamp(with_date_partitions(raw, "order_date"), bronze_path, run_ts), (*BRONZE_COLUMNS, *more))
 
 
 def ingest_bronze(
     spark: SparkSession, source_path: str, bronze_path: str, run_ts: str, schema: StructType = RAW_SCHEMA
 ) -> BronzeResult:
-    """Validate the source, then overwrite the Bronze table.
+    """Validate the source, then replace the Bronze table.
 
-    The source is parsed once, into a working table that goes when the write
-    is done. Every check (presence, bytes, headers, malformed rows) runs
-    before the overwrite, so a bad file leaves the previous data in place.
+    Presence, bytes and headers are checked before a row is read. The rows are
+    parsed and written once, as a version that is published only if no row was
+    malformed; a bad file leaves the previous data in place. The days' sizes
+    come from a scan that parses the date column alone.
     """
     check_source(spark, source_path)
     with work_folder(spark) as work:
-        bronze = to_bronze(read_checked(spark, source_path, schema, child(work, "csv_lines")), bronze_path, run_ts)
-        changes = key_changes(bronze)
-        metrics = {"rows": F.count(F.lit(1)), **row_rule_metrics("bronze"), **changes}
-        observed = write_layer(bronze, bronze_path, partition_by=PARTITION_COLUMNS, metrics=metrics)
+        check_headers(spark, source_path, schema.names, child(work, "csv_heads"))
+    rows = parsed_rows(spark, source_path, schema)
+    bronze = to_bronze(rows, bronze_path, run_ts, CORRUPT_COLUMN)
+    changes = key_changes(bronze)
+    metrics = {"rows": F.count(F.lit(1)), "_bad": malformed(), **row_rule_metrics("bronze"), **changes}
+    days = with_date_partitions(rows.select("order_date"), "order_date")
+    observed = write_layer(
+        bronze, bronze_path, partition_by=PARTITION_COLUMNS, metrics=metrics, sizes=days, unwritten=[CORRUPT_COLUMN],
+        accept=lambda seen: refuse_malformed(seen["_bad"], source_path),
+    )
+    observed.pop("_bad")
     values = {k: int(v or 0) for k, v in observed.items()}
     rows = values.pop("rows")
     changed = {k: values.pop(name) for k, name in zip(AUDIT_UNIQUE, changes)}
     log.info("Bronze written: %s rows to %s", rows, bronze_path)
-    return BronzeResult(rows, values, bronze.schema, changed)
+    return BronzeResult(rows, values, bronze.drop(CORRUPT_COLUMN).schema, changed)
 
 
 def key_changes(bronze: DataFrame) -> dict[str, F.Column]:

@@ -77,7 +77,7 @@ def _run_silver(
         **row_rule_metrics("silver"),
     }
     # Bronze has the same days in its partition columns: counting them reads no row.
-    laid_out = day_layout(flagged, PARTITION_COLUMNS, sizes=bronze)
+    laid_out = day_layout(flagged, PARTITION_COLUMNS, sizes=bronze, folder=child(work, "day_sizes"))
     staged, values = stage_table(laid_out, "flagged", metrics, child(work, "flagged"))
     latest_day = values.pop("latest_day")
     values = {k: int(v or 0) for k, v in values.items()}

@@ -46,7 +46,7 @@ from strata.plans.bronze import ingest_bronze
 from strata.queries.fixed import BRONZE_TAG, GOLD_CUSTOMER_TAG, GOLD_SALES_TAG, RUN_TS, SILVER_TAG
 from strata.session import scratch_path, session_id
 from strata.sinks import write_csv, write_layer
-from strata.sources import check_source, header_lines, orders_source, parsed_lines, read_checked, read_layer
+from strata.sources import check_source, conforms, file_heads, orders_source, parsed_rows, read_checked, read_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +76,7 @@ def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "bronze_from_tables")
         write_layer(_bronze_from_tables(spark, sf_dir), path)
         _STAGED[key] = path
-    return spark.read.parquet(path)
+    return read_layer(spark, path)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,13 +118,10 @@ def src_csv_roundtrip(spark, sf_dir):
 def src_header_check(spark, sf_dir):
     """Rows behind headers that equal the contract, and files with another header."""
     path = _stage_csv(spark, sf_dir)
-    lines = parsed_lines(spark, path)
-    heads = header_lines(lines)
-    same = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.lit(c)), RAW_COLUMNS, F.col("_corrupt_record").isNull())
-    files = lines.groupBy("_file").agg((F.count(F.lit(1)) - 1).alias("rows"))
-    judged = files.join(heads.select("_file", same.alias("same")), "_file")
+    files = parsed_rows(spark, path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    judged = file_heads(spark, path).select("file", conforms("head").alias("same")).join(files, "file", "left")
     return judged.agg(
-        F.sum(F.when(F.col("same"), F.col("rows")).otherwise(0)).alias("conforming_rows"),
+        F.coalesce(F.sum(F.when(F.col("same"), F.col("rows"))), F.lit(0).cast("bigint")).alias("conforming_rows"),
         F.count_if(~F.col("same")).alias("other_files"),
     )
 
@@ -134,7 +131,7 @@ def src_inventory(spark, sf_dir):
     path = _stage_csv(spark, sf_dir)
     files = check_source(spark, path)
     rows = read_checked(spark, path).agg(F.count(F.lit(1)).alias("row_count"))
-    return rows.select(F.lit(all(f.length > 0 for f in files)).alias("non_empty"), "row_count")
+    return rows.select(F.lit(files.files > 0).alias("non_empty"), "row_count")
 
 
 def bronze_partition_read(spark, sf_dir):

@@ -16,7 +16,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from strata.operators.lineage import child
-from strata.sinks.parquet import collected
+from strata.operators.observe import collected
 
 SCRATCH_NAME = "strata-scratch"
 

@@ -1,13 +1,12 @@
-"""Strict typed CSV source (S1, S2), parsed once.
-
-One permissive pass reads every line as texts, headers included, into a
-working table with the file it came from. Headers, malformed rows and types
-are then checked on that table, before anything is published:
-
-* the first line of every file must be the contract's header, exactly and in
-  order, case included;
-* a row with fewer or more fields, or with a text where a number belongs, is
-  malformed.
+"""Strict typed CSV source.
+
+* Headers are checked first, from the head of every file and nothing else: the
+  first line must be the contract's header, exactly and in order, case
+  included. A file with another header fails the source before a row is read.
+* Rows are parsed once, where they are used, into the contract's types. A row
+  with fewer or more fields, or with a text where a number belongs, is
+  malformed and kept beside its text, so that whoever writes the rows counts
+  such rows in the same pass.
 """
 
 from __future__ import annotations
@@ -16,13 +15,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.contracts import MSG_BAD_HEADER, MSG_MALFORMED, RAW_COLUMNS, RAW_SCHEMA
-from strata.session import stage_table
+from strata.operators.lineage import child
+from strata.session import scratch_path
 
 CORRUPT_COLUMN = "_corrupt_record"
-FILE_COLUMN, BLOCK_COLUMN, LINE_COLUMN = "_file", "_block", "_line"
+#: More bytes than a file has: no file is cut, and each is a task of its own.
+WHOLE_FILE = 1 << 45
 
 
 def validate_header(columns: Sequence[str], expected: Sequence[str] = RAW_COLUMNS) -> None:
@@ -31,74 +32,81 @@ def validate_header(columns: Sequence[str], expected: Sequence[str] = RAW_COLUMN
         raise ValueError(MSG_BAD_HEADER.format(expected=tuple(expected), actual=tuple(columns)))
 
 
-def parsed_lines(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA, folder: str | None = None) -> DataFrame:
-    """All lines of all files as texts: the one parse of the source, staged.
+def file_heads(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
+    """``(file, head)``: the first line with text of every file, staged; null where there is none.
 
-    ``_file``, ``_block`` and ``_line`` give each line's place; within a file,
-    lines of one block are numbered in order.
+    A session of its own reads each file as one task, which stops at that
+    line; the rest of the file is not read.
     """
-    texts = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-    with_corrupt = StructType([*texts.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
-    reader = spark.read.schema(with_corrupt).option("header", False).option("mode", "PERMISSIVE")
-    rows = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(str(path))
-    rows = rows.select(
-        "*", F.col("_metadata.file_path").alias(FILE_COLUMN), F.col("_metadata.file_block_start").alias(BLOCK_COLUMN),
-        F.monotonically_increasing_id().alias(LINE_COLUMN),
-    )
-    return stage_table(rows, "csv_lines", path=folder)[0]
-
-
-def header_lines(lines: DataFrame) -> DataFrame:
-    """(file, line number, fields) of the first line of every file."""
-    names = [c for c in lines.columns if c not in (CORRUPT_COLUMN, FILE_COLUMN, BLOCK_COLUMN, LINE_COLUMN)]
-    fields = F.struct(LINE_COLUMN, CORRUPT_COLUMN, *names)
-    first = lines.filter(F.col(BLOCK_COLUMN) == 0).groupBy(FILE_COLUMN).agg(F.min_by(fields, LINE_COLUMN).alias("_h"))
-    return first.select(FILE_COLUMN, "_h.*")
-
-
-def check_headers(lines: DataFrame, names: Sequence[str]) -> None:
-    """S2 for every file: raises with the header of the first one that differs."""
-    same = F.col(CORRUPT_COLUMN).isNull()
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.files.maxPartitionBytes", str(WHOLE_FILE))
+    reader.conf.set("spark.sql.files.openCostInBytes", str(WHOLE_FILE))
+    reader.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+    def first_line(batches):
+        for batch in batches:
+            if batch.num_rows and batch.column(1)[0].as_py().strip():
+                yield batch.slice(0, 1)
+                return
+
+    lines = reader.read.option("recursiveFileLookup", True).text(str(path))
+    heads = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("head"))
+    folder = folder or child(scratch_path(spark, "csv_heads"))
+    heads.mapInArrow(first_line, heads.schema).write.mode("overwrite").parquet(folder)
+    return spark.read.schema(heads.schema).parquet(folder)
+
+
+def conforms(head: str | Column, names: Sequence[str] = RAW_COLUMNS) -> Column:
+    """Whether a line is the header ``names``; false for null."""
+    kind = ", ".join(f"`{c}` string" for c in [*names, CORRUPT_COLUMN])
+    fields = F.from_csv(head, kind, {"columnNameOfCorruptRecord": CORRUPT_COLUMN, "mode": "PERMISSIVE"})
+    same = fields.isNotNull() & fields[CORRUPT_COLUMN].isNull()
     for name in names:
-        same = same & F.col(name).eqNullSafe(F.lit(name))
-    other = header_lines(lines).filter(~same).orderBy(FILE_COLUMN).first()
+        same = same & fields[name].eqNullSafe(F.lit(name))
+    return F.coalesce(same, F.lit(False))
+
+
+def check_headers(
+    spark: SparkSession, path: str, names: Sequence[str] = RAW_COLUMNS, folder: str | None = None
+) -> None:
+    """S2 for every file: raises with the header of the first one that differs."""
+    other = file_heads(spark, path, folder).where(~conforms("head", names)).orderBy("file").first()
     if other is not None:
-        found = other[CORRUPT_COLUMN].split(",") if other[CORRUPT_COLUMN] else [other[n] for n in names]
-        raise ValueError(MSG_BAD_HEADER.format(expected=tuple(names), actual=tuple(found)) + f" in {other[FILE_COLUMN]}")
+        found = tuple((other["head"] or "").split(","))
+        raise ValueError(MSG_BAD_HEADER.format(expected=tuple(names), actual=found) + f" in {other['file']}")
+
+
+def parsed_rows(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
+    """The rows behind the headers, typed; ``_corrupt_record`` holds a malformed row's text, else null.
+
+    Lazy, and pruned: a query that needs one column parses that column alone.
+    """
+    kind = StructType([*schema.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
+    reader = spark.read.schema(kind).option("header", True).option("mode", "PERMISSIVE")
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).option("recursiveFileLookup", True)
+    return reader.csv(str(path))
 
 
-def _typed(field: StructField) -> Column:
-    text = F.col(field.name)
-    if isinstance(field.dataType, StringType):
-        return text
-    if isinstance(field.dataType, IntegralType):  # a cast would also take blanks and fractions
-        text = F.when(text.rlike(r"^[+-]?[0-9]+$"), text)
-    return text.try_cast(field.dataType)
+def malformed() -> Column:
+    """Malformed rows, as an aggregate over ``parsed_rows``."""
+    return F.count_if(F.col(CORRUPT_COLUMN).isNotNull())
 
 
-def data_rows(lines: DataFrame, schema: StructType = RAW_SCHEMA) -> DataFrame:
-    """Lines behind the headers, typed, with ``_bad`` marking the malformed ones."""
-    heads = header_lines(lines).select(F.col(FILE_COLUMN).alias("_hf"), F.col(LINE_COLUMN).alias("_hl"))
-    at_head = (F.col(FILE_COLUMN) == F.col("_hf")) & (F.col(LINE_COLUMN) == F.col("_hl"))
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    for f in schema.fields:
-        bad = bad | (F.col(f.name).isNotNull() & _typed(f).isNull())
-    rows = lines.join(heads, at_head, "left_anti")
-    return rows.select(*[_typed(f).alias(f.name) for f in schema.fields], bad.alias("_bad"))
+def refuse_malformed(count: int | None, path: str) -> None:
+    if count:
+        raise ValueError(MSG_MALFORMED.format(count=int(count), path=path))
 
 
-def read_checked(
-    spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA, folder: str | None = None
-) -> DataFrame:
+def read_checked(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
     """The source's rows, once all headers and rows have passed.
 
-    The source is parsed once, into ``folder`` (default: a fresh working
-    table); the checks and the rows come from there.
+    For readers; a job that writes the rows counts the malformed ones on its
+    write instead (``plans.bronze``) and parses them once.
     """
-    lines = parsed_lines(spark, path, schema, folder)
-    check_headers(lines, schema.names)
-    rows = data_rows(lines, schema)
-    bad = rows.agg(F.count_if("_bad").alias("bad")).first()["bad"]
-    if bad:
-        raise ValueError(MSG_MALFORMED.format(count=int(bad), path=path))
-    return rows.drop("_bad")
+    check_headers(spark, path, schema.names)
+    rows = parsed_rows(spark, path, schema)
+    # Every column takes part, else the parser would leave out what makes a row malformed.
+    full = rows.select("*", F.xxhash64(*schema.names).alias("_row"))
+    seen = full.agg(malformed().alias("bad"), F.max("_row").alias("_row")).first()
+    refuse_malformed(seen["bad"], path)
+    return rows.drop(CORRUPT_COLUMN)

@@ -1,11 +1,19 @@
-"""Source presence and emptiness checks (S3, S4) through Hadoop's file listing."""
+"""Source presence and emptiness checks (S3, S4) over Spark's own file listing.
+
+Spark lists a source's folders (as a job, where there are many) and scans the
+listing as a table; a scan leaves out files without bytes, so those are the
+names that the listing has and the scan has not. Names stay in the JVM: one
+row of figures comes back, whatever the number of files.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.classic.column import Column as ClassicColumn
 
 from strata.contracts import MSG_SOURCE_EMPTY, MSG_SOURCE_MISSING
 
@@ -15,37 +23,42 @@ def _missing(e: AnalysisException) -> bool:
 
 
 @dataclass(frozen=True)
-class SourceFile:
-    path: str
-    length: int
+class Inventory:
+    files: int
+    bytes: int
 
 
-def source_files(spark: SparkSession, path: str) -> list[SourceFile]:
-    """Every file of a source, zero-byte ones too, in order of path.
+def source_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, length)`` of every file of a source at any depth, those without bytes too.
 
-    The listing alone is read, as Spark itself does to plan a scan; marker
-    and hidden files are not part of a source. Globs may be used. A missing
-    path raises ``FileNotFoundError``.
+    Marker and hidden files are not part of a source. Globs may be used. A
+    missing path raises ``FileNotFoundError``. No file is opened.
     """
-    context = spark.sparkContext
-    pattern = context._jvm.org.apache.hadoop.fs.Path(str(path))
-    file_system = pattern.getFileSystem(context._jsc.hadoopConfiguration())
-    matches = file_system.globStatus(pattern)
-    if matches is None or len(matches) == 0:
-        raise FileNotFoundError(MSG_SOURCE_MISSING.format(path=path))
-    found = []
-    for status in matches:
-        entries = file_system.listStatus(status.getPath()) if status.isDirectory() else [status]
-        for entry in entries:
-            if entry.isFile() and not entry.getPath().getName().startswith(("_", ".")):
-                found.append(SourceFile(entry.getPath().toString(), entry.getLen()))
-    return sorted(found, key=lambda f: f.path)
-
-
-def check_source(spark: SparkSession, path: str) -> list[SourceFile]:
-    """Raise when the source is missing, has no file, or has one without bytes; else its files."""
-    files = source_files(spark, path)
-    empty = [f.path for f in files if f.length == 0]
-    if empty or not files:
-        raise ValueError(MSG_SOURCE_EMPTY.format(path=empty[0] if empty else path))
-    return files
+    try:
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(path))
+    except AnalysisException as e:
+        if _missing(e):
+            raise FileNotFoundError(MSG_SOURCE_MISSING.format(path=path)) from e
+        raise
+    # The names become a literal inside the JVM: none is fetched one by one.
+    names = ClassicColumn(spark.sparkContext._jvm.org.apache.spark.sql.functions.lit(listing._jdf.inputFiles()))
+    every = spark.range(1).select(F.explode(names).alias("path"))
+    sized = listing.select(F.col("_metadata.file_path").alias("_scanned"), F.col("_metadata.file_size").alias("_size"))
+    found = every.join(sized, _one_form("path") == _one_form("_scanned"), "left")
+    return found.select("path", F.coalesce("_size", F.lit(0)).cast("bigint").alias("length"))
+
+
+def _one_form(path: str) -> Column:
+    """``file:/x`` and ``file:///x`` are one path."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def check_source(spark: SparkSession, path: str) -> Inventory:
+    """Raise when the source is missing, has no file, or has one without bytes; else its size."""
+    seen = source_files(spark, path).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+        F.min(F.when(F.col("length") == 0, F.col("path"))).alias("empty"),
+    ).first()
+    if seen["empty"] is not None or not seen["files"]:
+        raise ValueError(MSG_SOURCE_EMPTY.format(path=seen["empty"] or path))
+    return Inventory(seen["files"], seen["bytes"])

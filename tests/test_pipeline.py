@@ -5,6 +5,7 @@ import pytest
 from strata.operators.lineage import qualified_path
 from strata.plans import Lake, run_pipeline
 from strata.sources import layer_exists, read_layer
+from strata.versions import table_path
 from tests.conftest import write_text
 
 CLEAN_CUSTOMERS = {
@@ -35,7 +36,7 @@ def test_clean_file_end_to_end(spark, tmp_path, clean_csv):
     assert bronze.count() == 8
     assert dict(bronze.dtypes)["order_date"] == "string"  # raw text preserved
     assert dict(bronze.dtypes)["order_date_year"] == "int"
-    assert os.path.isdir(os.path.join(lake.bronze, "order_date_year=2023", "order_date_month=3", "order_date_day=31"))
+    assert os.path.isdir(os.path.join(table_path(spark, lake.bronze), "order_date_year=2023", "order_date_month=3", "order_date_day=31"))
     assert {r.file_path for r in bronze.select("file_path").distinct().collect()} == {qualified_path(spark, lake.bronze)}
 
     sales = read_layer(spark, lake.gold_sales)
@@ -46,7 +47,7 @@ def test_clean_file_end_to_end(spark, tmp_path, clean_csv):
     cust = read_layer(spark, lake.gold_customer)
     assert customers(cust) == CLEAN_CUSTOMERS
     assert os.listdir(lake.gold_customer) and os.path.isdir(
-        os.path.join(lake.gold_customer, "order_date_year=2023", "order_date_month=3", "order_date_day=31"))
+        os.path.join(table_path(spark, lake.gold_customer), "order_date_year=2023", "order_date_month=3", "order_date_day=31"))
 
     quality = read_layer(spark, lake.gold_quality)
     assert quality.count() == 24

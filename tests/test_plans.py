@@ -64,6 +64,7 @@ def test_flags_are_joined_once_per_run(spark, tmp_path, monkeypatch, budget):
     from strata.contracts import PARTITION_COLUMNS
     from strata.plans import Lake, silver
     from strata.queries.spark_side import bronze_rows
+    from strata.sources import read_layer
 
     staged, written = [], []
     stage, write = silver.stage_table, silver.write_layer
@@ -75,7 +76,7 @@ def test_flags_are_joined_once_per_run(spark, tmp_path, monkeypatch, budget):
     assert len(written) == 2
     for text in written:
         assert "Join" not in text and "Repartition" not in text and "Aggregate" not in text
-    assert set(PARTITION_COLUMNS) <= set(spark.read.parquet(lake.silver).columns)
+    assert set(PARTITION_COLUMNS) <= set(read_layer(spark, lake.silver).columns)
 
 
 def test_sort_merge_fallback_beyond_budget(spark):
@@ -139,6 +140,8 @@ def test_day_writes_use_all_tasks_and_split_a_hot_day(spark, tmp_path):
     from pyspark.sql import functions as F
 
     from strata.sinks.parquet import write_layer, write_tasks
+    from strata.sources import read_layer
+    from strata.versions import table_path
 
     rows = spark.range(6_000).select(
         "id", F.when(F.col("id") % 3 == 0, 2_000).otherwise(F.lit(1_900) + (F.col("id") % 40).cast("int")).alias("year"),
@@ -147,7 +150,7 @@ def test_day_writes_use_all_tasks_and_split_a_hot_day(spark, tmp_path):
     path = str(tmp_path / "t")
     write_layer(rows, path, partition_by=("year", "day"))
     files = {}
-    for folder, _, names in os.walk(path):
+    for folder, _, names in os.walk(table_path(spark, path)):
         for name in names:
             if name.endswith(".parquet"):
                 files.setdefault(folder.split("year=")[1][:4], []).append(name.split("-")[1])
@@ -155,7 +158,7 @@ def test_day_writes_use_all_tasks_and_split_a_hot_day(spark, tmp_path):
     assert len(tasks) >= write_tasks(rows)
     assert len(set(files["2000"])) > 1  # a third of all rows, several tasks
     assert all(len(names) == 1 for year, names in files.items() if year != "2000")
-    assert spark.read.parquet(path).count() == 6_000
+    assert read_layer(spark, path).count() == 6_000
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith("dq_")))
@@ -166,3 +169,46 @@ def test_audits_do_not_expand_rows(spark, name):
 def test_flagship_scans_the_rows_once(spark):
     text = optimized(QUERIES["customer_order_summary"](spark, SF_DIR))
     assert text.count("Relation [") == 1 and "customer_name#" not in text  # orders per customer and day alone
+
+
+def test_twenty_thousand_days_and_tasks_plan_at_once(spark, tmp_path):
+    """No list of days on the driver or in the plan: the salts are a table that is joined by day."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from strata.sinks.parquet import day_layout
+
+    days = spark.range(0, 1_000_000, numPartitions=4).select("id", (F.col("id") * F.col("id") % 20_011).alias("day"))
+    began = time.perf_counter()
+    out = day_layout(days, ["day"], tasks=20_000)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert time.perf_counter() - began < 60
+    assert "CASE" not in text and len(text) < 20_000
+    assert "BroadcastHashJoin" in text and "REPARTITION_BY_NUM" in text
+    assert out.columns == ["id", "day"]
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_many_hot_days_are_split_and_keep_their_rows(spark, threshold):
+    """Broadcast or shuffled, null days too: every row once, no task with more than a few shares."""
+    from pyspark.sql import functions as F
+
+    from strata.sinks.parquet import day_layout
+
+    tasks = 64
+    rows = spark.range(60_000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(None).cast("int")).otherwise((F.col("id") % 100).cast("int")).alias("day"),
+        F.lit(1).alias("month"),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        out = day_layout(rows, ["day", "month"], tasks=tasks)
+        assert ("BroadcastHashJoin" in plan(out)) == (threshold != "-1")
+        sizes = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert sum(r["count"] for r in sizes) == 60_000 and len(sizes) > tasks / 2
+        assert max(r["count"] for r in sizes) < 5 * 60_000 / tasks  # the null day alone has a third
+        assert out.select("id").distinct().count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from strata.contracts import RAW_COLUMNS
 from strata.plans import ingest_bronze
 from strata.sinks import write_csv
-from strata.sources import check_source, header_lines, parsed_lines, read_checked, read_layer, validate_header
+from strata.sources import check_source, file_heads, parsed_rows, read_checked, read_layer, source_files, validate_header
 from tests.conftest import CLEAN_CSV, write_text
 
 HEADER = ",".join(RAW_COLUMNS)
@@ -18,8 +18,7 @@ def test_header_contract():
 
 
 def test_reads_typed_rows(spark, clean_csv):
-    head = header_lines(parsed_lines(spark, clean_csv)).select(*RAW_COLUMNS).collect()
-    assert [tuple(h) for h in head] == [RAW_COLUMNS]
+    assert [r["head"] for r in file_heads(spark, clean_csv).collect()] == [HEADER]
     df = read_checked(spark, clean_csv)
     assert df.count() == 8
     assert dict(df.dtypes)["row_id"] == "bigint"
@@ -83,7 +82,7 @@ def test_csv_round_trip_keeps_padding(spark, tmp_path):
 def test_multi_file_source(spark, tmp_path):
     write_text(tmp_path / "multi" / "a.csv", CLEAN_CSV)
     write_text(tmp_path / "multi" / "b.csv", CLEAN_CSV.replace("KX-", "KY-"))
-    assert len(check_source(spark, str(tmp_path / "multi"))) == 2
+    assert check_source(spark, str(tmp_path / "multi")).files == 2
     assert read_checked(spark, str(tmp_path / "multi")).count() == 16
 
 
@@ -120,6 +119,70 @@ def test_a_zero_byte_part_among_others_is_reported(spark, tmp_path):
         check_source(spark, str(tmp_path / "m"))
 
 
-def test_the_source_is_parsed_once(spark, tmp_path, clean_csv):
-    plan = read_checked(spark, clean_csv)._jdf.queryExecution().optimizedPlan().toString()
-    assert "csv" not in plan.replace("csv_lines", "") and "parquet" in plan
+def test_a_quoted_header_conforms(spark, tmp_path):
+    path = write_text(tmp_path / "q.csv", ",".join(f'"{c}"' for c in RAW_COLUMNS) + f"\r\n{GOOD}\r\n")
+    assert read_checked(spark, path).count() == 1
+
+
+def test_inventory_of_nested_folders_and_odd_names(spark, tmp_path):
+    root = tmp_path / "deep"
+    for name in ("a.csv", "x/b c.csv", "x/y=1/ü%20.csv", "x/y=1/z/d.csv"):
+        write_text(root / name, f"{HEADER}\n{GOOD}\n")
+    write_text(root / "x" / "_SUCCESS", "")
+    write_text(root / "x" / ".hidden.csv", "")
+    size = len(f"{HEADER}\n{GOOD}\n".encode())
+    assert sorted(r["length"] for r in source_files(spark, str(root)).collect()) == [size] * 4
+    seen = check_source(spark, str(root))
+    assert (seen.files, seen.bytes) == (4, 4 * size)
+    assert read_checked(spark, str(root)).count() == 4
+    write_text(root / "x" / "y=1" / "z" / "empty.csv", "")
+    with pytest.raises(ValueError, match="z/empty.csv"):
+        check_source(spark, str(root))
+
+
+def test_inventory_makes_no_call_a_file(spark, tmp_path, monkeypatch):
+    client = spark.sparkContext._gateway._gateway_client
+    calls, send = [], client.send_command
+    monkeypatch.setattr(client, "send_command", lambda *a, **k: (calls.append(1), send(*a, **k))[1])
+    counts = []
+    for n in (3, 60):
+        for k in range(n):
+            write_text(tmp_path / str(n) / f"{k}.csv", f"{HEADER}\n{GOOD}\n")
+        calls.clear()
+        assert check_source(spark, str(tmp_path / str(n))).files == n
+        counts.append(len([c for c in calls]))
+    assert 0 < counts[1] <= counts[0] + 20
+
+
+def test_a_wrong_header_fails_before_any_row_is_read(spark, tmp_path, monkeypatch):
+    from strata.plans import bronze
+
+    for k in range(5):
+        write_text(tmp_path / "m" / f"{k}.csv", (HEADER.upper() if k == 4 else HEADER) + f"\n{GOOD}\n")
+    read = []
+    monkeypatch.setattr(bronze, "parsed_rows", lambda *a, **k: read.append(a))
+    with pytest.raises(ValueError, match="Header validation failed.*4.csv"):
+        ingest_bronze(spark, str(tmp_path / "m"), str(tmp_path / "lake"), "t")
+    assert not read and not (tmp_path / "lake").exists()
+
+
+def test_only_the_head_of_a_file_is_read(spark, tmp_path):
+    write_text(tmp_path / "big.csv", f"\n{HEADER}\n" + f"{GOOD}\n" * 200_000)
+    assert [r["head"] for r in file_heads(spark, str(tmp_path / "big.csv")).collect()] == [HEADER]
+
+
+def test_days_are_counted_from_the_date_column_alone(spark, clean_csv):
+    plan = parsed_rows(spark, clean_csv).select("order_date")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<order_date:string>" in plan
+
+
+def test_one_write_per_ingest(spark, tmp_path, clean_csv, monkeypatch):
+    """The rows are written once; working tables hold heads and days' sizes only."""
+    from strata import session
+    from strata.sinks import parquet
+
+    staged = []
+    stage = session.stage_table
+    monkeypatch.setattr(parquet, "stage_table", lambda df, name, *a: (staged.append((name, df.columns)), stage(df, name, *a))[1])
+    assert ingest_bronze(spark, clean_csv, str(tmp_path / "lake"), "t").rows == 8
+    assert [name for name, _ in staged] == ["day_sizes"] and "order_id" not in staged[0][1]
