@@ -90,6 +90,7 @@ SILVER_DIR = ("silver", "sales")
 QUARANTINE_NAME = "rejected_records"
 GOLD_DIR = ("gold",)
 GOLD_SALES_NAME, GOLD_CUSTOMER_NAME, GOLD_QUALITY_NAME = "sales", "customer", "data_quality"
+CUSTOMER_STATE_NAME = "customer_days"
 
 # Column renames applied on the way to Silver and to the customer table.
 SILVER_RENAMES: dict[str, str] = {"ship_date": "shipment_date", "ship_mode": "shipment_mode"}
@@ -109,6 +110,11 @@ SILVER_COLUMNS: tuple[str, ...] = (
     "country",
     "city",
 ) + LINEAGE_COLUMNS + PARTITION_COLUMNS
+# What a quarantined row has besides the Silver columns: the names of the rules
+# that it fails, and its dates as the source wrote them.
+RAW_DATE_TEXTS: dict[str, str] = {"order_date": "order_date_text", "ship_date": "shipment_date_text"}
+FAILED_RULES = "failed_rules"
+QUARANTINE_COLUMNS: tuple[str, ...] = SILVER_COLUMNS + (FAILED_RULES, *RAW_DATE_TEXTS.values())
 GOLD_SALES_COLUMNS: tuple[str, ...] = (
     "order_id",
     "order_date",

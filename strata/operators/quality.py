@@ -55,6 +55,7 @@ ROW_OVERHEAD_BYTES = {"string": 128}
 OTHER_OVERHEAD_BYTES = 72
 
 VALID_FLAG = "_is_valid"
+FAILED_MASK = "_failed"
 
 
 # ---------------------------------------------------------------------------
@@ -87,6 +88,39 @@ def row_validity(rules: RuleSet) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
+def rule_tests(rules: RuleSet, duplicated: dict[str, Column]) -> list[tuple[str, Column]]:
+    """``(name, fails)`` of every validity rule, in the audit's words; a row is valid iff none fails.
+
+    A required date that is missing did not parse. A chronology whose operand
+    is missing fails only where no other rule says so. ``duplicated`` holds
+    the flag of every unique key.
+    """
+    def named(fixed: tuple[str, str], column: str = "") -> str:
+        return fixed[0].format(c=column)
+
+    tests = [(named(RULE_DATE_VALID if c in rules.dates else RULE_NOT_NULL, c), F.col(c).isNull()) for c in rules.required]
+    tests += [(named(RULE_UNIQUE, k), F.coalesce(duplicated[k], F.lit(False))) for k in rules.unique]
+    for earlier, later in rules.chronology:
+        told = {earlier, later} <= set(rules.required)
+        tests.append((named(RULE_CHRONOLOGY), F.coalesce(F.col(later) < F.col(earlier), F.lit(not told))))
+    for c, values in rules.allowed.items():
+        tests.append((named(RULE_MODE_ALLOWED, c), ~F.coalesce(F.col(c).isin(*values), F.lit(False))))
+    return tests
+
+
+def failed_mask(rules: RuleSet, duplicated: dict[str, Column]) -> Column:
+    """One bit for each rule of ``rule_tests`` that fails; 0 is a valid row."""
+    bits = [F.when(fails, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, (_, fails) in enumerate(rule_tests(rules, duplicated))]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0).cast("bigint"))
+
+
+def failed_names(mask: str | Column, rules: RuleSet = SILVER_RULES) -> Column:
+    """The names of a mask's rules, in order."""
+    mask = F.col(mask) if isinstance(mask, str) else mask
+    names = [name for name, _ in rule_tests(rules, {k: F.lit(False) for k in rules.unique})]
+    return F.array_compact(F.array(*[F.when(F.bit_get(mask, F.lit(i)) == 1, F.lit(n)) for i, n in enumerate(names)]))
+
+
 # ---------------------------------------------------------------------------
 # Duplicates
 # ---------------------------------------------------------------------------
@@ -226,6 +260,17 @@ def flag_valid(
     return flagged.select(*df.columns, valid.alias(VALID_FLAG))
 
 
+def flag_failed(
+    df: DataFrame, rules: RuleSet = SILVER_RULES, *, broadcast_max_bytes: int | None = None,
+    sets: list[DuplicateSet] | None = None,
+) -> DataFrame:
+    """Add ``_failed``, the mask of the rules that a row fails, and ``_is_valid``, whether it is 0."""
+    sets = sets if sets is not None else duplicate_sets(df, rules.unique, broadcast_max_bytes=broadcast_max_bytes)
+    flagged, _ = flag_duplicates(df, rules.unique, sets=sets)
+    masked = flagged.withColumn(FAILED_MASK, failed_mask(rules, {d.key: F.col(d.flag) for d in sets}))
+    return masked.select(*df.columns, FAILED_MASK, (F.col(FAILED_MASK) == 0).alias(VALID_FLAG))
+
+
 def split_valid_rejected(
     df: DataFrame, rules: RuleSet = SILVER_RULES, *, broadcast_max_bytes: int | None = None
 ) -> tuple[DataFrame, DataFrame]:

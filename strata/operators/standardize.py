@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType
 from strata.contracts import (
     LINEAGE_COLUMNS,
     RAW_COLUMNS,
+    RAW_DATE_TEXTS,
     SHIP_MODE_CANONICAL,
     SILVER_COLUMNS,
     SILVER_RENAMES,
@@ -75,9 +76,12 @@ def _identity(c: Column) -> Column:
     return c
 
 
-def to_silver(df: DataFrame) -> DataFrame:
+def to_silver(df: DataFrame, *, raw_dates: bool = False) -> DataFrame:
     """Standardise Bronze-shaped rows into Silver shape (job C2).
 
+    With ``raw_dates`` the source's date texts are kept as they are, in
+    columns of their own behind the others.
+
     Contract projection of the raw and lineage columns and renames; one
     projection cleans every string column, the next applies name/country/
     segment casing, date parsing and shipment-mode canonicalisation to the
@@ -85,7 +89,10 @@ def to_silver(df: DataFrame) -> DataFrame:
     own projection evaluates each regular expression once per value (Catalyst
     does not inline a non-cheap expression it would have to repeat).
     """
-    base = rename(project(df, RAW_COLUMNS + LINEAGE_COLUMNS), SILVER_RENAMES)
-    cleaned = base.select(*[e.alias(c) for c, e in cleaning_rules(base).items()])
+    texts = RAW_DATE_TEXTS if raw_dates else {}
+    raw = df.select(*RAW_COLUMNS, *LINEAGE_COLUMNS, *[F.col(c).alias(t) for c, t in texts.items()])
+    base = rename(raw, SILVER_RENAMES)
+    rules = cleaning_rules(base) | {t: F.col(t) for t in texts.values()}
+    cleaned = base.select(*[e.alias(c) for c, e in rules.items()])
     out = cleaned.select(*[BUSINESS_RULES.get(c, _identity)(F.col(c)).alias(c) for c in cleaned.columns])
-    return project(with_date_partitions(out, "order_date"), SILVER_COLUMNS)
+    return project(with_date_partitions(out, "order_date"), (*SILVER_COLUMNS, *texts.values()))

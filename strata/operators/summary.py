@@ -56,10 +56,10 @@ def period_starts(latest: date, periods: tuple[Period, ...] = CUSTOMER_PERIODS)
     return {p.name: p.start(anchor) for p in periods}
 
 
-def customer_days(
+def customer_day_counts(
     df: DataFrame, keys: tuple[str, ...] = CUSTOMER_KEY_COLUMNS, *, orders_unique: bool = False
 ) -> DataFrame:
-    """``(keys..., order_date, orders)``: distinct orders per customer key and day, staged.
+    """``(keys..., order_date, orders)``: distinct orders per customer key and day.
 
     Groups on the derived first/last names, like the output, so that one
     order is counted once per output row. With ``orders_unique`` (every
@@ -69,8 +69,14 @@ def customer_days(
     rows = with_name_parts(df).select(*keys, "order_id", "order_date")
     if not orders_unique:
         rows = rows.groupBy(*keys, "order_id").agg(F.max("order_date").alias("order_date"))
-    days = rows.groupBy(*keys, "order_date").agg(F.count("order_id").alias("orders"))
-    return stage_table(days, "customer_days")[0]
+    return rows.groupBy(*keys, "order_date").agg(F.count("order_id").alias("orders"))
+
+
+def customer_days(
+    df: DataFrame, keys: tuple[str, ...] = CUSTOMER_KEY_COLUMNS, *, orders_unique: bool = False
+) -> DataFrame:
+    """``customer_day_counts``, staged."""
+    return stage_table(customer_day_counts(df, keys, orders_unique=orders_unique), "customer_days")[0]
 
 
 def period_counts(
@@ -115,7 +121,11 @@ def customer_summary(
 ) -> DataFrame:
     """The Gold customer table, partitioned by the latest order day."""
     days = customer_days(df, orders_unique=orders_unique)
-    latest = latest or latest_order_day(days)
+    return customer_table(days, latest or latest_order_day(days), periods)
+
+
+def customer_table(days: DataFrame, latest: date, periods: tuple[Period, ...] = CUSTOMER_PERIODS) -> DataFrame:
+    """The Gold customer table from orders per customer and day."""
     year_col, month_col, day_col = PARTITION_COLUMNS
     return (
         period_counts(days, latest, periods)

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from strata.contracts import (
     BRONZE_DIR,
+    CUSTOMER_STATE_NAME,
     GOLD_CUSTOMER_NAME,
     GOLD_DIR,
     GOLD_QUALITY_NAME,
@@ -45,6 +46,11 @@ class Lake:
     def gold_customer(self) -> str:
         return child(self.gold, GOLD_CUSTOMER_NAME)
 
+    @property
+    def customer_state(self) -> str:
+        """Orders per customer and day that refreshes of the customer table build on."""
+        return child(self.gold, CUSTOMER_STATE_NAME)
+
     @property
     def gold_quality(self) -> str:
         return child(self.gold, GOLD_QUALITY_NAME)

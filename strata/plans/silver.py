@@ -5,7 +5,8 @@ duplicate-key sets. The staging write observes, above its exchange, the input
 and valid counts, the latest valid order day and every row-level audit count;
 the uniqueness counts come from the duplicate-key sets. Quarantine and then
 Silver are map-only filters of the staged table, so a run that fails between
-the two has lost no reject. Working tables live in a folder of the run's own.
+the two has lost no reject. A quarantined row names the rules that it fails
+and keeps its dates as the source wrote them. Working tables live in a folder of the run's own.
 """
 
 from __future__ import annotations
@@ -18,17 +19,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.contracts import AUDIT_UNIQUE, PARTITION_COLUMNS, SILVER_RULES
+from strata.contracts import (
+    AUDIT_UNIQUE,
+    FAILED_RULES,
+    PARTITION_COLUMNS,
+    QUARANTINE_COLUMNS,
+    SILVER_COLUMNS,
+    SILVER_RULES,
+)
 from strata.operators.lineage import child, qualified_path, stamp
 from strata.operators.quality import (
+    FAILED_MASK,
     VALID_FLAG,
     duplicate_sets,
-    flag_valid,
+    failed_names,
+    flag_failed,
     key_surplus,
     report_from_counts,
     row_rule_metrics,
 )
-from strata.operators.standardize import to_silver
+from strata.operators.standardize import project, to_silver
 from strata.plans.layout import Lake
 from strata.session import stage_table, work_folder
 from strata.sinks.parquet import day_layout, write_layer
@@ -64,12 +74,12 @@ def run_silver(
 def _run_silver(
     spark: SparkSession, bronze: DataFrame, lake: Lake, run_ts: str, work: str, broadcast_max_bytes: int | None
 ) -> SilverResult:
-    standardized = to_silver(bronze)
+    standardized = to_silver(bronze, raw_dates=True)
     sets = duplicate_sets(
         standardized, SILVER_RULES.unique, broadcast_max_bytes=broadcast_max_bytes,
         paths={k: child(work, f"duplicate_{k}") for k in SILVER_RULES.unique},
     )
-    flagged = flag_valid(standardized, SILVER_RULES, sets=sets)
+    flagged = flag_failed(standardized, SILVER_RULES, sets=sets)
     metrics = {
         "rows": F.count(F.lit(1)),
         "valid": F.count_if(F.col(VALID_FLAG)),
@@ -89,10 +99,11 @@ def _run_silver(
     # exists; an existing table is overwritten, so stale rejects never linger.
     write_quarantine = rejected_rows > 0 or layer_exists(spark, lake.rejected)
     if write_quarantine:
-        write_layer(staged.where(~F.col(VALID_FLAG)).drop(VALID_FLAG), lake.rejected)
+        rejected = staged.where(~F.col(VALID_FLAG)).withColumn(FAILED_RULES, failed_names(FAILED_MASK, SILVER_RULES))
+        write_layer(project(rejected, QUARANTINE_COLUMNS), lake.rejected)
     else:
         log.info("No rejected records found.")
-    silver = stamp(staged.where(F.col(VALID_FLAG)).drop(VALID_FLAG), lake.silver, run_ts)
+    silver = stamp(project(staged.where(F.col(VALID_FLAG)), SILVER_COLUMNS), lake.silver, run_ts)
     write_layer(silver, lake.silver, partition_by=PARTITION_COLUMNS, lay_out=False)
 
     surplus = {f"{d.key}_unique": d.surplus for d in sets}

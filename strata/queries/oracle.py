@@ -106,9 +106,11 @@ std0 AS (SELECT row_id,
     upper({clean("country")}) AS country,
     {clean("city")} AS city,
     {clean("file_path")} AS file_path,
-    {clean("execution_datetime")} AS execution_datetime
+    {clean("execution_datetime")} AS execution_datetime,
+    order_date AS order_date_text, ship_date AS shipment_date_text
   FROM bronze),
-std AS (SELECT *, {parts("order_date")} FROM std0),
+texts AS (SELECT *, {parts("std0.order_date")} FROM std0),
+std AS (SELECT * EXCLUDE (order_date_text, shipment_date_text) FROM texts),
 dup_row AS (SELECT row_id FROM std GROUP BY row_id HAVING count(*) > 1),
 dup_ord AS (SELECT order_id FROM std GROUP BY order_id HAVING count(*) > 1),
 valid AS (SELECT * FROM std s
@@ -203,6 +205,54 @@ KEYS_AND = "customer_id, customer_first_name, customer_last_name, customer_segme
 SILVER_SELECT = ("row_id, order_id, order_date, shipment_date, shipment_mode, customer_id, customer_name, segment, "
                  "country, city, file_path, execution_datetime, order_date_year, order_date_month, order_date_day")
 
+# Odd date texts, one form an order (the forms' order is part of the key).
+DATE_FORMS = """[iso, y, y || '-' || m, y || '-' || m || '-' || d, '  ' || iso || chr(9), iso || ' 10:30', iso || 'T10:30:00Z',
+  iso || ' any text', iso || 'x', '+' || iso, '-' || iso, '00' || iso, '0' || iso || ' ', '0000' || y || '-01-01',
+  substr(iso, 2, 9), substr(iso, 3, 8), y || '-' || m || '-', y || '-', y || '/' || m || '/' || d,
+  y || '-0' || m || '-' || d || '0', y || '-13-01', y || '-00-10', y || '-02-' || d, y || '-02-29', y || '-04-31',
+  y || '-' || m || '-32', '', ' ', NULL, 'nan', y || '-' || m || 'T10', '+-' || iso, chr(10) || y || chr(13) || chr(10),
+  y || ' ' || m, replace(iso, '-', '')]"""
+
+# The date grammar: blanks around are dropped; a sign or none, a year of 4 to 7 digits, then maybe '-' and a month of
+# one or two digits, then maybe '-' and a day of one or two, behind which a blank or 'T' starts a part that is not read.
+# Missing month and day are 1. The numbers must be a day of the calendar. Days are counted from March of a year
+# that 4000 cycles of 400 years are added to, so that no number is negative.
+LENIENT_DATES = f"""
+SELECT order_key, date_text, CASE WHEN y IS NOT NULL AND m BETWEEN 1 AND 12 AND d BETWEEN 1 AND
+    CASE WHEN m = 2 THEN CASE WHEN y % 4 = 0 AND (y % 100 <> 0 OR y % 400 = 0) THEN 29 ELSE 28 END
+         WHEN m IN (4, 6, 9, 11) THEN 30 ELSE 31 END
+  THEN TRY_CAST(365 * yy + yy // 4 - yy // 100 + yy // 400 + (153 * mm + 2) // 5 + d - 1 - 719468
+                - 4000 * 146097 AS INTEGER) END AS epoch_day
+FROM (
+  SELECT *, 1600000 + y - CASE WHEN m <= 2 THEN 1 ELSE 0 END AS yy, (m + 9) % 12 AS mm
+  FROM (
+    SELECT order_key, date_text, CAST(nullif(f[1], '') AS BIGINT) AS y,
+           CAST(coalesce(nullif(f[2], ''), '1') AS BIGINT) AS m, CAST(coalesce(nullif(f[3], ''), '1') AS BIGINT) AS d
+    FROM (SELECT *, [regexp_extract(t, g, 1), regexp_extract(t, g, 2), regexp_extract(t, g, 3)] AS f
+      FROM (SELECT *, regexp_replace(regexp_replace(coalesce(date_text, ''), '^[\\x00-\\x20\\x7F]+', ''),
+                                     '[\\x00-\\x20\\x7F]+$', '') AS t,
+                   '^([+-]?[0-9]{{4,7}})(?:-([0-9]{{1,2}})(?:-([0-9]{{1,2}})(?:[ T](?s:.*))?)?)?$' AS g
+        FROM (SELECT o_orderkey AS order_key, ({DATE_FORMS})[(o_orderkey // 3) % 35 + 1] AS date_text
+          FROM (SELECT o_orderkey, strftime(dd, '%Y-%m-%d') AS iso, CAST(year(dd) AS VARCHAR) AS y,
+                       CAST(month(dd) AS VARCHAR) AS m, CAST(day(dd) AS VARCHAR) AS d
+                FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dd FROM orders) a) b) c) d0) e) p) q"""
+
+# Why a row is rejected: each rule by itself, in the audit's order of words.
+REASONS = """
+SELECT s.row_id, s.order_id, concat_ws(',',
+    CASE WHEN s.row_id IS NULL THEN 'row_id_not_null' END, CASE WHEN s.order_id IS NULL THEN 'order_id_not_null' END,
+    CASE WHEN customer_id IS NULL THEN 'customer_id_not_null' END,
+    CASE WHEN customer_name IS NULL THEN 'customer_name_not_null' END,
+    CASE WHEN country IS NULL THEN 'country_not_null' END, CASE WHEN segment IS NULL THEN 'segment_not_null' END,
+    CASE WHEN city IS NULL THEN 'city_not_null' END, CASE WHEN order_date IS NULL THEN 'order_date_valid' END,
+    CASE WHEN shipment_date IS NULL THEN 'shipment_date_valid' END,
+    CASE WHEN s.row_id IN (SELECT row_id FROM dup_row) THEN 'row_id_unique' END,
+    CASE WHEN s.order_id IN (SELECT order_id FROM dup_ord) THEN 'order_id_unique' END,
+    CASE WHEN shipment_date < order_date THEN 'shipment_date_on_or_after_order_date' END,
+    CASE WHEN shipment_mode IS NULL OR shipment_mode NOT IN (""" + ALLOWED_SQL + """) THEN 'shipment_mode_allowed' END
+  ) AS failed_rules, order_date_text, shipment_date_text
+FROM texts s WHERE NOT EXISTS (SELECT 1 FROM valid v WHERE v.row_id = s.row_id)"""
+
 ORACLE: dict[str, str] = {
     "src_csv_roundtrip": f"SELECT {CSV_COLS} FROM raw",
     "bronze_partition_read": "SELECT * FROM bronze",
@@ -269,6 +319,10 @@ ORACLE: dict[str, str] = {
     ),
     "valid_rows": "SELECT * FROM valid",
     "rejected_rows": "SELECT * FROM rejected",
+    "rejected_reasons": REASONS,
+    "job_quarantine_reasons": REASONS,
+    "lenient_dates": LENIENT_DATES,
+    "customer_summary_refreshed": "SELECT * FROM summary",
     "dq_missing_counts": rule_rows("bronze", "bronze", lambda n: n.endswith("_not_null")),
     "dq_surplus_duplicates": rule_rows("silver", "std", lambda n: n.endswith("_unique")),
     "dq_date_validity": rule_rows("bronze", "bronze", lambda n: n.endswith("_date_valid")),

@@ -6,6 +6,7 @@ All start from the orders-shaped rows derived from the driver tables
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Callable
 from functools import reduce
@@ -18,10 +19,13 @@ from strata.contracts import (
     CUSTOMER_KEY_COLUMNS,
     CUSTOMER_PERIODS,
     CUSTOMER_RENAMES,
+    FAILED_RULES,
     GOLD_SALES_COLUMNS,
     PARTITION_COLUMNS,
     RAW_COLUMNS,
+    RAW_DATE_TEXTS,
     SHIP_MODE_CANONICAL,
+    SILVER_COLUMNS,
     SILVER_RENAMES,
     SILVER_RULES,
 )
@@ -32,21 +36,25 @@ from strata.operators.quality import (
     chronology_holds,
     drop_duplicated,
     duplicate_keys,
+    failed_names,
+    flag_failed,
     flag_valid,
     quality_report,
     required_present,
     rule_failures,
     split_valid_rejected,
+    FAILED_MASK,
     VALID_FLAG,
 )
 from strata.operators.standardize import project, rename, standardize_strings, to_silver, with_date_partitions
-from strata.operators.summary import customer_summary, order_counts
+from strata.operators.summary import customer_day_counts, customer_summary, customer_table, latest_order_day, order_counts
 from strata.plans import Lake, run_pipeline
 from strata.plans.bronze import ingest_bronze
+from strata.plans.incremental import merge_days
 from strata.queries.fixed import BRONZE_TAG, GOLD_CUSTOMER_TAG, GOLD_SALES_TAG, RUN_TS, SILVER_TAG
-from strata.session import scratch_path, session_id
+from strata.session import scratch_path, session_id, stage_table
 from strata.sinks import write_csv, write_layer
-from strata.sources import check_source, conforms, file_heads, orders_source, parsed_rows, read_checked, read_layer
+from strata.sources import check_source, conforms, file_heads, orders_source, parsed_rows, read_checked, read_layer, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,6 +170,28 @@ def sink_silver_roundtrip(spark, sf_dir):
     return read_layer(spark, path)
 
 
+def odd_dates(spark, sf_dir):
+    """Order dates rewritten in ways that a lenient reader takes or refuses, one way an order, and the day read."""
+    d, k = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    y, m, day = F.year(d).cast("string"), F.month(d).cast("string"), F.dayofmonth(d).cast("string")
+    iso, join = F.date_format(d, "yyyy-MM-dd"), lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in c])
+    forms = [
+        iso, y, join(y, "-", m), join(y, "-", m, "-", day), join("  ", iso, "\t"), join(iso, " 10:30"), join(iso, "T10:30:00Z"),
+        join(iso, " any text"), join(iso, "x"), join("+", iso), join("-", iso), join("00", iso), join("0", iso, " "),
+        join("0000", y, "-01-01"), F.substring(iso, 2, 9), F.substring(iso, 3, 8), join(y, "-", m, "-"), join(y, "-"),
+        join(y, "/", m, "/", day), join(y, "-0", m, "-", day, "0"), join(y, "-13-01"), join(y, "-00-10"), join(y, "-02-", day),
+        join(y, "-02-29"), join(y, "-04-31"), join(y, "-", m, "-32"), F.lit(""), F.lit(" "), F.lit(None).cast("string"),
+        F.lit("nan"), join(y, "-", m, "T10"), join("+-", iso), join("\n", y, "\r\n"), join(y, " ", m), F.replace(iso, F.lit("-"), F.lit("")),
+    ]
+    texts = F.element_at(F.array(*forms), F.pmod(F.floor(k / 3), F.lit(len(forms))).cast("int") + 1)
+    return table(spark, sf_dir, "orders").select(k.alias("order_key"), texts.alias("date_text"))
+
+
+def lenient_dates(spark, sf_dir):
+    """What the lenient date grammar makes of odd texts; days since 1970-01-01."""
+    return odd_dates(spark, sf_dir).withColumn("epoch_day", F.unix_date(parse_date("date_text")))
+
+
 def layer_row_counts(spark, sf_dir):
     flagged = flag_valid(standardized(spark, sf_dir), SILVER_RULES)
     split = flagged.groupBy(
@@ -279,6 +309,18 @@ def rejected_rows(spark, sf_dir):
     return valid_and_rejected(spark, sf_dir)[1]
 
 
+def _reasons(rejected: DataFrame) -> DataFrame:
+    texts = RAW_DATE_TEXTS.values()
+    return rejected.select("row_id", "order_id", F.array_join(FAILED_RULES, ",").alias(FAILED_RULES), *texts)
+
+
+def rejected_reasons(spark, sf_dir):
+    """Every rejected row with the rules that it fails and its dates as the source wrote them."""
+    flagged = flag_failed(to_silver(bronze_rows(spark, sf_dir), raw_dates=True), SILVER_RULES)
+    rejected = flagged.where(~F.col(VALID_FLAG)).withColumn(FAILED_RULES, failed_names(FAILED_MASK, SILVER_RULES))
+    return _reasons(rejected)
+
+
 # ---------------------------------------------------------------------------
 # Quality
 # ---------------------------------------------------------------------------
@@ -361,6 +403,16 @@ def customer_order_summary(spark, sf_dir):
     return stamp_literal(customer_summary(valid, orders_unique=True), GOLD_CUSTOMER_TAG, RUN_TS)
 
 
+def customer_summary_refreshed(spark, sf_dir):
+    """The customer table refreshed twice: from all days but the last ten, then from those alone."""
+    valid, _ = valid_and_rejected(spark, sf_dir)
+    days = stage_table(customer_day_counts(valid, orders_unique=True), "customer_days")[0]
+    latest = latest_order_day(days)
+    cut = latest - dt.timedelta(days=10)
+    state = merge_days(None, days.where(F.col("order_date") <= F.lit(cut)), cut)
+    return customer_table(merge_days(state, days.where(F.col("order_date") > F.lit(cut)), latest), latest)
+
+
 # ---------------------------------------------------------------------------
 # The end-to-end job (C7): run once per session and sf_dir from a staged CSV;
 # each query reads one table the job wrote. ``file_path`` is shown relative to
@@ -397,7 +449,11 @@ def job_quality_table(spark, sf_dir):
 
 def job_quarantine_table(spark, sf_dir):
     lake = job_lake(spark, sf_dir)
-    return below(read_layer(spark, lake.rejected), lake.base)
+    return below(project(read_layer(spark, lake.rejected), SILVER_COLUMNS), lake.base)
+
+
+def job_quarantine_reasons(spark, sf_dir):
+    return _reasons(read_layer(spark, job_lake(spark, sf_dir).rejected))
 
 
 QUERIES: dict[str, Query] = {
@@ -416,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "initcap_names": initcap_names,
     "split_names": split_names,
     "parse_dates": parse_dates,
+    "lenient_dates": lenient_dates,
     "period_starts": period_starts_q,
     "silver_standardized": silver_standardized,
     "gold_sales": gold_sales,
@@ -427,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "anti_duplicate_orders": anti_duplicate_orders,
     "valid_rows": valid_rows,
     "rejected_rows": rejected_rows,
+    "rejected_reasons": rejected_reasons,
     "dq_missing_counts": dq_missing_counts,
     "dq_surplus_duplicates": dq_surplus_duplicates,
     "dq_date_validity": dq_date_validity,
@@ -441,8 +499,10 @@ QUERIES: dict[str, Query] = {
     "orders_last_6_months": orders_last_6_months,
     "orders_last_12_months": orders_last_12_months,
     "customer_order_summary": customer_order_summary,
+    "customer_summary_refreshed": customer_summary_refreshed,
     "job_sales_table": job_sales_table,
     "job_customer_table": job_customer_table,
     "job_quality_table": job_quality_table,
     "job_quarantine_table": job_quarantine_table,
+    "job_quarantine_reasons": job_quarantine_reasons,
 }

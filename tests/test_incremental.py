@@ -1,0 +1,95 @@
+"""The customer table refreshed from new days alone."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.contracts import PARTITION_COLUMNS
+from strata.operators.standardize import with_date_partitions
+from strata.operators.summary import customer_summary
+from strata.plans import Lake, incremental, refresh_customers
+from strata.plans.incremental import days_after, merge_days
+from strata.sinks import write_layer
+from strata.sources import read_layer
+
+KEYS = ("customer_id", "customer_first_name", "customer_last_name", "customer_segment", "country")
+FIRST = dt.date(2021, 1, 1)
+
+
+def silver(spark, days, seed=3):
+    """A few orders on each of some days over two years; one customer has a third of them."""
+    rng, rows = random.Random(seed), []
+    for k in days:
+        for j in range(3):
+            who = "C0" if rng.random() < 0.34 else f"C{rng.randint(1, 9)}"
+            rows.append((f"{k}-{j}", FIRST + dt.timedelta(days=k), who, "Ann de Lee", "S", "X"))
+    df = spark.createDataFrame(rows, "order_id string, order_date date, customer_id string, customer_name string, segment string, country string")
+    return with_date_partitions(df)
+
+
+def counts(df):
+    return sorted(tuple(r) for r in df.drop("file_path", "execution_datetime").collect())
+
+
+def test_refreshes_equal_full_runs_and_read_new_days_only(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path / "lake"))
+    days = list(range(0, 720, 9))
+    read = []
+    after = incremental.days_after
+    monkeypatch.setattr(incremental, "days_after", lambda s, d: (read.append(after(s, d)), read[-1])[1])
+    for upto, fresh in ((20, 20), (21, 1), (55, 34), (55, 0), (80, 25)):
+        rows = silver(spark, days[:upto])
+        write_layer(rows, lake.silver, partition_by=PARTITION_COLUMNS)
+        table = refresh_customers(spark, lake, f"t{upto}")
+        assert counts(table) == counts(customer_summary(rows, orders_unique=True))
+        text = read[-1]._jdf.queryExecution().executedPlan().toString()
+        assert read[-1].select("order_date").distinct().count() == fresh
+        if upto > 20:
+            assert "PartitionFilters: [" in text and "order_date_year" in text.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_state_holds_a_year_and_one_row_a_customer_for_what_was_before(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    write_layer(silver(spark, range(0, 720, 9)), lake.silver, partition_by=PARTITION_COLUMNS)
+    refresh_customers(spark, lake, "t")
+    state = read_layer(spark, lake.customer_state)
+    last = state.agg(F.max("order_date")).first()[0]
+    first = state.agg(F.min("order_date")).first()[0]
+    assert (last - first).days <= 366
+    old = state.where("order_date IS NULL")
+    assert 0 < old.count() == old.select("customer_id").distinct().count()
+
+
+def test_a_rebuild_starts_from_all_days(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    write_layer(silver(spark, range(0, 100, 5)), lake.silver, partition_by=PARTITION_COLUMNS)
+    refresh_customers(spark, lake, "t1")
+    changed = silver(spark, range(0, 100, 5), seed=8)
+    write_layer(changed, lake.silver, partition_by=PARTITION_COLUMNS)
+    table = refresh_customers(spark, lake, "t2", rebuild=True)
+    assert counts(table) == counts(customer_summary(changed, orders_unique=True))
+
+
+def test_no_day_raises_before_any_write(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    write_layer(silver(spark, range(3)).where(F.lit(False)), lake.silver)
+    read = silver(spark, range(3)).where(F.lit(False))
+    assert days_after(read, dt.date(2020, 1, 1)).count() == 0
+    with pytest.raises(Exception):
+        refresh_customers(spark, lake, "t")
+    assert not (tmp_path / "lake" / "gold").exists()
+
+
+def test_merging_in_any_split_gives_the_same_state(spark):
+    days = spark.range(400).select(
+        F.concat(F.lit("C"), F.col("id") % 3).alias("customer_id"),
+        F.date_add(F.lit(FIRST), (F.col("id") * 2).cast("int")).alias("order_date"), F.lit(1).cast("bigint").alias("orders"),
+    )
+    last = FIRST + dt.timedelta(days=798)
+    whole = merge_days(None, days, last, keys=("customer_id",))
+    cut = FIRST + dt.timedelta(days=500)
+    first = merge_days(None, days.where(F.col("order_date") <= F.lit(cut)), cut, keys=("customer_id",))
+    both = merge_days(first, days.where(F.col("order_date") > F.lit(cut)), last, keys=("customer_id",))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, both.collect()))
