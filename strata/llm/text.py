@@ -36,6 +36,11 @@ def remembered(key, make: Callable):
     return _REMEMBERED[key]
 
 
+def forget() -> None:
+    """Lets go of what this process remembers."""
+    _REMEMBERED.clear()
+
+
 def raw(text: str | None) -> bytes:
     """UTF-8 of a text; a null is an empty text."""
     return b"" if text is None else text.encode("utf-8")

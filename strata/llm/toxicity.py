@@ -9,11 +9,14 @@ shares most n-grams with words that were seen.
 
 Learning takes a sample of labelled documents whose size is a parameter
 (``SAMPLE_PER_CLASS``; the smallest hashes of the ids of each class, the
-clean class times ``CLEAN_TIMES``), in one task. Scoring runs over all texts,
-map-only, with one number per n-gram bucket.
+clean class times ``CLEAN_TIMES``; of these, in the same order, as many as
+have ``SAMPLE_BYTES`` together, none longer than ``LONGEST_BYTES``), in one
+task, one text an id. Scoring runs over all texts, map-only, with one number
+per n-gram bucket.
 
 Cases: a null or empty text has an empty window and scores the bias alone;
-several labels of one document count as toxic if one does; without a toxic
+several labels of one document count as toxic if one does; of several rows of
+one id the text with the smallest hash is learned from; without a toxic
 label nothing can be learned and every score is under 1e-300; repeated rows and null
 ids are scored one by one; an empty table gives no rows.
 """
@@ -21,20 +24,25 @@ ids are scored one by one; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.text import ALNUM_LOWER, fresh, id_bucket, remembered
+from strata.llm.text import ALNUM_LOWER, forget, fresh, id_bucket, remembered
+from strata.session import stage_table
 
 #: Labelled documents to learn from: toxic ones, and times as many clean ones.
 SAMPLE_PER_CLASS = 4_096
 CLEAN_TIMES = 2
+#: Bytes of text to learn from, toxic and clean together, and of one document at most.
+SAMPLE_BYTES = 24 << 20
+LONGEST_BYTES = 1 << 20
 FOLDS, HELD_OUT_FOLD = 5, 0
 
 BUCKETS = 1 << 18
@@ -47,6 +55,8 @@ DECAY = 1e-4
 #: Documents at which an n-gram's own evidence counts half, and what that evidence weighs at the start.
 RELIABLE_FROM = 20.0
 START = 3.0
+#: Size of the random vectors that embeddings start from.
+INIT = 1.0
 #: Words whose figure a worker process keeps.
 MEMO_WORDS = 600_000
 NO_TOXIC_BIAS = -800.0
@@ -95,13 +105,13 @@ def word_scores(words: list[bytes], weight: np.ndarray) -> np.ndarray:
 @dataclass
 class Model:
     embedding: np.ndarray  # buckets x dimensions
-    softmax: np.ndarray  # the difference of the two classes' rows
+    softmax: np.ndarray  # classes (clean, toxic) x dimensions
     bias: float
 
     @property
     def weight(self) -> np.ndarray:
         """What a bucket adds to the log odds of the toxic class."""
-        return (self.embedding @ self.softmax).astype(np.float32)
+        return (self.embedding @ (self.softmax[1] - self.softmax[0])).astype(np.float32)
 
 
 def window_bounds(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,47 +134,51 @@ def window_means(z: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     """Full-batch training of embeddings and softmax together.
 
-    In the first steps a text's log odds are a mean over its windows, later
-    more and more those of its worst one. All gradients of an embedding have
-    the softmax's direction, so a step is a few sums over words and n-grams.
+    Embeddings start as random vectors, to which is added, along the softmax'
+    own direction, how much oftener an n-gram stands in toxic texts. In the
+    first steps a text's log odds are a mean over its windows, later more and
+    more those of its worst one. With two classes the gradient of an
+    embedding is a number times the difference of the softmax' rows, which
+    turn as the embeddings pull them; so a step is a few sums over words and
+    n-grams. What few texts hold is held back, here and in every step, else
+    single texts would be learned by heart.
     """
     rng = np.random.default_rng(seed)
-    softmax = rng.normal(size=DIMENSIONS)
-    softmax /= np.linalg.norm(softmax)
-    embedding = np.zeros((BUCKETS, DIMENSIONS))
+    softmax = rng.normal(size=(2, DIMENSIONS))
+    softmax /= np.linalg.norm(softmax[1] - softmax[0])
     labels = np.asarray(labels, dtype=np.float64)
     if not len(labels) or labels.max() == 0:
-        return Model(embedding, softmax, NO_TOXIC_BIAS)
+        return Model(np.zeros((BUCKETS, DIMENSIONS)), softmax, NO_TOXIC_BIAS)
     index: dict[bytes, int] = {}
-    ids: list[int] = []
-    counts = np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
+    parts = []
+    for text in texts:
         words = words_in(text)
-        counts[k] = len(words)
-        ids += [index.setdefault(w, len(index)) for w in words]
-    token = np.array(ids, dtype=np.int64)
+        parts.append(np.fromiter((index.setdefault(w, len(index)) for w in words), np.int32, len(words)))
+    counts = np.fromiter(map(len, parts), np.int64, len(parts))
+    token = np.concatenate(parts)
     if not index:
-        return Model(embedding, softmax, 0.0)
+        return Model(np.zeros((BUCKETS, DIMENSIONS)), softmax, 0.0)
     buckets, bounds = word_grams(list(index))
     grams = np.diff(bounds)
-    gram_word = np.repeat(np.arange(len(index)), grams)
+    gram_word = np.repeat(np.arange(len(index), dtype=np.int32), grams)
     first, text_of = window_bounds(counts)
     ends = np.minimum(first + WINDOW, np.cumsum(counts)[text_of])
     sizes = np.maximum(1, ends - first)
-    window_of = np.repeat(np.arange(len(first)), ends - first)
+    window_of = np.repeat(np.arange(len(first), dtype=np.int32), ends - first)
     begins = np.concatenate(([0], np.flatnonzero(np.diff(text_of)) + 1))
     balance = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum())) * len(labels)
-    # Start: how much oftener an n-gram stands in toxic texts. What few texts hold is held back,
-    # here and in every step, else single texts would be learned by heart.
     held = np.unique(np.repeat(np.arange(len(texts)), counts) * len(index) + token)
     by_label = [np.bincount(held % len(index), (labels == y)[held // len(index)], len(index)) for y in (0, 1)]
     clean, toxic = (np.bincount(buckets, n[gram_word], BUCKETS) for n in by_label)
+    del held, parts
     reliable = (clean + toxic) / (clean + toxic + RELIABLE_FROM)
     odds = np.log((toxic + 0.5) / (labels.sum() + 1)) - np.log((clean + 0.5) / ((1 - labels).sum() + 1))
-    embedding = np.outer(START * reliable * np.clip(odds, -3, 6), softmax)
-    bias, seen, seen_bias, seen_softmax = 0.0, np.full(BUCKETS, 1e-8), 1e-8, 1e-8
+    embedding = rng.normal(scale=INIT / math.sqrt(DIMENSIONS), size=(BUCKETS, DIMENSIONS)) * np.sqrt(reliable)[:, None]
+    embedding += np.outer(START * reliable * np.clip(odds, -3, 6), softmax[1] - softmax[0])
+    bias, seen, seen_bias, seen_softmax = 0.0, np.full(BUCKETS, 1e-8), 1e-8, np.full(DIMENSIONS, 1e-8)
     for step in range(STEPS):
-        weight = embedding @ softmax
+        direction = softmax[1] - softmax[0]
+        weight = embedding @ direction
         z = np.add.reduceat(weight[buckets], bounds[:-1]) / grams
         odds = np.bincount(window_of, z[token], len(first)) / sizes
         sharp = 0.5 * step
@@ -179,14 +193,15 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         by_window = wrong[text_of] * share / sizes
         by_word = np.bincount(token, by_window[window_of], len(index)) / grams
         slope = np.bincount(buckets, by_word[gram_word], BUCKETS)
-        softmax_slope = embedding.T @ slope
+        softmax_slope = embedding.T @ slope  # of the toxic row; the clean row's is its opposite
         slope_bias = wrong.sum()
         seen += slope**2
         seen_bias += slope_bias**2
-        seen_softmax += (softmax_slope**2).sum()
+        seen_softmax += softmax_slope**2
         embedding *= 1.0 - DECAY
-        embedding -= np.outer(RATE * reliable * slope / np.sqrt(seen.max()), softmax)
-        softmax = softmax - 0.1 * RATE * softmax_slope / np.sqrt(seen_softmax)
+        embedding -= np.outer(RATE * reliable * slope / np.sqrt(seen.max()), direction)
+        turn = 0.05 * RATE * softmax_slope / np.sqrt(seen_softmax)
+        softmax = softmax + np.outer([1.0, -1.0], turn)
         bias -= 0.2 * RATE * slope_bias / np.sqrt(seen_bias)
     return Model(embedding, softmax, float(bias))
 
@@ -216,7 +231,7 @@ class Scorer(dict):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """(text, toxic) of at most ``per_class`` toxic and ``CLEAN_TIMES`` as many clean documents.
+    """(doc_id, text, toxic) of at most ``per_class`` toxic and ``CLEAN_TIMES`` as many clean documents.
 
     The ids are chosen first, from the labels; their number is bounded, so
     they are broadcast and no text is shuffled but those chosen.
@@ -232,13 +247,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_
     clean = known.filter("toxic = 0").orderBy(*order).limit(CLEAN_TIMES * per_class)
     chosen = toxic.unionByName(clean).withColumnsRenamed({"doc_id": "_id", "toxic": "_toxic"})
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    return texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("_toxic").alias("toxic"))
+    body = F.coalesce("text", F.lit(""))
+    one = texts.groupBy("doc_id", "_toxic").agg(F.min(F.struct(F.xxhash64(body), body.alias("text"))).alias("_row"))
+    found = stage_table(one.select("doc_id", "_row.text", F.col("_toxic").alias("toxic")), "toxicity_sample")[0]
+    # Lengths alone are added up; there are at most as many rows as ids were chosen.
+    sized = found.select("doc_id", "toxic", F.octet_length("text").alias("_size")).filter(F.col("_size") <= LONGEST_BYTES)
+    upto = F.sum("_size").over(Window.partitionBy("toxic").orderBy(*order))
+    share = F.when(F.col("toxic") == 1, SAMPLE_BYTES // (1 + CLEAN_TIMES)).otherwise(
+        SAMPLE_BYTES * CLEAN_TIMES // (1 + CLEAN_TIMES)
+    )
+    kept = sized.withColumn("_upto", upto).filter(F.col("_upto") <= share).select("doc_id")
+    return found.join(F.broadcast(kept), "doc_id", "left_semi")
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple[np.ndarray, float]:
     """Bucket weights and bias, learned in one task from the bounded sample."""
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()  # what this worker keeps of other operators
         parts = list(batches)
         rows = pd.concat(parts) if parts else pd.DataFrame({"doc_id": [], "text": [], "toxic": []})
         rows = rows.sort_values(["doc_id", "text"], kind="stable")

@@ -98,3 +98,34 @@ def test_odd_rows_and_missing_labels(spark, odd_docs, no_docs):
     got = toxicity.score_documents(odd_docs, table).collect()
     assert len(got) == len(odd_rows()) and all(0 <= r["score"] <= 1 for r in got)
     assert toxicity.score_documents(no_docs, table).count() == 0
+
+
+def test_embeddings_have_directions_of_their_own_and_catch_misspellings():
+    rows, labels = toxic_set(400, [""])
+    model = toxicity.train([rows[k] for k in rows], np.array([labels[k] for k in rows]))
+    sizes = np.linalg.svd(model.embedding[np.abs(model.embedding).sum(axis=1) > 0], compute_uv=False)
+    assert model.softmax.shape == (2, toxicity.DIMENSIONS)
+    assert (sizes > 0.01 * sizes[0]).sum() == toxicity.DIMENSIONS  # not one weight a bucket in disguise
+    assert np.linalg.matrix_rank(model.embedding) == toxicity.DIMENSIONS
+    score = toxicity.Scorer(model.weight, model.bias).score
+    unseen = ["grumpfelikk", "ggrumpfelik", "schnorzbatt", "schnorzzbat", "grumpfeli", "schnorzba"]
+    clean = [prose(5_000 + k, 60, vocabulary=900) for k in range(40)]
+    assert all(score([f"{c} {w}"])[0] >= 0.5 for w, c in zip(unseen, clean, strict=False))
+    assert (score(clean) >= 0.5).sum() <= 2
+
+
+def test_one_row_an_id_and_bytes_are_bounded(spark, monkeypatch):
+    rows = [(1, f"many rows {k}") for k in range(5_000)] + [(k, "x" * (100 + k)) for k in range(2, 200)] + [(999, "y" * 5_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in [*range(200), 999]], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "LONGEST_BYTES", 4_000)
+    sample = toxicity.labelled_sample(docs, labels).collect()
+    ids = [r["doc_id"] for r in sample]
+    assert len(ids) == len(set(ids)) > 100 and 999 not in ids
+    assert [r["text"] for r in sample if r["doc_id"] == 1] == [r["text"] for r in toxicity.labelled_sample(
+        docs.repartition(3), labels).collect() if r["doc_id"] == 1]
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 6_000)
+    few = toxicity.labelled_sample(docs, labels).collect()
+    assert 0 < sum(len(r["text"]) for r in few if r["toxic"] == 1) <= 2_000
+    assert 0 < sum(len(r["text"]) for r in few if r["toxic"] == 0) <= 4_000
+    assert {r["doc_id"] for r in few} < set(ids)
