@@ -42,22 +42,60 @@ HOST_WEIGHT, DOMAIN_WEIGHT = 8.0, 8.0
 EVIDENCE_SMOOTHING = 1.0
 NONE = ""
 
-SCRIPTS = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
 TAGS = re.compile(r"<[^>]*>")
-#: Comments, scripts and styles are stepped over; what they hold declares nothing.
-DECLARED = re.compile(SCRIPTS.pattern + r"|<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})\b", re.S | re.I)
+OPENER = re.compile(r"<(?:!--|(script|style|html)\b)", re.I | re.A)
+CLOSER = {kind: re.compile(rf"</{kind}\s*>", re.I | re.A) for kind in ("script", "style")}
+LANG = re.compile(r"\blang\s*+=\s*+[\"']?+\s*+([a-z]{2,3})\b", re.I | re.A)
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
+def page_parts(page: str) -> tuple[list[tuple[int, int]], str]:
+    """Places of scripts, styles and comments, and the language that the page's html tag declares.
+
+    One pass forward, linear in the page: what has no end once has none later
+    on, and a tag that declares nothing is not searched again. What scripts,
+    styles and comments hold declares nothing.
+    """
+    spans, endless, lang, searched, at = [], set(), NONE, 0, 0
+    while opener := OPENER.search(page, at):
+        kind = (opener.group(1) or "").lower()
+        at = opener.end()
+        if kind == "html":
+            if not lang and opener.start() >= searched:
+                end = page.find(">", at)
+                searched = len(page) if end < 0 else end
+                found = LANG.search(page, at, searched)
+                lang = found.group(1).lower() if found else NONE
+        elif kind not in endless:
+            if kind:
+                closer = CLOSER[kind].search(page, at)
+                end = closer.end() if closer else -1
+            else:
+                end = page.find("-->", at)
+                end = end + 3 if end >= 0 else -1
+            if end < 0:
+                endless.add(kind)
+            else:
+                spans.append((opener.start(), end))
+                at = end
+    return spans, lang
+
+
 def page_text(page: str | None) -> str:
     """Text of a page without scripts, styles, comments and tags."""
-    text = TAGS.sub(" ", SCRIPTS.sub(" ", page or ""))
+    page = page or ""
+    kept, at = [], 0
+    for start, end in page_parts(page)[0]:
+        kept.append(page[at:start])
+        at = end
+    text = " ".join([*kept, page[at:]])
+    last = text.rfind(">") + 1  # behind it no tag ends
+    text = TAGS.sub(" ", text[:last]) + text[last:]
     return html_text.unescape(text) if "&" in text else text
 
 
 def declared_language(page: str | None) -> str:
-    found = next((x for x in DECLARED.finditer(page or "") if x.group(2)), None)
-    return found.group(2).lower() if found else NONE
+    return page_parts(page or "")[1]
 
 
 def trigrams(text: str | None) -> np.ndarray:

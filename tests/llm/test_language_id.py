@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import math
 import random
+import re
+import time
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from odd_rows import make_docs
 from strata.llm import language_id as language
@@ -119,3 +122,26 @@ def test_declaration_behind_a_long_comment():
         assert language.declared_language(before + "<html class='x' lang='fr'><p>text") == "fr"
     assert language.declared_language(comment + "<p>text") == language.NONE
     assert language.declared_language("<script>'<html lang=de>'</script><HTML LANG=En>") == "en"
+
+
+def test_one_pass_equals_the_patterns_it_stands_for():
+    scripts = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
+    declared = re.compile(scripts.pattern + r"|<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})\b", re.S | re.I)
+    bits = ["<script", "</script >", "<style>", "</STYLE>", "<!--", "-->", "<html ", "lang = 'de'", "lang=fr", ">", "<p>", "x y",
+            "<", "</html>", "&amp;", " lang", "=", "en-us", "<htmlx lang=it>", "\n", "<!-->", "<scripts>"]
+    rng = random.Random(6)
+    for _ in range(20_000):
+        page = "".join(rng.choices(bits, k=rng.randint(1, 14)))
+        plain = re.sub(r"<[^>]*>", " ", scripts.sub(" ", page)).replace("&amp;", "&")
+        assert language.page_text(page) == plain, page
+        found = next((x for x in declared.finditer(page) if x.group(2)), None)
+        assert language.declared_language(page) == (found.group(2).lower() if found else language.NONE), page
+
+
+@pytest.mark.parametrize("unit", ["<!--", "<html ", "<script ", "<style>", "<", "</script", "<html lang", "<html lang= ", " ", "&", "<!-- -->"])
+def test_long_pages_of_one_kind_take_linear_time(unit):
+    page = "<html lang=" + " " * 1_000 + unit * (1_000_000 // len(unit))
+    began = time.process_time()
+    language.page_text(page)
+    language.declared_language(page)
+    assert time.process_time() - began < 5
