@@ -53,8 +53,21 @@ TAG = "spdx license identifier"
 TAG_PATTERN = re.compile(rb"spdx[- ]license[- ]identifier[ \t]*:[ \t]*([^\r\n]*)")
 TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+-]*")
 
-#: Identifier families that leave reuse free; what is listed nowhere counts as restricting.
-FREE_FAMILIES = ("mit", "apache", "bsd", "isc", "cc0", "cc-by-4", "cc-by-3", "unlicense", "zlib", "0bsd")
+#: Identifiers that leave reuse free, whole; any other restricts.
+FREE = frozenset("""
+0bsd afl-3.0 apache apache-1.0 apache-1.1 apache-2.0 artistic-2.0 blueoak-1.0.0 bsd bsd-1-clause bsd-2-clause
+bsd-2-clause-patent bsd-3-clause bsd-4-clause bsl-1.0 cc-by cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0 cc-by-4.0 cc0
+cc0-1.0 isc mit mit-0 mit-cmu ncsa postgresql psf-2.0 python-2.0 unicode-3.0 unlicense wtfpl x11 zlib zpl-2.1
+""".split())
+#: Identifiers that restrict reuse and are known as licences.
+RESTRICTING = frozenset("""
+agpl agpl-3.0 cc-by-nc-4.0 cc-by-nd-4.0 cc-by-sa-3.0 cc-by-sa-4.0 cc-by-nc-sa-4.0 cddl-1.0 epl-1.0 epl-2.0 eupl-1.2
+gfdl-1.3 gpl gpl-1.0 gpl-2.0 gpl-3.0 lgpl lgpl-2.0 lgpl-2.1 lgpl-3.0 mpl-1.1 mpl-2.0 osl-3.0 proprietary
+""".split())
+#: The label of an identifier that is neither.
+UNKNOWN = "unknown-license"
+#: A slash between two identifiers is an old way to write "or".
+SLASH = re.compile(r"(?<=[a-z0-9.+-])/(?=[a-z0-9])")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
@@ -69,6 +82,15 @@ def automaton() -> ahocorasick.Automaton:
     return found
 
 
+def whole(identifier: str) -> str:
+    """An identifier without its version clause."""
+    return identifier.removesuffix("+").removesuffix("-or-later").removesuffix("-only")
+
+
+def is_known(identifier: str) -> bool:
+    return whole(identifier) in FREE | RESTRICTING or identifier.startswith("licenseref-")
+
+
 def postfix(expression: str) -> tuple[list[str], bool]:
     """Shunting-yard: the expression in postfix order, and whether it was well formed.
 
@@ -78,7 +100,7 @@ def postfix(expression: str) -> tuple[list[str], bool]:
     out: list[str] = []
     ops: list[str] = []
     sound, operand_next = True, True
-    for m in TOKEN.finditer(expression):
+    for m in TOKEN.finditer(SLASH.sub(" or ", expression)):
         token = m.group()
         if token in PRECEDENCE:
             if operand_next:
@@ -137,7 +159,7 @@ def evaluate(expression: str) -> tuple[list[str], bool | None]:
                 stack.append((left or right) if token == "or" else (left and right))
         else:
             names.append(token)
-            stack.append(token.startswith(FREE_FAMILIES))
+            stack.append(whole(token) in FREE)
     # An exception's name stands right of "with"; it is no licence of its own.
     for m in re.finditer(r"\bwith\s+([a-z0-9][a-z0-9.+-]*)", expression):
         exception = m.group(1)
@@ -183,7 +205,7 @@ def scan_text(text: bytes | None, found: ahocorasick.Automaton) -> tuple:
             names, free = evaluate(line)
             if names:
                 expressions.append(line)
-                labels.update(names)
+                labels.update(n if is_known(n) else UNKNOWN for n in names)
                 evidence[TAG] = TAG_WEIGHT
             if free is not None:
                 verdicts.append(free)

@@ -72,3 +72,20 @@ def test_tag_labels_and_reuse(spark):
 
 def test_empty_table(no_docs):
     assert licenses.scan_licenses(no_docs).count() == 0
+
+
+def test_identifiers_are_compared_whole():
+    for name, free in (("mit", True), ("mit-0", True), ("apache-2.0", True), ("apache-2.0+", True), ("cc-by-4.0", True),
+                       ("isc-like-proprietary", False), ("mitre-restricted", False), ("mit-style", False),
+                       ("gpl-3.0-or-later", False), ("cc-by-nc-4.0", False), ("see", False)):
+        assert licenses.evaluate(name) == ([name], free)
+    assert licenses.evaluate("mit/apache-2.0") == (["mit", "apache-2.0"], True)
+    assert licenses.evaluate("gpl-2.0/mitre-restricted */") == (["gpl-2.0", "mitre-restricted"], False)
+
+
+def test_unknown_identifiers_are_marked():
+    found = licenses.automaton()
+    labels = lambda text: licenses.scan_text(text.encode(), found)[5].split(",")
+    assert labels("SPDX-License-Identifier: see file") == [licenses.UNKNOWN]
+    assert labels("SPDX-License-Identifier: MIT OR LicenseRef-own") == ["licenseref-own", "mit"]
+    assert labels("SPDX-License-Identifier: GPL-2.0-only AND whatever") == ["gpl-2.0-only", licenses.UNKNOWN]
