@@ -106,8 +106,21 @@ frequent AS (
     SELECT host, line, count(DISTINCT coalesce(doc_id, -1)) AS n_docs FROM normal GROUP BY host, line) c
   JOIN host_size h ON h.host IS NOT DISTINCT FROM c.host
   WHERE n_docs >= {quality.LINE_DOCS} AND n_docs > {quality.LINE_SHARE} * host_docs),
+frequent_words AS (
+  SELECT row_no, sum(n) AS in_frequent FROM normal l JOIN frequent f
+  ON f.line = l.line AND f.host IS NOT DISTINCT FROM l.host GROUP BY row_no),
+own AS (
+  SELECT row_no FROM frequent_words JOIN w USING (row_no)
+  WHERE in_frequent <= {quality.OWN_SHARE} * len(words)),
+boilerplate AS (
+  SELECT c.host, c.line FROM (
+    SELECT l.host, l.line, count(DISTINCT coalesce(doc_id, -1)) AS n_docs
+    FROM normal l JOIN own USING (row_no)
+    JOIN frequent f ON f.line = l.line AND f.host IS NOT DISTINCT FROM l.host GROUP BY l.host, l.line) c
+  JOIN host_size h ON h.host IS NOT DISTINCT FROM c.host
+  WHERE n_docs >= {quality.LINE_DOCS} AND n_docs > {quality.LINE_SHARE} * host_docs),
 removed AS (
-  SELECT row_no, sum(n) AS removed_words FROM normal l JOIN frequent f
+  SELECT row_no, sum(n) AS removed_words FROM normal l JOIN boilerplate f
   ON f.line = l.line AND f.host IS NOT DISTINCT FROM l.host GROUP BY row_no),
 figures AS (
   SELECT d.*, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_dup_lines, 0) AS n_dup_lines,

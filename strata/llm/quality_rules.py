@@ -2,13 +2,18 @@
 
 Rules within a text give the base verdict. Then every line is normalised and
 hashed, and for each host (``source``) the distinct documents that hold a
-line are counted. A line that more than ``line_share`` of a host's documents
-hold, and at least ``line_docs`` of them, is that host's boilerplate. It is
-removed; a document that keeps too little of itself is rejected as depleted.
+line are counted. A line in at least ``line_docs`` of a host's documents, and
+in more than ``line_share`` of them, is frequent. Near copies of one document
+make all its lines frequent; they are no boilerplate, so a document counts as
+its own only if frequent lines make up at most ``own_share`` of its words,
+and a frequent line is boilerplate if documents of their own alone still pass
+both limits. It is removed everywhere on its host; a document that keeps too
+little of itself is rejected as depleted.
 
 DataFrame operations only. A document sends each of its distinct lines once,
 as a number; counting is by (host, line, document) first, so neither a hot
-host nor a line that a third of all documents share gathers in one task.
+host nor a line that a third of all documents share gathers in one task. What
+is gathered by document is never more than the document's own lines.
 
 Cases: a null text has no words and fails; a null source is a host of its
 own; repeated rows of one document count once per line and get one row each;
@@ -27,8 +32,10 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 
-LINE_SHARE = 0.2
-LINE_DOCS = 20
+LINE_SHARE = 0.001
+LINE_DOCS = 10
+#: Most of a document's words that may stand in frequent lines if it is to count as its own.
+OWN_SHARE = 0.5
 #: A depleted document keeps less than this share of its words, or fewer words than that.
 LEFT_SHARE = 0.3
 LEFT_WORDS = 25
@@ -122,41 +129,67 @@ def text_rules(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(lines: DataFrame, line_share: float = LINE_SHARE, line_docs: int = LINE_DOCS) -> DataFrame:
+def host_documents(lines: DataFrame) -> DataFrame:
+    """(host, host_docs): distinct documents of every host, from rows (host, doc_id)."""
+    return lines.select("host", "doc_id").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
+
+
+def frequent_lines(lines: DataFrame, hosts: DataFrame, line_share: float = LINE_SHARE, line_docs: int = LINE_DOCS) -> DataFrame:
     """(host, line) above the limits, from rows (host, doc_id, line)."""
-    docs_of_host = (
-        lines.select("host", "doc_id").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    )
     counts = (
         lines.select("host", "line", "doc_id").distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
     )
     return (
         counts.filter(F.col("n_docs") >= line_docs)
-        .join(docs_of_host, counts["host"].eqNullSafe(docs_of_host["host"]))
+        .join(hosts, counts["host"].eqNullSafe(hosts["host"]))
         .filter(F.col("n_docs") > line_share * F.col("host_docs"))
         .select(counts["host"], "line")
     )
 
 
+def lines_among(lines: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows (host, line, ...) whose line is one of its host's chosen ones."""
+    chosen = chosen.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
+    return lines.join(
+        chosen, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")), "left_semi"
+    )
+
+
+def boilerplate_hits(
+    rows: DataFrame, line_share: float = LINE_SHARE, line_docs: int = LINE_DOCS, own_share: float = OWN_SHARE
+) -> DataFrame:
+    """(row_no, host, line, words): every place of a boilerplate line, from rows with their ``lines``."""
+    lines = rows.select("row_no", "host", "doc_id", "n_words", F.explode("lines").alias("l"))
+    lines = lines.select("row_no", "host", "doc_id", "n_words", "l.line", "l.words")
+    hosts, _ = stage_table(host_documents(lines), "quality_hosts")
+    frequent, _ = stage_table(frequent_lines(lines, hosts, line_share, line_docs), "quality_frequent")
+    found = lines_among(lines, frequent).groupBy("row_no").agg(
+        F.first("host").alias("host"), F.first("doc_id").alias("doc_id"),
+        (F.sum("words") <= own_share * F.first("n_words")).alias("own"),
+        F.collect_list(F.struct("line", "words")).alias("hits"),
+    )
+    found, _ = stage_table(found, "quality_hits")
+    places = found.select("row_no", "host", "doc_id", "own", F.explode("hits").alias("l"))
+    places = places.select("row_no", "host", "doc_id", "own", "l.line", "l.words")
+    chosen, _ = stage_table(
+        frequent_lines(places.filter("own"), hosts, line_share, line_docs), "quality_lines"
+    )
+    return lines_among(places.select("row_no", "host", "line", "words"), chosen)
+
+
 def judge(
     docs: DataFrame,
     line_share: float = LINE_SHARE,
     line_docs: int = LINE_DOCS,
     left_share: float = LEFT_SHARE,
     left_words: int = LEFT_WORDS,
+    own_share: float = OWN_SHARE,
 ) -> DataFrame:
     """Figures, removed lines (``dropped``) and verdict of every document."""
     rules = text_rules(docs).withColumn("row_no", F.monotonically_increasing_id())
     rows, _ = stage_table(rules, "quality_rows")
-    lines = rows.select("row_no", "host", "doc_id", F.explode("lines").alias("l"))
-    lines = lines.select("row_no", "host", "doc_id", "l.line", "l.words")
-    frequent = frequent_lines(lines, line_share, line_docs)
-    frequent, _ = stage_table(frequent, "quality_lines")
-    hit = lines.join(
-        frequent.withColumnRenamed("line", "_line").withColumnRenamed("host", "_host"),
-        (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")),
-    )
-    removed = hit.groupBy("row_no").agg(F.sum("words").alias("removed_words"), F.collect_set("line").alias("dropped"))
+    hits = boilerplate_hits(rows, line_share, line_docs, own_share)
+    removed = hits.groupBy("row_no").agg(F.sum("words").alias("removed_words"), F.collect_set("line").alias("dropped"))
     judged = rows.drop("lines").join(removed, "row_no", "left")
     left = F.col("n_words") - F.coalesce("removed_words", F.lit(0))
     depleted = F.col("removed_words").isNotNull() & (

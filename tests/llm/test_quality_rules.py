@@ -50,7 +50,7 @@ def boilerplate_rows():
     for k in range(60, 70):  # little but boilerplate
         text = "buy our cookies now\n" * 20 + "\n".join(prose(k, 10).split("\n"))
         rows.append((k, text, "en", "shop", len(text), *doc_rows({0: "x"})[0][5:]))
-    for k in range(70, 100):
+    for k in range(70, 80):
         text = "buy our cookies now\n" + prose(k, 70)
         rows.append((k, text, "en", None if k < 75 else "rare", len(text), *doc_rows({0: "x"})[0][5:]))
     return rows
@@ -70,6 +70,28 @@ def test_lines_that_a_host_repeats(spark):
     assert out[50]["text"] == prose(50, 70) and out[3]["host"] == "h"
 
 
+def test_copies_make_no_boilerplate(spark):
+    # Thirty near copies, each with a line of its own; three of them also hold the line of other documents.
+    base = "\n".join(f"line {k} says {prose(k, 9)}".replace("\n", " ") for k in range(12))
+    texts = {k: f"{base}\nonly copy number {k} says so" for k in range(30)}
+    texts |= {k: f"All rights   reserved\n{prose(k, 80)}" for k in range(30, 50)}
+    texts |= {k: f"{texts[k]}\nall rights reserved" for k in range(3)}
+    rows = doc_rows(texts)
+    got = same(spark, rows)
+    assert all(r[7] for r in got.values())
+    out = {r["doc_id"]: r["text"] for r in quality.clean_documents(make_docs(spark, rows)).collect()}
+    assert out[5] == texts[5] and out[40] == prose(40, 80)
+    assert out[1] == texts[1].removesuffix("\nall rights reserved")
+
+
+def test_limits(spark):
+    texts = {k: f"seen by many here\n{prose(k, 80)}" for k in range(12)}
+    docs = make_docs(spark, doc_rows(texts))
+    dropped = lambda **o: sum(r["dropped"] is not None for r in quality.judge(docs, **o).collect())
+    assert dropped() == 12 and dropped(line_docs=12) == 12 and dropped(line_docs=13) == 0
+    assert dropped(line_share=0.99) == 12 and dropped(line_share=1.0) == 0 and dropped(own_share=0.01) == 0
+
+
 def test_repeated_rows_count_once(spark):
     line = "the very same line of words"
     rows = [r for r in doc_rows({1: line + "\n" + prose(1, 80)}) for _ in range(30)]
