@@ -1,17 +1,21 @@
 """LM scoring with a probabilistic suffix tree over tokens.
 
-Symbols: every token that makes up at least ``MIN_SHARE`` of the training
-tokens is a symbol; the others share one by the last bytes of their spelling
-(again if frequent enough, else one for the rest). A token's probability is
+Symbols: every frequent training token is a symbol; the others share one by
+the last bytes of their spelling (again if frequent enough, else one for the
+rest). Frequent is what occurs at least N^(2/3) / ``CONTEXTS`` times among N
+training tokens, so that the symbols, and the contexts below, grow with the
+corpus: there can be up to ``CONTEXTS`` * N^(1/3) of them. A token's probability is
 that of its symbol after what came before, times its share in its symbol. In
 a shared symbol the tokens not seen in training are one event, as in the
 base score; its probability is that of tokens seen once (Good-Turing).
 
 Tree: contexts of up to ``MAX_DEPTH`` symbols, counted level by level by
-Spark over all training texts. Candidates hold at least ``MIN_SHARE`` of all
-tokens; those of one length don't overlap, so a level has at most
-1 / MIN_SHARE, and at most 1 / ENTRY_SHARE (context, next symbol) entries,
-whatever the corpus: the tree may be broadcast. A candidate becomes a state
+Spark over all training texts, which are written as symbols once. Candidates
+are the frequent ones; an entry (context, next symbol) occurs at least
+N^(2/3) / ``ENTRIES`` times. Places of one length don't overlap, so a level
+has at most ``CONTEXTS`` * N^(1/3) contexts and ``ENTRIES`` * N^(1/3) entries
+of 16 bytes: 2.6 million and 103 million at most for 100 TB of text (1.7e13
+tokens), which is why the tree may be broadcast. A candidate becomes a state
 if its next-symbol distribution diverges from that of its longest suffix
 state by more than its entries cost. Distributions are smoothed by absolute
 discounting towards that suffix state's; a token is scored by the longest
@@ -47,8 +51,9 @@ from strata.session import stage_table
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 MAX_DEPTH = 3
-MIN_SHARE = 1e-4
-ENTRY_SHARE = 5e-7
+#: Most symbols, contexts of a level and entries of a level, as multiples of the cube root of the training tokens.
+CONTEXTS = 100.0
+ENTRIES = 4_000.0
 #: Least divergence (nats a token) of a state from its suffix state.
 MIN_DIVERGENCE = 0.005
 DISCOUNT = 0.75
@@ -60,6 +65,11 @@ TABLE_CELLS = 1 << 22
 END, OTHER = 0, 1
 
 
+def least_count(total: float, most: float, share: float | None = None) -> float:
+    """Fewest occurrences, so that ``most`` * total^(1/3) can have them; or a fixed share of all."""
+    return max(2.0, share * total if share is not None else total ** (2 / 3) / most)
+
+
 def words_in(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(LOWER_ASCII).split()
 
@@ -129,6 +139,7 @@ class Tree:
     root: np.ndarray
     entries: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     probs: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    root_children: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # by symbol
 
     @property
     def depth(self) -> int:
@@ -152,7 +163,8 @@ class Tree:
         best = np.ones(len(symbols), np.int64)
         alive, node = np.arange(len(symbols)), np.ones(len(symbols), np.int64)
         for d in range(1, (self.depth if exact is None else exact) + 1):
-            node = self.step(node, padded[alive + self.depth + 1 - d])
+            left = padded[alive + self.depth + 1 - d]
+            node = self.root_children[left] if d == 1 else self.step(node, left)
             there = node > 0
             alive, node = alive[there], node[there]
             best[alive] = node
@@ -190,18 +202,19 @@ class Tree:
 class Grower:
     """Builds the tree on the driver, from the counts of one level after another."""
 
-    def __init__(self, symbol_counts: np.ndarray, min_share: float, min_divergence: float):
+    def __init__(self, symbol_counts: np.ndarray, min_share: float | None, min_divergence: float):
         self.n_symbols = len(symbol_counts)
         self.total = float(symbol_counts.sum())
-        self.min_count = max(2.0, min_share * self.total)
+        self.min_count = least_count(self.total, CONTEXTS, min_share)
         self.min_divergence = min_divergence
         root = (symbol_counts + 0.5) / (self.total + 0.5 * self.n_symbols)
         self.levels: list[list[tuple[int, ...]]] = [[()]]
         self.number: dict[tuple[int, ...], int] = {(): 1}
         none = np.zeros(0, np.int64)
         self.tree = Tree(
-            self.n_symbols, [1, 2], none, none, np.array([0, 1]), np.array([0, 1]), np.array([0.0, 1.0]), root
-        )
+            self.n_symbols, [1, 2], none, none, np.array([0, 1]), np.array([0, 1]), np.array([0.0, 1.0]), root,
+            root_children=np.zeros(self.n_symbols, np.int64),
+        )
 
     def extend(self, contexts: list[tuple[int, ...]]) -> int:
         """Adds candidates of the next depth; ``add_level`` says which become states."""
@@ -216,6 +229,8 @@ class Grower:
         order = np.argsort(keys, kind="stable")
         t.child_keys, t.child_nodes = keys[order], nodes[order]
         t.first.append(t.first[-1] + len(contexts))
+        for c in contexts if t.depth == 1 else ():
+            t.root_children[c[0]] = self.number[c]
         return len(contexts)
 
     def add_level(self, context: np.ndarray, symbol: np.ndarray, count: np.ndarray, held: np.ndarray) -> None:
@@ -250,10 +265,10 @@ def _alphabet(frequent: dict, shared: dict, size: np.ndarray, once: np.ndarray)
     return remembered(key, lambda: Alphabet(frequent, shared, size, once))
 
 
-def choose_symbols(counts: DataFrame, total: int, ends: int, min_share: float) -> Alphabet:
-    """Symbols from the vocabulary: at most 2 / min_share rows of it reach the driver."""
+def choose_symbols(counts: DataFrame, total: int, ends: int, min_share: float | None = None) -> Alphabet:
+    """Symbols from the vocabulary: its frequent rows alone reach the driver."""
     words = counts.filter("first and all > 0")
-    frequent_at = max(2.0, min_share * total)
+    frequent_at = least_count(total, CONTEXTS, min_share)
     frequent = words.filter(F.col("all") >= frequent_at).select("word", "all").orderBy("word").collect()
     endings = (
         words.filter(F.col("all") < frequent_at)
@@ -270,15 +285,32 @@ def choose_symbols(counts: DataFrame, total: int, ends: int, min_share: float) -
     return _alphabet(of, shared, np.array(size, np.float64), np.array(once, np.float64))
 
 
-def count_level(docs: DataFrame, depth: int, tree: Tree, alphabet: Alphabet) -> DataFrame:
+def symbol_texts(docs: DataFrame, alphabet: Alphabet) -> DataFrame:
+    """``symbols`` of every text of ``docs``, closed by END."""
+    shared = docs.sparkSession.sparkContext.broadcast(alphabet)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alphabet = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2_000):
+                texts = batch.column(0).slice(at, 2_000).cast(pa.binary()).to_pylist()
+                symbols = np.array([s for t in texts for s in (*map(alphabet.__getitem__, words_in(t)), END)], np.int32)
+                closed = np.concatenate(([0], np.flatnonzero(symbols == END) + 1)).astype(np.int32)
+                rows = pa.ListArray.from_arrays(pa.array(closed, pa.int32()), pa.array(symbols, pa.int32()))
+                yield pa.RecordBatch.from_arrays([rows], names=["symbols"])
+
+    return docs.select("text").mapInArrow(read, "symbols array<int>")
+
+
+def count_level(texts: DataFrame, depth: int, tree: Tree) -> DataFrame:
     """(code, n) over all texts: code is the context's number at its depth * symbols + next symbol.
 
     A task sums its texts before anything is shuffled.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((tree, alphabet))
+    shared = texts.sparkSession.sparkContext.broadcast(tree)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, alphabet = shared.value
+        tree = shared.value
         cells = (tree.first[depth + 1] - tree.first[depth]) * tree.symbols
         table = np.zeros(cells, np.int64) if cells <= TABLE_CELLS else None
         codes, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -301,8 +333,7 @@ def count_level(docs: DataFrame, depth: int, tree: Tree, alphabet: Alphabet) ->
 
         for batch in batches:
             for at in range(0, batch.num_rows, 2_000):
-                texts = batch.column(0).slice(at, 2_000).cast(pa.binary()).to_pylist()
-                symbols = np.array([s for t in texts for s in (*map(alphabet.__getitem__, words_in(t)), END)], np.int64)
+                symbols = batch.column(0).slice(at, 2_000).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 node = tree.contexts(symbols, exact=depth)
                 there = node > 0
                 add((node[there] - tree.first[depth]) * tree.symbols + symbols[there])
@@ -317,15 +348,15 @@ def count_level(docs: DataFrame, depth: int, tree: Tree, alphabet: Alphabet) ->
                 names=["code", "n"],
             )
 
-    return docs.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return texts.select("symbols").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def learn_tree(
     docs: DataFrame,
     alphabet: Alphabet,
     max_depth: int = MAX_DEPTH,
-    min_share: float = MIN_SHARE,
-    entry_share: float = ENTRY_SHARE,
+    min_share: float | None = None,
+    entry_share: float | None = None,
     min_divergence: float = MIN_DIVERGENCE,
 ) -> Tree:
     """The suffix tree of the texts of ``docs``."""
@@ -334,11 +365,12 @@ def learn_tree(
     frequent = [(int(k),) for k in np.flatnonzero(alphabet.counts >= min(grower.min_count, grower.total))]
     if alphabet.counts[END] and (END,) not in frequent:
         frequent.append((END,))  # the beginning of a text
-    least = max(2, math.ceil(entry_share * grower.total))
+    least = math.ceil(least_count(grower.total, ENTRIES, entry_share))
+    texts, _ = stage_table(symbol_texts(docs, alphabet), "lm_symbols")
     for depth in range(1, max_depth + 1):
         if not grower.total or not grower.extend(frequent):
             break
-        counts, _ = stage_table(count_level(docs, depth, tree, alphabet), f"lm_level{depth}")
+        counts, _ = stage_table(count_level(texts, depth, tree), f"lm_level{depth}")
         held = counts.groupBy(F.floor(F.col("code") / size).alias("context")).agg(F.sum("n").alias("n")).toPandas()
         kept = counts.filter(F.col("n") >= least).toPandas()
         level = grower.levels[-1]
@@ -401,7 +433,7 @@ def score_texts(docs: DataFrame, **options) -> DataFrame:
     n_tokens = int(known["n"] or 0) + ends
     norm = float(n_tokens + int(known["v"]) + (ends > 0) + 1)
 
-    alphabet = choose_symbols(counts, n_tokens, ends, options.get("min_share", MIN_SHARE))
+    alphabet = choose_symbols(counts, n_tokens, ends, options.get("min_share"))
     tree = learn_tree(docs.filter("not held_out"), alphabet, **options)
     shared = spark.sparkContext.broadcast((tree, alphabet))
 

@@ -48,7 +48,7 @@ def learned(spark, texts, **options):
     words = [(lm.word_hash(w.encode()), 0, c, lm.ending(w.encode()), c, True) for w, c in counts.items()]
     table = spark.createDataFrame(words, "word long, bucket long, here long, ending int, all long, first boolean")
     total = ends + sum(counts.values())
-    alphabet = lm.choose_symbols(table, total, ends, options.get("min_share", lm.MIN_SHARE))
+    alphabet = lm.choose_symbols(table, total, ends, options.get("min_share"))
     return lm.learn_tree(docs, alphabet, **options), alphabet, counts, ends
 
 
@@ -77,9 +77,37 @@ def test_counts_are_the_same_without_a_table(spark, monkeypatch):
     one, alphabet, _, _ = learned(spark, PATTERN, min_share=0.001, entry_share=0.0001)
     monkeypatch.setattr(lm, "TABLE_CELLS", 0)
     docs = spark.createDataFrame([(t,) for t in PATTERN], "text string")
-    found = {r["code"]: r["n"] for r in lm.count_level(docs, 2, one, alphabet).collect()}
+    texts = lm.symbol_texts(docs, alphabet)
+    found = {r["code"]: r["n"] for r in lm.count_level(texts, 2, one).collect()}
     monkeypatch.undo()
-    assert found == {r["code"]: r["n"] for r in lm.count_level(docs, 2, one, alphabet).collect()} and found
+    assert found == {r["code"]: r["n"] for r in lm.count_level(texts, 2, one).collect()} and found
+
+
+def test_level_counts_match_a_plain_count(spark):
+    one, alphabet, _, _ = learned(spark, PATTERN, min_share=0.001, entry_share=0.0001, max_depth=2)
+    docs = spark.createDataFrame([(t,) for t in [*PATTERN, None, ""]], "text string")
+    found = {r["code"]: r["n"] for r in lm.count_level(lm.symbol_texts(docs, alphabet), 2, one).collect()}
+    symbols = [s for t in [*PATTERN, None, ""] for s in (*(alphabet[w.encode()] for w in tokens(t)[:-1]), lm.END)]
+    plain = Counter(zip([lm.END, lm.END, *symbols], [lm.END, *symbols], symbols))
+    node = dict(zip(one.child_keys.tolist(), one.child_nodes.tolist(), strict=True))
+    expected = Counter()
+    for (left, last, x), n in plain.items():
+        deep = node.get(node.get(one.symbols + last, 0) * one.symbols + left)
+        if deep:
+            expected[(deep - one.first[2]) * one.symbols + x] += n
+    assert found == expected and found
+
+
+def test_the_tree_grows_with_the_corpus(spark):
+    sizes = []
+    for n in (40, 640):
+        texts = [prose(k, 200, vocabulary=4_000 * n // 640 + 500) for k in range(n)]
+        tree, alphabet, _, _ = learned(spark, texts)
+        sizes.append((alphabet.symbols, tree.first[-1], len(tree.entries)))
+    small, large = sizes
+    assert all(b > 1.5 * a for a, b in zip(small[:2], large[:2], strict=True))
+    assert math.isclose(lm.least_count(1e6, 100.0), 100.0) and math.isclose(lm.least_count(8e6, 100.0), 400.0)
+    assert lm.least_count(10, 100.0) == 2.0
 
 
 def test_longest_suffix_state_is_used(spark):
