@@ -4,7 +4,8 @@ Texts are compared as lower-cased words of letters, digits and non-ASCII
 characters. A window that shares no 5-word shingle with any item has
 similarity 0 to all of them, so windows are taken where a document holds a
 shingle of an item: as long as the item, and placed as the shingle stands in
-it. Windows of equal words are one from then on.
+it. An item of fewer words is one shingle of its own length, looked for at
+every place of the documents. Windows of equal words are one from then on.
 
 A window's fingerprint is the 64-bit SimHash of its words. Fingerprints are
 cut into four blocks of 16 bits, and each item is indexed, among items of its
@@ -15,7 +16,7 @@ by the weighted Jaccard similarity of the shingle sets, a shingle weighing as
 many letters as it has; ``SIMILARITY`` or more is a match.
 
 DataFrame operations only. Cases: a null or empty text or item matches
-nothing; an item of under five words matches documents that consist of it; in
+nothing; an item of under five words matches where its words stand; in
 a document shorter than the item the window is the document; repeated rows of
 a document count once; ties go to the first place; empty tables give no rows.
 """
@@ -51,6 +52,12 @@ def shingle_hashes(words: Column) -> Column:
     return F.slice(hashes, F.lit(1), starts)
 
 
+def short_hashes(words: Column, n: int) -> Column:
+    """Hash of the ``n`` words at each place, equal to the one shingle of a text of these words."""
+    hashes = F.transform(words, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, n)]))
+    return F.slice(hashes, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0)))
+
+
 def weighted_shingles(words: Column) -> Column:
     """Distinct shingles of a text as (hash, letters)."""
     at = lambda i, k: F.coalesce(F.length(F.get(words, i + k)), F.lit(0))
@@ -120,6 +127,10 @@ def item_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     anchors, _ = stage_table(anchors, "leak_anchors")
     small = anchors.count() * 128 <= BROADCAST_BYTES
     places = docs.select("key", F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "hash"))
+    short = [r["n"] for r in items.filter(F.col("n") < SHINGLE).select("n").distinct().collect()]  # of 1 to 4
+    for length in sorted(short):
+        at = F.posexplode(short_hashes(F.col("words"), length)).alias("pos", "hash")
+        places = places.unionByName(docs.select("key", at))
     hits = places.join(F.broadcast(anchors) if small else anchors, "hash").select(
         "key", F.greatest(F.col("pos") - F.col("offset"), F.lit(0)).alias("start"), "n"
     )

@@ -38,7 +38,7 @@ def brute(docs, items):
 
 def planted():
     items = {k: prose(9_000 + k, 20 + 3 * k).replace("\n", " ") for k in range(12)}
-    items |= {50: "just four words here", 51: "", 52: None, 53: items[3]}
+    items |= {50: "just four words here", 51: "", 52: None, 53: items[3], 54: "Quokka wombat", 55: "numbat"}
     rng = random.Random(3)
     docs = {k: prose(k, 120) for k in range(20)}
     for k in range(12):
@@ -53,6 +53,10 @@ def planted():
     docs[200] = items[11]
     docs[201] = " ".join(items[11].split(" ")[1:])  # shorter than the item
     docs[202] = "Just four words, HERE"
+    docs[204] = f"{prose(801, 70)} just four, words here {prose(802, 70)} quokka wombat"
+    docs[205] = "numbat " + prose(803, 40) + " just four words"
+    docs[206] = "wombat quokka\n" + prose(804, 30) + "\nnumbat"
+    docs[207] = "Quokka"
     docs[203] = items[5] + "\n" + items[6] + "\n" + items[5]
     docs |= {300 + k: prose(700, 25) + "\n" + items[8] for k in range(40)}  # many of one passage
     return docs, items
@@ -70,6 +74,7 @@ def test_pairs_match_brute_force(spark):
         assert found[pair][0] == pytest.approx(similarity) and found[pair][1] == start
     assert {(100 + k, k) for k in range(12)} <= set(found) and not {d for d, _ in found if d < 20 or 140 <= d < 160}
     assert (103, 53) in found and (202, 50) in found and (203, 6) in found
+    assert {(204, 50), (204, 54), (205, 55), (206, 55)} <= set(found) and not {d for d, _ in found} & {207}
     kept = leaks.drop_leaks(make_docs(spark, doc_rows(docs)), benchmark)
     assert {r["doc_id"] for r in kept.collect()} == set(docs) - {d for d, _ in expected}
 
