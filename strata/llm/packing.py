@@ -8,9 +8,9 @@ longer than a sequence are cut into full pieces and a rest.
 Packing: pieces are dealt over nodes, each of which packs its share best-fit
 in decreasing size. Nearly full bins are final. The underfull ones go up a
 tree as items of their own and are packed again, ``fan_in`` nodes at a time,
-up to the root. A node passes on at most ``max_residual`` bins, its emptiest;
-the others are final as they are, so no task grows with the corpus and no
-piece is lost.
+up to the root. A parent that gets more than a leaf's rows is split into
+several nodes, so no task grows with the corpus. Bins that a round with no
+fewer nodes hardly reduces are final as they are; no piece is lost.
 
 Cases: a null or empty text is one piece of the end id alone; repeated rows
 are packed one by one; an empty table gives no rows.
@@ -178,7 +178,7 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return bins, offsets
 
 
-def _node_packer(level: int, capacity: int, full: int, max_residual: int, top: bool) -> Callable:
+def _node_packer(level: int, capacity: int, full: int) -> Callable:
     """Packs what one node of the tree got; ``sequence_id`` is the bin as packed so far."""
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -187,16 +187,10 @@ def _node_packer(level: int, capacity: int, full: int, max_residual: int, top: b
         fill = np.bincount(item, weights=pdf["length"].to_numpy()).astype(np.int64)
         bins, offsets = best_fit(fill, capacity)
         filled = np.bincount(bins, weights=fill).astype(np.int64)
-        final = np.ones(len(filled), dtype=bool)
-        if not top:
-            final = filled >= full
-            under = np.flatnonzero(~final)
-            if len(under) > max_residual:
-                final[under[np.argsort(filled[under], kind="stable")[max_residual:]]] = True
         row_bin = bins[item]
         pdf["offset"] = pdf["offset"].to_numpy() + offsets[item]
-        pdf["sequence_id"] = (np.int64(level) << 58) + (np.int64(node) << 26) + row_bin
-        pdf["final"] = final[row_bin]
+        pdf["sequence_id"] = (np.int64(level) << 54) + (np.int64(node) << 24) + row_bin
+        pdf["final"] = (filled >= full)[row_bin]
         return pdf
 
     return pack
@@ -208,12 +202,16 @@ def pack_pieces(
     node_pieces: int = 50_000,
     fan_in: int = 8,
     full_share: float = 0.995,
-    max_residual: int = 6_000,
+    least_gain: float = 0.05,
 ) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces of at most ``capacity`` tokens.
 
     ``node_pieces`` pieces on average go to a leaf of the tree, whatever
-    their ids are: rows are dealt by their number, so no key can be hot.
+    their ids are: rows are dealt by their number, so no key can be hot. All
+    bins that are not nearly full go up; a parent that gets more rows than a
+    leaf is several nodes, to which its bins are dealt by a hash. The rounds
+    end with one node, or when nodes get no fewer and a round leaves more than
+    1 - ``least_gain`` of the bins it got: such bins don't fit each other.
     """
     columns = pieces.columns
     work, _ = stage_table(pieces.withColumn("row_no", F.monotonically_increasing_id()), "packing_pieces")
@@ -225,18 +223,24 @@ def pack_pieces(
     schema = "row_no long, length long, node long, sequence_id long, offset long, final boolean"
     full = math.ceil(full_share * capacity)
     placed: DataFrame | None = None
-    level = 1
+    level, bins = 1, work.count()
     while True:
-        top = n_nodes == 1
-        packer = _node_packer(level, capacity, full, max_residual, top)
+        packer = _node_packer(level, capacity, full)
         packed, _ = stage_table(rows.groupBy("node").applyInPandas(packer, schema), f"packing_level{level}")
-        done = packed.filter("final").select("row_no", "sequence_id", "offset")
+        left = packed.filter("not final")
+        n = left.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("sequence_id").alias("bins")).first()
+        parents = math.ceil(n_nodes / fan_in)
+        split = max(1, math.ceil(n["rows"] / (parents * node_pieces)))
+        last = n_nodes == 1 or not n["rows"]
+        last = last or (parents * split >= n_nodes and n["bins"] > (1.0 - least_gain) * bins)
+        done = (packed if last else packed.filter("final")).select("row_no", "sequence_id", "offset")
         placed = done if placed is None else placed.unionByName(done)
-        if top:
+        if last:
             break
-        n_nodes = max(1, math.ceil(n_nodes / fan_in))
-        rows = packed.filter("not final").select(
-            "row_no", "length", F.floor(F.col("node") / fan_in).alias("node"), "sequence_id", "offset"
+        n_nodes, bins = parents * split, n["bins"]
+        part = F.pmod(F.xxhash64("sequence_id"), F.lit(split))
+        rows = left.select(
+            "row_no", "length", (F.floor(F.col("node") / fan_in) * split + part).alias("node"), "sequence_id", "offset"
         )
         level += 1
     return work.join(placed, "row_no").select(*columns, "sequence_id", "offset")

@@ -70,9 +70,19 @@ def test_tree_of_nodes_loses_nothing_and_packs_tightly(spark):
     assert sorted(r["doc_id"] for r in rows) == list(range(4_000))
     n = check_places(rows, 1000)
     assert n <= 1.01 * sum(sizes) / 1000 + 1
-    few = packing.pack_pieces(pieces, capacity=1000, node_pieces=150, fan_in=3, max_residual=1).collect()
-    assert sorted(r["doc_id"] for r in few) == list(range(4_000))
-    check_places(few, 1000)
+
+
+def test_bins_that_never_fill_are_split_over_nodes(spark):
+    # No two of the large pieces fit together, so that every node has underfull bins only.
+    sizes = [600 + k % 7 for k in range(1_500)] + [95] * 1_500
+    pieces = spark.createDataFrame([(k, 0, 0, s, 0) for k, s in enumerate(sizes)],
+                                   "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = packing.pack_pieces(pieces, capacity=1000, node_pieces=200, fan_in=4).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(3_000))
+    assert check_places(rows, 1000) == 1_500
+    alone = pieces.filter("length > 500")
+    rows = packing.pack_pieces(alone, capacity=1000, node_pieces=100, fan_in=2).collect()
+    assert len(rows) == 1_500 == check_places(rows, 1000)
 
 
 def test_best_fit_takes_the_tightest_bin():
