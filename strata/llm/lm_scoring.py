@@ -36,7 +36,7 @@ gives no rows.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -63,6 +63,8 @@ MEMO_WORDS = 600_000
 #: Cells up to which a level's counts are kept as a whole table while texts are read.
 TABLE_CELLS = 1 << 22
 END, OTHER = 0, 1
+#: Stands for the end of a text among its words; no UTF-8 text holds this byte.
+CLOSE = b"\xff"
 
 
 def least_count(total: float, most: float, share: float | None = None) -> float:
@@ -70,8 +72,9 @@ def least_count(total: float, most: float, share: float | None = None) -> float:
     return max(2.0, share * total if share is not None else total ** (2 / 3) / most)
 
 
-def words_in(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(LOWER_ASCII).split()
+def closed_words(texts: list[bytes | None]) -> list[bytes]:
+    """The words of texts that follow each other, each text closed by CLOSE."""
+    return (b" " + CLOSE + b" ").join([*(t or b"" for t in texts), b""]).translate(LOWER_ASCII).split()
 
 
 def word_hash(word: bytes) -> int:
@@ -97,7 +100,7 @@ class Alphabet(dict):
         self.counts, self.once = size, once
 
     def __missing__(self, word: bytes) -> int:
-        symbol = self.frequent.get(word_hash(word))
+        symbol = END if word == CLOSE else self.frequent.get(word_hash(word))
         if symbol is None:
             symbol = self.shared.get(ending(word), OTHER)
         if len(self) > MEMO_WORDS:
@@ -294,7 +297,8 @@ def symbol_texts(docs: DataFrame, alphabet: Alphabet) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 2_000):
                 texts = batch.column(0).slice(at, 2_000).cast(pa.binary()).to_pylist()
-                symbols = np.array([s for t in texts for s in (*map(alphabet.__getitem__, words_in(t)), END)], np.int32)
+                words = closed_words(texts)
+                symbols = np.fromiter(map(alphabet.__getitem__, words), np.int32, len(words))
                 closed = np.concatenate(([0], np.flatnonzero(symbols == END) + 1)).astype(np.int32)
                 rows = pa.ListArray.from_arrays(pa.array(closed, pa.int32()), pa.array(symbols, pa.int32()))
                 yield pa.RecordBatch.from_arrays([rows], names=["symbols"])
@@ -383,29 +387,46 @@ def learn_tree(
     return tree
 
 
-def _local_counts(table: pa.Table) -> Counter:
-    """Words of a bucket's texts with their counts in its training texts (0: elsewhere only)."""
-    words: Counter = Counter()
-    other: set[bytes] = set()
-    for text, held in zip(table["text"].cast(pa.binary()), table["held_out"], strict=True):
-        found = (text.as_py() or b"").translate(LOWER_ASCII).split()
-        if held.as_py():
-            other.update(found)
-        else:
-            words.update(found)
-    for w in other:
-        words.setdefault(w, 0)
-    return words
+@dataclass
+class Bucket:
+    """A bucket's texts as numbers of its distinct words; word 0 is the end of a text."""
+
+    words: list[bytes]
+    here: np.ndarray  # word -> its count in the bucket's training texts
+    parts: list[np.ndarray]  # tokens of ``STEP`` texts after each other
+
+    STEP = 1_000
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Bucket:
+        place: defaultdict[bytes, int] = defaultdict()
+        place.default_factory = place.__len__  # a new word gets the next number
+        place[CLOSE] = 0
+        held = table["held_out"].to_numpy()
+        parts, here = [], np.zeros(1, np.int64)
+        for at in range(0, table.num_rows, cls.STEP):
+            words = closed_words(table["text"].slice(at, cls.STEP).cast(pa.binary()).to_pylist())
+            tokens = np.fromiter(map(place.__getitem__, words), np.int32, len(words))
+            length = np.diff(np.flatnonzero(tokens == 0), prepend=-1)
+            here = np.concatenate((here, np.zeros(len(place) - len(here), np.int64)))
+            here += np.bincount(tokens[np.repeat(~held[at : at + cls.STEP], length)], minlength=len(here))
+            parts.append(tokens)
+        return cls(list(place), here, parts)
+
+    def hashes(self) -> np.ndarray:
+        """Hashes of the words, without the end."""
+        found = map(xxhash.xxh64_intdigest, self.words[1:])
+        return np.fromiter(found, np.uint64, len(self.words) - 1).view(np.int64)
 
 
 def bucket_words(table: pa.Table) -> pa.Table:
-    words = _local_counts(table)
-    bucket = table["bucket"][0].as_py()
+    own = Bucket.of(table)
+    n = len(own.words) - 1
     return pa.table({
-        "word": pa.array([word_hash(w) for w in words], pa.int64()),
-        "bucket": pa.array([bucket] * len(words), pa.int64()),
-        "here": pa.array(list(words.values()), pa.int64()),
-        "ending": pa.array([ending(w) for w in words], pa.int32()),
+        "word": pa.array(own.hashes(), pa.int64()),
+        "bucket": pa.array(np.full(n, table["bucket"][0].as_py()), pa.int64()),
+        "here": pa.array(own.here[1:], pa.int64()),
+        "ending": pa.array(np.fromiter(map(ending, own.words[1:]), np.int32, n), pa.int32()),
     })
 
 
@@ -439,17 +460,20 @@ def score_texts(docs: DataFrame, **options) -> DataFrame:
 
     def score(texts: pa.Table, returned: pa.Table) -> pa.Table:
         tree, alphabet = shared.value
-        total = dict(zip(returned["word"].to_pylist(), returned["all"].to_pylist(), strict=True))
-        words = _local_counts(texts)
-        place = {w: k + 1 for k, w in enumerate(words)}  # 0: the end
-        count = np.array([ends, *(total.get(word_hash(w), here) for w, here in words.items())], np.float64)
-        symbol = np.array([END, *map(alphabet.__getitem__, words)], np.int64)
+        own = Bucket.of(texts)
+        hashes, count = own.hashes(), own.here.astype(np.float64)
+        count[0] = ends
+        word, total = returned["word"].to_numpy(), returned["all"].to_numpy()
+        if len(word):
+            order = np.argsort(word, kind="stable")
+            at = np.minimum(np.searchsorted(word, hashes, sorter=order), len(word) - 1)
+            elsewhere = word[order[at]] == hashes
+            count[1:][elsewhere] = total[order[at[elsewhere]]]
+        symbol = np.fromiter(map(alphabet.__getitem__, own.words), np.int64, len(own.words))
         base_log = np.log10((count + 1) / norm)
         share_log = alphabet.log_share(symbol, count)
         n, n_known, base, scores = [], [], [], []
-        for at in range(0, texts.num_rows, 1_000):
-            part = texts["text"].slice(at, 1_000).cast(pa.binary()).to_pylist()
-            token = np.array([k for t in part for k in (*map(place.__getitem__, words_in(t)), 0)], np.int64)
+        for token in own.parts:
             closed = np.flatnonzero(token == 0)
             begins = np.concatenate(([0], closed[:-1] + 1))
             n.append(closed - begins + 1)
