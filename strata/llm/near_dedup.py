@@ -49,8 +49,6 @@ SHORT = 24
 SHORT_SKETCHES = 16
 SHORT_PICKED = 3
 MIN_AGREEING = 1
-#: Edits up to which single diagonals are followed; beyond, the whole band is filled.
-FEW_EDITS = 48
 MEMO_WORDS = 600_000
 #: Open pairs a row of the open buckets from which new hubs are tried before all pairs are.
 MANY_PAIRS = 8
@@ -130,72 +128,63 @@ def _sketch(items: np.ndarray, picks: int, numbers: np.ndarray) -> np.ndarray:
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Word edits between two texts, or ``most`` + 1 where there are more.
 
-    Only the band of ``most`` diagonals on each side can hold a path of so
-    few edits. While edits are few, the furthest place on each diagonal is
-    followed; after ``FEW_EDITS`` the band is filled row by row instead.
+    Only the band of ``most`` diagonals on each side of the main one can hold
+    a path of so few edits. A column of the band is held as two bit vectors,
+    of the places where the distance rises and where it falls from one row to
+    the next, so that a word of ``b`` costs a few operations on whole numbers
+    of ``2 * most + 1`` bits.
     """
-    while len(a) and len(b) and a[0] == b[0]:
-        run = min(len(a), len(b))
-        differs = np.flatnonzero(a[:run] != b[:run])
-        cut = int(differs[0]) if len(differs) else run
-        a, b = a[cut:], b[cut:]
-    while len(a) and len(b) and a[-1] == b[-1]:
-        run = min(len(a), len(b))
-        differs = np.flatnonzero(a[len(a) - run :][::-1] != b[len(b) - run :][::-1])
-        cut = int(differs[0]) if len(differs) else run
-        a, b = a[: len(a) - cut], b[: len(b) - cut]
+    run = min(len(a), len(b))
+    differs = np.flatnonzero(a[:run] != b[:run])
+    cut = int(differs[0]) if len(differs) else run
+    a, b = a[cut:], b[cut:]
+    run = min(len(a), len(b))
+    differs = np.flatnonzero(a[len(a) - run :][::-1] != b[len(b) - run :][::-1])
+    cut = int(differs[0]) if len(differs) else run
+    a, b = a[: len(a) - cut], b[: len(b) - cut]
     n, m = len(a), len(b)
     if abs(n - m) > most:
         return most + 1
     if not n or not m:
         return max(n, m)
-    la, lb = a.tolist(), b.tolist()
-    goal = n - m
-    far = {0: 0}
-    for edits in range(min(most, FEW_EDITS) + 1):
-        reached = {}
-        for d in range(-edits, edits + 1):
-            if edits:
-                x = max(far.get(d, -2) + 1, far.get(d - 1, -2) + 1, far.get(d + 1, -2))
-            else:
-                x = 0
-            x = min(x, n, m + d)
-            y = x - d
-            if x < 0 or y < 0:
-                continue
-            while x < n and y < m and la[x] == lb[y]:
-                x += 1
-                y += 1
-            reached[d] = x
-        far = reached
-        if far.get(goal, -1) >= n:
-            return edits
-    if most <= FEW_EDITS:
-        return most + 1
-    return _band_distance(a, b, most)
+    return _band_distance(a.tolist(), b.tolist(), min(most, max(n, m)), most)
+
 
+def _band_distance(a: list[int], b: list[int], reach: int, most: int) -> int:
+    """The distance, column by column: bit k of a column j stands for row j - reach + k.
 
-def _band_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Rows of the edit table, each over the band alone."""
+    As the band goes down by a row with each column, a column's rises and
+    falls are stored as the next column sees them, one bit lower.
+    """
     n, m = len(a), len(b)
-    width = 2 * most + 1
-    offsets = np.arange(width)
-    far = most + 1
-    row = np.where(offsets >= most, offsets - most, far).astype(np.int64)  # row 0: j = offset - most
-    padded = np.concatenate((np.zeros(most + 1, b.dtype), b, np.zeros(width + 1, b.dtype)))
-    for i in range(1, n + 1):
-        j = i - most + offsets
-        inside = (j >= 1) & (j <= m)
-        same = padded[i : i + width] == a[i - 1]
-        new = row + np.where(same & inside, 0, 1)
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
-        new = np.where(j == 0, i, np.where(inside, new, far))
-        # A run of insertions: each place takes the least of what stands left of it, plus the way.
-        row = np.minimum(np.minimum.accumulate(new - offsets) + offsets, far)
-        if row.min() > most:
-            return far
-    at = m - n + most
-    return int(row[at]) if 0 <= at < width else far
+    places: dict[int, int] = {}
+    for i, word in enumerate(a):
+        places[word] = places.get(word, 0) | 1 << i
+    band = (1 << 2 * reach + 1) - 1
+    top = 1 << 2 * reach
+    rises = band & ~((1 << reach) - 1)  # column 0: one more in every row from 1 on
+    falls = 0
+    distance = min(n, reach)  # at the band's lowest row, later at row n
+    at_end = m - max(0, n - reach)  # columns in which row n lies in the band
+    for j in range(1, m + 1):
+        shift = j - reach - 1
+        found = places.get(b[j - 1], 0)
+        same = (found >> shift if shift >= 0 else found << -shift) & band
+        level = ((((same & rises) + rises) ^ rises) | same | falls) & band  # equal to the cell up left
+        more = falls | band & ~(level | rises)
+        less = level & rises
+        if j + reach <= n:
+            if not level & top:
+                distance += 1
+        else:
+            row = n - j + reach
+            distance += (more >> row & 1) - (less >> row & 1)
+        if distance - min(at_end, m - j) > most:
+            return most + 1
+        lower = level >> 1
+        rises = less | band & ~(lower | more)
+        falls = lower & more
+    return min(distance, most + 1)
 
 
 def most_edits(n: int, m: int, similarity: float) -> int:

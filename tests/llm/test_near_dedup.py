@@ -26,11 +26,9 @@ def brute_similarity(s, t):
     return 1.0 if a == b else 1.0 - brute_distance(a, b) / max(len(a), len(b))
 
 
-@pytest.mark.parametrize("few", [48, 2])
-def test_edit_distance_within_its_band(monkeypatch, few):
-    monkeypatch.setattr(near, "FEW_EDITS", few)
+def test_edit_distance_within_its_band():
     rng = random.Random(1)
-    for _ in range(600):
+    for _ in range(3_000):
         a = [rng.randint(0, rng.choice([2, 5, 50])) for _ in range(rng.randint(0, 25))]
         b = list(a)
         for _ in range(rng.randint(0, 10)):
