@@ -11,14 +11,17 @@ fewer items than that takes all it has.
 Equal texts (in words, A-Z lower-cased) are one node from the start. Nodes
 that share a sketch value are first paired with three of their bucket
 (smallest id, largest id, smallest hash of id and sketch), so that a bucket
-with a third of all texts makes three rows a text. A pair that agrees in at
-least ``MIN_AGREEING`` sketches is aligned: its edit distance in words, within
-the band that the threshold allows, must leave a similarity of ``SIMILARITY``
-or more. Buckets whose nodes are not one component by then are paired again:
-with new hubs per band of lengths while their open pairs are many and the
-hubs join some, then each node with every other of another component. So no
-pair of a bucket stays untried unless its nodes are linked already. Classes
-are the connected components of the links.
+with a third of all texts makes three rows a text. A pair is aligned: its edit
+distance in words, within the band that the threshold allows, must leave a
+similarity of ``SIMILARITY`` or more. Every node's best pair comes first, then
+its best among those that still lead to another component, and so on, so that
+a large group of copies takes about a row a text and round. Buckets whose nodes
+are not one component by then are paired again: with new hubs per band of
+lengths while their open pairs are many and the hubs join some, then each node
+with every other of another component, of which the join itself keeps those
+whose words can overlap enough (a bound from bit signatures that loses none).
+So no pair of a bucket stays untried unless its nodes are linked already.
+Classes are the connected components of the links.
 
 Cases: all texts without a word (null, empty, blank) are one class; repeated
 rows are one document; a null id has null as class if it is alone; ties go
@@ -48,10 +51,13 @@ PICKED = 6
 SHORT = 24
 SHORT_SKETCHES = 16
 SHORT_PICKED = 3
-MIN_AGREEING = 1
+#: Long integers of a signature: 4,096 bits, one set for every item.
+SIGNATURE = 64
 MEMO_WORDS = 600_000
 #: Open pairs a row of the open buckets from which new hubs are tried before all pairs are.
 MANY_PAIRS = 8
+#: A round that joins fewer than one in so many of its pairs or rows is the last of its kind.
+FEW_JOINED = 10
 #: Most bytes of ids that are broadcast; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -243,16 +249,19 @@ def lengths_allow(n: Column, m: Column, similarity: float) -> Column:
 
 
 def ordered_pairs(met: DataFrame, similarity: float) -> DataFrame:
-    """(left, right) of rows (node, n_words, other, other_words) whose lengths allow the similarity, each pair once."""
+    """(left, right, agreeing) of rows (node, n_words, other, other_words) whose lengths allow the similarity.
+
+    Each pair comes once, with the number of its rows.
+    """
     return (
         met.filter((F.col("node") != F.col("other")) & lengths_allow(F.col("n_words"), F.col("other_words"), similarity))
-        .select(F.least("node", "other").alias("left"), F.greatest("node", "other").alias("right"))
-        .distinct()
+        .groupBy(F.least("node", "other").alias("left"), F.greatest("node", "other").alias("right"))
+        .agg(F.count(F.lit(1)).alias("agreeing"))
     )
 
 
 def candidate_pairs(sketched: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(left, right): nodes of common sketch values, at most three partners a node and value."""
+    """(left, right, agreeing): nodes of common sketch values, at most three partners a node and value."""
     rows = sketched.select("node", "n_words", F.posexplode("values").alias("k", "value"))
     one = F.struct("node", "n_words")
     partners = rows.groupBy("k", "value").agg(
@@ -281,7 +290,7 @@ def open_pair_count(rows: DataFrame) -> int:
 
 
 def band_hub_pairs(rows: DataFrame, turn: int, similarity: float = SIMILARITY) -> DataFrame:
-    """(left, right): open nodes with one hub of their own and of the next band of lengths in each bucket.
+    """(left, right, agreeing): open nodes with one hub of their own and of the next band of lengths in each bucket.
 
     Lengths that allow the similarity lie in the same or in neighbouring bands.
     """
@@ -295,26 +304,59 @@ def band_hub_pairs(rows: DataFrame, turn: int, similarity: float = SIMILARITY) -
     return ordered_pairs(met.select("node", "n_words", F.col("o.node").alias("other"), F.col("o.n_words").alias("other_words")), similarity)
 
 
-def remaining_pairs(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(left, right): all pairs of different components that share a bucket and whose lengths allow the similarity."""
-    one = rows.select("k", "value", F.col("node").alias("left"), F.col("root").alias("a"), F.col("n_words").alias("n"))
-    two = rows.select("k", "value", F.col("node").alias("right"), F.col("root").alias("b"), F.col("n_words").alias("m"))
+def signatures(texts: DataFrame) -> DataFrame:
+    """(node, bits, n_bits): a bit for every labelled word of the nodes' texts, and how many bits are set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = word_hashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1_000):
+                part = batch.slice(at, 1_000)
+                bits = []
+                for text in part.column(1).cast(pa.binary()).to_pylist():
+                    items = labelled_shingles(np.array([known[w] for w in words_in(text)], np.uint64), ITEM)
+                    one = np.zeros(64 * SIGNATURE, np.bool_)
+                    one[items % np.uint64(64 * SIGNATURE)] = True
+                    bits.append(one)
+                longs = [np.packbits(one).view(np.int64) for one in bits]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(longs, pa.list_(pa.int64())), pa.array([int(one.sum()) for one in bits], pa.int32())],
+                    names=["node", "bits", "n_bits"],
+                )
+
+    return texts.select("node", "text").mapInArrow(run, "node long, bits array<long>, n_bits int")
+
+
+def words_allow(similarity: float) -> Column:
+    """Whether texts of n and m words and signatures a and b can reach the similarity.
+
+    Words in common set common bits; those that share a bit with another are
+    at most the words less the bits of either text.
+    """
+    bits = F.aggregate(F.zip_with("a", "b", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda sum, x: sum + x)
+    common = bits + F.least(F.col("n") - F.col("a_bits"), F.col("m") - F.col("b_bits"))
+    longer = F.greatest("n", "m")
+    return longer - common <= F.floor(longer * F.lit(1.0 - similarity) + F.lit(1e-9))
+
+
+def remaining_pairs(rows: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(left, right): all pairs of different components that share a bucket and can reach the similarity.
+
+    Lengths and signatures are compared where the rows of a bucket meet, so
+    that pairs that can't be links never leave the join.
+    """
+    rows = rows.join(signed, "node")
+    one = rows.select("k", "value", F.col("node").alias("left"), F.col("root").alias("r"), F.col("n_words").alias("n"),
+                      F.col("bits").alias("a"), F.col("n_bits").alias("a_bits"))
+    two = rows.select("k", "value", F.col("node").alias("right"), F.col("root").alias("s"), F.col("n_words").alias("m"),
+                      F.col("bits").alias("b"), F.col("n_bits").alias("b_bits"))
     fits = (
         (one["k"] == two["k"]) & (one["value"] == two["value"]) & (F.col("left") < F.col("right"))
-        & (F.col("a") != F.col("b")) & lengths_allow(F.col("n"), F.col("m"), similarity)
+        & (F.col("r") != F.col("s")) & lengths_allow(F.col("n"), F.col("m"), similarity) & words_allow(similarity)
     )
     return one.join(two, fits).select("left", "right").distinct()
 
 
-def agreeing_pairs(pairs: DataFrame, sketched: DataFrame, least: int = MIN_AGREEING) -> DataFrame:
-    """(left, right, agreeing): pairs whose sketches agree in at least ``least`` values."""
-    one = sketched.select(F.col("node").alias("left"), F.col("values").alias("a"))
-    two = sketched.select(F.col("node").alias("right"), F.col("values").alias("b"))
-    both = pairs.join(one, "left").join(two, "right")
-    agreeing = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda same: same))
-    return both.select("left", "right", agreeing.alias("agreeing")).filter(F.col("agreeing") >= least)
-
-
 def best_pairs(pairs: DataFrame) -> DataFrame:
     """For every node its pair of most agreement; ties go to the smallest partner."""
     ends = pairs.select("agreeing", F.explode(F.array(F.struct(F.col("left").alias("node"), F.col("right").alias("other")),
@@ -324,9 +366,13 @@ def best_pairs(pairs: DataFrame) -> DataFrame:
     return best.select(F.least("node", "other").alias("left"), F.greatest("node", "other").alias("right")).distinct()
 
 
-def texts_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the nodes in ``pairs``, from each node's document."""
-    needed = pairs.select(F.explode(F.array("left", "right")).alias("node")).distinct()
+def ends(pairs: DataFrame) -> DataFrame:
+    """(node) of every node in the pairs."""
+    return pairs.select(F.explode(F.array("left", "right")).alias("node")).distinct()
+
+
+def texts_of(docs: DataFrame, needed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the needed nodes, from each node's document."""
     needed = nodes.join(needed, "node").select(F.col("doc_id").alias("_id"), "node", "text_key")
     needed, _ = stage_table(needed, "near_needed")
     small = needed.count() * 64 <= BROADCAST_BYTES
@@ -393,13 +439,30 @@ def components(links: DataFrame) -> DataFrame:
         edges = new
 
 
+def joined_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components (node, root) that further links leave of those known."""
+    if roots is None:
+        return components(links)
+    if links.isEmpty():
+        return roots
+    return components(links.unionByName(roots.select(F.col("root").alias("left"), F.col("node").alias("right"))))
+
+
+def between_components(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    left = roots.withColumnsRenamed({"node": "left", "root": "left_root"})
+    right = roots.withColumnsRenamed({"node": "right", "root": "right_root"})
+    named = pairs.join(left, "left", "left").join(right, "right", "left")
+    return named.filter(F.coalesce("left_root", "left") != F.coalesce("right_root", "right")).select(*pairs.columns)
+
+
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id): the smallest document id of every document's class of near-duplicates.
 
-    Each node's best pair is aligned first. What is linked by then has one
-    class whatever its other pairs say, so that only pairs between different
-    components are aligned after that; at last all of these that share a
-    bucket.
+    Each node's best pair is aligned first, round by round. What is linked by
+    then has one class whatever its other pairs say, so that only pairs
+    between different components are aligned after that; at last all of these
+    that share a bucket.
     """
     described, _ = stage_table(describe(docs), "near_described")
     nodes = described.groupBy("text_key").agg(
@@ -407,45 +470,36 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     nodes, _ = stage_table(nodes.withColumn("node", F.monotonically_increasing_id()), "near_nodes")
     sketched = nodes.filter(F.col("doc_id").isNotNull()).select("node", "n_words", "values")
-    pairs, _ = stage_table(agreeing_pairs(candidate_pairs(sketched, similarity), sketched), "near_pairs")
+    pairs, _ = stage_table(candidate_pairs(sketched, similarity), "near_pairs")
     named = nodes.select("node", "doc_id", "text_key")
-    aligned = lambda found: verified_links(found, texts_of(docs, found, named), similarity)
-
-    best, _ = stage_table(best_pairs(pairs), "near_best")
-    links, _ = stage_table(aligned(best), "near_links")
-    roots = components(links)
-    left = roots.withColumnsRenamed({"node": "left", "root": "left_root"})
-    right = roots.withColumnsRenamed({"node": "right", "root": "right_root"})
-    open_pairs = (
-        pairs.select("left", "right")
-        .join(left, "left", "left")
-        .join(right, "right", "left")
-        .filter(F.coalesce("left_root", "left") != F.coalesce("right_root", "right"))
-        .select("left", "right")
-        .join(best, ["left", "right"], "left_anti")
-    )
     tried = pairs.select("left", "right")
+
+    roots, last = None, False
+    while True:
+        one, _ = stage_table(pairs.select("left", "right") if last else best_pairs(pairs), "near_tried")
+        more, _ = stage_table(verified_links(one, texts_of(docs, ends(one), named), similarity), "near_links")
+        roots = joined_roots(roots, more)
+        if last:
+            break
+        last = more.count() * FEW_JOINED <= one.count()
+        pairs, _ = stage_table(between_components(pairs.join(one, ["left", "right"], "left_anti"), roots), "near_pairs")
+
+    rows = sketched.select("node", "n_words", F.posexplode("values").alias("k", "value"))
+    rows, _ = stage_table(open_rows(rows, roots), "near_open_rows")
+    texts = texts_of(docs, rows.select("node").distinct(), named)
+    signed, _ = stage_table(signatures(texts), "near_signed")
     turn = 0
     while True:
-        open_pairs, _ = stage_table(open_pairs, "near_open_pairs")
-        more, _ = stage_table(aligned(open_pairs), "near_more_links")
-        joined = not more.isEmpty()
-        if joined:
-            links = links.unionByName(more)
-            roots = components(links)
-        if turn < 0:
+        hubs = turn >= 0 and open_pair_count(rows) > MANY_PAIRS * rows.count()
+        found = band_hub_pairs(rows, turn, similarity) if hubs else remaining_pairs(rows, signed, similarity)
+        one, _ = stage_table(found.select("left", "right").join(tried, ["left", "right"], "left_anti"), "near_tried")
+        more, _ = stage_table(verified_links(one, texts, similarity), "near_links")
+        roots = joined_roots(roots, more)
+        if not hubs:
             break
-        rows = sketched.select("node", "n_words", F.posexplode("values").alias("k", "value")) if not turn else rows
+        tried = tried.unionByName(one)
+        turn = turn + 1 if more.count() * FEW_JOINED > one.count() else -1
         rows, _ = stage_table(open_rows(rows, roots), "near_open_rows")
-        if turn:
-            tried = tried.unionByName(open_pairs)
-        if joined and open_pair_count(rows) > MANY_PAIRS * rows.count():
-            turn += 1
-            open_pairs = band_hub_pairs(rows, turn, similarity)
-        else:
-            turn = -1
-            open_pairs = remaining_pairs(rows, similarity)
-        open_pairs = agreeing_pairs(open_pairs.join(tried, ["left", "right"], "left_anti"), sketched).select("left", "right")
 
     root_of = named.join(roots, "node", "left").select("text_key", "doc_id", F.coalesce("root", "node").alias("root"))
     smallest = root_of.groupBy("root").agg(F.min("doc_id").alias("class_id"))
