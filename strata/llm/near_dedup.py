@@ -51,8 +51,8 @@ PICKED = 6
 SHORT = 24
 SHORT_SKETCHES = 16
 SHORT_PICKED = 3
-#: Long integers of a signature: 4,096 bits, one set for every item.
-SIGNATURE = 64
+#: Long integers of a signature: 8,192 bits, one set for every item.
+SIGNATURE = 128
 MEMO_WORDS = 600_000
 #: Open pairs a row of the open buckets from which new hubs are tried before all pairs are.
 MANY_PAIRS = 8
@@ -289,10 +289,11 @@ def open_pair_count(rows: DataFrame) -> int:
     return int(sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()[0] or 0)
 
 
-def band_hub_pairs(rows: DataFrame, turn: int, similarity: float = SIMILARITY) -> DataFrame:
+def band_hub_pairs(rows: DataFrame, signed: DataFrame, turn: int, similarity: float = SIMILARITY) -> DataFrame:
     """(left, right, agreeing): open nodes with one hub of their own and of the next band of lengths in each bucket.
 
     Lengths that allow the similarity lie in the same or in neighbouring bands.
+    Pairs whose signatures don't allow it are left out.
     """
     band = F.floor(F.log("n_words") / F.lit(-np.log(similarity))).cast("int") if similarity < 1 else F.col("n_words")
     rows = rows.withColumn("band", band)
@@ -301,7 +302,11 @@ def band_hub_pairs(rows: DataFrame, turn: int, similarity: float = SIMILARITY) -
     )
     near = rows.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
     met = near.join(hubs, ["k", "value", "band"]).filter("root <> o.root")
-    return ordered_pairs(met.select("node", "n_words", F.col("o.node").alias("other"), F.col("o.n_words").alias("other_words")), similarity)
+    met = met.select("node", "n_words", F.col("o.node").alias("other"), F.col("o.n_words").alias("other_words"))
+    pairs, sizes = ordered_pairs(met, similarity), rows.select("node", "n_words").distinct().join(signed, "node")
+    one = sizes.select(F.col("node").alias("left"), F.col("n_words").alias("n"), F.col("bits").alias("a"), F.col("n_bits").alias("a_bits"))
+    two = sizes.select(F.col("node").alias("right"), F.col("n_words").alias("m"), F.col("bits").alias("b"), F.col("n_bits").alias("b_bits"))
+    return pairs.join(one, "left").join(two, "right").filter(words_allow(similarity)).select("left", "right", "agreeing")
 
 
 def signatures(texts: DataFrame) -> DataFrame:
@@ -343,16 +348,19 @@ def remaining_pairs(rows: DataFrame, signed: DataFrame, similarity: float = SIMI
     """(left, right): all pairs of different components that share a bucket and can reach the similarity.
 
     Lengths and signatures are compared where the rows of a bucket meet, so
-    that pairs that can't be links never leave the join.
+    that pairs that can't be links never leave the join. A pair of several
+    common buckets leaves the one of smallest value only.
     """
-    rows = rows.join(signed, "node")
+    mine = rows.groupBy("node").agg(F.collect_set("value").alias("mine"))
+    rows = rows.join(signed.join(mine, "node"), "node")
     one = rows.select("k", "value", F.col("node").alias("left"), F.col("root").alias("r"), F.col("n_words").alias("n"),
-                      F.col("bits").alias("a"), F.col("n_bits").alias("a_bits"))
+                      F.col("bits").alias("a"), F.col("n_bits").alias("a_bits"), F.col("mine").alias("x"))
     two = rows.select("k", "value", F.col("node").alias("right"), F.col("root").alias("s"), F.col("n_words").alias("m"),
-                      F.col("bits").alias("b"), F.col("n_bits").alias("b_bits"))
+                      F.col("bits").alias("b"), F.col("n_bits").alias("b_bits"), F.col("mine").alias("y"))
     fits = (
         (one["k"] == two["k"]) & (one["value"] == two["value"]) & (F.col("left") < F.col("right"))
-        & (F.col("r") != F.col("s")) & lengths_allow(F.col("n"), F.col("m"), similarity) & words_allow(similarity)
+        & (F.col("r") != F.col("s")) & lengths_allow(F.col("n"), F.col("m"), similarity)
+        & (F.array_min(F.array_intersect("x", "y")) == one["value"]) & words_allow(similarity)
     )
     return one.join(two, fits).select("left", "right").distinct()
 
@@ -491,7 +499,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     turn = 0
     while True:
         hubs = turn >= 0 and open_pair_count(rows) > MANY_PAIRS * rows.count()
-        found = band_hub_pairs(rows, turn, similarity) if hubs else remaining_pairs(rows, signed, similarity)
+        found = band_hub_pairs(rows, signed, turn, similarity) if hubs else remaining_pairs(rows, signed, similarity)
         one, _ = stage_table(found.select("left", "right").join(tried, ["left", "right"], "left_anti"), "near_tried")
         more, _ = stage_table(verified_links(one, texts, similarity), "near_links")
         roots = joined_roots(roots, more)
