@@ -13,12 +13,15 @@ length that the last one states, joined, and unframed.
 Cases: a null html is an empty payload; a null page id comes after all others
 and is written as an empty identifier; rows that repeat the id of a response
 are responses too; an empty table gives no rows; a damaged or incomplete
-record comes back with a null payload and its fault in ``error``.
+record comes back with a null payload and its fault in ``error``, and reading
+goes on at the next place that looks like the begin of a record. A damaged record whose header
+can't be read, or a compressed file that breaks off, is a row without an
+identifier.
 """
 
 from __future__ import annotations
 
-import gzip
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -179,31 +182,71 @@ RECORD_SCHEMA = (
 )
 
 
+def unpacked(content: bytes) -> tuple[bytes, str | None]:
+    """An archive's bytes, decompressed if need be as far as they can be read, and the fault that ended that."""
+    if content[:2] != b"\x1f\x8b":
+        return content, None
+    out, at = [], 0
+    while content.startswith(b"\x1f\x8b", at):
+        member = zlib.decompressobj(31)
+        try:
+            while at < len(content) and not member.eof:
+                out.append(member.decompress(content[at : at + CHUNK_BYTES]))
+                at += CHUNK_BYTES
+        except zlib.error as fault:
+            return b"".join(out), f"compressed file damaged: {fault}"
+        if not member.eof:
+            return b"".join(out), "compressed file cut short"
+        at = min(at, len(content)) - len(member.unused_data)
+    return b"".join(out), "no compressed data after a member" if content[at:].strip(b"\0") else None
+
+
+def header_number(value: str | None) -> int | None:
+    """A header's number, None where it is absent; ValueError where it is none."""
+    if value is None:
+        return None
+    if not (value.isascii() and value.isdigit() and len(value) < 10):
+        raise ValueError(f"{value[:40]!r} is no number")
+    return int(value)
+
+
 def parse_archive(data: bytes) -> Iterator[tuple]:
-    """The records of one archive, as rows of ``RECORD_SCHEMA``; stops at the first fault and reports it."""
+    """The records of one archive, as rows of ``RECORD_SCHEMA``.
+
+    A fault is a row of kind ``damaged``, after which reading goes on at the
+    next place that looks like the begin of a record.
+    """
     at = 0
     ident = lambda v: None if v is None else v.strip("<>").removeprefix(URN)
     while at < len(data):
-        head_end = data.find(b"\r\n\r\n", at)
-        if head_end < 0 or not data.startswith(b"WARC/", at):
-            yield (None, "damaged", None, None, None, None, None, None, None, f"no record at byte {at}")
-            return
-        lines = data[at:head_end].decode("utf-8", "replace").split("\r\n")[1:]
-        head = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        length = int(head.get("content-length", "-1"))
-        lo = head_end + 4
-        if length < 0 or lo + length > len(data):
-            yield (None, "damaged", None, None, None, None, None, None, None, f"record cut short at byte {at}")
-            return
-        segment, total = head.get("warc-segment-number"), head.get("warc-segment-total-length")
+        head, lo = {}, at
+        try:
+            head_end = data.find(b"\r\n\r\n", at)
+            if head_end < 0 or not data.startswith(b"WARC/", at):
+                raise ValueError("no record")
+            lines = data[at:head_end].decode("utf-8", "replace").split("\r\n")[1:]
+            head = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+            length, lo = header_number(head.get("content-length")), head_end + 4
+            end = lo + (length or 0)
+            if length is None or end > len(data) or end < len(data) and not data.startswith(b"\r\n", end):
+                raise ValueError("record cut short")
+            segment, total = (header_number(head.get(f"warc-segment-{x}")) for x in ("number", "total-length"))
+        except ValueError as fault:
+            yield (
+                ident(head.get("warc-record-id")), "damaged", head.get("warc-target-uri"), None, None, None, None, None, None,
+                f"{fault} at byte {at}",
+            )
+            at = data.find(b"WARC/1.", max(lo, at + 1))
+            if at < 0:
+                return
+            continue
         record_id = ident(head.get("warc-record-id"))
         yield (
             record_id, head.get("warc-type"), head.get("warc-target-uri"), ident(head.get("warc-refers-to")),
             (head.get("warc-payload-digest") or "").removeprefix("sha256:") or None,
-            ident(head.get("warc-segment-origin-id")) or record_id,
-            int(segment) if segment else None, int(total) if total else None, data[lo : lo + length], None,
+            ident(head.get("warc-segment-origin-id")) or record_id, segment, total, data[lo:end], None,
         )
-        at = lo + length
+        at = end
         while data.startswith(b"\r\n", at):
             at += 2
 
@@ -219,8 +262,10 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for value in batch.column(0):
-                content = value.as_py()
-                rows = list(parse_archive(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content))
+                data, fault = unpacked(value.as_py())
+                rows = list(parse_archive(data))
+                if fault:
+                    rows.append((None, "damaged", None, None, None, None, None, None, None, fault))
                 for lo in range(0, len(rows), 500):
                     cols = zip(*rows[lo : lo + 500], strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -254,10 +299,10 @@ def reassemble(records: DataFrame) -> DataFrame:
     Whole records need no shuffle. Only segments are grouped, by origin, and
     such a group is one page.
     """
-    whole = records.filter("kind = 'response' and segment is null").select(
-        "record_id", "target_uri", "stated_digest",
-        F.array(F.struct(F.lit(1).alias("segment"), F.col("total_length"), F.col("block"))).alias("parts"),
-    )
+    one = F.array(F.struct(F.lit(1).alias("segment"), F.col("total_length"), F.col("block")))
+    whole = records.filter("kind = 'response' and segment is null or kind = 'damaged'").select(
+        "record_id", "target_uri", "stated_digest", F.when(F.col("kind") == "response", one).alias("parts"), "error"
+    )
     origin = F.col("kind") == "response"
     split = (
         records.filter("kind in ('response', 'continuation') and segment is not null")
@@ -266,6 +311,7 @@ def reassemble(records: DataFrame) -> DataFrame:
             F.max(F.when(origin, F.col("target_uri"))).alias("target_uri"),
             F.max(F.when(origin, F.col("stated_digest"))).alias("stated_digest"),
             F.collect_list(F.struct("segment", "total_length", "block")).alias("parts"),
+            F.lit(None).cast("string").alias("error"),
         )
     )
 
@@ -274,13 +320,17 @@ def reassemble(records: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 payloads, errors = [], []
-                for value in part.column(3).to_pylist():
+                for value, fault in zip(part.column(3).to_pylist(), part.column(4).to_pylist(), strict=True):
+                    if fault is not None:
+                        payloads.append(None)
+                        errors.append(fault)
+                        continue
                     try:
                         payloads.append(message_payload([(p["segment"], p["total_length"], p["block"]) for p in value]))
                         errors.append(None)
-                    except ValueError as fault:
+                    except ValueError as broken:
                         payloads.append(None)
-                        errors.append(str(fault))
+                        errors.append(str(broken))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:3], pa.array(payloads, pa.binary()), pa.array(errors, pa.string())],
                     names=["record_id", "target_uri", "stated_digest", "payload", "error"],

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pytest
@@ -79,6 +80,22 @@ def test_damaged_archive_is_reported():
     assert [r[1] for r in rows] == ["response", "damaged"] and rows[1][-1]
 
 
+def test_damage_keeps_the_records_around_it(spark, tmp_path):
+    records = [next(warc.records_of(k, f"u{k}", "d", f"text {k} " * 30, None, 0, 16_384)).encode() + b"\r\n\r\n" for k in range(6)]
+    length = records[3].split(b"Content-Length: ")[1].split(b"\r\n")[0]
+    records[1] = records[1][:-200]
+    records[3] = records[3].replace(b"Content-Length: " + length, b"Content-Length: abc")
+    records[4] = records[4].replace(b"Content-Type", b"WARC-Segment-Number: q\r\nContent-Type", 1)
+    (tmp_path / "part-0.warc").write_bytes(b"".join(records))
+    (tmp_path / "part-1.gz").write_bytes(gzip.compress(records[5] + records[0] * 50)[:-30])
+    responses, revisits = warc.read_archives(spark, str(tmp_path))
+    rows = responses.collect()
+    whole = [r["target_uri"] for r in rows if r["payload"] is not None and r["target_uri"] != "u0"]
+    assert sorted(whole) == ["u2", "u5", "u5"] and revisits.count() == 0
+    assert {r["target_uri"] for r in rows if r["error"]} >= {"u1", "u3", "u4", None}
+    assert all((r["payload"] is None) == (r["error"] is not None) for r in rows)
+
+
 def test_chunks_and_cuts_never_split_a_character():
     data = "aé日\U0001f600".encode() * 50
     for most in (4, 5, 7):
