@@ -9,9 +9,9 @@ edit takes one of them, but up to five shingles of five words. Texts of up to
 fewer items than that takes all it has.
 
 Equal texts (in words, A-Z lower-cased) are one node from the start. Nodes
-that share a sketch value are first paired with three of their bucket
-(smallest id, largest id, smallest hash of id and sketch), so that a bucket
-with a third of all texts makes three rows a text. A pair is aligned: its edit
+that share a sketch value are first paired with two of their bucket (smallest
+and largest id, the same two in most buckets of a large group), so that a bucket
+with a third of all texts makes two rows a text. A pair is aligned: its edit
 distance in words, within the band that the threshold allows, must leave a
 similarity of ``SIMILARITY`` or more. Every node's best pair comes first, then
 its best among those that still lead to another component, and so on, so that
@@ -53,7 +53,8 @@ SHORT_SKETCHES = 16
 SHORT_PICKED = 3
 #: Long integers of a signature: 8,192 bits, one set for every item.
 SIGNATURE = 128
-MEMO_WORDS = 600_000
+#: Words whose hashes a worker process keeps before its memory starts afresh.
+MEMO_WORDS = 200_000
 #: Open pairs a row of the open buckets from which new hubs are tried before all pairs are.
 MANY_PAIRS = 8
 #: A round that joins fewer than one in so many of its pairs or rows is the last of its kind.
@@ -261,16 +262,15 @@ def ordered_pairs(met: DataFrame, similarity: float) -> DataFrame:
 
 
 def candidate_pairs(sketched: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(left, right, agreeing): nodes of common sketch values, at most three partners a node and value."""
+    """(left, right, agreeing): nodes with the smallest and the largest node of each of their buckets.
+
+    A large group has the same two nodes in most of its buckets, so that a
+    node of it has few pairs, not one or more for every sketch.
+    """
     rows = sketched.select("node", "n_words", F.posexplode("values").alias("k", "value"))
     one = F.struct("node", "n_words")
-    partners = rows.groupBy("k", "value").agg(
-        F.min(one).alias("low"), F.max(one).alias("high"),
-        F.min_by(one, F.xxhash64("node", "k")).alias("any"),
-    ).filter("low.node < high.node")
-    met = rows.join(partners, ["k", "value"]).select(
-        "node", "n_words", F.explode(F.array_distinct(F.array("low", "high", "any"))).alias("o")
-    )
+    partners = rows.groupBy("k", "value").agg(F.min(one).alias("low"), F.max(one).alias("high")).filter("low.node < high.node")
+    met = rows.join(partners, ["k", "value"]).select("node", "n_words", F.explode(F.array("low", "high")).alias("o"))
     return ordered_pairs(met.select("node", "n_words", F.col("o.node").alias("other"), F.col("o.n_words").alias("other_words")), similarity)
 
 

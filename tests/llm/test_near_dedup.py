@@ -169,6 +169,23 @@ def test_a_group_of_copies_takes_rows_in_proportion(spark, monkeypatch):
     assert sum(tries) <= 3 * len(texts)
 
 
+def test_a_node_of_a_large_group_has_few_candidate_pairs(spark):
+    rng = random.Random(3)  # a group of which every second one, never the same ones, shares a sketch
+    rows = [(k, 100, [2 * s + rng.randint(0, 1) for s in range(near.SKETCHES)]) for k in range(600)]
+    sketched = spark.createDataFrame(rows, "node long, n_words int, values array<long>")
+    pairs = near.candidate_pairs(sketched).collect()
+    ends = [n for r in pairs for n in (r["left"], r["right"])]
+    assert set(ends) == set(range(600))
+    assert len(pairs) <= 24 * 600
+
+
+def test_words_kept_by_a_worker_are_bounded():
+    known = near.WordHashes()
+    for k in range(250_000):
+        known[b"%d" % k]
+        assert len(known) <= 200_001
+
+
 def test_no_rows_lost_on_odd_rows(spark, odd_docs, no_docs):
     got = near.near_classes(odd_docs).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in odd_rows())
