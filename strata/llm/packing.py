@@ -1,6 +1,6 @@
 """Best-fit packing of tokenised documents by hierarchical residual merging.
 
-Tokens: every partition encodes each of its distinct words once and joins a
+Tokens: every worker keeps the ids of the words it met last and joins a
 document's ids from them (white space always ends a token of this
 vocabulary, so ids of a text are the ids of its words in a row). Documents
 longer than a sequence are cut into full pieces and a rest.
@@ -36,8 +36,8 @@ from strata.session import stage_table
 
 CAPACITY = 4096
 END_ID = 1
-#: Words that a worker process keeps encoded before its memory starts afresh.
-MEMO_WORDS = 700_000
+#: Words that a worker process keeps encoded, those met last.
+MEMO_WORDS = 120_000
 END_BYTES = END_ID.to_bytes(4, "little")
 
 
@@ -48,7 +48,7 @@ def vocabulary_path() -> str:
 
 
 class WordEncoder(dict):
-    """Raw word -> little-endian 32-bit ids, each distinct word encoded once.
+    """Raw word -> little-endian 32-bit ids, kept for the words that this process met last.
 
     Words of plain printable characters up to U+024F (where lower-casing and
     normal form need no context; printable ones, so no odd blank) are cut by the vocabulary's own pattern and
@@ -66,6 +66,7 @@ class WordEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.as_bytes = {
             c: self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))[0][0]
             for c in range(33, 0x250)
@@ -78,6 +79,10 @@ class WordEncoder(dict):
         return ids
 
     def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is not None:
+            self[word] = ids
+            return ids
         text = word.decode("utf-8")
         lowered = text.lower()
         if max(text + lowered) >= "\u0250" or not text.isprintable() or "<|" in text:
@@ -97,8 +102,9 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, (text or b"").split())) + END_BYTES
 
     def trim(self, most: int = MEMO_WORDS) -> None:
-        """Forgets all words once there are too many for a task's memory."""
-        if len(self) > most:
+        """Forgets the words not met lately once there are more than half of what may be kept."""
+        if len(self) > most // 2:
+            self.older = dict(self)
             self.clear()
             self.pieces.clear()
 

@@ -92,5 +92,16 @@ def test_best_fit_takes_the_tightest_bin():
     assert sorted(bins.tolist()) == [0, 1]
 
 
+def test_a_worker_keeps_the_words_it_met_last():
+    coder, fresh = (packing.WordEncoder(packing.vocabulary_path()) for _ in range(2))
+    for k in range(20):
+        text = b"often " + b" ".join(b"x%d" % i for i in range(8_000 * k, 8_000 * (k + 1)))
+        ids = coder.encode(text)
+        coder.trim()
+        assert len(coder) + len(coder.older) <= 130_000
+        assert b"often" in coder or b"often" in coder.older
+    assert ids == fresh.encode(text) == coder.encode(text)
+
+
 def test_empty_table(no_docs):
     assert packing.pack_pieces(packing.tokenize_pieces(no_docs)).count() == 0
