@@ -59,6 +59,8 @@ MEMO_WORDS = 200_000
 MANY_PAIRS = 8
 #: A round that joins fewer than one in so many of its pairs or rows is the last of its kind.
 FEW_JOINED = 10
+#: Links that a task joins by itself; what more of them leave goes through rounds of joins.
+LINKS_A_TASK = 200_000
 #: Most bytes of ids that are broadcast; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -400,9 +402,10 @@ def texts_of(docs: DataFrame, needed: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def verified_links(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs whose texts align to at least the threshold."""
-    both = pairs.join(texts.select(F.col("node").alias("left"), F.col("text").alias("a")), "left").join(
-        texts.select(F.col("node").alias("right"), F.col("text").alias("b")), "right"
-    )
+    small = pairs.count() * 64 <= BROADCAST_BYTES
+    one = texts.select(F.col("node").alias("left"), F.col("text").alias("a"))
+    two = texts.select(F.col("node").alias("right"), F.col("text").alias("b"))
+    both = one.join(F.broadcast(pairs) if small else pairs, "left").join(two, "right")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
@@ -418,14 +421,61 @@ def verified_links(pairs: DataFrame, texts: DataFrame, similarity: float = SIMIL
     return both.select("left", "right", "a", "b").mapInArrow(align, "left long, right long")
 
 
+class Forest(dict):
+    """Node -> a smaller node of its component, or itself, for the links met so far."""
+
+    def root(self, node: int) -> int:
+        up = self.setdefault(node, node)
+        while up != node:
+            top = self[node] = self[up]
+            node, up = up, top
+        return node
+
+    def link(self, a: int, b: int) -> None:
+        a, b = self.root(a), self.root(b)
+        self[max(a, b)] = min(a, b)
+
+    def links(self) -> pa.RecordBatch:
+        """A link (left, right) from its component's smallest node to every other node."""
+        found = [(self.root(node), node) for node in self]
+        found = [(root, node) for root, node in found if root != node]
+        left, right = zip(*found, strict=True) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["left", "right"])
+
+
+def fewer_links(links: DataFrame, tasks: int) -> DataFrame:
+    """(left, right): links of the same components, at most one a node for every ``LINKS_A_TASK`` read.
+
+    A task holds so many links at a time, whatever its share of them is.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                forest.link(a, b)
+                if len(forest) > 2 * LINKS_A_TASK:
+                    yield forest.links()
+                    forest.clear()
+        yield forest.links()
+
+    return links.select("left", "right").coalesce(tasks).mapInArrow(run, "left long, right long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of every linked node's component.
 
-    Alternates between hanging larger and smaller neighbours on a node's
-    smallest one. Links only ever get fewer or point further down, and a hub
-    keeps one row per neighbour, so rounds are few and rows never more.
+    Each task first joins the links of its part, ``LINKS_A_TASK`` at a time;
+    links that are one such part are done by then. The others alternate
+    between hanging larger and smaller neighbours on a node's smallest one.
+    Links only ever get fewer or point further down, and a hub keeps one row
+    per neighbour, so rounds are few and rows never more.
     """
-    edges = links.select(F.greatest("left", "right").alias("node"), F.least("left", "right").alias("near")).distinct()
+    tasks = max(1, -(-links.count() // LINKS_A_TASK))
+    links, _ = stage_table(fewer_links(links, tasks), "near_fewer")
+    if tasks == 1:
+        return links.select(F.col("right").alias("node"), F.col("left").alias("root"))
+    edges = links.select(F.col("right").alias("node"), F.col("left").alias("near")).distinct()
     edges, _ = stage_table(edges, "near_edges")
     while True:
         both = edges.unionByName(edges.select(F.col("near").alias("node"), F.col("node").alias("near")))
@@ -482,10 +532,12 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     named = nodes.select("node", "doc_id", "text_key")
     tried = pairs.select("left", "right")
 
-    roots, last = None, False
+    roots, texts, last = None, None, False
     while True:
         one, _ = stage_table(pairs.select("left", "right") if last else best_pairs(pairs), "near_tried")
-        more, _ = stage_table(verified_links(one, texts_of(docs, ends(one), named), similarity), "near_links")
+        if texts is None:  # every node has a best pair, so that later rounds need no others
+            texts = texts_of(docs, ends(one), named)
+        more, _ = stage_table(verified_links(one, texts, similarity), "near_links")
         roots = joined_roots(roots, more)
         if last:
             break

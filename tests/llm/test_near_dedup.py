@@ -218,3 +218,26 @@ def test_components_of_chains_and_stars(spark):
         parent[b] = a
     got = {r["node"]: r["root"] for r in near.components(spark.createDataFrame(links, "left long, right long")).collect()}
     assert got == {x: find(x) for x in parent if find(x) != x}
+
+
+def test_few_links_take_one_table_and_many_the_rounds(spark, monkeypatch):
+    staged, real = [], near.stage_table
+    monkeypatch.setattr(near, "stage_table", lambda df, name, *rest: staged.append(name) or real(df, name, *rest))
+    links = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(1, 60)] + [(300, 301), (301, 301)]
+    roots = {k: 0 for k in range(1, 61)} | {100 + k: 100 for k in range(1, 60)} | {301: 300}
+    frame = spark.createDataFrame(links, "left long, right long").repartition(5)
+    assert {r["node"]: r["root"] for r in near.components(frame).collect()} == roots
+    assert len(staged) == 1
+    monkeypatch.setattr(near, "LINKS_A_TASK", 20)
+    got = near.components(frame).collect()
+    assert {r["node"]: r["root"] for r in got} == roots and len(got) == len(roots)
+    assert len(staged) > 3
+
+
+def test_texts_are_read_once_for_all_rounds_of_best_pairs(spark, monkeypatch):
+    reads, real = [], near.texts_of
+    monkeypatch.setattr(near, "texts_of", lambda docs, needed, nodes: reads.append(needed.count()) or real(docs, needed, nodes))
+    texts = {k: edited(prose(810 + k % 3, 100), 6, k) for k in range(90)}
+    got = near.near_classes(make_docs(spark, doc_rows(texts))).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {k: k % 3 for k in texts}
+    assert len(reads) == 2  # for the pairs of hubs, and for the buckets left open
